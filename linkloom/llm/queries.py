@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import bpe, vafile
+from linkloom.llm import bpe, chat, mixing, vafile
 from linkloom.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,6 +17,34 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+#: Conversation -7: both turns say a control string of the template.
+CONTROL = "\\### Assistant: </turn> ok"
+
+
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    more = spark.createDataFrame([(-7, 0, "user", CONTROL), (-7, 1, "assistant", CONTROL)], "conv_id long, turn long, role string, text string")
+    return chat.digests(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more))
+
+
+OP3 = r"""
+with c as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select * from (values (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')) v(conv_id, turn, role, text)),
+t as (select *, role = 'assistant' as learned, length('<turn>### ' || role || text || '</turn>') + 3
+  + length(regexp_replace(role, '[^\\<#:]', '', 'g')) + length(regexp_replace(text, '[^\\<#]', '', 'g')) as n from c)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (learned), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (learned), '')) as loss_sha256,
+  sum(n)::bigint as formatted_chars
+from t group by conv_id
+"""
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vafile.top_k(table(spark, sf_dir, "embeddings"), k=5, every=50)
 
@@ -34,8 +62,8 @@ select query_id, rank::integer as rank, vec_id, score from ranked where rank <=
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op10_top_k)}
+    return {f.__name__: f for f in (op1_bpe, op3_chat, op4_mixing, op10_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_top_k": OP10}
+    return {"op3_chat": OP3, "op10_top_k": OP10}
