@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import bpe, chat, mixing, vafile
+from linkloom.llm import bpe, chat, mixing, multiset, secrets, vafile
 from linkloom.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -45,6 +45,36 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(table(spark, sf_dir, "documents"))
+
+
+def _spans_sql(no: int, rule: secrets.Rule) -> str:
+    p = rule.pattern.replace("'", "''")
+    return f"""
+  select r, {no} as no, '{rule.kind}' as kind, g, a, a + n as b from (
+    select r, unnest(range(1, len(m) + 1)) as i, list_sum(list_transform(gaps[1:i], lambda s: length(s))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda s: length(s))), 0) as a, length(m[i]) as n, length(v[i]) as g
+    from (select r, string_split_regex(text, '{p}') as gaps, regexp_extract_all(text, '{p}') as m, regexp_extract_all(text, '{p}', {rule.group}) as v from d where regexp_matches(text, '{p}')))
+  where g >= {rule.least}"""
+
+
+def op6_sql() -> str:
+    base = secrets.BASE
+    counts = ", ".join(f"count(*) filter (no = {k}) as n_{secrets.RULES[k].kind}" for k in range(base))
+    own = ", ".join(f"coalesce(n_{secrets.RULES[k].kind}, 0) as n_{secrets.RULES[k].kind}" for k in range(base))
+    joined = lambda which: f"string_agg(kind || ':' || a::bigint || ':' || b::bigint, ',' order by a, no) {which}"
+    return f"""
+with d as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
+s as ({" union all ".join(_spans_sql(k, r) for k, r in enumerate(secrets.RULES))}),
+f as (select r, {counts}, {joined(f"filter (no < {base})")} as base, {joined("")} as spans from s group by r)
+select doc_id, {own}, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans from d left join f using (r)
+"""
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiset.edits(table(spark, sf_dir, "documents"))
+
+
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vafile.top_k(table(spark, sf_dir, "embeddings"), k=5, every=50)
 
@@ -62,8 +92,8 @@ select query_id, rank::integer as rank, vec_id, score from ranked where rank <=
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op3_chat, op4_mixing, op10_top_k)}
+    return {f.__name__: f for f in (op1_bpe, op3_chat, op4_mixing, op6_secrets, op8_fingerprints, op10_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat": OP3, "op10_top_k": OP10}
+    return {"op3_chat": OP3, "op6_secrets": op6_sql(), "op10_top_k": OP10}
