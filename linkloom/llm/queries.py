@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import bpe, chat, mixing, multiset, secrets, vafile
+from linkloom.llm import bpe, chat, mixing, multiset, neardup, secrets, vafile
 from linkloom.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -75,6 +75,25 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset.edits(table(spark, sf_dir, "documents"))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), width=5, percent=85)
+
+
+OP9 = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+s as (select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+  else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) end as s from w),
+n as (select doc_id, len(s) as n from s),
+x as (select doc_id, unnest(s) as g from s),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as c from x a join x b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+e as (select a, b from p join n na on na.doc_id = a join n nb on nb.doc_id = b where 100 * c >= 85 * (na.n + nb.n - c)),
+r(doc_id, other) as (select doc_id, doc_id from n union select r.doc_id, e.b from r join e on e.a = r.other)
+select n.doc_id, n.n::bigint as n_shingles, c as component_id, n.doc_id = c as kept
+from n join (select doc_id, min(other) as c from r group by 1) using (doc_id)
+"""
+
+
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vafile.top_k(table(spark, sf_dir, "embeddings"), k=5, every=50)
 
@@ -92,8 +111,8 @@ select query_id, rank::integer as rank, vec_id, score from ranked where rank <=
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op3_chat, op4_mixing, op6_secrets, op8_fingerprints, op10_top_k)}
+    return {f.__name__: f for f in (op1_bpe, op3_chat, op4_mixing, op6_secrets, op8_fingerprints, op9_near_duplicates, op10_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat": OP3, "op6_secrets": op6_sql(), "op10_top_k": OP10}
+    return {"op3_chat": OP3, "op6_secrets": op6_sql(), "op9_near_duplicates": OP9, "op10_top_k": OP10}
