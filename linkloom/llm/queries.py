@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import bpe, chat, mixing, multiset, neardup, secrets, vafile
+from linkloom.llm import bpe, chat, crf, mixing, multiset, neardup, secrets, vafile
 from linkloom.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,6 +17,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op2_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crf.languages(table(spark, sf_dir, "documents"))
+
+
 #: Conversation -7: both turns say a control string of the template.
 CONTROL = "\\### Assistant: </turn> ok"
 
@@ -111,7 +115,7 @@ select query_id, rank::integer as rank, vec_id, score from ranked where rank <=
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op3_chat, op4_mixing, op6_secrets, op8_fingerprints, op9_near_duplicates, op10_top_k)}
+    return {f.__name__: f for f in (op1_bpe, op2_languages, op3_chat, op4_mixing, op6_secrets, op8_fingerprints, op9_near_duplicates, op10_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:
