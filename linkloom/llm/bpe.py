@@ -21,6 +21,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -235,7 +236,7 @@ def encode(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(spec.value)
         for whole in batches:
-            sizes = pa.compute.fill_null(pa.compute.utf8_length(whole.column(at)), 0).to_pylist()
+            sizes = pc.fill_null(pc.utf8_length(whole.column(at)), 0).to_pylist()
             for batch in _slices(whole, sizes):
                 found = [own.encode(x or "") for x in batch.column(at).to_pylist()]
                 ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
@@ -256,10 +257,10 @@ def decode(df: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decode
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(spec.value)
         for whole in batches:
-            sizes = [5 * n for n in pa.compute.fill_null(pa.compute.list_value_length(whole.column(at)), 0).to_pylist()]
+            sizes = [5 * n for n in pc.fill_null(pc.list_value_length(whole.column(at)), 0).to_pylist()]
             for batch in _slices(whole, sizes):
                 column = batch.column(at)
-                lengths = pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+                lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
                 data, ends = own.decode(column.flatten().to_numpy(zero_copy_only=False).astype(np.int64))
                 cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(lengths)])]
                 raw = data.tobytes()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,3 +54,10 @@ def text_or_empty(name: str = "text") -> Column:
 def n_words(column: Column) -> Column:
     """Number of words; null counts as an empty text."""
     return F.size(F.regexp_extract_all(F.coalesce(column, F.lit("")), F.lit(WORD), F.lit(0))).cast("long")
+
+
+def shielded(df: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """df with all columns but `used` under names of our own, and what gives such rows their names back, in df's order."""
+    names = {c: c if c in used else f"_column_{i}" for i, c in enumerate(df.columns)}
+    hidden = df.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items()))
+    return hidden, lambda out: out.select(*(F.col(n).alias(c) for c, n in names.items()))

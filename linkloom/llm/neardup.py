@@ -102,25 +102,24 @@ class Signer:
         return ((low * self.c) >> np.uint32(16)).astype(">u2").tobytes()
 
 
-def _texts(batches: Iterator[pa.RecordBatch], size: int = 256) -> Iterator[tuple[list, list]]:
+def _texts(batches: Iterator[pa.RecordBatch], size: int = 256) -> Iterator[list[list]]:
     for whole in batches:
         for at in range(0, whole.num_rows, size):
-            part = whole.slice(at, size)
-            yield part.column(0).to_pylist(), part.column(1).to_pylist()
+            yield [c.to_pylist() for c in whole.slice(at, size).columns]
 
 
 def signatures(docs: DataFrame, width: int, trees: int) -> DataFrame:
-    """doc_id, n_shingles, key (of the set; null if empty), signature."""
+    """doc_id, text_hash, n_shingles, key (of the set; null if empty), signature. docs: doc_id, text, text_hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer(trees)
-        for ids, texts in _texts(batches):
+        for ids, texts, hashes in _texts(batches):
             sets = [shingles(t, width) for t in texts]
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             signed = [signer.sign(s) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array(keys, pa.binary()), pa.array(signed, pa.binary())], names=["doc_id", "n_shingles", "key", "signature"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array(keys, pa.binary()), pa.array(signed, pa.binary())], names=["doc_id", "text_hash", "n_shingles", "key", "signature"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, key binary, signature binary")
+    return docs.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, key binary, signature binary")
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -296,16 +295,32 @@ def links(documents: DataFrame, classes: DataFrame, width: int, percent: int, tr
     return materialize(grouped.mapInArrow(_compare(percent), "a binary, b binary"), "links")
 
 
-def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id, kept. Linked: 100 * |common| >= percent * |all|."""
+def resolve(documents: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Per document with words: doc_id, text_hash, n_shingles, root, component_id. And those without: doc_id, text_hash."""
     trees = trees_for(percent)
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
     signed = materialize(signatures(docs, width, trees), "signatures")
     full = signed.where("key is not null")
     classes = full.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
     found = components(links(docs, classes, width, percent, trees))
     firsts = full.groupBy("key").agg(F.min("doc_id").alias("first_id")).join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     ids = firsts.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_key = firsts.join(ids, "root").select("key", "component_id")
-    out = full.join(by_key, "key").select("doc_id", "n_shingles", "component_id").unionByName(signed.where("key is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
-    return out.select("*", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept"))
+    by_key = firsts.join(ids, "root").select("key", "root", "component_id")
+    return full.join(by_key, "key").select("doc_id", "text_hash", "n_shingles", "root", "component_id"), signed.where("key is null").select("doc_id", "text_hash")
+
+
+def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id, kept. Linked: 100 * |common| >= percent * |all|."""
+    full, empty = resolve(documents, width, percent)
+    out = full.select("doc_id", "n_shingles", "component_id").unionByName(empty.select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    return out.select("*", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def deduplicate(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """documents, of each component the one with the smallest doc_id (then hash of its text). Of rows that agree in both, one."""
+    full, empty = resolve(documents, width, percent)
+    best = full.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("m")).select("m.doc_id", "m.text_hash")
+    stay = best.unionByName(empty).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    docs = documents.withColumn("_hash_of_text", F.xxhash64("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash_of_text") == F.col("_hash"))
+    return docs.join(stay, same, "left_semi").dropDuplicates(["doc_id", "_hash_of_text"]).drop("_hash_of_text")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import bpe, chat, crf, mixing, multiset, neardup, secrets, vafile
+from linkloom.llm import bpe, chat, crf, kneser, mixing, multiset, neardup, secrets, vafile
 from linkloom.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -75,6 +75,10 @@ select doc_id, {own}, sha256(coalesce(base, '')) as base_sha256, coalesce(spans,
 """
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=("doc_id", "lang"))
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset.edits(table(spark, sf_dir, "documents"))
 
@@ -115,7 +119,7 @@ select query_id, rank::integer as rank, vec_id, score from ranked where rank <=
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_languages, op3_chat, op4_mixing, op6_secrets, op8_fingerprints, op9_near_duplicates, op10_top_k)}
+    return {f.__name__: f for f in (op1_bpe, op2_languages, op3_chat, op4_mixing, op6_secrets, op7_quality, op8_fingerprints, op9_near_duplicates, op10_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:
