@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from linkloom.llm import bpe, chat, crf, kneser, mixing, multiset, neardup, secrets, vafile
+from linkloom.llm import bpe, chat, crf, kneser, licenses, mixing, multiset, neardup, secrets, vafile
 from linkloom.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -49,6 +49,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summary(table(spark, sf_dir, "documents"))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(table(spark, sf_dir, "documents"))
 
@@ -119,7 +123,7 @@ select query_id, rank::integer as rank, vec_id, score from ranked where rank <=
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_languages, op3_chat, op4_mixing, op6_secrets, op7_quality, op8_fingerprints, op9_near_duplicates, op10_top_k)}
+    return {f.__name__: f for f in (op1_bpe, op2_languages, op3_chat, op4_mixing, op5_licences, op6_secrets, op7_quality, op8_fingerprints, op9_near_duplicates, op10_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:
