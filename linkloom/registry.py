@@ -5,15 +5,256 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from linkloom import oracle as O  # noqa: E741, N812
+from linkloom.functions import rules, text, urls
+from linkloom.functions.patterns import DOMAIN, PATTERNS, Pattern
+from linkloom.operators import dedupe, extract, nodes, targets
+from linkloom.options import Options
+from linkloom.plans.discover import discover, found_targets
+from linkloom.samples import RESPONSES_SQL, responses
+from linkloom.sources import pages
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+HOST = "lower(regexp_extract(url, '^[^:]*://([^/?#:]*)', 1))"
+
+
+@query(f"with {O.all_candidates(gate=O.GATE)}, {O.targets()} select host, count(*) as n_links, count(distinct page_id) as n_pages, sum(is_new_subdomain::int)::bigint as n_new from targets group by host")
+def link_graph_flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many links lead to each host, from how many pages."""
+    found = found_targets(responses(spark, sf_dir), Options())
+    n = lambda c: F.count(c)
+    return found.groupBy("host").agg(n(F.lit(1)).alias("n_links"), F.countDistinct("page_id").alias("n_pages"), F.sum(F.col("is_new_subdomain").cast("long")).alias("n_new"))
+
+
+@query(f"with {RESPONSES_SQL} select page_id, content_type from responses where regexp_matches(lower(content_type), 'html|javascript|json|xml|css')")
+def gate_content_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return responses(spark, sf_dir).where(pages.searchable(F.col("content_type"))).select("page_id", "content_type")
+
+
+@query(f"with {RESPONSES_SQL} select page_id, {HOST} as host from responses where {O.GATE} and {HOST}[1:4] = 'www.'")
+def gate_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    host = targets.base_host(F.col("url"))
+    return pages.gated(responses(spark, sf_dir), F.startswith(host, F.lit("www."))).select("page_id", host.alias("host"))
+
+
+@query(f"with {RESPONSES_SQL}, {O.headers()} select page_id, ord, candidate from h2")
+def source_map_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.header_candidates(responses(spark, sf_dir)).select("page_id", "ord", F.col("raw").alias("candidate"))
+
+
+@query(f"with {RESPONSES_SQL}, {O.DECODED} select page_id, length(body) as n_chars, sha256(body) as body_sha256 from decoded")
+def decode_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract.once(responses(spark, sf_dir).select("page_id", "body"), d=text.decode_entities(F.col("body")))
+    return found.select("page_id", F.length("d").cast("long").alias("n_chars"), F.sha2("d", 256).alias("body_sha256"))
+
+
+@query(f"with {RESPONSES_SQL}, {O.DECODED}, {O.CHUNKS} select page_id, chunk_no, length(chunk) as n_chars, sha256(chunk) as chunk_sha256 from chunks")
+def chunk_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract.once(responses(spark, sf_dir).select("page_id", "body"), d=text.decode_entities(F.col("body")))
+    parts = found.select("page_id", F.posexplode(text.chunks(F.col("d"))).alias("chunk_no", "chunk"))
+    return parts.select("page_id", "chunk_no", F.length("chunk").cast("long").alias("n_chars"), F.sha2("chunk", 256).alias("chunk_sha256"))
+
+
+def _extraction(no: int, pattern: Pattern) -> None:
+    domain = pattern.name == DOMAIN
+    where = f"where {O.valid_domain('raw')}" if domain else ""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        found = extract.once(extract.once(responses(spark, sf_dir).select("page_id", "body"), d=text.decode_entities(F.col("body"))), c=text.chunks(F.col("d")))
+        raw = found.select("page_id", F.explode("c").alias("chunk")).select("page_id", F.explode_outer(text.finds(F.col("chunk"), pattern)).alias("raw")).where("raw is not null")
+        if domain:
+            raw = raw.where(rules.valid_domain(F.col("raw")))
+        return raw.groupBy("page_id", "raw").agg(F.count(F.lit(1)).alias("n"))
+
+    run.__name__ = f"extract_{pattern.name}"
+    query(f"with {RESPONSES_SQL}, {O.DECODED}, {O.CHUNKS}, {O.raw((pattern,))} select page_id, raw, count(*) as n from raw {where} group by page_id, raw")(run)
+
+
+for _no, _pattern in enumerate(PATTERNS):
+    _extraction(_no, _pattern)
+
+
+#: Host names to try, made of a page's own and its id.
+HOSTS = ("{h}", "-{h}", "api-.{h}", "a..{h}", "{h}.", "exa mple.com", "", "x_{n}.{h}", "_x.{h}", "1.2.3.{n}", "localhost", "{h}-")
+
+
+def _hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    one = F.element_at(F.array(*map(F.lit, HOSTS)), (F.col("page_id") % len(HOSTS) + 1).cast("int"))
+    return table.select("page_id", F.replace(F.replace(one, F.lit("{h}"), targets.base_host(F.col("url"))), F.lit("{n}"), F.col("page_id").cast("string")).alias("host"))
+
+
+@query(f"""with h as (select page_id, replace(replace([{", ".join(map(O.q, HOSTS))}][page_id % {len(HOSTS)} + 1], '{{h}}', {HOST}), '{{n}}', page_id::varchar) as host from pages)
+select page_id, host, {O.valid_hostname("host")} as valid from h""")
+def valid_hostname(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _hosts(spark, sf_dir).select("page_id", "host", rules.valid_hostname(F.col("host")).alias("valid"))
+
+
+@query(f"with {RESPONSES_SQL}, {O.DECODED}, {O.CHUNKS}, {O.raw(PATTERNS)}, {O.normal('raw', 'page_id, pattern_no, raw')} select distinct page_id, raw, candidate from t4")
+def normalize_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = extract.raw_candidates(responses(spark, sf_dir)).select("page_id", "raw").distinct()
+    return raw.withColumn("candidate", rules.normalised(F.col("raw")))
+
+
+#: Texts with brackets of all sorts.
+BRACKETED = ("/x(a)b(c{n}", "a(b]c{n}", "/p{id}/q{n}", "/q[{n}]{[()]}", "]{n}", "((({n})))", "({n}[)]", "plain{n}", "{a{b}{n}", "x)y(z{n})")
+
+
+@query(rf"""with b as (select page_id, replace([{", ".join(map(O.q, BRACKETED))}][page_id % {len(BRACKETED)} + 1], '{{n}}', page_id::varchar) as s from pages)
+select page_id, s, substr(s, 1, length(regexp_extract({O.masked("s")}, '^[^()\[\]{{}}]*'))) as cut from b""")
+def bracket_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    one = F.element_at(F.array(*map(F.lit, BRACKETED)), (F.col("page_id") % len(BRACKETED) + 1).cast("int"))
+    table = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", F.replace(one, F.lit("{n}"), F.col("page_id").cast("string")).alias("s"))
+    return table.withColumn("cut", rules.bracket_cut(F.col("s")))
+
+
+def _filter(name: str, keep: Callable, sql: str) -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw = extract.raw_candidates(responses(spark, sf_dir)).select("page_id", "raw").distinct()
+        tidy = extract.once(raw, candidate=rules.trimmed(rules.normalised(F.col("raw")))).where("candidate is not null")
+        return tidy.select("page_id", "candidate").distinct().where(keep(F.col("candidate")))
+
+    run.__name__ = name
+    normal = O.normal("raw", "page_id")
+    query(f"with {RESPONSES_SQL}, {O.DECODED}, {O.CHUNKS}, {O.raw(PATTERNS)}, {normal}, t5 as (select distinct page_id, {O.trimmed('candidate')} as candidate from t4 where candidate is not null) select * from t5 where {sql}")(run)
+
+
+_filter("filter_junk_ext", lambda c: ~rules.junk_extension(c), f"not regexp_matches(candidate, {O.JUNK_EXTENSION})")
+_filter("filter_scheme", lambda c: ~rules.dropped_scheme(c), f"not regexp_matches(candidate, {O.BAD_SCHEME})")
+_filter("filter_shape", lambda c: ~rules.odd_shape(c), f"not {O.odd_shape('candidate')}")
+_filter("filter_junk_token", lambda c: ~rules.junk_token(c), f"not {O.junk_token('candidate')}")
+
+
+@query(f"with {O.all_candidates()} select page_id, candidate from candidates")
+def page_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract_candidates(responses(spark, sf_dir)).select("page_id", "candidate")
+
+
+@query(f"with {O.all_candidates(False)} select page_id, candidate from candidates")
+def page_distinct_no_script(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract_candidates(responses(spark, sf_dir), javascript=False).select("page_id", "candidate")
+
+
+#: Links of the sorts that pages hold.
+LINKS = ("d{n}.html", "/r/{n}", "//h{n}.example.com/p", "HTTPS://H{n}.com", "?x={n}", "./v/{n}", "a//b/../c{n}", "/m/../n{n}", "wss://ws.example.com/{n}", "x.js:{n}", "#/r{n}", "http://h:9x/", "http://h.example.com:8080/{n}?q=/a#b", "sub/dir/{n}?a=b/../c", "")
+_LINKED = f"l as (select 0 as session_id, page_id, url, replace([{', '.join(map(O.q, LINKS))}][page_id % {len(LINKS)} + 1], '{{n}}', page_id::varchar) as link from pages)"
+
+
+def _links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    one = F.element_at(F.array(*map(F.lit, LINKS)), (F.col("page_id") % len(LINKS) + 1).cast("int"))
+    return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", F.replace(one, F.lit("{n}"), F.col("page_id").cast("string")).alias("link"))
+
+
+@query(f"with {_LINKED}, {O.resolved('l', 'page_id, url, link', 'link')} select page_id, link, resolved, host from l left join (select page_id, resolved, host from u5) using (page_id)".replace("lower(regexp_extract(r, '^[^:]*://([^/?#:]*)', 1)) as host", "regexp_extract(r, '^[^:]*://([^/?#:]*)', 1) as host"))
+def resolve_url(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.resolve(_links(spark, sf_dir), "url", "link").select("page_id", "link", "resolved", "host")
+
+
+@query(f"with {_LINKED}, {O.resolved('l', 'page_id, url, link', 'link')} select page_id, resolved from u5 where coalesce(ref, '') = ''")
+def drop_fragment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.resolve(_links(spark, sf_dir), "url", "link").where("resolved is not null and coalesce(ref, '') = ''").select("page_id", "resolved")
+
+
+_TARGETS = f"with {O.all_candidates()}, {O.targets()}"
+
+
+def _targets(spark: SparkSession, sf_dir: str, subdomains: bool = True) -> DataFrame:
+    return targets.targets(extract.extract_candidates(responses(spark, sf_dir)), subdomains)
+
+
+@query(f"{_TARGETS} select page_id, candidate, host, is_new_subdomain from targets")
+def new_subdomain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _targets(spark, sf_dir).select("page_id", "candidate", "host", "is_new_subdomain")
+
+
+@query(f"{_TARGETS} select page_id, candidate, resolved from targets where not is_new_subdomain")
+def same_host_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _targets(spark, sf_dir, False).select("page_id", "candidate", "resolved")
+
+
+@query(f"{_TARGETS} select page_id, candidate, resolved from targets where is_new_subdomain")
+def root_slash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _targets(spark, sf_dir).where("is_new_subdomain").select("page_id", "candidate", "resolved")
+
+
+@query(f"{_TARGETS} select session_id, resolved, min(page_id) as page_id from targets group by all")
+def global_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedupe.first_pages(_targets(spark, sf_dir)).select("session_id", "resolved", "page_id")
+
+
+def _known(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of all targets' addresses."""
+    return _targets(spark, sf_dir).where(F.length("resolved") % 2 == 0).select("session_id", F.col("uri"))
+
+
+@query(f"{_TARGETS} select distinct session_id, resolved from targets where length(resolved) % 2 = 1")
+def anti_known(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedupe.unknown(_targets(spark, sf_dir), _known(spark, sf_dir))
+    return found.select("session_id", "resolved").distinct()
+
+
+#: Three links of each page, the first two shared with others, so that a cap of two lets later pages have what is left.
+_CROWD = "c as (select page_id, unnest(['http://e.com/a' || (page_id % 4), 'http://e.com/b' || (page_id % 3), 'http://e.com/c' || page_id]) as resolved, unnest([0, 1, 2]) as ord from pages where page_id < 12)"
+
+
+@query(f"""with recursive {_CROWD},
+f(page, seen) as (
+  select -1::bigint, []::varchar[] union all
+  select page + 1, list_concat(seen, coalesce((select list(resolved order by ord) from (select resolved, ord from c where page_id = page + 1 and not list_contains(seen, resolved) order by ord limit 2)), [])) from f where page < 11)
+select page_id, resolved from (select page as page_id, unnest(seen[len(p) + 1:]) as resolved from (select page, seen, coalesce(lag(seen) over (order by page), []) as p from f))""")
+def insert_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = spark.read.parquet(f"{sf_dir}/pages.parquet").where("page_id < 12")
+    n = F.col("page_id")
+    address = lambda kind, key: F.concat(F.lit(f"http://e.com/{kind}"), key.cast("string"))
+    crowd = table.select(F.lit(0).cast("long").alias("session_id"), "page_id", F.posexplode(F.array(address("a", n % 4), address("b", n % 3), address("c", n))).alias("ord", "resolved"))
+    return dedupe.capped(crowd.withColumn("place", F.struct("ord")), 2).select("page_id", "resolved")
+
+
+@query(f"""with {O.all_candidates(gate=O.GATE)}, {O.targets()},
+first as (select session_id, resolved, min(page_id) as page_id from targets group by all)
+select session_id, page_id, 'GET' as method, resolved, host, is_new_subdomain, case when is_new_subdomain then '[NEW SUBDOMAIN] ' else '' end || 'Discovered via passive link extraction - NOT requested' as note, url as source_url
+from (select distinct session_id, page_id, url, resolved, host, is_new_subdomain from targets) join first using (session_id, page_id, resolved)""")
+def placeholder_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return discover(responses(spark, sf_dir)).select("session_id", "page_id", "method", "resolved", "host", "is_new_subdomain", "note", "source_url")
+
+
+@query(f"with {O.all_candidates()} select page_id, strlen(body) as n_bytes, coalesce(n, 0) as n_candidates from responses left join (select page_id, count(*) as n from candidates group by page_id) using (page_id)")
+def page_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = responses(spark, sf_dir)
+    return nodes.page_metrics(own, extract.extract_candidates(own)).select("page_id", "n_bytes", "n_candidates")
+
+
+@query(f"with {O.all_candidates()}, {O.targets()} select distinct resolved, regexp_replace(resolved, '[^\\x00-\\x7f]', '', 'g') as ascii from targets")
+def encode_uri(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decoding an encoded address gives it again; `ascii` is what was left as it was."""
+    found = _targets(spark, sf_dir).select("resolved", "uri").distinct()
+    same = F.url_decode(F.replace("uri", F.lit("+"), F.lit("%2B")))
+    return found.where(~F.col("uri").rlike(r"[^\x00-\x7f]")).select(F.when(F.col("resolved").contains("%"), F.col("resolved")).otherwise(same).alias("resolved"), rules.replaced(F.col("resolved"), r"[^\x00-\x7f]").alias("ascii"))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    return link_graph_flagship(spark, sf_dir)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
