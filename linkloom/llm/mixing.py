@@ -133,15 +133,16 @@ def mix(df: DataFrame, members: Column, plan, size: str = "size", seed: int = 7,
     given = route(sizes, plan(sizes), passes)
     whole = {p: min(passes, n // sizes[p]) if sizes[p] else 0 for p, n in given.items()}
     border = {p: (0, n - whole[p] * sizes[p]) for p, n in given.items()}  # the hash's first bits, and the rest
+    parted = {p for p, (_, rest) in border.items() if rest}
     spark = df.sparkSession
     for level in range(1, LEVELS + 1):
         at = F.shiftright("_u", 63 - BITS * level)
-        small = F.broadcast(spark.createDataFrame([(p, a, r) for p, (a, r) in border.items() if r], "_pattern string, _at long, _rest long"))  # at most max_patterns rows
+        small = F.broadcast(spark.createDataFrame([(p, a, r) for p, (a, r) in border.items() if p in parted], "_pattern string, _at long, _rest long"))  # at most max_patterns rows
         ranges = docs.join(small, "_pattern").where(F.shiftright("_u", 63 - BITS * (level - 1)) == F.col("_at")).groupBy("_pattern", "_rest", at.alias("_next")).agg(F.sum(size).alias("n"))
         upto = F.sum("n").over(Window.partitionBy("_pattern").orderBy("_next"))  # 256 rows a pattern at most
         for r in ranges.withColumn("_upto", upto).where("_upto > _rest and _upto - n <= _rest").collect():
             border[r["_pattern"]] = (r["_next"], r["_rest"] - r["_upto"] + r["n"])
-    rows = [(p, whole[p], *border[p], given[p] > whole[p] * sizes[p]) for p in sizes]
+    rows = [(p, whole[p], *border[p], p in parted) for p in sizes]
     plan_df = F.broadcast(spark.createDataFrame(rows, "_pattern string, _whole long, _at long, _rest long, _open boolean"))
     placed = docs.join(plan_df, "_pattern").withColumn("_here", F.shiftright("_u", 63 - BITS * LEVELS))
     inside = F.col("_open") & (F.col("_here") == F.col("_at"))
