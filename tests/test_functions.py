@@ -50,13 +50,13 @@ def _cut(s):
     return s[: stack[0]] if stack else s
 
 
-@settings(max_examples=5, deadline=None)
+@settings(max_examples=2, deadline=None)
 @given(st.lists(st.text("()[]{}ab", max_size=24), min_size=50, max_size=100))
 def test_brackets_by_a_stack(spark, asked):
     assert values(spark, asked, rules.bracket_cut) == [_cut(s) for s in asked]
 
 
-@settings(max_examples=5, deadline=None)
+@settings(max_examples=2, deadline=None)
 @given(st.lists(st.text("""ab./\\n`"'(){}<>;, \r\né#?$-""", max_size=20), min_size=50, max_size=100))
 def test_what_is_usable_holds_to_the_rules(spark, asked):
     for link in values(spark, asked, lambda x: F.when(rules.usable(rules.trimmed(rules.normalised(x))), rules.trimmed(rules.normalised(x)))):
