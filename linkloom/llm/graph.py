@@ -11,18 +11,21 @@ from linkloom.llm.common import materialize
 def components(edges: DataFrame) -> DataFrame:
     """node, root: the smallest node that each node of the edges (a, b) reaches.
 
-    Each round moves every node to its smallest neighbour, if that is smaller, and edges along with their ends. At
-    least half of the nodes go each time, so rounds grow with the logarithm of their number.
+    Each round gives all nodes an order of its own, by a hash, and moves every node to the first of itself and its
+    neighbours; edges move along with their ends. As the order is another one each time, a good part of the nodes goes in
+    each round whatever the graph's form (long sorted chains too), so rounds grow with the logarithm of their number.
 
     Nulls and loops are ignored, repeated edges count once, no edges give no rows.
     """
     pair = F.array_sort(F.array("a", "b"))
     tidy = lambda e: e.where("a <> b").select(pair[0].alias("a"), pair[1].alias("b")).distinct()
     left = materialize(tidy(edges.select("a", "b")), "edges")
-    labels = None
+    labels, turn = None, 0
     while not left.isEmpty():
+        turn += 1
+        place = lambda c: F.struct(F.xxhash64(F.lit(turn), c).alias("at"), F.col(c).alias("node"))  # noqa: E731, B023
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        moves = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("root")), "moves")
+        moves = materialize(both.groupBy(F.col("a").alias("node")).agg(F.min(place("b")).alias("m")).select("node", F.least(place("node"), "m")["node"].alias("root")), "moves")
         to = lambda side: moves.select(F.col("node").alias(side), F.col("root").alias(f"to_{side}"))  # noqa: E731, B023
         moved = left.join(to("a"), "a").join(to("b"), "b").select(F.col("to_a").alias("a"), F.col("to_b").alias("b"))
         left = materialize(tidy(moved), "edges")
@@ -31,4 +34,7 @@ def components(edges: DataFrame) -> DataFrame:
         else:
             further = moves.select(F.col("node").alias("root"), F.col("root").alias("next"))
             labels = materialize(labels.join(further, "root", "left").select("node", F.coalesce("next", "root").alias("root")), "labels")
-    return labels if labels is not None else left.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    if labels is None:
+        return left.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    least = labels.groupBy("root").agg(F.min("node").alias("least"))
+    return labels.join(least, "root").select("node", F.col("least").alias("root"))

@@ -1,4 +1,7 @@
 import hashlib
+import math
+import re
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -21,8 +24,17 @@ def test_a_multiset(spark):
     assert out["put"] == f[0] and out["out"] == f[2] and out["back"] == f[3] and out["less"] != f[3]
 
 
+def cosine(a, b):
+    if a == b:
+        return 1.0
+    a, b = (Counter(re.findall(r"(?:[^\s.,;:!?|]+[ \t]+){0,3}\S+", t)) for t in (a, b))
+    size = math.sqrt(sum(n * n for n in a.values()) * sum(n * n for n in b.values()))
+    return sum(n * b[x] for x, n in a.items()) / size if size else 0.0
+
+
 def test_edits_by_brute_force(spark):
     texts = {i: f"paragraph {i} has words\n" * (i % 4) + f"and {i} 😀 more, of them; all told." * (i % 9) for i in range(40)}
+    off = []
     texts |= {50: "", 51: "x", 52: "y" * 30_000, 53: texts[5]}
     rows = [(i, t, 0) for i, t in texts.items()] + [(60, None, 0)]
     for n in (3, 500):
@@ -42,7 +54,13 @@ def test_edits_by_brute_force(spark):
             assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
             assert (r["fingerprint"] == r["edited_fingerprint"]) == (text == edited) and (text != edited or r["near_edited"] == 1)
         assert found[5]["fingerprint"] == found[53]["fingerprint"]
-    assert sum(found[i]["near_edited"] for i in range(40)) > 2 * sum(found[i]["near_next"] for i in range(40))
+        for k, i in enumerate(order):  # the sketch is near the cosine of the pieces' numbers
+            text, after = own[i], own[order[(k + 1) % len(order)]]
+            c = len(text) // 4
+            for other, near in ((text[: len(text) - c] + after[:c], "near_edited"), (after, "near_next")):
+                assert abs(found[i][near] - cosine(text, other)) < 0.45, i
+            off += [abs(found[i][near] - cosine(text, other))]
+    assert sum(off) / len(off) < 0.1
 
 
 def test_edges(spark):

@@ -22,7 +22,7 @@ def test_by_brute_force(spark, monkeypatch):
     dice = random.Random(9)
     rows = [(i, [dice.choice([0.0, 0.5, -0.25, dice.uniform(-1, 1)]) for _ in range(6)]) for i in range(400)]
     rows += [(i, [0.5] * 6) for i in range(400, 460)]  # ties
-    rows += [(500, None), (550, [1.0, None, 0, 0, 0, 0]), (600, [math.nan] * 6), (650, [math.inf] * 6), (700, [1.0, 2.0]), (701, [3.0, 4.0]), (750, []), (None, [0.1] * 6), (50, rows[50][1]), (100, [9.0] * 6), (800, [30000.0] * 6)]
+    rows += [(500, None), (550, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (600, [math.nan] * 6), (650, [math.inf] * 6), (700, [1.0, 2.0]), (701, [3.0, 4.0]), (750, []), (None, [0.1] * 6), (50, rows[50][1]), (100, [9.0] * 6), (800, [30000.0] * 6)]
     df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<float>, rank int").repartition(3)
     want = brute([(i, v and [x and float(np.float32(x)) for x in v]) for i, v in rows], 5, 50)
     for size, block in ((vafile.QUERY_BLOCK, vafile.DATA_BLOCK), (3, 40)):
