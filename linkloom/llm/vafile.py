@@ -78,11 +78,11 @@ def top_k(df: DataFrame, k: int = 5, every: int = 50, id: str = "vec_id", vector
     """query_id, rank, vec_id, score: for each row whose id is divisible by `every`, its k best among all other rows."""
     spark = df.sparkSession
     data = df.select(F.col(id).cast("long").alias("id"), quantised(vector, scale).alias("v")).where("id is not null and v is not null")
-    asked = data.where(F.col("id") % every == 0).distinct()
+    asked = data.where(F.col("id") % every == 0).distinct().withColumn("no", F.xxhash64("v"))  # an id may have several vectors
     blocks = -(-asked.count() // QUERY_BLOCK)
     parts = []
     for b in range(blocks):
-        own = asked.where(F.pmod(F.xxhash64("id", "v"), F.lit(blocks)) == b) if blocks > 1 else asked
+        own = asked.where(F.pmod(F.xxhash64("id", "no"), F.lit(blocks)) == b) if blocks > 1 else asked
         part = _visit(data, own.toPandas(), k)
         parts.append(materialize(part, "topk") if blocks > 1 else part)
     if not parts:
@@ -97,7 +97,7 @@ def top_k(df: DataFrame, k: int = 5, every: int = 50, id: str = "vec_id", vector
 
 def _visit(data: DataFrame, asked: pd.DataFrame, k: int) -> DataFrame:
     asked = asked.sort_values("id", kind="stable")
-    by_length = {n: (g["id"].to_numpy(np.int64), np.stack(g["v"].map(lambda v: np.asarray(v, np.int64)).tolist()).reshape(len(g), -1)) for n, g in asked.groupby(asked["v"].map(len))}
+    by_length = {n: (g["id"].to_numpy(np.int64), g["no"].to_numpy(np.int64), np.stack(g["v"].map(lambda v: np.asarray(v, np.int64)).tolist()).reshape(len(g), -1)) for n, g in asked.groupby(asked["v"].map(len))}
     sent = data.sparkSession.sparkContext.broadcast(by_length)  # QUERY_BLOCK vectors, about
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,14 +108,14 @@ def _visit(data: DataFrame, asked: pd.DataFrame, k: int) -> DataFrame:
                 ids = part.column(0).to_numpy()
                 lengths = part.column(1).value_lengths().to_numpy()
                 flat, ends = part.column(1).flatten().to_numpy(), np.cumsum(lengths)
-                for n, (query_ids, queries) in sent.value.items():
+                for n, (query_ids, _, queries) in sent.value.items():
                     if len(rows := np.flatnonzero(lengths == n)):
                         block = flat[(ends[rows] - n)[:, None] + np.arange(n)]
                         for place, vec, score in search_block(ids[rows], block, query_ids, queries, k):
                             best.setdefault((n, place), []).append((-score, vec))
             for key, found in best.items():
                 best[key] = sorted(found)[:k]
-        rows = [(int(sent.value[n][0][place]), n * QUERY_BLOCK * 4 + place, vec, -score) for (n, place), found in best.items() for score, vec in found]
+        rows = [(int(sent.value[n][0][place]), int(sent.value[n][1][place]), vec, -score) for (n, place), found in best.items() for score, vec in found]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["query_id", "query_no", "vec_id", "score"])
 
