@@ -13,6 +13,8 @@ from dataclasses import dataclass
 Q, V = r"""["']""", r"""([^"']+)"""
 LETTER = r"a-zA-Z0-9\x{0080}-\x{FFFF}"
 LABEL = f"[{LETTER}](?:[{LETTER}_-]*[{LETTER}])?"
+#: The same without going back: a dot must follow, which no label holds, so only all of a run can match.
+QUICK_LABEL = f"[{LETTER}](?:[{LETTER}_-]*+(?<=[{LETTER}]))?+"
 MOST_LABELS = 24
 START, END = r"""(?:^|(?<=["' ]))""", r"""(?=$|["'\n\r ])"""
 #: Attributes, extensions, and characters that don't begin a path.
@@ -38,14 +40,18 @@ def _call(name: str, before: str) -> Pattern:
     return Pattern(name, f"(?i){before}{Q}{V}{Q}", 1, True)
 
 
-_attribute = r"[\w:-]*?(?:" + "|".join(ATTRIBUTES) + r")\s*=\s*"
+# a prefix may hold hyphens too, but what follows a hyphen begins a match as well, so long runs needn't be tried from each
+_attribute = r"[\w:]*?(?:" + "|".join(ATTRIBUTES) + r")\s*=\s*"
 _value = r"""([^"'#\s>]+)"""
-_domain = rf"""(?:{LABEL}\.){{0,{MOST_LABELS}}}{LABEL}\.[a-zA-Z]{{2,24}}(?:/[^\s"'<>()\[\]{{}}]{{0,500}})?"""
+_host = lambda label, tail: rf"(?:{label}\.){{0,{MOST_LABELS}}}{label}\.{tail}"
+_domain = lambda label: _host(label, rf"""[a-zA-Z]{{2,24}}(?:/[^\s"'<>()\[\]{{}}]{{0,500}})?""")
 _path = rf"""(?:(?:#?/|\./|\.\./){NO_PATH_START}[^"'><,;|()\s]{{1,255}})"""
 _path_ext = rf"""([a-zA-Z0-9_\-/]{{1,}}/[a-zA-Z0-9_\-/\.]{{1,255}}\.(?:[a-zA-Z]{{1,4}}|{"|".join(ODD_EXTENSIONS)})(?:[?/][^"']{{0,1000}}|))"""
 _file_ext = rf"""([a-zA-Z0-9_\-\.]{{1,255}}\.(?:{"|".join(FILES)})(?:\?[^"']{{0,255}}|))"""
 _plain = lambda body: rf"""(?:^|["' ]){body}(?:$|["'\n\r ])"""
 
+_relative = lambda label: rf"""(?:["'(]|^|\s)(//{label}(?:\.{label}){{0,{MOST_LABELS}}}\.[a-zA-Z]{{2,}}[^\s"'<>)]*)"""
+
 DOMAIN, TEMPLATE = "bare_domain", "template_literal"
 
 HTML = (
@@ -53,9 +59,9 @@ HTML = (
     Pattern("meta_refresh", r"""(?is)<meta[^>]*?url\s*=\s*([^"'#\s>]+)"""),
     Pattern("css_url", r"""(?i)url\(\s*["']?([^"')\s]+)["']?\s*\)"""),
     Pattern("absolute", r"""(?i)\bhttps?://[^\s"'<>)]+""", 0),
-    Pattern("protocol_relative", rf"""(?:["'(]|^|\s)(//{LABEL}(?:\.{LABEL}){{0,{MOST_LABELS}}}\.[a-zA-Z]{{2,}}[^\s"'<>)]*)"""),
+    Pattern("protocol_relative", _relative(QUICK_LABEL), plain=_relative(LABEL)),
     Pattern("source_mapping", r"""(?i)sourceMappingURL\s*=\s*([^\s"'<>]+)"""),
-    Pattern(DOMAIN, rf"(?<![\w.:/]){_domain}", 0, plain=rf"(?:^|[^\w.:/])({_domain})"),
+    Pattern(DOMAIN, rf"(?<![\w.:/]){_domain(QUICK_LABEL)}", 0, plain=rf"(?:^|[^\w.:/])({_domain(LABEL)})"),
 )
 SCRIPT = (
     _call("fetch", r"fetch\(\s*"),

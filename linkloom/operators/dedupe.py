@@ -42,6 +42,7 @@ def _written(df: DataFrame) -> DataFrame:
 
 def capped(targets: DataFrame, most: int) -> DataFrame:
     """The rows of targets that come in, each address once a session."""
+    targets = _written(targets)  # the search behind it is dear, its links are few
     asked = targets.groupBy("session_id", "page_id", "resolved").agg(F.min("place").alias("place"))
     refused = None
     while True:

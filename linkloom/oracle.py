@@ -44,7 +44,7 @@ def finds(pattern: Pattern, chunk: str = "chunk") -> str:
     """A list of all finds."""
     if pattern.plain is None:
         found = f"regexp_extract_all({chunk}, {q(pattern.regex)}, {pattern.group})"
-    elif pattern.name == DOMAIN:
+    elif pattern.name in (DOMAIN, "protocol_relative"):
         found = f"regexp_extract_all({chunk}, {q(pattern.plain)}, 1)"
     else:  # separators are used up by a find on either side, so each stands twice
         twice = f"""replace(replace(replace({chunk}, '"', '""'), '''', ''''''), ' ', '  ')"""
