@@ -94,12 +94,13 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP9 = r"""
 with recursive w as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
-s as (select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+s as materialized (select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
   else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) end as s from w),
-n as (select doc_id, len(s) as n from s),
-x as (select doc_id, unnest(s) as g from s),
-p as (select a.doc_id as a, b.doc_id as b, count(*) as c from x a join x b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
-e as (select a, b from p join n na on na.doc_id = a join n nb on nb.doc_id = b where 100 * c >= 85 * (na.n + nb.n - c)),
+n as materialized (select doc_id, len(s) as n from s),
+x as materialized (select doc_id, hash(unnest(s)) as g from s),
+p as materialized (select a.doc_id as a, b.doc_id as b, count(*) as c from x a join x b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+h as materialized (select a, b from p join n na on na.doc_id = a join n nb on nb.doc_id = b where 100 * c >= 85 * (na.n + nb.n - c)),
+e as materialized (select a, b from h union all select b, a from h),
 r(doc_id, other) as (select doc_id, doc_id from n union select r.doc_id, e.b from r join e on e.a = r.other)
 select n.doc_id, n.n::bigint as n_shingles, c as component_id, n.doc_id = c as kept
 from n join (select doc_id, min(other) as c from r group by 1) using (doc_id)
