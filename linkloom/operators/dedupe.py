@@ -11,12 +11,11 @@ page has more than `most`, the first round is all.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from linkloom.storage import materialize
+
 
 def unknown(targets: DataFrame, site_nodes: DataFrame) -> DataFrame:
     """Targets whose uri isn't known in their session. site_nodes: session_id, uri."""
@@ -29,29 +28,18 @@ def first_pages(targets: DataFrame) -> DataFrame:
     return targets.groupBy("session_id", "resolved").agg(order).select("session_id", "resolved", "first.*")
 
 
-def _written(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="linkloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/linkloom/dedupe-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def capped(targets: DataFrame, most: int) -> DataFrame:
     """The rows of targets that come in, each address once a session."""
-    targets = _written(targets)  # the search behind it is dear, its links are few
+    targets = materialize(targets, "targets")  # the search behind it is dear, its links are few
     asked = targets.groupBy("session_id", "page_id", "resolved").agg(F.min("place").alias("place"))
     refused = None
     while True:
         left = asked if refused is None else asked.join(refused, ["session_id", "page_id", "resolved"], "left_anti")
         now = first_pages(left)
         rank = F.row_number().over(Window.partitionBy("session_id", "page_id").orderBy("place", "resolved"))
-        ranked = _written(now.withColumn("rank", rank))
+        ranked = materialize(now.withColumn("rank", rank), "ranked")
         over = ranked.where(F.col("rank") > most).select("session_id", "page_id", "resolved")
         if over.isEmpty():
             came = ranked.select("session_id", "page_id", "resolved", "place")
             return targets.join(came, ["session_id", "page_id", "resolved", "place"], "left_semi")
-        refused = _written(over if refused is None else refused.unionByName(over))
+        refused = materialize(over if refused is None else refused.unionByName(over), "refused")
