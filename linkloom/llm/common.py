@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkloom.storage import materialize, shared_dir
+
 #: What separates words: space and the control characters 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -17,36 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share. Only a session without one (as in tests) gets one here."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="linkloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Writes df to the shared folder and reads it again: cuts the lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/linkloom/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def discard(df: DataFrame) -> None:
-    """Removes the files of a table that materialize() wrote, when nothing will read them any more."""
-    spark = df.sparkSession
-    base = f"{shared_dir(spark)}/linkloom/"
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        if "/linkloom/" in folder and base.split(":", 1)[-1].lstrip("/") in folder:
-            path.getFileSystem(conf).delete(path, True)
-
-
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
@@ -61,3 +31,6 @@ def shielded(df: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, Callable[
     names = {c: c if c in used else f"_column_{i}" for i, c in enumerate(df.columns)}
     hidden = df.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items()))
     return hidden, lambda out: out.select(*(F.col(n).alias(c) for c, n in names.items()))
+
+
+__all__ = ["WORD", "materialize", "n_words", "shared_dir", "shielded", "table", "text_or_empty"]
