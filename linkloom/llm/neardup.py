@@ -42,7 +42,7 @@ DEPTH, SPARSE, DENSE = 8, 5, 6
 FEW, MANY = 32, 4096
 MISSED = 1e-5
 #: Shingles of a block.
-BLOCK = 200_000
+BLOCK = 50_000
 #: Columns of a matrix product.
 COLUMNS = 8192
 REMEMBERED = 300_000
