@@ -226,6 +226,12 @@ def insert_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.capped(crowd.withColumn("place", F.struct("ord")), 2).select("page_id", "resolved")
 
 
+@query(None)
+def insert_cap_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which page brings in which address: all links of all pages, with the design's cap. Tests hold it against a queue."""
+    return dedupe.capped(_targets(spark, sf_dir), Options().most_inserts).select("session_id", "page_id", "resolved")
+
+
 @query(f"""with {O.all_candidates(gate=O.GATE)}, {O.targets()},
 first as (select session_id, resolved, min(page_id) as page_id from targets group by all)
 select session_id, page_id, 'GET' as method, resolved, host, is_new_subdomain, case when is_new_subdomain then '[NEW SUBDOMAIN] ' else '' end || 'Discovered via passive link extraction - NOT requested' as note, url as source_url

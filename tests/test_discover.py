@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from linkloom import registry
 from linkloom.operators import dedupe
 from linkloom.options import Options
 from linkloom.plans.discover import discover
@@ -45,6 +46,19 @@ def test_cap_is_a_queue(spark):
         assert {(r["page_id"], r["resolved"]) for r in dedupe.capped(df, most).collect()} == _queue(pages, most)
 
 
+def test_cap_of_all_pages(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    links = registry._targets(spark, sf_dir).select("session_id", "page_id", "resolved", "place").localCheckpoint()
+    sessions = {}
+    for r in sorted(links.collect(), key=lambda r: (r["page_id"], r["place"], r["resolved"])):
+        sessions.setdefault(r["session_id"], {}).setdefault(r["page_id"], []).append(r["resolved"])
+    queue = lambda most: {(s, *row) for s, pages in sessions.items() for row in _queue(pages, most)}
+    came = lambda df: {(r["session_id"], r["page_id"], r["resolved"]) for r in df.collect()}
+    whole = came(registry.queries()["insert_cap_pages"](spark, sf_dir))
+    assert whole == queue(Options().most_inserts) and max(p for _, p, _ in whole) >= 12
+    assert came(dedupe.capped(links, 2)) == queue(2) != whole
+
+
 def test_cap_of_a_page(spark):
     rows = [page(1, "".join(f"<a href='/x{i}'>" for i in range(230))), page(2, "".join(f"<a href='/x{i}'>" for i in range(230)))]
     counts = [sum(r[0] == p for r in found(spark, rows)) for p in (1, 2)]
