@@ -6,9 +6,9 @@ copies of them (words dropped, cut, with other text around), and on text that on
 its scores is calibrated on altered copies that it wasn't fitted on. The training set is these fixed
 texts alone, so the model has the same size for any corpus.
 
-A paragraph is looked at if it has one of the words that every notice has some of; what has none is `unknown`
-by definition. A predicted family counts if its probability is at least LEAST_P and enough of one of the family's
-templates is found in the paragraph; otherwise it is `unknown`.
+A predicted family counts if its probability is at least LEAST_P and at least LEAST_FOUND of one of the family's
+templates is found in the paragraph; otherwise it is `unknown`. A paragraph is looked at if it has one of the words of
+`anchors`, which are chosen so that the n-grams of a template without any of them are too few: nothing is lost by it.
 
 Cases: a null text counts as empty; every line of a text of any length is looked at; repeated rows stay; an empty
 table gives no rows; further columns are ignored.
@@ -34,21 +34,21 @@ WORD = "[a-z0-9.+]*[a-z0-9+]"
 
 #: Short notices of licence families.
 NOTICES = {
-    "apache-2.0": ("Licensed under the Apache License, Version 2.0.", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.', "This project is released under the Apache 2.0 license."),
-    "mit": ("Released under the MIT License.", "Licensed under the MIT license.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software, to deal in the Software without restriction.", "This software is distributed under the terms of the MIT License."),
-    "gpl-3.0": ("This work is licensed under the GNU General Public License, version 3.", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License, either version 3 of the License, or any later version.", "Licensed under the GPL v3 license."),
-    "gpl-2.0": ("This work is licensed under the GNU General Public License, version 2.", "This program is free software under the terms of the GNU General Public License; either version 2 of the License.", "Licensed under the GPL v2 license."),
-    "lgpl": ("This library is licensed under the GNU Lesser General Public License.", "Licensed under the LGPL version 2.1 license."),
-    "agpl-3.0": ("This work is licensed under the GNU Affero General Public License, version 3.", "Licensed under the AGPL v3 license."),
-    "bsd": ("Released under the BSD License.", "Licensed under the 3-Clause BSD License.", "Redistribution and use in source and binary forms, with or without modification, are permitted under the BSD license conditions."),
-    "mpl-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License 2.0."),
-    "cc-by": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    "cc-by-sa": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    "cc-by-nc": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    "cc0": ("Released under the CC0 1.0 Universal Public Domain Dedication license.", "To the extent possible under law, the author has waived all copyright and dedicated this work to the public domain under the CC0 license."),
+    "apache-2.0": ("Licensed under the Apache License, Version 2.0.", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.', "This project is released under the Apache 2.0 license.", "Apache-2.0"),
+    "mit": ("Released under the MIT License.", "Licensed under the MIT license.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software, to deal in the Software without restriction.", "This software is distributed under the terms of the MIT License.", "Released under MIT", "MIT License (MIT)"),
+    "gpl-3.0": ("This work is licensed under the GNU General Public License, version 3.", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License, either version 3 of the License, or any later version.", "Licensed under the GPL v3 license.", "GPLv3", "GPL-3.0"),
+    "gpl-2.0": ("This work is licensed under the GNU General Public License, version 2.", "This program is free software under the terms of the GNU General Public License; either version 2 of the License.", "Licensed under the GPL v2 license.", "GPLv2", "GPL-2.0"),
+    "lgpl": ("This library is licensed under the GNU Lesser General Public License.", "Licensed under the LGPL version 2.1 license.", "LGPLv2.1", "LGPL-2.1", "LGPL-3.0"),
+    "agpl-3.0": ("This work is licensed under the GNU Affero General Public License, version 3.", "Licensed under the AGPL v3 license.", "AGPLv3", "AGPL-3.0"),
+    "bsd": ("Released under the BSD License.", "Licensed under the 3-Clause BSD License.", "Redistribution and use in source and binary forms, with or without modification, are permitted under the BSD license conditions.", "BSD-3-Clause", "BSD-2-Clause"),
+    "mpl-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License 2.0.", "MPL-2.0"),
+    "cc-by": ("CC BY 4.0", "Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    "cc-by-sa": ("CC BY-SA 4.0", "Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    "cc-by-nc": ("CC BY-NC 4.0", "Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    "cc0": ("Released under the CC0 1.0 Universal Public Domain Dedication license.", "To the extent possible under law, the author has waived all copyright and dedicated this work to the public domain under the CC0 license.", "CC0 1.0"),
     "isc": ("Released under the ISC License.", "Licensed under the ISC license."),
     "unlicense": ("This is free and unencumbered software released into the public domain under the Unlicense.",),
-    "proprietary": ("All rights reserved. Copyright by the author.", "Copyright by the company. All rights reserved. No part may be reproduced without permission."),
+    "proprietary": ("All rights reserved.", "All rights reserved. Copyright by the author.", "Copyright by the company. All rights reserved. No part may be reproduced without permission."),
 }
 #: Text that is no notice.
 OTHERS = (
@@ -56,12 +56,9 @@ OTHERS = (
     "Copyright law differs between countries.", "She wrote a book about copyright and patents.", "Please ask the office for a fishing license.", "The license plate was hard to read.",
     "Poetic license lets a writer bend the rules.", "The company sells licenses and support.", "Licensed premises must close at midnight.", "There is no license here.", "The terms of the contract are secret.",
     "A new license was discussed at the meeting.", "The warranty covers parts and labour for two years.", "Permission was given to enter the building.",
+    "All seats are reserved for guests.", "The rights of all people are the same.", "Sie kam mit dem Zug und mit Freunden.", "The software is in version 2.0 of the program.", "The public has a general interest in it.",
 )
 FILLER = "the of and that on in was with for by it is as to are this from a lorem text page here more note see also below".split()
-#: Every notice has one of these words.
-ANCHOR = r"(?i)licen[cs]|copyright|permission is hereby granted|redistribution and use"
-
-
 def words_of(text: str) -> list[str]:
     return re.findall(WORD, text.lower())
 
@@ -70,6 +67,24 @@ def n_grams(words: list[str]) -> list[str]:
     return [" ".join(words[i : i + n]) for n in range(1, LONGEST + 1) for i in range(len(words) - n + 1)]
 
 
+@cache
+def anchors() -> tuple[str, ...]:
+    """Words, one of which is in any text that holds LEAST_FOUND of a template: of each template the longest (of FILLER last), as many as that takes."""
+    found: set[str] = set()
+    for text in (t for texts in NOTICES.values() for t in texts):
+        grams = {tuple(g.split()) for g in n_grams(words_of(text))}
+        for word in sorted({w for g in grams for w in g}, key=lambda w: (w not in found, w in FILLER, -len(w), w)):
+            if sum(found.isdisjoint(g) for g in grams) < LEAST_FOUND * len(grams):
+                break
+            found.add(word)
+    return tuple(sorted(found))
+
+
+def anchored(paragraph: Column) -> Column:
+    """Whether a paragraph has an anchor, as WORD cuts words."""
+    return F.lower(paragraph).rlike(rf"(?<![a-z0-9.+])(?:{'|'.join(map(re.escape, anchors()))})(?![a-z0-9+])")
+
+
 def bucket(gram: str) -> int:
     """As Spark's xxhash64."""
     found = xxhash.xxh64_intdigest(gram.encode(), seed=42)
@@ -91,7 +106,7 @@ def model() -> tuple[list[str], np.ndarray, np.ndarray]:
     """(classes, weights by bucket and class, bias), the scores' scale calibrated."""
     random = np.random.Generator(np.random.PCG64(9))
     classes = [UNKNOWN, *NOTICES]
-    rows: list[tuple[str, int]] = [(t, classes.index(f)) for f, texts in NOTICES.items() for text in texts for t in _altered(text, random, 16)]
+    rows: list[tuple[str, int]] = [(t, classes.index(f)) for f, texts in NOTICES.items() for text in texts for t in _altered(text, random, 16 if len(text.split()) > 1 else 40)]  # one word has one weight only
     rows += [(t, 0) for text in OTHERS for t in _altered(text, random, 10)]
     rows += [(" ".join(random.choice([*FILLER, "license", "licensed", "copyright", "rights", "terms", "under"], int(random.integers(3, 30)))), 0) for _ in range(200)]
     x = np.zeros((len(rows), BUCKETS), np.float32)
@@ -109,7 +124,7 @@ def model() -> tuple[list[str], np.ndarray, np.ndarray]:
         e = np.exp(s - s.max(axis=1, keepdims=True))
         return e / e.sum(axis=1, keepdims=True)
 
-    for _ in range(200):
+    for _ in range(250):
         error = (p(x[~held]) - y[~held]) / (~held).sum()
         w -= 2.0 * (x[~held].T @ error + 2e-4 * w)
         b -= 2.0 * error.sum(axis=0)
@@ -155,7 +170,7 @@ def classify(paragraph: Column) -> Column:
 def scan(documents: DataFrame) -> DataFrame:
     """doc_id, n_paragraphs, found: array<struct<at, family, p>> of the paragraphs with an anchor word, counted from 0."""
     docs = documents.select("doc_id", F.split(text_or_empty(), "\n").alias("lines"))
-    numbered = F.transform("lines", lambda s, i: F.when(s.rlike(ANCHOR), F.struct(i.alias("at"), s.alias("text"))))
+    numbered = F.transform("lines", lambda s, i: F.when(anchored(s), F.struct(i.alias("at"), s.alias("text"))))
     asked = docs.select("doc_id", F.size("lines").cast("long").alias("n_paragraphs"), F.array_compact(numbered).alias("asked"))
 
     def one(x: Column) -> Column:

@@ -22,6 +22,19 @@ def test_altered_and_others(spark):
     assert [found[i]["n_candidates"] for i in (3, 6, 7)] == [0, 0, 0] and found[6]["n_paragraphs"] == 1
 
 
+def test_notices_without_the_usual_words(spark):
+    asked = {"All rights reserved.": "proprietary", "GPLv3": "gpl-3.0", "CC BY 4.0": "cc-by", "Released under MIT": "mit", "under CC BY-SA 4.0": "cc-by-sa", "MIT License": "mit", "(c) 2020 Some One. All rights reserved.": "proprietary"}
+    found = scan(spark, [*asked, "Hat mit allen gesprochen", "All tables are reserved by the company."])
+    assert [found[i]["licences"] for i in range(len(asked) + 2)] == [*(f"0:{f}" for f in asked.values()), "", ""]
+
+
+def test_anchors_lose_nothing():
+    """What a template holds besides the anchors is less than what must be found of it."""
+    for text in (t for texts in licenses.NOTICES.values() for t in texts):
+        grams = set(licenses.n_grams(licenses.words_of(text)))
+        assert sum(not set(g.split()) & set(licenses.anchors()) for g in grams) < licenses.LEAST_FOUND * len(grams)
+
+
 def test_hash_as_spark_has_it(spark):
     words = ["license", "é x", "", "cc by nc"]
     df = spark.createDataFrame([(w,) for w in words], "w string")
