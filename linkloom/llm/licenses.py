@@ -1,6 +1,7 @@
 """Licence scans by a trained paragraph classifier, as DataFrame functions only.
 
-A paragraph is a line. Its features are its word n-grams (one to three words), hashed to BUCKETS. A softmax
+A paragraph is a line. As notices may be wrapped, neighbouring lines are scored together too (see `_windows`). Of findings that
+share a line the one with most of its template counts, of equal ones that of fewest lines, at its first line. A paragraph's features are its word n-grams (one to three words), hashed to BUCKETS. A softmax
 regression over them, with a class for what is no licence, is fitted on the driver: on the notices below, on altered
 copies of them (words dropped, cut, with other text around), and on text that only sounds like a licence. The scale of
 its scores is calibrated on altered copies that it wasn't fitted on. The training set is these fixed
@@ -30,6 +31,8 @@ from linkloom.llm.common import text_or_empty
 BUCKETS, LONGEST = 4096, 3
 LEAST_P, LEAST_FOUND = 0.5, 0.6
 UNKNOWN = "unknown"
+#: Lines that are scored together, the most words of those between the first and the last, and the words of these two.
+TOGETHER, BETWEEN, EDGE = (2, 3, 4, 5, 6, 8, 10, 12, 16, 24, 32, 48), 80, 24
 WORD = "[a-z0-9.+]*[a-z0-9+]"
 
 #: Short notices of licence families.
@@ -144,12 +147,11 @@ def _grams(words: Column, n: int) -> Column:
     return F.when(last > 0, F.transform(F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(F.array().cast("array<string>"))
 
 
-def classify(paragraph: Column) -> Column:
-    """struct(family, p): of one paragraph."""
+def classify(words: Column) -> Column:
+    """struct(family, p, share): of one paragraph's words; share: how much of a template of the family was found."""
     classes, weights, bias = model()
     table = _literal([[round(float(v), 5) for v in row] if np.abs(row).max() > 1e-4 else [] for row in weights], "array<array<double>>")
     start = _literal([round(float(v), 5) for v in bias], "array<double>")
-    words = F.regexp_extract_all(F.lower(paragraph), F.lit(WORD), F.lit(0))
     grams = F.array_distinct(F.concat(*(_grams(words, n) for n in range(1, LONGEST + 1))))
     rows = F.array_distinct(F.transform(grams, lambda g: F.pmod(F.xxhash64(g), F.lit(BUCKETS)).cast("int") + 1))
     used = F.filter(F.transform(rows, lambda r: F.element_at(table, r)), lambda v: F.size(v) > 0)
@@ -161,24 +163,70 @@ def classify(paragraph: Column) -> Column:
         family = F.element_at(_literal(classes, "array<string>"), F.array_position(s, top).cast("int"))
         templates = _literal({f: [sorted(set(n_grams(words_of(t)))) for t in texts] for f, texts in NOTICES.items()}, "map<string,array<array<string>>>")
         found = F.exists(F.element_at(templates, family), lambda t: F.size(F.array_intersect(t, grams)) >= LEAST_FOUND * F.size(t))
+        share = F.array_max(F.transform(F.element_at(templates, family), lambda t: F.size(F.array_intersect(t, grams)) / F.size(t)))
         sure = (p >= LEAST_P) & (family != UNKNOWN) & F.coalesce(found, F.lit(False))
-        return F.struct(F.when(sure, family).otherwise(F.lit(UNKNOWN)).alias("family"), F.round(p, 6).alias("p"))
+        return F.struct(F.when(sure, family).otherwise(F.lit(UNKNOWN)).alias("family"), F.round(p, 6).alias("p"), F.coalesce(share, F.lit(0.0)).alias("share"))
 
     return F.element_at(F.transform(F.array(scores), decided), 1)
 
 
+def _windows() -> Column:
+    """array<struct<from, to, words>>: lines with an anchor, and neighbouring lines with one together.
+
+    Lines without words end a notice. Long lines at the edges count with the words next to the others only. The numbers of lines grow by
+    steps: a notice of any number up to the last one fits the next step with few lines of other text.
+    """
+    of = lambda i: F.element_at("words", i + 1)
+    alone = F.transform(F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.element_at("hit", i + 1)), lambda i: F.struct(i.alias("from"), i.alias("to"), of(i).alias("words")))
+
+    def fits(i: Column, m: Column) -> Column:
+        sizes = F.slice("sizes", i + 1, m)
+        between = F.aggregate(F.slice("sizes", i + 2, m - 2), F.lit(0), lambda a, n: a + n)
+        return F.when(i + m > F.size("words"), False).otherwise((between <= BETWEEN) & F.exists(F.slice("hit", i + 1, m), lambda h: h) & (F.array_min(sizes) > 0))
+
+    def joined(i: Column, m: Column) -> Column:
+        first, last = of(i), of(i + m - 1)
+        tail = F.slice(first, F.greatest(F.lit(1), F.size(first) - EDGE + 1), F.lit(EDGE))
+        words = F.concat(tail, F.flatten(F.slice("words", i + 2, m - 2)), F.slice(last, 1, EDGE))
+        return F.struct(i.alias("from"), (i + m - 1).alias("to"), words.alias("words"))
+
+    steps = F.array(*map(F.lit, TOGETHER))
+    together = F.transform(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.transform(F.filter(steps, lambda m: fits(i, m)), lambda m: joined(i, m)))
+    none = F.array().cast("array<struct<from:int,to:int,words:array<string>>>")
+    return F.when(F.exists("hit", lambda h: h), F.concat(alone, F.flatten(together))).otherwise(none)
+
+
 def scan(documents: DataFrame) -> DataFrame:
-    """doc_id, n_paragraphs, found: array<struct<at, family, p>> of the paragraphs with an anchor word, counted from 0."""
+    """doc_id, n_paragraphs, found: array<struct<at, family, p>> of lines with an anchor word and of notices over several lines, counted from 0."""
+    once = lambda df, name, c, *keep: df.select("doc_id", *keep, F.explode(F.array(c)).alias(name))  # noqa: E731  worked out once
     docs = documents.select("doc_id", F.split(text_or_empty(), "\n").alias("lines"))
-    numbered = F.transform("lines", lambda s, i: F.when(anchored(s), F.struct(i.alias("at"), s.alias("text"))))
-    asked = docs.select("doc_id", F.size("lines").cast("long").alias("n_paragraphs"), F.array_compact(numbered).alias("asked"))
+    hits = once(docs, "hit", F.transform("lines", anchored), "lines")
+    any_ = F.exists("hit", lambda h: h)
+    worded = F.when(any_, F.transform("lines", lambda s: F.regexp_extract_all(F.lower(s), F.lit(WORD), F.lit(0)))).otherwise(F.array().cast("array<array<string>>"))
+    words = once(hits.withColumn("n_paragraphs", F.size("lines").cast("long")), "words", worded, "n_paragraphs", "hit")
+    asked = once(words.withColumn("sizes", F.transform("words", lambda w: F.size(w))), "asked", _windows(), "n_paragraphs")
 
     def one(x: Column) -> Column:
-        c = classify(x["text"])
-        return F.struct(x["at"].alias("at"), c.alias("c"))
-
-    judged = asked.select("doc_id", "n_paragraphs", F.explode(F.array(F.transform("asked", one))).alias("found"))
-    return judged.select("doc_id", "n_paragraphs", F.transform("found", lambda x: F.struct(x["at"].alias("at"), x["c"]["family"].alias("family"), x["c"]["p"].alias("p"))).alias("found"))
+        c = classify(x["words"])
+        return F.struct((-c["share"]).alias("rank"), (x["to"] - x["from"]).alias("more"), x["from"].alias("at"), c["family"].alias("family"), c["p"].alias("p"))
+
+    judged = once(asked, "judged", F.transform("asked", one), "n_paragraphs")
+    sure = F.array_sort(F.filter("judged", lambda x: x["family"] != UNKNOWN))
+    start = F.struct(F.array_repeat(F.lit(""), F.col("n_paragraphs").cast("int")).alias("lines"), F.array().cast("array<struct<at:int,family:string,p:double>>").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        """lines: the family found in each."""
+        lines, at, n = acc["lines"], x["at"], x["more"] + 1
+        own = F.array_repeat(x["family"], n)
+        marked = F.concat(F.slice(lines, 1, at), own, F.slice(lines, at + n + 1, F.size(lines)))
+        rest = (n > 1) & F.coalesce((F.get(lines, at - 1) == x["family"]) | (F.get(lines, at + n) == x["family"]), F.lit(False))  # of a notice beside it
+        out = F.when(rest, acc["out"]).otherwise(F.concat(acc["out"], F.array(F.struct(at.alias("at"), x["family"].alias("family"), x["p"].alias("p")))))
+        return F.when(F.exists(F.slice(lines, at + 1, n), lambda f: f != ""), acc).otherwise(F.struct(marked.alias("lines"), out.alias("out")))
+
+    taken = once(judged, "taken", F.when(F.size(sure) > 0, F.aggregate(sure, start, step)).otherwise(start), "n_paragraphs", "judged")
+    unknown = F.filter("judged", lambda x: (x["more"] == 0) & (x["family"] == UNKNOWN) & (F.get(F.col("taken.lines"), x["at"]) == ""))
+    found = F.concat("taken.out", F.transform(unknown, lambda x: F.struct(x["at"].alias("at"), x["family"].alias("family"), x["p"].alias("p"))))
+    return taken.select("doc_id", "n_paragraphs", F.array_sort(found).alias("found"))
 
 
 def summary(documents: DataFrame) -> DataFrame:

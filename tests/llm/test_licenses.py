@@ -28,6 +28,25 @@ def test_notices_without_the_usual_words(spark):
     assert [found[i]["licences"] for i in range(len(asked) + 2)] == [*(f"0:{f}" for f in asked.values()), "", ""]
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights"""
+
+
+def test_wrapped_notices(spark):
+    import textwrap
+
+    long = {f: max(texts, key=len) for f, texts in licenses.NOTICES.items()}
+    asked = [(f, textwrap.fill(t, width)) for f, t in long.items() for width in (24, 40, 72) if len(t) > 2 * width]
+    assert len(asked) > 20
+    found = scan(spark, [f"Some words here.\n\n{t}\n\nMore of them." for _, t in asked])
+    assert [(asked[i], found[i]["licences"].split(":")[-1], found[i]["n_licences"]) for i in range(len(asked))] == [(a, a[0], 1) for a in asked]
+    texts = [f"A file.\n{MIT}\nint main", "# Licensed under the\n# MIT license.\nimport x\n\nAll rights\nreserved.", "Licensed under\n\nthe terms of", "license\n" * 3000]
+    found = scan(spark, texts)
+    assert found[0]["n_licences"] == 1 and found[0]["licences"] in ("1:mit", "2:mit")
+    assert [found[i]["licences"] for i in (1, 2, 3)] == ["0:mit,4:proprietary", "", ""] and found[1]["n_paragraphs"] == 6
+
+
 def test_anchors_lose_nothing():
     """What a template holds besides the anchors is less than what must be found of it."""
     for text in (t for texts in licenses.NOTICES.values() for t in texts):
