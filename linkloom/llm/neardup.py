@@ -265,7 +265,7 @@ def _compare(percent: int):
 
 
 def _sets(texts: DataFrame, width: int) -> DataFrame:
-    """key, family, n, set of texts (doc_id, text, key, family, n), where the text is the one that the key is of."""
+    """key, family, n, set of texts (text, key, family, n), where the text is the one that the key is of."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -284,10 +284,12 @@ def _sets(texts: DataFrame, width: int) -> DataFrame:
 def links(documents: DataFrame, classes: DataFrame, width: int, percent: int, trees: int) -> DataFrame:
     """a, b: keys of classes that are linked, enough of them to connect all that is."""
     families = components(candidate_edges(classes, trees))
-    members = families.select(F.col("node").alias("key"), F.col("root").alias("family")).join(classes.select("key", F.col("first_id").alias("doc_id"), F.col("n_shingles").alias("n")), "key")
+    members = families.select(F.col("node").alias("key"), F.col("root").alias("family")).join(classes.select("key", F.col("first_id").alias("doc_id"), "text_hash", F.col("n_shingles").alias("n")), "key")
     sizes = members.groupBy("family").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
-    texts = documents.join(members.where("doc_id is not null"), "doc_id")
-    sets = _sets(texts, width).dropDuplicates(["key"]).join(sizes, "family")
+    named = documents.select("doc_id", "text").join(members.where("doc_id is not null").drop("text_hash"), "doc_id").drop("doc_id")
+    # a class whose rows all lack an id has its text by the hash, of equal ones one
+    nameless = documents.where("doc_id is null").dropDuplicates(["text_hash"]).drop("doc_id").join(members.where("doc_id is null").drop("doc_id"), "text_hash").drop("text_hash")
+    sets = _sets(named.unionByName(nameless), width).dropDuplicates(["key"]).join(sizes, "family")
     own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
     others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = sets.withColumn("block", own).withColumn("other", others).select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "key", "set")
@@ -301,7 +303,7 @@ def resolve(documents: DataFrame, width: int, percent: int) -> tuple[DataFrame,
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
     signed = materialize(signatures(docs, width, trees), "signatures")
     full = signed.where("key is not null")
-    classes = full.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
+    classes = full.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.min("text_hash").alias("text_hash"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
     found = components(links(docs, classes, width, percent, trees))
     firsts = full.groupBy("key").agg(F.min("doc_id").alias("first_id")).join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     ids = firsts.groupBy("root").agg(F.min("first_id").alias("component_id"))

@@ -60,6 +60,20 @@ def test_by_brute_force(spark, monkeypatch):
     assert neardup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_near_copies_without_an_id(spark):
+    """Texts that occur with a null id only are compared like others, and connect what is near them."""
+    words = [f"n{i}" for i in range(100)]
+    one, bridge, two = words, [*words[:98], "x", "y"], [*words[2:98], "x", "y", "z", "u"]
+    far = [f"f{i}" for i in range(60)]
+    rows = [(1, " ".join(one)), (None, " ".join(bridge)), (None, " ".join(bridge)), (2, " ".join(two)), (None, " ".join(far)), (None, " ".join([*far[:-1], "end"])), (3, "no other like it")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    expected = brute(rows, 90)
+    assert (2, 96, 1, False) in expected and (None, 96, 1, False) in expected
+    assert sorted((tuple(r) for r in neardup.near_duplicates(df, percent=90).collect()), key=str) == expected
+    left = sorted((r["doc_id"] or 0, r["text"].split()[0]) for r in neardup.deduplicate(df, percent=90).collect())
+    assert left == [(0, "f0"), (1, "n0"), (3, "no")]
+
+
 def test_linked_both_ways():
     random_ = np.random.default_rng(1)
     sets = [np.unique(random_.integers(0, 400, 60).astype(np.uint64)) for _ in range(12)] + [np.arange(50, dtype=np.uint64)] * 2
