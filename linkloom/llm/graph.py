@@ -36,5 +36,5 @@ def components(edges: DataFrame) -> DataFrame:
             labels = materialize(labels.join(further, "root", "left").select("node", F.coalesce("next", "root").alias("root")), "labels")
     if labels is None:
         return left.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    least = labels.groupBy("root").agg(F.min("node").alias("least"))
+    least = materialize(labels.groupBy("root").agg(F.min("node").alias("least")), "least")  # written, so that a join with a large component can be split
     return labels.join(least, "root").select("node", F.col("least").alias("root"))

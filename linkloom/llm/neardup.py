@@ -8,13 +8,16 @@ Neighbours whose common prefix is as long as their region's depth are candidates
 SPARSE values; one of few rows keeps that depth, a larger one takes DENSE, a very large one DEPTH. Candidates
 connect classes to families. As a chain of neighbours connects all rows of a region, no pairs are listed.
 
-A family's sets are compared all with all, exactly, in blocks of a bounded number of shingles: each pair of blocks is
-one piece of work, which counts common shingles by matrix products. Out of it come links that connect what is
-linked. So families of any size are spread over tasks, and whether two texts are linked never depends on an
-estimate. Only a pair that shares no region in any tree is missed: trees are as many as make that rarer
-than one in 100,000 at the least similarity in regions of DENSE depth (see README for larger ones).
+Sets are compared exactly within a family, in groups of a bounded weight. A family that fits one group is compared in
+full. A larger one is first put in the order of some trees and compared group by group, which connects most of what is
+linked in time linear in its size. What is left is compared between these clusters only: clusters are cut into
+blocks, and each pair of blocks that don't belong to the same cluster is one piece of work. So a family of any
+number of copies of one text costs no more than its size, families are spread over tasks, and whether two texts are
+linked never depends on an estimate. Only a pair that shares no region in any tree is missed: trees are as many
+as make that rarer than one in 100,000 at the least similarity, even in the largest regions.
 
-Sets hold 64-bit hashes of shingles, so two texts differ from their sets only if such hashes collide.
+Sets hold 64-bit hashes of shingles, so two texts differ from their sets only if such hashes collide. A row is known by its
+doc_id, which may be null, and the hash of its text.
 
 Cases: null and empty texts have an empty set and are linked with nothing; equal texts are one component; a component's
 id is its smallest doc_id, ignoring nulls; repeated rows stay; an empty table gives no rows; further columns
@@ -29,20 +32,25 @@ from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import materialize
+from linkloom.llm.common import materialize, shielded
 from linkloom.llm.graph import components
 
 DEPTH, SPARSE, DENSE = 8, 5, 6
 #: Rows of a region up to which its depth is SPARSE, and DENSE.
 FEW, MANY = 32, 4096
 MISSED = 1e-5
-#: Shingles of a block.
-BLOCK = 50_000
+#: Weight of a group of sets that are compared in a task, and of a set besides its shingles.
+BLOCK, EACH = 50_000, 200
+#: Trees by whose order a large family is compared first.
+ORDERS = 3
+#: Characters of texts that are held at once.
+BATCH_CHARS = 2_000_000
 #: Columns of a matrix product.
 COLUMNS = 8192
 REMEMBERED = 300_000
@@ -82,7 +90,7 @@ def shingles(text: str | None, width: int) -> np.ndarray:
 
 
 def trees_for(percent: int) -> int:
-    return ceil(log(MISSED) / log(1 - (percent / 100) ** DENSE))
+    return ceil(log(MISSED) / log(1 - (percent / 100) ** DEPTH))
 
 
 class Signer:
@@ -102,10 +110,16 @@ class Signer:
         return ((low * self.c) >> np.uint32(16)).astype(">u2").tobytes()
 
 
-def _texts(batches: Iterator[pa.RecordBatch], size: int = 256) -> Iterator[list[list]]:
+def _texts(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[list[list]]:
+    """Columns of some rows at a time, of about BATCH_CHARS characters. text: the place of the texts."""
     for whole in batches:
-        for at in range(0, whole.num_rows, size):
-            yield [c.to_pylist() for c in whole.slice(at, size).columns]
+        sizes = pc.fill_null(pc.binary_length(whole.column(text)), 0).to_pylist()
+        at = total = 0
+        for i, n in enumerate(sizes, 1):
+            total += n
+            if total >= BATCH_CHARS or i - at == 256 or i == len(sizes):
+                yield [c.to_pylist() for c in whole.slice(at, i - at).columns]
+                at, total = i, 0
 
 
 def signatures(docs: DataFrame, width: int, trees: int) -> DataFrame:
@@ -113,7 +127,7 @@ def signatures(docs: DataFrame, width: int, trees: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer(trees)
-        for ids, texts, hashes in _texts(batches):
+        for ids, texts, hashes in _texts(batches, 1):
             sets = [shingles(t, width) for t in texts]
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             signed = [signer.sign(s) if len(s) else None for s in sets]
@@ -233,31 +247,35 @@ def _forest(keys: list[bytes], a: np.ndarray, b: np.ndarray) -> list[tuple[bytes
     return found
 
 
-def _compare(percent: int):
-    """Streams sorted (family, i, j, block, key, set) and compares block i with j of each family."""
+def _found(rows: list[tuple[int, bytes, bytes]], percent: int) -> list[tuple[bytes, bytes]]:
+    """Links of (block, key, set): within the block if there is one only, else between the first and the other."""
+    first = rows[0][0]
+    a = [(k, np.frombuffer(s, np.uint64)) for b, k, s in rows if b == first]
+    b = [(k, np.frombuffer(s, np.uint64)) for x, k, s in rows if x != first]
+    if not b:
+        x, y = np.nonzero(linked([s for _, s in a], [s for _, s in a], percent))
+        return _forest([k for k, _ in a], x[x < y], y[x < y])
+    x, y = np.nonzero(linked([s for _, s in a], [s for _, s in b], percent))
+    return _forest([k for k, _ in a + b], x, y + len(a))
 
-    def group(rows: list[tuple[int, bytes, bytes]], same: bool) -> list[tuple[bytes, bytes]]:
-        first = rows[0][0]
-        a = [(k, np.frombuffer(s, np.uint64)) for b, k, s in rows if b == first]
-        b = a if same else [(k, np.frombuffer(s, np.uint64)) for x, k, s in rows if x != first]
-        if not b or len(a) < 2 and same:
-            return []
-        x, y = np.nonzero(linked([s for _, s in a], [s for _, s in b], percent))
-        if same:
-            x, y = x[x < y], y[x < y]
-            return _forest([k for k, _ in a], x, y)
-        return _forest([k for k, _ in a + b], x, y + len(a))
+
+def _compare(percent: int, most: float = float("inf")):
+    """Streams sorted (group..., block, key, set) and compares each group, in parts of a weight of `most`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, rows, out = None, [], []
+        now, rows, weight, out = None, [], 0, []
         for whole in batches:
             for at in range(0, whole.num_rows, 64):
-                for f, i, j, b, k, s in zip(*(c.to_pylist() for c in whole.slice(at, 64).columns), strict=True):
-                    if (f, i, j) != now:
-                        out += group(rows, now[1] == now[2]) if rows else []
-                        now, rows = (f, i, j), []
+                for *group, b, k, s in zip(*(c.to_pylist() for c in whole.slice(at, 64).columns), strict=True):
+                    if group != now or weight >= most:
+                        out += _found(rows, percent) if len(rows) > 1 else []
+                        now, rows, weight = group, [], 0
                     rows.append((b, k, s))
-        out += group(rows, now[1] == now[2]) if rows else []
+                    weight += len(s) // 8 + EACH
+            if len(out) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], names=["a", "b"])
+                out = []
+        out += _found(rows, percent) if len(rows) > 1 else []
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], names=["a", "b"])
 
@@ -265,36 +283,78 @@ def _compare(percent: int):
 
 
 def _sets(texts: DataFrame, width: int) -> DataFrame:
-    """key, family, n, set of texts (text, key, family, n), where the text is the one that the key is of."""
+    """key, family, large, signature, set of texts (text, key, family, large, signature), where the text is one that the key is of."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                out = []
-                for text, key, family, n in zip(*(c.to_pylist() for c in whole.slice(at, 256).columns), strict=True):
-                    s = shingles(text, width).tobytes()
-                    if hashlib.blake2b(s, digest_size=16).digest() == key:  # a doc_id may have several texts
-                        out.append((key, family, n, s))
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.binary(), pa.binary(), pa.int64(), pa.binary()), strict=True)], names=["key", "family", "n", "set"])
-
-    return texts.select("text", "key", "family", "n").mapInArrow(run, "key binary, family binary, n long, set binary")
+        for columns in _texts(batches, 0):
+            out = []
+            for text, key, family, large, signature in zip(*columns, strict=True):
+                s = shingles(text, width).tobytes()
+                if hashlib.blake2b(s, digest_size=16).digest() == key:
+                    out.append((key, family, large, signature, s))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.binary(), pa.binary(), pa.bool_(), pa.binary(), pa.binary()), strict=True)], names=["key", "family", "large", "signature", "set"])
+
+    return texts.select("text", "key", "family", "large", "signature").mapInArrow(run, "key binary, family binary, large boolean, signature binary, set binary")
+
+
+PAIR = "a binary, b binary"
+
+
+def _between(sets: DataFrame, weights: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
+    """Links between clusters (node, root) of the same large family. sets: key, family, set; weights: key, family, weight.
+
+    Clusters of a block's weight and more are cut into blocks of their own, smaller ones are mixed by a hash. Pairs of
+    blocks of the same cluster are left out, and families with one cluster altogether.
+    """
+    in_ = weights.join(clusters.select(F.col("node").alias("key"), "root"), "key", "left").select("key", "family", "weight", F.coalesce("root", "key").alias("cluster"))
+    own = materialize(in_, "clusters")
+    sums = materialize(own.groupBy("family", "cluster").agg(F.sum("weight").alias("weight")), "cluster-weights")
+    blocks = F.when(F.col("weight") >= BLOCK, F.ceil(F.col("weight") / BLOCK).cast("int"))
+    mixed = F.ceil(F.sum(F.when(F.col("weight") < BLOCK, F.col("weight"))) / BLOCK).cast("int")
+    whole = sums.groupBy("family").agg(F.count(F.lit(1)).alias("n"), F.coalesce(mixed, F.lit(0)).alias("mixed"), F.coalesce(F.sum(blocks), F.lit(0)).cast("int").alias("others"))
+    left = materialize(whole.where("n > 1"), "families-left")
+    # a row for each of the heavy clusters, of which a family has as many as blocks at most
+    before = F.sum("blocks").over(Window.partitionBy("family").orderBy("cluster").rowsBetween(Window.unboundedPreceding, -1))
+    heavy = sums.withColumn("blocks", blocks).where("blocks is not null").withColumn("before", F.coalesce(before, F.lit(0)).cast("int"))
+    places = sums.select("family", "cluster").join(left, "family").join(heavy.select("family", "cluster", "blocks", "before"), ["family", "cluster"], "left")
+    places = materialize(places, "cluster-places")
+    dealt = own.join(places, ["family", "cluster"])
+    block = F.when(F.col("blocks").isNull(), F.pmod(F.xxhash64("cluster"), F.col("mixed"))).otherwise(F.col("mixed") + F.col("before") + F.pmod(F.xxhash64("key"), F.col("blocks"))).cast("int")
+    start = F.col("mixed") + F.col("before")
+    all_ = F.sequence(F.lit(0), F.col("mixed") + F.col("others") - 1)
+    partners = F.when(F.col("blocks").isNull(), all_).otherwise(F.filter(all_, lambda x: (x < start) | (x >= start + F.col("blocks"))))
+    asked = materialize(dealt.select("key", block.alias("block"), partners.alias("partners")), "blocks")
+    each = sets.join(asked, "key").select("family", "block", "key", "set", F.explode("partners").alias("other"))
+    pairs = each.select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "key", "set")
+    # a group of (i, j) with rows of one block only has nothing to compare unless i = j
+    tagged = pairs.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "block", "key")
+    return materialize(tagged.mapInArrow(_compare(percent), PAIR), "links-between")
 
 
 def links(documents: DataFrame, classes: DataFrame, width: int, percent: int, trees: int) -> DataFrame:
-    """a, b: keys of classes that are linked, enough of them to connect all that is."""
+    """a, b: keys of classes that are linked, enough of them to connect all that is. documents: no_id, id, text_hash, text."""
+    spark = documents.sparkSession
     families = components(candidate_edges(classes, trees))
-    members = families.select(F.col("node").alias("key"), F.col("root").alias("family")).join(classes.select("key", F.col("first_id").alias("doc_id"), "text_hash", F.col("n_shingles").alias("n")), "key")
-    sizes = members.groupBy("family").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
-    named = documents.select("doc_id", "text").join(members.where("doc_id is not null").drop("text_hash"), "doc_id").drop("doc_id")
-    # a class whose rows all lack an id has its text by the hash, of equal ones one
-    nameless = documents.where("doc_id is null").dropDuplicates(["text_hash"]).drop("doc_id").join(members.where("doc_id is null").drop("doc_id"), "text_hash").drop("text_hash")
-    sets = _sets(named.unionByName(nameless), width).dropDuplicates(["key"]).join(sizes, "family")
-    own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
-    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = sets.withColumn("block", own).withColumn("other", others).select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "key", "set")
-    grouped = dealt.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "block", "key")
-    return materialize(grouped.mapInArrow(_compare(percent), "a binary, b binary"), "links")
+    weight = (F.col("n_shingles") + EACH).alias("weight")
+    members = materialize(families.select(F.col("node").alias("key"), F.col("root").alias("family")).join(classes.select("key", "no_id", "id", "text_hash", "signature", weight), "key"), "members")
+    large = materialize(members.groupBy("family").agg(F.sum("weight").alias("all")).where(F.col("all") > BLOCK).select("family", F.lit(True).alias("large")), "large-families")
+    marked = members.join(large, "family", "left").withColumn("large", F.coalesce("large", F.lit(False)))
+    texts = documents.join(marked, ["no_id", "id", "text_hash"])
+    sets = materialize(_sets(texts, width).dropDuplicates(["key"]), "sets")  # a row may be there several times
+    small = sets.where("not large").select("family", F.lit(0).alias("block"), "key", "set").repartition("family").sortWithinPartitions("family", "key")
+    found = materialize(small.mapInArrow(_compare(percent), PAIR), "links")
+    if large.isEmpty():
+        return found
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    heavy = sets.where("large")
+    orders = F.array(*(F.struct(F.lit(t).alias("tree"), F.substring("signature", t * 2 * DEPTH + 1, 2 * DEPTH).alias("s")) for t in range(min(ORDERS, trees))))
+    ordered = heavy.select("family", "key", "set", F.explode(orders).alias("o")).select("family", "o.tree", "o.s", F.lit(0).alias("block"), "key", "set")
+    ordered = ordered.repartitionByRange(n, "family", "tree", "s", "key").sortWithinPartitions("family", "tree", "s", "key").drop("s")
+    first = materialize(ordered.mapInArrow(_compare(percent, BLOCK), PAIR), "links-in-order")
+    weights = members.join(large, "family").select("key", "family", "weight")
+    rest = _between(heavy.select("key", "family", "set"), weights, components(first), percent)
+    return found.unionByName(first).unionByName(rest)
 
 
 def resolve(documents: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -303,11 +363,13 @@ def resolve(documents: DataFrame, width: int, percent: int) -> tuple[DataFrame,
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
     signed = materialize(signatures(docs, width, trees), "signatures")
     full = signed.where("key is not null")
-    classes = full.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.min("text_hash").alias("text_hash"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
-    found = components(links(docs, classes, width, percent, trees))
-    firsts = full.groupBy("key").agg(F.min("doc_id").alias("first_id")).join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    ids = firsts.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_key = firsts.join(ids, "root").select("key", "root", "component_id")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash")
+    classes = full.groupBy("key").agg(F.min(row).alias("row"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")).select("key", "row.*", "n_shingles", "signature")
+    texts = docs.select(row.alias("row"), "text").select("row.*", "text")
+    found = components(links(texts, classes, width, percent, trees))
+    firsts = materialize(full.groupBy("key").agg(F.min("doc_id").alias("first_id")).join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key")), "roots")
+    ids = materialize(firsts.groupBy("root").agg(F.min("first_id").alias("component_id")), "component-ids")  # written, so that a join with a large component can be split
+    by_key = materialize(firsts.join(ids, "root").select("key", "root", "component_id"), "components")
     return full.join(by_key, "key").select("doc_id", "text_hash", "n_shingles", "root", "component_id"), signed.where("key is null").select("doc_id", "text_hash")
 
 
@@ -320,9 +382,10 @@ def near_duplicates(documents: DataFrame, width: int = 5, percent: int = 80) ->
 
 def deduplicate(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """documents, of each component the one with the smallest doc_id (then hash of its text). Of rows that agree in both, one."""
-    full, empty = resolve(documents, width, percent)
+    hidden, back = shielded(documents, ("doc_id", "text"))
+    full, empty = resolve(hidden, width, percent)
     best = full.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("m")).select("m.doc_id", "m.text_hash")
     stay = best.unionByName(empty).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    docs = documents.withColumn("_hash_of_text", F.xxhash64("text"))
+    docs = hidden.withColumn("_hash_of_text", F.xxhash64("text"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash_of_text") == F.col("_hash"))
-    return docs.join(stay, same, "left_semi").dropDuplicates(["doc_id", "_hash_of_text"]).drop("_hash_of_text")
+    return back(docs.join(stay, same, "left_semi").dropDuplicates(["doc_id", "_hash_of_text"]))

@@ -74,6 +74,35 @@ def test_near_copies_without_an_id(spark):
     assert left == [(0, "f0"), (1, "n0"), (3, "no")]
 
 
+def test_one_id_with_many_texts(spark):
+    """Rows are told apart by id and text, so near copies under one id, and under none, are found among others."""
+    dice = random.Random(3)
+    rows = [(7, " ".join(f"t{i}w{j}" for j in range(20))) for i in range(700)]
+    rows += [(7 if i % 2 else None, t) for i, t in enumerate(family(dice, 200, 60, 3))] + [(3, t) for t in family(dice, 200, 5, 3)] + rows[:3]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted((tuple(r) for r in neardup.near_duplicates(df, percent=85).collect()), key=str) == brute(rows, 85)
+
+
+def test_large_family(spark):
+    """A region of more than MANY rows, compared in many groups: no near copy is lost, and the two kinds stay apart."""
+    dice = random.Random(2)
+    base = [f"w{i}" for i in range(60)]
+    other = [*base[:45], *(f"o{i}" for i in range(15))]  # some regions are shared, no link is
+    rows = []
+    for i in range(neardup.MANY + 1500):
+        own = list(other if i % 8 == 0 else base)
+        own[-1 - dice.randrange(2)] = f"x{i}"
+        rows.append((i, " ".join(own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = neardup.near_duplicates(df, percent=85).collect()
+    assert all(r["component_id"] == (0 if r["doc_id"] % 8 == 0 else 1) for r in found) and len(found) == len(rows)
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a b c d e f", 1, 2, 3), (2, "a b c d e f", 4, 5, 6)], "doc_id long, text string, _hash int, _id int, _hash_of_text int")
+    assert [tuple(r) for r in neardup.deduplicate(df).collect()] == [(1, "a b c d e f", 1, 2, 3)]
+
+
 def test_linked_both_ways():
     random_ = np.random.default_rng(1)
     sets = [np.unique(random_.integers(0, 400, 60).astype(np.uint64)) for _ in range(12)] + [np.arange(50, dtype=np.uint64)] * 2
