@@ -1,17 +1,17 @@
 """Language identification of words by a linear-chain conditional random field.
 
-Words are runs of letters. A word's features are its affixes, the n-grams of its letters (with edges), its shape and
+Words are runs of letters and their combining marks. A word's features are its affixes, the n-grams of its letters (with edges), its shape and
 whether it is in a language's lexicon, as learned from the sample; they are hashed to a table of weights. Between
 neighbouring words there are learned transitions. Forward-backward gives each word its distribution over languages,
 so code-switched texts are labelled by stretches; a document's language is the one with the most words expected.
 
-The model is fitted, by gradient steps on the exact likelihood, on at most `max_docs` labelled documents, drawn by a hash
-of their id from all of them, `max_words` words of each (from a seeded place on). Sequences for learning are made of pieces of several of these, so that
-transitions between languages occur. What is predicted from is the text alone.
+The model is fitted, by gradient steps on the exact likelihood, on all words of at most `max_docs` different labelled texts, drawn
+by a hash of the text from all of them, evenly from the `max_langs` languages with the most texts. Sequences for learning are
+pieces of these, half of them made of pieces of several, so that transitions between languages occur. What is predicted from is the text alone.
 
-Cases: a text that is null or has no letter is `und` with score 0; without any labelled document all texts
-are `und`; texts of any length are labelled whole; repeated rows stay; an empty table gives no rows; further
-columns are ignored.
+Cases: a text that is null or has no letter is `und` with score 0 (numerals such as ½ or Ⅷ are no letters); without any
+labelled document all texts are `und`; texts and words of any length are labelled whole; repeated rows stay; an empty table
+gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,11 +23,17 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import regex
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-WORDS = re.compile(r"[^\W\d_]+")
+WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+#: The same for texts below U+0250, where all from U+00F8 on are letters and none are marks.
+LATIN = re.compile(r"[\x00-\u024f]*\Z")
+LATIN_WORDS = re.compile(r"[A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f]+")
+#: Words of a sequence for learning.
+PIECE = 80
 BUCKETS = 1 << 16
 #: Characters whose words are held at once, and words whose weights are remembered.
 BATCH_CHARS = 4_000_000
@@ -36,7 +42,8 @@ UNKNOWN = "und"
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORDS.findall(text or "")
+    text = text or ""
+    return (LATIN_WORDS if LATIN.match(text) else WORDS).findall(text)
 
 
 class _Places(dict):
@@ -54,10 +61,8 @@ _CASES = ("case:low", "case:cap", "case:up")
 
 
 def word_features(word: str) -> list[str]:
-    """Names of a word's features. Of a long word, its ends."""
+    """Names of a word's features."""
     low = word.lower()
-    if len(low) > 40:
-        low = low[:24] + low[-16:]
     edged = f"<{low}>"
     found = ["w:" + low, _CASES[0 if word[0] == low[0] else 2 if len(word) > 1 and word.isupper() else 1]]
     found += ["p:" + low[:n] for n in range(1, min(4, len(low)) + 1)]
@@ -131,16 +136,14 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray,
     return post, pairs, log_z
 
 
-def fit(rows: list[tuple[str, str]], max_words: int, seed: int = 5, epochs: int = 5, rate: float = 0.4, decay: float = 1e-4) -> Model:
+def fit(rows: list[tuple[str, str]], seed: int = 5, epochs: int = 5, rate: float = 0.4, decay: float = 1e-4) -> Model:
     """rows: (text, language)."""
     random = np.random.Generator(np.random.PCG64(seed))
     labels = sorted({lang for _, lang in rows})
     docs = []
     for text, lang in rows:
-        words = words_of(text)
-        begin = int(random.integers(0, max(1, len(words) - max_words + 1)))
-        if words:
-            docs.append((words[begin : begin + max_words], labels.index(lang)))
+        if words := words_of(text):
+            docs.append((words, labels.index(lang)))
     counts = [Counter(w.lower() for words, k in docs if k == i for w in words) for i in range(len(labels))]
     lexicon: dict[str, int] = {}
     for i, c in enumerate(counts):
@@ -149,8 +152,8 @@ def fit(rows: list[tuple[str, str]], max_words: int, seed: int = 5, epochs: int
             if n >= 3 and n / max(1, c.total()) >= 0.8 * sum(x[w] / max(1, x.total()) for x in counts):
                 lexicon[w] = lexicon.get(w, 0) | 1 << i
     model = Model(labels, np.zeros((BUCKETS, len(labels))), np.zeros((len(labels),) * 2), np.zeros(len(labels)), lexicon)
-    # half of the sequences are whole documents, half are switched: pieces of 3 to 12 words of several
-    sequences = [[(w, k) for w in words] for words, k in docs]
+    # some sequences are of one document, some are switched: pieces of 3 to 12 words of several
+    sequences = [[(w, k) for w in words[i : i + PIECE]] for words, k in docs for i in range(0, len(words), PIECE)]
     pool = [(words[i : i + n], k) for words, k in docs for n in [int(random.integers(3, 13))] for i in range(0, len(words), n)]
     random.shuffle(pool)
     sequences += [[(w, k) for words, k in pool[i : i + 8] for w in words] for i in range(0, len(pool) // 2, 8)]
@@ -225,21 +228,19 @@ def label_words(model: Model, texts: list[str | None], memory: Memory) -> tuple[
     return np.split(post, np.cumsum(lengths)[:-1]), words
 
 
-def sample(df: DataFrame, where: Column, max_docs: int, id: str = "doc_id") -> list[tuple[str, str]]:
-    """(text, lang) of at most max_docs documents with a language, evenly by language, the same at each run."""
-    able = df.where(where & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r["lang"]: r["n"] for r in able.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts:
+def sample(df: DataFrame, where: Column, max_docs: int, max_langs: int) -> list[tuple[str, str]]:
+    """(text, lang) of at most max_docs different texts with a language, evenly by language, the same at each run."""
+    able = df.where(where & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", F.xxhash64("text").alias("u"))
+    sizes = able.groupBy("lang").agg(F.approx_count_distinct("u").alias("n")).orderBy(F.desc("n"), "lang").limit(min(max_langs, max_docs)).collect()
+    if not sizes:
         return []
-    each = max(1, max_docs // len(counts))
-    u = F.pmod(F.xxhash64(F.lit(11), F.col(id)), F.lit(1 << 30))
-    share = F.element_at(F.create_map(*(x for k, n in counts.items() for x in (F.lit(k), F.lit(int(min(1.0, 1.5 * each / n + 20 / n) * (1 << 30)))))), F.col("lang"))
-    rows = able.where(u <= share).select("lang", "text", u.alias("u"), F.col(id).alias("id")).collect()  # max_docs and half as many, about
-    out = []
-    for lang in sorted(counts):
-        own = sorted((r for r in rows if r["lang"] == lang), key=lambda r: (r["u"], r["id"] is None, r["id"] or 0, r["text"]))
-        out += [(r["text"], lang) for r in own[:each]]
-    return out
+    each = max_docs // len(sizes)
+    # equal texts have equal hashes and count once, so that what passes is some 1.5 times the sample, however often a text or an id is repeated
+    most = F.element_at(F.create_map(*(x for r in sizes for x in (F.lit(r["lang"]), F.lit(int(min(1.0, (1.5 * each + 20) / max(1, r["n"])) * (1 << 30)))))), F.col("lang"))
+    some = able.where(F.pmod(F.xxhash64(F.lit(11), "u"), F.lit(1 << 30)) <= most).groupBy("lang", "u").agg(F.min("text").alias("text"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(11), "u"), "u"))
+    rows = some.withColumn("rank", rank).where(F.col("rank") <= each).collect()  # max_docs at most
+    return [(r["text"], r["lang"]) for r in sorted(rows, key=lambda r: (r["lang"], r["rank"]))]
 
 
 def identify(docs: DataFrame, model: Model | None, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -287,9 +288,9 @@ def held_out(id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def languages(documents: DataFrame, max_docs: int = 800, max_words: int = 60) -> DataFrame:
+def languages(documents: DataFrame, max_docs: int = 400, max_langs: int = 100) -> DataFrame:
     """Per document: doc_id, held_out, lang_pred, score and more; learned from documents that aren't held out."""
-    rows = sample(documents, ~held_out(), max_docs)
-    model = fit(rows, max_words) if rows else None
+    rows = sample(documents, ~held_out(), max_docs, max_langs)
+    model = fit(rows) if rows else None
     found = identify(documents, model)
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "n_words", "n_switches")
