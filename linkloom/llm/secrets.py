@@ -7,15 +7,18 @@ what comes out are the documents where the rule's regex is run. Rules without ma
 of hex digits) are run on all documents.
 
 A rule's spans are its leftmost matches that don't overlap each other, less those whose group is too short.
+Each pattern passes over a text in linear time, and sums over its matches go by blocks of a square root of their
+number, so long texts and many matches cost little more than their size.
 
 Cases: a null text counts as empty, without spans; places count code points, the end is exclusive; repeated
-rows give their spans each; an empty table gives no rows; further columns are ignored.
+rows give their spans each; an empty table gives no rows; further columns are ignored but for those that `keep` names.
 """
 
 from __future__ import annotations
 
 import re._constants as kinds
 import re._parser as parser
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 from math import ceil
@@ -23,7 +26,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import text_or_empty
+from linkloom.llm.common import shielded, text_or_empty
 
 
 @dataclass(frozen=True)
@@ -39,12 +42,13 @@ RULES = (
     Rule("assign", r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 6),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", r"[0-9a-f]+", 0, 24),
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[A-Za-z0-9+/=\\\r\n]*(?:-----END [A-Z ]{0,20}PRIVATE KEY-----)?"),
     Rule("code_host", r"(?:ghp|gho|ghu|ghs|ghr)_[A-Za-z0-9]{36,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("maps_key", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("payment", r"sk_live_[A-Za-z0-9]{16,}"),
-    Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    # the rest is optional and asked for as a group, so that a run without it is passed over as a whole rather than tried from each eyJ in it
+    Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}(\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})?", 1, 1),
 )
 BASE = 3
 #: Rules whose runs can be found faster by asking for the least length at once; a shorter run has no other match inside.
@@ -141,37 +145,71 @@ def candidates(lists: DataFrame, queries: dict[int, Query]) -> DataFrame:
     return found.groupBy("key").agg(F.collect_list("rule").alias("rules"))
 
 
+def bound(value: Column, use) -> Column:
+    """use(value), with value worked out once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _step(n: Column) -> Column:
+    return F.greatest(F.lit(1), F.ceil(F.sqrt(n))).cast("int")
+
+
+def _blocks(xs: Column) -> Column:
+    """xs cut into about as many parts as a part has elements."""
+    step = _step(F.size(xs))
+    return F.when(F.size(xs) > 0, F.transform(F.sequence(F.lit(1), F.size(xs), step), lambda i: F.slice(xs, i, step))).otherwise(F.array(xs))
+
+
+def running(xs: Column, with_: Callable[[Column, Column], Column]) -> Column:
+    """array<int>: the sum (or what `with_` does) of each element and all before it; 0 comes before the first."""
+
+    def plain(part: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        step = lambda acc, x: bound(with_(acc["at"], x).cast("int"), lambda now: F.struct(now.alias("at"), F.concat(acc["out"], F.array(now)).alias("out")))
+        return F.aggregate(part, start, step, lambda acc: acc["out"])
+
+    def joined(parts: Column) -> Column:
+        ends = plain(F.transform(parts, lambda p: F.coalesce(F.get(p, F.size(p) - 1), F.lit(0))))
+        whole = lambda e: F.flatten(F.transform(parts, lambda p, i: bound(F.coalesce(F.get(e, i - 1), F.lit(0)), lambda before: F.transform(p, lambda x: with_(before, x).cast("int")))))
+        return bound(ends, whole)
+
+    return bound(xs, lambda own: bound(F.transform(_blocks(own), plain), joined))
+
+
+NO_SPANS = "array<struct<start:int,no:int,end:int>>"
+
+
 def spans_of(rule: Rule, no: int, text: Column) -> Column:
     """array<struct<start, no, end>> of a rule's spans in a text."""
     pattern = RUNS.get(rule.kind, rule.pattern)
-    gaps = F.transform(F.split(text, pattern, -1), lambda s: F.length(s))
-    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    group = F.regexp_extract_all(text, F.lit(pattern), F.lit(rule.group)) if rule.group else whole
-    sizes = F.arrays_zip(gaps.alias("gap"), F.transform(whole, lambda s: F.length(s)).alias("n"), F.transform(group, lambda s: F.length(s)).alias("g"))
-    none = F.array().cast("array<struct<start:int,no:int,end:int>>")
-    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
+    sizes = lambda xs: F.transform(xs, lambda s: F.length(s))
+    whole = sizes(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+    group = sizes(F.regexp_extract_all(text, F.lit(pattern), F.lit(rule.group))) if rule.group else whole
+    gaps = sizes(F.split(text, pattern, -1))
 
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + x["gap"]
-        end = begin + F.coalesce(x["n"], F.lit(0))
-        span = F.struct(begin.alias("start"), F.lit(no).alias("no"), end.alias("end"))
-        return F.struct(end.alias("at"), F.when(x["g"] >= rule.least, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+    def made(w: Column) -> Column:
+        ends = running(F.zip_with(F.slice(gaps, 1, F.size(w)), w, lambda g, n: g + n), lambda a, b: a + b)
+        each = F.arrays_zip(ends.alias("end"), w.alias("n"), (group if rule.group else w).alias("g"))
+        return F.transform(F.filter(each, lambda x: x["g"] >= rule.least), lambda x: F.struct((x["end"] - x["n"]).alias("start"), F.lit(no).alias("no"), x["end"].alias("end")))
 
-    return F.when(text.rlike(pattern), F.aggregate(sizes, start, step, lambda acc: acc["out"])).otherwise(none)
+    return F.when(text.rlike(pattern), bound(whole, made)).otherwise(F.array().cast(NO_SPANS))
 
 
 def scan(documents: DataFrame, rules: tuple[Rule, ...] = RULES, keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, text (and `keep`), spans: array<struct<start, no, end>> by start, then rule."""
+    """doc_id, text (and `keep`), spans: array<struct<start, no, end>> by start, then rule. A kept column of one of these names gives way."""
     queries = {k: q for k, r in enumerate(rules) if (q := trigram_query(r.pattern))}
-    docs = keyed(documents)
+    keep = tuple(c for c in keep if c not in ("doc_id", "text", "spans"))
+    hidden, _ = shielded(documents.select("doc_id", "text", *(F.col(f"`{c}`") for c in keep)), ("doc_id", "text"))
+    kept = hidden.columns[2:]
+    docs = keyed(hidden)
     shards = max(1, ceil(documents.count() / SHARD))
     lists = index(docs, sorted({t for q in queries.values() for s in q for t in s}), shards)
     found = candidates(lists, queries)
-    whole = documents.select("doc_id", text_or_empty().alias("text"), *keep).withColumn("key", F.xxhash64("doc_id", "text"))
+    whole = hidden.select("doc_id", text_or_empty().alias("text"), *kept).withColumn("key", F.xxhash64("doc_id", "text"))
     joined = whole.join(found, "key", "left")
-    none = F.array().cast("array<struct<start:int,no:int,end:int>>")
+    none = F.array().cast(NO_SPANS)
     each = [F.when(F.array_contains("rules", k), spans_of(r, k, F.col("text"))).otherwise(none) if k in queries else spans_of(r, k, F.col("text")) for k, r in enumerate(rules)]
-    return joined.select("doc_id", "text", *keep, F.explode(F.array(F.array_sort(F.concat(*each)))).alias("spans"))
+    return joined.select("doc_id", "text", *(F.col(h).alias(c) for h, c in zip(kept, keep, strict=True)), F.explode(F.array(F.array_sort(F.concat(*each)))).alias("spans"))
 
 
 def named(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
@@ -188,12 +226,20 @@ def digests(documents: DataFrame) -> DataFrame:
 
 def redacted(text: Column, spans: Column, put: str = "[SECRET]") -> Column:
     """The text with each span, overlapping ones together, replaced."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        more = F.concat(acc["out"], text.substr(acc["at"] + 1, s["start"] - acc["at"]), F.lit(put))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(fresh, more).otherwise(acc["out"]).alias("out"))
+    def made(own: Column, reached: Column) -> Column:
+        """reached: up to where the spans so far go."""
+        before = lambda i: F.coalesce(F.get(reached, i - 1), F.lit(0))
+        gaps = F.filter(F.transform(own, lambda s, i: F.struct(before(i).alias("from"), s["start"].alias("to"))), lambda g: g["to"] >= g["from"])
+        cut = lambda s, a, b: s.substr(a + 1, b - a)
+
+        def part(block: Column) -> Column:
+            """The gaps of a block, cut out of the block's own part of the text."""
+            low, high = F.element_at(block, 1)["from"], F.element_at(block, -1)["to"]
+            return bound(cut(text, low, high), lambda r: F.array_join(F.transform(block, lambda g: F.concat(cut(r, g["from"] - low, g["to"] - low), F.lit(put))), ""))
+
+        kept = F.array_join(bound(gaps, lambda g: F.transform(_blocks(g), part)), "")
+        return F.concat(kept, text.substr(F.element_at(reached, -1) + 1, F.length(text)))
 
-    rest = lambda acc: F.concat(acc["out"], text.substr(acc["at"] + 1, F.length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, rest)).otherwise(text)
+    ends = lambda own: running(F.transform(own, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+    return F.when(F.size(spans) > 0, bound(spans, lambda own: bound(ends(own), lambda reached: made(own, reached)))).otherwise(text)

@@ -1,18 +1,19 @@
 import hashlib
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
 from linkloom.llm import secrets
 
-PARTS = ["token=", 'Password: "', "secret", "api_key:", "APIKEY = ", "passwd", "abcdef", "ab12", "=", ":", " ", "\n", "'", "AKIA", "ABCDEFGH12345678", "0123456789abcdef01234567", "ff", "é😀", "ghp_" + "a" * 36, "-----BEGIN RSA PRIVATE KEY-----", "xoxb-1234567890", "eyJabcdefgh.abcdefgh1.abcdefgh2", "sk_live_" + "a1" * 9, "AIza" + "x" * 35]
+PARTS = ["token=", 'Password: "', "secret", "api_key:", "APIKEY = ", "passwd", "abcdef", "ab12", "=", ":", " ", "\n", "'", "AKIA", "ABCDEFGH12345678", "0123456789abcdef01234567", "ff", "é😀", "ghp_" + "a" * 36, "-----BEGIN RSA PRIVATE KEY-----", "xoxb-1234567890", "eyJabcdefgh.abcdefgh1.abcdefgh2", "eyJ", "eyJabcdefgh", ".", "-----END RSA PRIVATE KEY-----", "sk_live_" + "a1" * 9, "AIza" + "x" * 35]
 
 
 def spans(text):
     out = []
     for no, r in enumerate(secrets.RULES):
-        out += [(m.start(), no, m.end()) for m in re.finditer(r.pattern, text) if len(m[r.group]) >= r.least]
+        out += [(m.start(), no, m.end()) for m in re.finditer(r.pattern, text) if len(m[r.group] or "") >= r.least]
     return sorted(out)
 
 
@@ -23,7 +24,7 @@ def joined(own):
 def test_by_brute_force(spark):
     dice = random.Random(3)
     texts = ["".join(dice.choice(PARTS) for _ in range(dice.randrange(14))) for _ in range(300)]
-    texts += [None, "", "token=token:abcdefgh", "AKIA" * 4 + "AKIA", "x" * 40_000 + "token=abcdefgh", "token=abcdefgh " * 300]
+    texts += [None, "", "token=token:abcdefgh", "AKIA" * 4 + "AKIA", "x" * 40_000 + "token=abcdefgh", "token=abcdefgh " * 300, "eyJabcdefgh.eyJabcdefgh.zz eyJabcdefgh.eyJabcdefgh.eyJabcdefgh.z"]
     rows = [(i, t, 7) for i, t in enumerate(texts)] + [(0, texts[0], 7), (None, "token=abcdefgh", 7)]
     df = spark.createDataFrame(rows, "doc_id long, text string, key int")
     found = secrets.digests(df).collect()
@@ -57,3 +58,33 @@ def test_queries_hold_for_every_match():
             query = secrets.trigram_query(r.pattern)
             if query and re.search(r.pattern, text):
                 assert any(all(t in text.lower() for t in s) for s in query)
+
+
+def test_keys_with_their_bodies(spark):
+    body = "MIIEpAIBAAKCAQEA7\nq3Zk+/x0=\n"
+    texts = [f"a -----BEGIN RSA PRIVATE KEY-----\n{body}-----END RSA PRIVATE KEY----- b", f"-----BEGIN PRIVATE KEY-----\n{body}", "-----BEGIN PRIVATE KEY----- is a header"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["t"] for r in secrets.scan(df).withColumn("t", secrets.redacted(F.col("text"), F.col("spans"))).collect()}
+    assert found == {0: "a [SECRET] b", 1: "[SECRET]", 2: "[SECRET] is a header"}
+
+
+def test_long_hostile_texts_in_linear_time(spark):
+    spark.range(1).count()
+    for text, n in (("eyJ" * 350_000, 0), ("eyJabcdefgh." * 80_000, 26_666), ("token=abcdef " * 100_000, 100_000), ("-----BEGIN PRIVATE KEY-----\n" * 40_000, 40_000), ("AKIA" * 250_000, 1), ("f" * 1_000_000, 1), ("secret" * 170_000, 0)):
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        begin = time.time()
+        row = secrets.scan(df).withColumn("t", secrets.redacted(F.col("text"), F.col("spans"))).select(F.size("spans").alias("n"), F.sha2("t", 256).alias("t"), F.sha2(secrets.named(F.col("spans")), 256).alias("s")).first()
+        assert time.time() - begin < 60, (text[:20], time.time() - begin)
+        want = spans(text)
+        clean, at = [], 0
+        for a, _, b in want:
+            if a >= at:
+                clean += [text[at:a], "[SECRET]"]
+            at = max(at, b)
+        assert row["n"] == len(want) == n and row["s"] == hashlib.sha256(joined(want).encode()).hexdigest() and row["t"] == hashlib.sha256("".join([*clean, text[at:]]).encode()).hexdigest()
+
+
+def test_kept_columns_with_clashing_names(spark):
+    df = spark.createDataFrame([(1, "token=abcdefgh", 5, "x", 6)], "doc_id long, text string, key int, rules string, spans int")
+    row = secrets.scan(df, keep=("key", "rules", "spans")).first()
+    assert (row["key"], row["rules"]) == (5, "x") and [tuple(s) for s in row["spans"]] == [(0, 0, 14)]
