@@ -6,10 +6,10 @@ different bytes seen before an n-gram. Each order has discounts for counts of on
 how many n-grams have each count. Joins with the sums of each context and with the order below give
 every n-gram its probability, and every context its weight for the order below.
 
-The table is cut into shards of a bounded size by the last two bytes of the context, so a shard holds all that its n-grams
-need of every order (the two lowest are small, and in each shard). A task holds one shard at a time: it looks up
-the different n-grams of a batch shard by shard. So the model may grow with the corpus without a worker
-growing with it.
+Texts are dealt to chunks of a bounded size by a hash of their rows. Each chunk asks for the n-grams that it holds, once each. What
+is asked for is joined with the tables of all orders, sharded by n-gram and by context as Spark's joins are, and what it costs
+goes back to the chunk, which sums it up text by text. So neither the model nor what is asked for is ever in one place, and
+either may grow with the corpus without a worker growing with it.
 
 The second half gives thresholds: for each language, a quantile of what its documents cost, plus a margin. Cost is
 nats a byte, drawn to the language's mean by PRIOR bytes, so short texts need more than one odd word. Documents
@@ -17,7 +17,7 @@ above their language's threshold are rejected. A language without trusted text t
 
 Cases: null and empty texts have no perplexity and are rejected; without trusted text (of either half) nothing else is
 rejected and perplexity is null; a null language is one of its own; repeated rows are scored each; an empty table
-gives no rows; further columns are kept where `keep` names them.
+gives no rows; further columns are kept where `keep` names them, but for those that are named like a result.
 """
 
 from __future__ import annotations
@@ -28,19 +28,17 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linkloom.llm.common import materialize
 
 ORDER = 5
-#: Rows of a shard, n-grams and contexts together.
-SHARD_ROWS = 4_000_000
-#: Trusted ids that are broadcast; more are joined by a shuffle. The same for languages.
-BROADCAST_ROWS = 1_000_000
+#: Bytes of a chunk of texts that asks for its n-grams together, about.
+CHUNK = 32_000_000
 #: Bytes that are looked at together, and different n-grams that a counting task holds.
-CHUNK, HELD = 4_000_000, 2_000_000
+PART, HELD = 4_000_000, 2_000_000
 PRIOR = 150
 QUANTILE, MARGIN = 0.99, 0.15
 
@@ -61,14 +59,13 @@ def grams_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return key[own], n
 
 
-def _chunks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[str | None]]]:
-    """(first row, texts) of parts of about CHUNK bytes."""
-    values = batch.column(column)
+def _parts(values: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, list[str | None]]]:
+    """(first row, texts) of parts of about PART bytes."""
     sizes = pc.fill_null(pc.binary_length(values), 0).to_pylist()
     at = total = 0
     for i, n in enumerate(sizes):
         total += n
-        if total >= CHUNK or i + 1 == len(sizes):
+        if total >= PART or i + 1 == len(sizes):
             yield at, values.slice(at, i + 1 - at).to_pylist()
             at, total = i + 1, 0
 
@@ -80,7 +77,7 @@ def counts(texts: DataFrame) -> DataFrame:
         keys, ns = np.zeros(0, np.int64), np.zeros(0, np.int64)
         made = lambda: pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ns)], names=["gram", "n"])
         for batch in batches:
-            for _, part in _chunks(batch, 0):
+            for _, part in _parts(batch.column(0)):
                 more, n = np.unique(grams_of(part)[0], return_counts=True)
                 keys, place = np.unique(np.concatenate([keys, more]), return_inverse=True)
                 ns = np.bincount(place, np.concatenate([ns, n]), len(keys)).astype(np.int64)
@@ -124,105 +121,64 @@ def probabilities(grams: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
     return seen, contexts
 
 
-def _shard(pair: Column | np.ndarray, shards: int):
-    """Of the last two bytes of a context."""
-    return (pair * 40503 % 65536) % shards
-
-
 class Model:
-    """Broadcast shards. pairs: the probability of each byte after each byte."""
-
-    def __init__(self, spark: SparkSession, grams: DataFrame):
-        seen, contexts = probabilities(grams)
-        one = {r["gram"]: r["p"] for r in seen[0].collect()}  # 256 rows at most
-        weights = {r["context"]: r["weight"] for r in contexts[1].collect()}
-        rest = contexts[0].first()
-        base = np.full(256, rest["weight"] / 256 if rest else 1 / 256)
-        base[list(one)] = list(one.values())
-        pairs = np.outer([weights.get(a, 1.0) for a in range(256)], base).ravel()
-        two = seen[1].collect()  # 65,536 rows at most
-        pairs[[r["gram"] for r in two]] = [r["p"] for r in two]
-        higher = range(2, ORDER)
-        self.shards = max(1, ceil(sum(seen[k].count() + contexts[k].count() for k in higher) / SHARD_ROWS))
-        self.empty = not two
-        self.parts = []
-        for s in range(self.shards):
-            tables = []
-            for k in higher:
-                tables.append(_sorted(seen[k].where(_shard(F.shiftright("gram", 8).bitwiseAND(F.lit(65535)), self.shards) == s), "gram", "p"))
-                tables.append(_sorted(contexts[k].where(_shard(F.col("context").bitwiseAND(F.lit(65535)), self.shards) == s), "context", "weight"))
-            self.parts.append(spark.sparkContext.broadcast((pairs.astype(np.float32), tables)))  # SHARD_ROWS rows, about
-
-
-def _sorted(df: DataFrame, key: str, value: str) -> tuple[np.ndarray, np.ndarray]:
-    found = df.select(key, F.col(value).cast("float").alias(value)).toArrow()
-    keys, values = (found.column(i).to_numpy() for i in (0, 1))
-    order = np.argsort(keys)
-    return keys[order], values[order]
-
-
-def _find(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(which are there, their values)"""
-    if not len(keys):
-        return np.zeros(len(asked), bool), np.zeros(len(asked), np.float32)
-    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-    return keys[at] == asked, values[at]
-
-
-def log_p(grams: np.ndarray, pairs: np.ndarray, tables: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """The log probability of each n-gram's last byte. tables: of a shard, in turn n-grams and contexts from order 3 on."""
-    p = pairs[grams & 65535].astype(np.float64)
-    for i, k in enumerate(range(3, ORDER + 1)):
-        own = grams & (256**k - 1)
-        there, weight = _find(*tables[2 * i + 1], own >> 8)
-        p = np.where(there, weight * p, p)
-        there, q = _find(*tables[2 * i], own)
-        p = np.where(there, q, p)
-    return np.log(np.maximum(p, 1e-30))
-
-
-class _Reader:
-    """The shards in a worker, one at a time."""
-
-    def __init__(self, parts: list):
-        self.parts, self.at, self.held = parts, -1, None
-
-    def __getitem__(self, s: int) -> tuple:
-        if s != self.at:
-            part = self.parts[s]
-            self.held = None
-            self.held = part.value if len(self.parts) == 1 else part.load_from_path(part._path)
-            self.at = s
-        return self.held
+    """The tables of all orders, as DataFrames."""
+
+    def __init__(self, grams: DataFrame):
+        self.seen, self.contexts = probabilities(grams)
+        rest = self.contexts[0].first()
+        self.empty = rest is None
+        self.base = rest["weight"] / 256 if rest else 1 / 256
+
+    def costs(self, asked: DataFrame) -> DataFrame:
+        """asked (with gram) and nats: what the last byte of each n-gram costs after those before it. Small tables are broadcast by Spark, larger ones joined by a shuffle."""
+        own = lambda k: F.col("gram").bitwiseAND(F.lit(256**k - 1))
+        found, p = asked, F.lit(self.base)
+        for k in range(1, ORDER + 1):
+            seen = self.seen[k - 1].select(F.col("gram").alias(f"_gram{k}"), F.col("p").alias(f"_p{k}"))
+            found = found.join(seen, own(k) == F.col(f"_gram{k}"), "left")
+            if k > 1:
+                contexts = self.contexts[k - 1].select(F.col("context").alias(f"_context{k}"), F.col("weight").alias(f"_w{k}"))
+                found = found.join(contexts, F.shiftright(own(k), 8) == F.col(f"_context{k}"), "left")
+                p = F.coalesce(F.col(f"_w{k}"), F.lit(1.0)) * p
+            p = F.coalesce(F.col(f"_p{k}"), p)
+        return found.select(*asked.columns, (-F.log(F.greatest(p, F.lit(1e-30)))).cast("float").alias("nats"))
 
 
 def score(df: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """`keep` of df, with nats (the text's cost) and n_bytes."""
-    own = df.select(*keep) if text in keep else df.select(*keep, text)
-    at, parts = own.columns.index(text), model.parts
-    schema = T.StructType([*df.select(*keep).schema.fields, T.StructField("nats", T.DoubleType()), T.StructField("n_bytes", T.LongType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shards = _Reader(parts)
-        for batch in batches:
-            for first, texts in _chunks(batch, at):
-                grams, n = grams_of(texts)
-                unique, place = np.unique(grams, return_inverse=True)
-                cost = np.zeros(len(unique))
-                which = _shard(unique >> 8 & 65535, len(parts))
-                for s in range(len(parts)):
-                    some = which == s
-                    if some.any():
-                        cost[some] = -log_p(unique[some], *shards[s])
-                sums = np.concatenate([[0.0], np.cumsum(cost[place])])[np.concatenate([[0], np.cumsum(n)])]
-                kept = [c for i, c in enumerate(batch.slice(first, len(texts)).columns) if text in keep or i != at]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(np.diff(sums)), pa.array(n)], names=schema.names)
-
-    return own.mapInArrow(run, schema)
-
-
-def _with(df: DataFrame, side: DataFrame, on, how: str, rows: int) -> DataFrame:
-    return df.join(F.broadcast(side) if rows <= BROADCAST_ROWS else side, on, how)
+    keep = tuple(c for c in keep if c not in ("nats", "n_bytes"))
+    total = df.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
+    own = df.select(F.col(text).alias("_text"), *(F.col(f"`{c}`").alias(f"_kept_{i}") for i, c in enumerate(keep) if c != text))
+    hashed = [f.name for f in own.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    marked = own.select(F.pmod(F.xxhash64(*hashed), F.lit(max(1, ceil(total / CHUNK)))).cast("int").alias("_chunk"), "*")
+
+    def ask(table: pa.Table) -> pa.Table:
+        found = np.zeros(0, np.int64)
+        for _, texts in _parts(table.column("_text")):
+            found = np.union1d(found, np.unique(grams_of(texts)[0]))
+        return pa.table({"_chunk": pa.array(np.full(len(found), table.column("_chunk")[0].as_py(), np.int32)), "gram": pa.array(found)})
+
+    def add_up(table: pa.Table, answers: pa.Table) -> pa.Table:
+        grams, nats = (answers.column(c).to_numpy() for c in ("gram", "nats"))
+        order = np.argsort(grams)
+        grams, nats = grams[order], nats[order].astype(np.float64)
+        sums, sizes = [], []
+        for _, texts in _parts(table.column("_text")):
+            asked, n = grams_of(texts)
+            unique, place = np.unique(asked, return_inverse=True)
+            cost = nats[np.searchsorted(grams, unique)][place]
+            sums.append(np.diff(np.concatenate([[0.0], np.cumsum(cost)])[np.concatenate([[0], np.cumsum(n)])]))
+            sizes.append(n)
+        kept = [c for name, c in zip(table.column_names, table.columns, strict=True) if name != "_chunk"]
+        return pa.table([*kept, pa.array(np.concatenate(sums)), pa.array(np.concatenate(sizes))], names=[*table.column_names[1:], "nats", "n_bytes"])
+
+    # the texts are shuffled once: both plans read the same exchange
+    asked = model.costs(marked.groupBy("_chunk").applyInArrow(ask, "_chunk int, gram long"))
+    schema = T.StructType([*own.schema.fields, T.StructField("nats", T.DoubleType()), T.StructField("n_bytes", T.LongType())])
+    both = marked.groupBy("_chunk").cogroup(asked.groupBy("_chunk")).applyInArrow(add_up, schema)
+    place = lambda i, c: F.col("_text" if c == text else f"_kept_{i}").alias(c)
+    return both.select(*(place(i, c) for i, c in enumerate(keep)), "nats", "n_bytes")
 
 
 def classify(documents: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",), quantile: float = QUANTILE, margin: float = MARGIN) -> DataFrame:
@@ -230,30 +186,28 @@ def classify(documents: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("
 
     Trusted: labels with quality 1 and toxic 0. The cost that is held against the threshold is the drawn one.
     """
-    spark = documents.sparkSession
-    ids = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct()
-    trusted = _with(documents.where("length(text) > 0").select("doc_id", "text", "lang"), ids, "doc_id", "left_semi", ids.count())
+    keep = tuple(c for c in keep if c not in ("perplexity", "threshold", "rejected"))
+    ids = materialize(labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select(F.col("doc_id").alias("_id")).distinct(), "trusted")
     half = F.pmod(F.xxhash64(F.lit(3), F.col("text")), F.lit(2))
-    model = Model(spark, materialize(counts(trusted.where(half == 0).select("text")), "grams5"))
-    clash = {"_lang", "_mean", "_least"} & set(documents.columns)
-    if clash:
-        raise ValueError(f"columns are there already: {sorted(clash)}")
-    judged = materialize(score(trusted.where(half == 1).withColumnRenamed("lang", "_lang"), model, keep=("_lang",)), "judged")
+    name = lambda i, c: "text" if c == "text" else f"_own_{i}"
+    own = documents.select(*(F.col(f"`{c}`").alias(f"_own_{i}") for i, c in enumerate(keep) if c != "text"), "text", F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), half.alias("_half"))
+    model = Model(materialize(counts(own.where("length(text) > 0 and _half = 0").select("text", "_id").join(ids, "_id", "left_semi").select("text")), "grams5"))
+    scored = materialize(score(own, model, keep=tuple(c for c in own.columns if c != "text" or "text" in keep)), "scored")
+    judged = materialize(scored.where("n_bytes > 0 and _half = 1").select("_id", "_lang", "nats", "n_bytes").join(ids, "_id", "left_semi").select("_lang", "nats", "n_bytes"), "judged")
     means = judged.groupBy("_lang").agg((F.sum("nats") / F.sum("n_bytes")).alias("_mean"))
     drawn = lambda: (F.col("nats") + PRIOR * F.col("_mean")) / (F.col("n_bytes") + PRIOR)
     cut = lambda x: F.percentile_approx(x, quantile, 100_000).alias("_least")
     costs = judged.join(means.withColumnRenamed("_lang", "l"), F.col("_lang").eqNullSafe(F.col("l"))).select("_lang", "_mean", drawn().alias("cost"))
-    limits = materialize(costs.groupBy("_lang").agg(F.first("_mean").alias("_mean"), cut("cost")), "limits")
+    limits = materialize(costs.groupBy(F.col("_lang").alias("_of")).agg(F.first("_mean").alias("_mean"), cut("cost")), "limits")
     everyone = judged.agg((F.sum("nats") / F.sum("n_bytes")).alias("m")).first()["m"]
     least = costs.agg(cut("cost")).first()["_least"]
     known = not model.empty and least is not None
-    scored = score(documents, model, keep=(*keep, *(() if "lang" in keep else ("lang",))))
-    both = _with(scored, limits, F.col("lang").eqNullSafe(F.col("_lang")), "left", limits.count())
+    both = scored.join(limits, F.col("_lang").eqNullSafe(F.col("_of")), "left")
     mean, most = F.coalesce("_mean", F.lit(everyone if known else 0.0)), F.coalesce("_least", F.lit(least if known else 0.0)) + margin
     cost = (F.col("nats") + PRIOR * mean) / (F.col("n_bytes") + PRIOR)
     empty = F.col("n_bytes") == 0
     return both.select(
-        *keep,
+        *(F.col(name(i, c)).alias(c) for i, c in enumerate(keep)),
         F.when(~empty & F.lit(known), F.exp(F.col("nats") / F.col("n_bytes"))).alias("perplexity"),
         F.when(F.lit(known), F.exp(most)).alias("threshold"),
         (empty | (F.lit(known) & (cost > most))).alias("rejected"),
