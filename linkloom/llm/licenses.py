@@ -132,7 +132,7 @@ FILLER = "the of and that on in was with for by it is as to are this from a lore
 
 def templates() -> dict[str, list[str]]:
     """What a predicted family is held against. A name of one word that is a word elsewhere too needs one beside it."""
-    alone = {"MIT": ("under MIT", "under the MIT", "of the MIT", "identifier MIT", "license MIT"), "ISC": ("under ISC", "under the ISC", "of the ISC", "identifier ISC", "license ISC")}
+    alone = {"MIT": ("under MIT", "under the MIT", "terms of the MIT", "identifier MIT", "license MIT"), "ISC": ("under ISC", "under the ISC", "terms of the ISC", "identifier ISC", "license ISC")}
     return {f: [t for n in names for t in alone.get(n, (n,))] + list(TEXTS[f]) for f, names in NAMES.items()}
 
 
