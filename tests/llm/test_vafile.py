@@ -28,17 +28,45 @@ def test_by_brute_force(spark, monkeypatch):
     for size, block in ((vafile.QUERY_BLOCK, vafile.DATA_BLOCK), (3, 40)):
         monkeypatch.setattr(vafile, "QUERY_BLOCK", size)
         monkeypatch.setattr(vafile, "DATA_BLOCK", block)
+        monkeypatch.setattr(vafile, "HELD", 1_000_000 if size > 3 else 20)
         assert sorted(tuple(r) for r in vafile.top_k(df).collect()) == want
     assert vafile.top_k(df.limit(0)).count() == 0
     few = vafile.top_k(df.where("vec_id in (0, 1)")).collect()
     assert [(r["query_id"], r["rank"], r["vec_id"]) for r in few] == [(0, 1, 1)]
 
 
-def test_reads_on_until_sure():
+def test_many_equal_vectors(spark):
+    """One vector many times over, one id many times over, and near copies of a vector."""
+    dice = random.Random(4)
+    base = [dice.uniform(-1, 1) for _ in range(8)]
+    rows = [(i, base) for i in range(0, 3000)] + [(4000, base)] * 40 + [(4050, [2 * x for x in base])] * 30
+    rows += [(5000 + i, [x + dice.uniform(-0.01, 0.01) for x in base]) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5)
+    want = brute([(i, [float(np.float32(x)) for x in v]) for i, v in rows], 5, 50)
+    assert sorted(tuple(r) for r in vafile.top_k(df).collect()) == want
+
+
+def test_bounds_hold():
     random_ = np.random.default_rng(3)
-    block = random_.integers(-200, 200, (1500, 16))
-    ids = np.arange(1500)
-    found = list(vafile.search_block(ids, block, ids[:9], block[:9], 4))
-    for p in range(9):
-        scores = sorted((-int(block[i] @ block[p]), i) for i in range(1500) if i != p)[:4]
-        assert [(v, s) for q, v, s in found if q == p] == [(i, -s) for s, i in scores]
+    for scale in (3, 200, 10**7):
+        block = random_.integers(-scale, scale, (1500, 16))
+        cells, low, width = vafile.cells_of(block)
+        assert cells.dtype == np.uint8
+        middle, radius = vafile.bounds(block[:40], cells, low, width)
+        exact = block[:40] @ block.T
+        assert (np.abs(exact - middle) <= radius[:, None]).all()
+
+
+def test_few_exact_vectors_are_read(spark):
+    """The scan of the cells leaves a small part of all vectors to be read."""
+    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    data = [(r["vec_id"], np.floor(256 * np.array(r["embedding"], float)).astype(np.int64)) for r in df.collect()]
+    ids, block = np.array([i for i, _ in data]), np.stack([v for _, v in data])
+    found = vafile.Found(5, 4)
+    asked = np.flatnonzero(ids % 50 == 0)[:4]
+    found.add(ids[asked], block[asked], np.arange(len(ids)), ids, np.ones(len(ids), np.int8), *vafile.cells_of(block))
+    q, keys, _, _ = found.rows()
+    assert len(q) < 0.1 * 4 * len(ids)
+    for i in range(4):
+        scores = sorted((-int(block[j] @ block[asked[i]]), ids[j], j) for j in range(len(ids)) if ids[j] != ids[asked[i]])[:5]
+        assert {j for *_, j in scores} <= set(keys[q == i].tolist())
