@@ -3,10 +3,14 @@
 A paragraph (a line) is hashed to a wide vector, and a text's fingerprint is the sum of its paragraphs' vectors,
 each lane modulo a power of two. So the order of paragraphs doesn't matter, and a paragraph is put in or
 taken out by adding or subtracting its own fingerprint. A vector has
-  8 lanes of 32 bits, from the paragraph's SHA-256: these decide equality; and
-  63 lanes of 20 bits, three to a long, with a count: each piece of a paragraph (up to four words, or up to a
-  punctuation mark) adds one to the lanes where its hash has a bit set. As plus or minus one these are a
-  sketch, whose cosine estimates how alike the pieces of two texts are.
+  1023 lanes of 16 bits, three to a long, drawn from the paragraph's SHA-256: these decide equality; and
+  128 lanes of 30 bits, two to a long, with a count: each piece of a paragraph (up to four words, or up to a
+  punctuation mark; of a run of more than 32 characters, so many at a time) adds one to the lanes where its hash has a bit set.
+  As plus or minus one these are a sketch, whose cosine estimates how alike the pieces of two texts are, with a standard
+  error of 0.09 at most (one over the root of 128).
+
+Documents are put in order by ranges of (id, hash of the text), as many as four for each shuffle partition, so that neither more documents nor an
+id that many rows share makes a range larger than others. Only rows that are equal in both are in one range.
 
 Cases: a null text counts as empty, which has one empty paragraph; equal fingerprints are alike by 1; otherwise a
 text without pieces is like none. The document after the last is the first one. Null ids come after all
@@ -16,6 +20,7 @@ rows, and further columns are ignored.
 
 from __future__ import annotations
 
+import json
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,126 +28,137 @@ from pyspark.sql import functions as F
 
 from linkloom.llm.common import text_or_empty
 
-PIECE = r"(?:[^\s.,;:!?|]++[ \t]++){0,3}\S++"
-STRONG, STRONG_MASK = 8, 2**32 - 1
-FIELDS, STRIDE, WORDS = 3, 21, 21
-FIELD = 2**20
-ONES = sum(1 << (STRIDE * i) for i in range(FIELDS))
-FULL = sum((FIELD - 1) << (STRIDE * i) for i in range(FIELDS))
-#: Documents in a range of ids, and the most ranges.
-RANGE, MOST_RANGES = 500, 10_000
-
+PIECE = r"(?:[^\s.,;:!?|]{1,32}+[ \t]++){0,3}\S{1,32}+"
 
-def fingerprint(text: Column) -> Column:
-    """struct(strong array<long>, n long, lanes array<long>)"""
-    digests = F.transform(F.split(text, "\n"), lambda p: F.sha2(p, 256))
-    hashes = F.transform(F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)), lambda p: F.xxhash64(p))
 
-    def strong(i: int) -> Column:
-        part = lambda d: F.conv(d.substr(8 * i + 1, 8), 16, 10).cast("long")
-        return F.aggregate("_digests", F.lit(0).cast("long"), lambda a, d: (a + part(d)).bitwiseAND(F.lit(STRONG_MASK)))
+def _each(value: int, stride: int, fields: int) -> int:
+    """A long with the same value in each of its fields."""
+    return sum(value << (stride * i) for i in range(fields))
 
-    def lane(i: int) -> Column:
-        return F.aggregate("_hashes", F.lit(0).cast("long"), lambda a, h: (a + F.shiftright(h, i).bitwiseAND(F.lit(ONES))).bitwiseAND(F.lit(FULL)))
 
-    made = F.struct(F.array(*map(strong, range(STRONG))).alias("strong"), (F.size("_hashes") % FIELD).cast("long").alias("n"), F.array(*map(lane, range(WORDS))).alias("lanes"))
-    return digests, hashes, made
+#: Longs of the wide part, and the bits of its lanes; three to a long.
+WIDE, LANE = 341, 2**16
+WIDE_FULL, WIDE_MORE = _each(LANE - 1, 21, 3), _each(LANE, 21, 3)
+#: Hashes of a piece, the longs of each hash's lanes, and how far these count; two to a long.
+HASHES, WORDS, FIELD = 2, 32, 2**30
+ONES, FULL, MORE = _each(1, 32, 2), _each(FIELD - 1, 32, 2), _each(FIELD, 32, 2)
+#: Documents in a range of ids at least, and ranges for each shuffle partition at most.
+RANGE, RANGES = 500, 4
 
 
 def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
-    digests, hashes, made = fingerprint(F.col(text))
-    # a generator between them keeps Spark from working the arrays out once for each lane
-    parts = df.select("*", F.explode(F.array(F.struct(digests.alias("d"), hashes.alias("h")))).alias("_parts"))
-    return parts.select(*df.columns, F.col("_parts.d").alias("_digests"), F.col("_parts.h").alias("_hashes")).select(*df.columns, made.alias(name))
+    """df with struct(wide array<long>, n long, lanes array<long>)."""
+    digests = F.transform(F.split(F.col(text), "\n"), lambda p: F.sha2(p, 256))
+    pieces = F.regexp_extract_all(F.col(text), F.lit(PIECE), F.lit(0))
+    zero = F.lit(0).cast("long")
+    # generators between the steps keep Spark from working the arrays out once for each lane
+    parts = df.select("*", F.explode(F.array(F.struct(digests.alias("d"), pieces.alias("p")))).alias("_parts"))
+    hashed = F.transform(F.sequence(F.lit(0), F.lit(HASHES - 1)), lambda s: F.transform("_parts.p", lambda p: F.xxhash64(s, p)))
+    parts = parts.select(*df.columns, F.col("_parts.d").alias("_digests"), F.explode(F.array(F.struct(hashed.alias("h")))).alias("_hashed"))
+
+    def wide(i: Column) -> Column:
+        return F.aggregate("_digests", zero, lambda a, d: (a + F.xxhash64(i, d).bitwiseAND(F.lit(WIDE_FULL))).bitwiseAND(F.lit(WIDE_FULL)))
+
+    def lanes(hashes: Column) -> Column:
+        bit = lambda h, i: F.call_function("shiftright", h, i).bitwiseAND(F.lit(ONES))
+        return F.transform(F.sequence(F.lit(0), F.lit(WORDS - 1)), lambda i: F.aggregate(hashes, zero, lambda a, h: (a + bit(h, i)).bitwiseAND(F.lit(FULL))))
+
+    n = (F.size(F.col("_hashed.h")[0]) % FIELD).cast("long")
+    made = F.struct(F.transform(F.sequence(F.lit(0), F.lit(WIDE - 1)), wide).alias("wide"), n.alias("n"), F.flatten(F.transform("_hashed.h", lanes)).alias("lanes"))
+    return parts.select(*df.columns, made.alias(name))
 
 
 def combine(a: Column, b: Column, sign: int = 1) -> Column:
     """The fingerprint of a's paragraphs with b's put in (1) or taken out (-1)."""
-    lanes = F.zip_with(a["lanes"], b["lanes"], lambda x, y: (x + y if sign > 0 else x + F.lit(ONES * FIELD) - y).bitwiseAND(F.lit(FULL)))
-    strong = F.zip_with(a["strong"], b["strong"], lambda x, y: F.pmod(x + sign * y, F.lit(STRONG_MASK + 1)))
-    return F.struct(strong.alias("strong"), F.pmod(a["n"] + sign * b["n"], F.lit(FIELD)).cast("long").alias("n"), lanes.alias("lanes"))
+    both = lambda c, more, full: F.zip_with(a[c], b[c], lambda x, y: (x + y if sign > 0 else x + F.lit(more) - y).bitwiseAND(F.lit(full)))
+    return F.struct(both("wide", WIDE_MORE, WIDE_FULL).alias("wide"), F.pmod(a["n"] + sign * b["n"], F.lit(FIELD)).cast("long").alias("n"), both("lanes", MORE, FULL).alias("lanes"))
 
 
 def as_text(f: Column) -> Column:
-    parts = F.concat(F.transform(f["strong"], lambda x: F.lpad(F.hex(x), 8, "0")), F.array(F.lpad(F.hex(f["n"]), 6, "0")), F.transform(f["lanes"], lambda x: F.lpad(F.hex(x), 16, "0")))
-    return F.lower(F.array_join(parts, ""))
+    """All of a fingerprint, as numbers joined by commas."""
+    return F.array_join(F.concat(f["wide"], F.array(f["n"]), f["lanes"]).cast("array<string>"), ",")
+
+
+def sketch(f: Column) -> Column:
+    """struct(digest, n, lanes): what two texts are held against each other by. digest: SHA-256 of the whole fingerprint."""
+    return F.struct(F.sha2(as_text(f), 256).alias("digest"), f["n"].alias("n"), f["lanes"].alias("lanes"))
 
 
 def signed(f: Column) -> Column:
     """The lanes as sums of plus and minus one."""
-    at = lambda i: F.call_function("shiftright", F.element_at(f["lanes"], (i % WORDS + 1).cast("int")), (F.floor(i / WORDS) * STRIDE).cast("int")).bitwiseAND(F.lit(FIELD - 1))
-    one = lambda i: (F.pmod(2 * at(i) - f["n"] + FIELD // 2, F.lit(FIELD)) - FIELD // 2).cast("double")
-    return F.transform(F.sequence(F.lit(0), F.lit(FIELDS * WORDS - 1)), one)
+    one = lambda x: (F.pmod(2 * x.bitwiseAND(F.lit(FIELD - 1)) - f["n"] + FIELD // 2, F.lit(FIELD)) - FIELD // 2).cast("double")
+    return F.concat(F.transform(f["lanes"], one), F.transform(f["lanes"], lambda x: one(F.shiftright(x, 32))))
 
 
 def likeness(a: Column, b: Column, va: Column, vb: Column) -> Column:
-    """From 0 to 1. va, vb: signed() of both."""
+    """From 0 to 1, of two sketches. va, vb: signed() of both."""
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p)
     size = F.sqrt(dot(va, va)) * F.sqrt(dot(vb, vb))
-    return F.when(a == b, F.lit(1.0)).when(size > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), dot(va, vb) / size))).otherwise(F.lit(0.0))
+    return F.when(a["digest"] == b["digest"], F.lit(1.0)).when(size > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), dot(va, vb) / size))).otherwise(F.lit(0.0))
+
+
+PLACE = "struct<none:boolean,id:bigint,hash:bigint>"
 
 
-def _range_of(key: Column, bounds: list[int]) -> Column:
-    """How many of the sorted bounds are no larger than key; found in two steps."""
+def _search(place: Column, bounds: list[tuple[bool, int, int]]) -> tuple[Column, Column]:
+    """How many of the sorted bounds are no larger than a place, and the last of these (null if none); found in two steps."""
     step = max(1, ceil(len(bounds) ** 0.5))
-    chunks = [bounds[i : i + step] for i in range(0, len(bounds), step)]
-    reached = lambda xs: F.size(F.filter(xs, lambda b: b <= key))
-    if not chunks:
-        return F.lit(0)
-    longs = lambda xs: F.array(*(F.lit(x).cast("long") for x in xs))
-    coarse = reached(longs([c[0] for c in chunks]))
-    fine = reached(F.element_at(F.array(*map(longs, chunks)), F.greatest(coarse, F.lit(1))))
-    return F.when(coarse == 0, F.lit(0)).otherwise((coarse - 1) * step + fine)
+    rows = [dict(zip(("none", "id", "hash"), b, strict=True)) for b in bounds]
+    constant = lambda value, kind: F.from_json(F.lit(json.dumps(value)), kind)
+    reached = lambda xs: F.size(F.filter(xs, lambda b: b <= place))
+    if not rows:
+        return F.lit(0), F.lit(None).cast(PLACE)
+    coarse = reached(constant(rows[::step], f"array<{PLACE}>"))
+    chunk = F.get(constant([rows[i : i + step] for i in range(0, len(rows), step)], f"array<array<{PLACE}>>"), F.greatest(coarse - 1, F.lit(0)))
+    fine = reached(chunk)
+    return F.when(coarse == 0, 0).otherwise((coarse - 1) * step + fine), F.when(coarse > 0, F.get(chunk, fine - 1))
 
 
 def with_next(df: DataFrame, id: str, order: str, columns: list[str]) -> DataFrame:
-    """df with next_<column>: the values of the row after it by id, then `order`; after the last row comes the first.
+    """df with next_<column>: the values of the row after it by id, then `order` (a hash); after the last row comes the first.
 
-    Ids are cut into ranges at some of the ids. Each range gets, besides its own rows, a copy of the first row
-    of the range after it, so that no row needs another range.
+    Each range gets, besides its own rows, a copy of the first row of the range after it, so that no row needs another range.
     """
-    facts = df.agg(F.count(F.lit(1)).alias("n"), F.min(id).alias("first")).first()
-    n = max(1, min(MOST_RANGES, ceil(facts["n"] / RANGE)))
-    cuts = df.agg(F.percentile_approx(id, [i / n for i in range(1, n)], 10 * n).alias("cuts")).first()["cuts"] if n > 1 else None
-    bounds = sorted({c for c in cuts or [] if c > facts["first"]})
-    last = len(bounds)
-    own = F.when(F.col(id).isNull(), F.lit(last)).otherwise(_range_of(F.col(id), bounds))
-    heads = F.col(id).isin(bounds) if last <= 100 else F.exists(F.array(_bound_at(own, bounds)), lambda b: b == F.col(id))
-    before = F.when(F.col(id) == F.lit(facts["first"]), F.array(F.lit(last))).when(heads, F.array(own - 1)).otherwise(F.array().cast("array<int>"))
-    both = F.concat(F.array(F.struct(own.alias("range"), F.lit(False).alias("copy"))), F.transform(before, lambda b: F.struct(b.alias("range"), F.lit(True).alias("copy"))))
+    spark = df.sparkSession
+    place = F.struct(F.col(id).isNull().alias("none"), F.coalesce(F.col(id), F.lit(0)).cast("long").alias("id"), F.col(order).alias("hash"))
+    keys = df.select(place.alias("p"))
+    rows = df.select(F.lit(1)).count()
+    n = max(1, min(RANGES * int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(rows / RANGE)))
+    # the least place of each part of the keys put in order: n rows
+    found = keys.repartitionByRange(n, "p").groupBy(F.spark_partition_id()).agg(F.min("p").alias("p")).select("p.*").collect()
+    bounds = sorted(tuple(r) for r in found)
+    first, last = bounds[:1], max(0, len(bounds) - 1)
+    own, reached = _search(place, bounds[1:])
+    copies = F.when(place == reached, F.array(own - 1)).otherwise(F.array().cast("array<int>"))
+    if first:
+        start = F.struct(*(F.lit(x).cast(t).alias(c) for x, t, c in zip(first[0], ("boolean", "long", "long"), ("none", "id", "hash"), strict=True)))
+        copies = F.concat(copies, F.when(place == start, F.array(F.lit(last))).otherwise(F.array().cast("array<int>")))
+    both = F.concat(F.array(F.struct(own.alias("range"), F.lit(False).alias("copy"))), F.transform(copies, lambda b: F.struct(b.alias("range"), F.lit(True).alias("copy"))))
     dealt = df.select(*df.columns, F.explode(both).alias("_at"))
     w = Window.partitionBy("_at.range").orderBy(F.col("_at.copy"), F.asc_nulls_last(id), order)
     led = dealt.select("*", *(F.lead(c).over(w).alias(f"next_{c}") for c in columns))
     return led.where("not _at.copy").drop("_at")
 
 
-def _bound_at(place: Column, bounds: list[int]) -> Column:
-    """The place-th bound, from 1 on; null for 0."""
-    step = max(1, ceil(len(bounds) ** 0.5))
-    longs = lambda xs: F.array(*(F.lit(x).cast("long") for x in xs))
-    chunks = F.array(*(longs(bounds[i : i + step]) for i in range(0, len(bounds), step)))
-    chunk = F.element_at(chunks, (F.floor((F.greatest(place, F.lit(1)) - 1) / step) + 1).cast("int"))
-    return F.when(place > 0, F.element_at(chunk, ((place - 1) % step + 1).cast("int")))
-
-
 def edits(documents: DataFrame) -> DataFrame:
-    """Per document: the fingerprints of its text and its edited text, and how alike they and the next document's are.
+    """Per document: the fingerprints of its text and its edited text, as digests, and how alike they and the next document's are.
 
     Edited: the last quarter of the code points gives way to as many from the start of the next document.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    marked = with_fingerprint(docs.withColumn("h", F.xxhash64("text")), "text", "f")
+    # what goes through the shuffle is the sketch, not the wide part
+    marked = with_fingerprint(docs.withColumn("h", F.xxhash64("text")), "text", "f").select("doc_id", "text", "h", sketch(F.col("f")).alias("f"))
     led = with_next(marked, "doc_id", "h", ["text", "f"])
     n = F.length("text")
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(F.col("text").substr(F.lit(1), n - quarter), F.coalesce(F.col("next_text"), F.lit("")).substr(F.lit(1), quarter))
-    both = with_fingerprint(led.select("doc_id", "f", "next_f", n.cast("long").alias("n_chars"), edited.alias("edited")), "edited", "g")
+    both = with_fingerprint(led.select("doc_id", "f", "next_f", n.cast("long").alias("n_chars"), edited.alias("edited")), "edited", "g").withColumn("g", sketch(F.col("g")))
     lanes = both.select("*", F.explode(F.array(F.struct(*(signed(F.col(c)).alias(c) for c in ("f", "g", "next_f"))))).alias("v"))
     return lanes.select(
         "doc_id", "n_chars",
         F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
-        as_text(F.col("f")).alias("fingerprint"),
-        as_text(F.col("g")).alias("edited_fingerprint"),
+        F.col("f.digest").alias("fingerprint"),
+        F.col("g.digest").alias("edited_fingerprint"),
         likeness(F.col("f"), F.col("g"), F.col("v.f"), F.col("v.g")).alias("near_edited"),
         F.coalesce(likeness(F.col("f"), F.col("next_f"), F.col("v.f"), F.col("v.next_f")), F.lit(0.0)).alias("near_next"),
     )
