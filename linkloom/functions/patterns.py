@@ -1,9 +1,7 @@
 r"""The extraction patterns, in order, put together from a small grammar.
 
 Each pattern has a name, a regex of java.util.regex, and the group that is the find. Q is a quote, V a quoted value.
-START and END are where a bare literal may begin and end: at the text's ends, quotes and spaces (END: also line
-ends). `plain` says the same for an engine without look-around, over a text in which each quote and space
-stands twice; there the first group is the find.
+START and END are where a bare literal may begin and end: at the text's ends, quotes and spaces (END: also line ends). What the patterns match is a fixed value, all of them.
 """
 
 from __future__ import annotations
@@ -12,8 +10,7 @@ from dataclasses import dataclass
 
 Q, V = r"""["']""", r"""([^"']+)"""
 LETTER = r"a-zA-Z0-9\x{0080}-\x{FFFF}"
-LABEL = f"[{LETTER}](?:[{LETTER}_-]*[{LETTER}])?"
-#: The same without going back: a dot must follow, which no label holds, so only all of a run can match.
+#: A label of a host, without going back: a dot must follow, which no label holds, so only all of a run can match.
 QUICK_LABEL = f"[{LETTER}](?:[{LETTER}_-]*+(?<=[{LETTER}]))?+"
 MOST_LABELS = 24
 START, END = r"""(?:^|(?<=["' ]))""", r"""(?=$|["'\n\r ])"""
@@ -33,7 +30,6 @@ class Pattern:
     regex: str
     group: int = 1
     javascript: bool = False
-    plain: str | None = None  # None: the regex itself will do
 
 
 def _call(name: str, before: str) -> Pattern:
@@ -48,20 +44,19 @@ _domain = lambda label: _host(label, rf"""[a-zA-Z]{{2,24}}(?:/[^\s"'<>()\[\]{{}}
 _path = rf"""(?:(?:#?/|\./|\.\./){NO_PATH_START}[^"'><,;|()\s]{{1,255}})"""
 _path_ext = rf"""([a-zA-Z0-9_\-/]{{1,}}/[a-zA-Z0-9_\-/\.]{{1,255}}\.(?:[a-zA-Z]{{1,4}}|{"|".join(ODD_EXTENSIONS)})(?:[?/][^"']{{0,1000}}|))"""
 _file_ext = rf"""([a-zA-Z0-9_\-\.]{{1,255}}\.(?:{"|".join(FILES)})(?:\?[^"']{{0,255}}|))"""
-_plain = lambda body: rf"""(?:^|["' ]){body}(?:$|["'\n\r ])"""
 
 _relative = lambda label: rf"""(?:["'(]|^|\s)(//{label}(?:\.{label}){{0,{MOST_LABELS}}}\.[a-zA-Z]{{2,}}[^\s"'<>)]*)"""
 
 DOMAIN, TEMPLATE = "bare_domain", "template_literal"
 
 HTML = (
-    Pattern("attr", rf"(?i)(?<![\w:.]){_attribute}{Q}{_value}{Q}", plain=rf"(?i)(?:^|[^\w:.]){_attribute}{Q}{{2}}{_value}{Q}"),
+    Pattern("attr", rf"(?i)(?<![\w:.]){_attribute}{Q}{_value}{Q}"),
     Pattern("meta_refresh", r"""(?is)<meta[^>]*?url\s*=\s*([^"'#\s>]+)"""),
     Pattern("css_url", r"""(?i)url\(\s*["']?([^"')\s]+)["']?\s*\)"""),
     Pattern("absolute", r"""(?i)\bhttps?://[^\s"'<>)]+""", 0),
-    Pattern("protocol_relative", _relative(QUICK_LABEL), plain=_relative(LABEL)),
+    Pattern("protocol_relative", _relative(QUICK_LABEL)),
     Pattern("source_mapping", r"""(?i)sourceMappingURL\s*=\s*([^\s"'<>]+)"""),
-    Pattern(DOMAIN, rf"(?<![\w.:/]){_domain(QUICK_LABEL)}", 0, plain=rf"(?:^|[^\w.:/])({_domain(LABEL)})"),
+    Pattern(DOMAIN, rf"(?<![\w.:/]){_domain(QUICK_LABEL)}", 0),
 )
 SCRIPT = (
     _call("fetch", r"fetch\(\s*"),
@@ -78,9 +73,9 @@ SCRIPT = (
     _call("event_source", r"new\s+EventSource\(\s*"),
     _call("beacon", r"navigator\.sendBeacon\(\s*"),
     Pattern(TEMPLATE, r"`([^`]*\$\{[^`]*\}[^`]*)`", 1, True),
-    Pattern("path_literal", START + _path + END, 0, True, plain=_plain(f"({_path})")),
-    Pattern("path_ext", START + _path_ext + END, 1, True, plain=_plain(_path_ext)),
-    Pattern("file_ext", START + _file_ext + END, 1, True, plain=_plain(_file_ext)),
+    Pattern("path_literal", START + _path + END, 0, True),
+    Pattern("path_ext", START + _path_ext + END, 1, True),
+    Pattern("file_ext", START + _file_ext + END, 1, True),
 )
 PATTERNS = HTML + SCRIPT
 BY_NAME = {p.name: p for p in PATTERNS}

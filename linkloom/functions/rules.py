@@ -46,11 +46,20 @@ def trimmed(s: Column) -> Column:
 
 
 def bracket_cut(s: Column) -> Column:
-    """Up to the first bracket without a partner: pairs are masked from the inside out until none is left."""
-    opened = F.length(s) - F.length(replaced(s, r"[(\[{]"))
-    rounds = F.sequence(F.lit(1), F.greatest(opened, F.lit(1)))
-    masked = F.aggregate(rounds, s, lambda m, _: replaced(m, PAIRS, "<$1$2$3>"))
-    return F.when(s.rlike(BRACKETS), F.substring(s, F.lit(1), F.length(F.regexp_extract(masked, f"^{_NONE}", 0)))).otherwise(s)
+    """Up to the first bracket without a partner.
+
+    The brackets alone are looked at: pairs are masked from the inside out, in as many rounds as there can be pairs within one another.
+    """
+
+    def cut(found: Column) -> Column:
+        count = lambda marks: F.size(F.filter(found, lambda b: F.lit(marks).contains(b)))
+        rounds = F.slice(found, 1, F.least(count("([{"), count(")]}")))
+        masked = F.aggregate(rounds, F.array_join(found, ""), lambda m, _: replaced(m, PAIRS, "<$1$2$3>"))
+        paired = F.length(F.regexp_extract(masked, f"^{_NONE}", 0))
+        gaps = F.slice(F.split(s, BRACKETS, -1), 1, paired + 1)
+        return F.substring(s, F.lit(1), F.aggregate(gaps, paired, lambda n, g: n + F.length(g)))
+
+    return F.when(s.rlike(BRACKETS), F.element_at(F.transform(F.array(F.regexp_extract_all(s, F.lit(BRACKETS), F.lit(0))), cut), 1)).otherwise(s)
 
 
 def tidied(raw: Column) -> Column:

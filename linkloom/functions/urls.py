@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from linkloom.functions import constants as C
 from linkloom.functions.rules import replaced, trimmed
 
-#: What may stand in an address as it is; an escape that is there already stays one.
-SAFE = r"A-Za-z0-9_.!~*'()\-;/?:@&=+$,#\[\]"
+#: What may stand as it is before the query, and from there on. An address counts as not encoded yet, so a percent sign is encoded too.
+SAFE, SAFE_QUERY = r"A-Za-z0-9_.!~*'()\-;/:@&=$,", r"A-Za-z0-9_.!~*'()\-;/?:@&=$,+#"
 
 
 def _after(s: Column, mark: str) -> Column:
@@ -78,11 +78,15 @@ def resolve(df: DataFrame, base: str, spec: str) -> DataFrame:
     return steps.withColumns({c: F.when(F.col("_fine"), F.col(c)) for c in parts}).select(*df.columns, *parts)
 
 
+def _escaped(s: Column, safe: str) -> Column:
+    runs = F.regexp_extract_all(s, F.lit(rf"[{safe}]+|[^{safe}]+"), F.lit(0))
+    one = lambda x: F.when(x.rlike(rf"^[{safe}]"), x).otherwise(F.replace(F.replace(F.url_encode(x), F.lit("+"), F.lit("%20")), F.lit("*"), F.lit("%2A")))
+    return F.when(s.rlike(rf"^[{safe}]*\z"), s).otherwise(F.array_join(F.transform(runs, one), ""))
+
+
 def encoded(url: Column) -> Column:
-    """Percent-encoded as UTF-8; valid escapes stay."""
-    runs = F.regexp_extract_all(url, F.lit(rf"%[0-9A-Fa-f]{{2}}|[{SAFE}]+|%|[^{SAFE}%]+"), F.lit(0))
-    one = lambda x: F.when(x.rlike(rf"^(?:%[0-9A-Fa-f]{{2}}|[{SAFE}]+)\z"), x).otherwise(F.replace(F.url_encode(x), F.lit("+"), F.lit("%20")))
-    return F.array_join(F.transform(runs, one), "")
+    """Percent-encoded as UTF-8, as an address that isn't yet: `%` becomes `%25`, and before the query `+` becomes `%2B`."""
+    return F.concat(_escaped(F.substring_index(url, "?", 1), SAFE), F.coalesce(F.concat(F.lit("?"), _escaped(_after(url, "?"), SAFE_QUERY)), F.lit("")))
 
 
 def root_slash(resolved: Column, path: Column, other_host: Column) -> Column:

@@ -1,4 +1,7 @@
-"""SQL for DuckDB that says independently what the operators should find: no look-around, no shared expressions."""
+"""SQL for DuckDB that says again what the operators should find, without look-around and without their expressions.
+
+Patterns are written out here once more. Shared are the fixed lists (`constants`) and the snippets that responses are made of (`samples`).
+"""
 
 from __future__ import annotations
 
@@ -40,22 +43,55 @@ CHUNKS = f"""chunks as (
   from (select *, unnest(range(0, length(body), {C.CHUNK_STEP})) as s from decoded where length(body) > {C.CHUNK_ABOVE}))"""
 
 
+_LABEL = r"[a-zA-Z0-9\x{80}-\x{FFFF}](?:[a-zA-Z0-9\x{80}-\x{FFFF}_-]*[a-zA-Z0-9\x{80}-\x{FFFF}])?"
+_QUOTED = r"""["']([^"']+)["']"""
+_BARE = r"""(?:^|["' ])(%s)(?:$|["'\n\r ])"""
+#: Each pattern as a regex and its group. Where it begins or ends at a separator, texts are searched with each of these twice.
+REGEXES = {
+    "attr": (r"""(?i)(?:^|[^\w:.])[\w:]*?(?:href|src|action|poster|cite|formaction|background|longdesc|usemap|manifest|codebase|profile)\s*=\s*["']{2}([^"'#\s>]+)["']""", 1),
+    "meta_refresh": (r"""(?is)<meta[^>]*?url\s*=\s*([^"'#\s>]+)""", 1),
+    "css_url": (r"""(?i)url\(\s*["']?([^"')\s]+)["']?\s*\)""", 1),
+    "absolute": (r"""(?i)\bhttps?://[^\s"'<>)]+""", 0),
+    "protocol_relative": (rf"""(?:["'(]|^|\s)(//{_LABEL}(?:\.{_LABEL}){{0,24}}\.[a-zA-Z]{{2,}}[^\s"'<>)]*)""", 1),
+    "source_mapping": (r"""(?i)sourceMappingURL\s*=\s*([^\s"'<>]+)""", 1),
+    "bare_domain": (rf"""(?:^|[^\w.:/])((?:{_LABEL}\.){{0,24}}{_LABEL}\.[a-zA-Z]{{2,24}}(?:/[^\s"'<>()\[\]{{}}]{{0,500}})?)""", 1),
+    "fetch": (r"(?i)fetch\(\s*" + _QUOTED, 1),
+    "xhr_open": (r"""(?i)\.open\(\s*["'][a-z]+["']\s*,\s*""" + _QUOTED, 1),
+    "import_from": (r"(?i)(?:import|from)\s+" + _QUOTED, 1),
+    "dynamic_import": (r"(?i)\bimport\s*\(\s*" + _QUOTED, 1),
+    "require": (r"(?i)\brequire(?:\.resolve)?\(\s*" + _QUOTED, 1),
+    "location": (r"(?i)(?:window\.)?location(?:\.href)?\s*=\s*" + _QUOTED, 1),
+    "window_open": (r"(?i)window\.open\(\s*" + _QUOTED, 1),
+    "jquery_ajax": (r"(?i)\$\.ajax\(\s*\{[^}]*?url\s*:\s*" + _QUOTED, 1),
+    "jquery_call": (r"(?i)\$\.(?:get|post|getjson)\(\s*" + _QUOTED, 1),
+    "axios": (r"(?i)axios(?:\.(?:get|post|put|patch|delete|head|request))?\(\s*" + _QUOTED, 1),
+    "web_socket": (r"(?i)new\s+websocket\(\s*" + _QUOTED, 1),
+    "event_source": (r"(?i)new\s+eventsource\(\s*" + _QUOTED, 1),
+    "beacon": (r"(?i)navigator\.sendbeacon\(\s*" + _QUOTED, 1),
+    "template_literal": (r"`([^`]*\$\{[^`]*\}[^`]*)`", 1),
+    "path_literal": (_BARE % r"""(?:#?/|\.\.?/)[^"'><,;| *()%$^/\\\[\]][^"'><,;|()\s]{1,255}""", 1),
+    "path_ext": (_BARE % r"""[a-zA-Z0-9_\-/]+/[a-zA-Z0-9_\-/.]{1,255}\.(?:[a-zA-Z]{1,4}|php3|php5|action|xhtml|config|bzip2|tar\.gz|js\.map)(?:[?/][^"']{0,1000}|)""", 1),
+    "file_ext": (_BARE % r"""[a-zA-Z0-9_\-.]{1,255}\.(?:php|php3|php5|asp|aspx|ashx|cfm|cgi|pl|jsp|jspx|json|js|action|html|xhtml|htm|bak|do|txt|wsdl|wadl|xml|xls|xlsx|bin|conf|config|bz2|bzip2|gzip|tar\.gz|tgz|log|src|zip|js\.map)(?:\?[^"']{0,255}|)""", 1),
+}
+#: Patterns whose separators are used up by a find on either side.
+TWICE = ("attr", "path_literal", "path_ext", "file_ext")
+
+
 def finds(pattern: Pattern, chunk: str = "chunk") -> str:
     """A list of all finds."""
-    if pattern.plain is None:
-        found = f"regexp_extract_all({chunk}, {q(pattern.regex)}, {pattern.group})"
-    elif pattern.name in (DOMAIN, "protocol_relative"):
-        found = f"regexp_extract_all({chunk}, {q(pattern.plain)}, 1)"
-    else:  # separators are used up by a find on either side, so each stands twice
+    regex, group = REGEXES[pattern.name]
+    if pattern.name in TWICE:
         twice = f"""replace(replace(replace({chunk}, '"', '""'), '''', ''''''), ' ', '  ')"""
-        found = f"list_transform(regexp_extract_all({twice}, {q(pattern.plain)}, 1), lambda x: replace(x, '  ', ' '))"
+        return f"list_transform(regexp_extract_all({twice}, {q(regex)}, {group}), lambda x: replace(x, '  ', ' '))"
+    found = f"regexp_extract_all({chunk}, {q(regex)}, {group})"
     if pattern.name == TEMPLATE:
         found = rf"list_transform({found}, lambda x: regexp_replace(x, '\$\{{[^}}]*\}}', '__DYNAMIC__', 'g'))"
     return found
 
 
 def raw(patterns: tuple[Pattern, ...]) -> str:
-    parts = " union all ".join(f"select session_id, page_id, url, 0 as pass, chunk_no, {PATTERNS.index(p)} as pattern_no, unnest({finds(p)}) as raw from chunks" for p in patterns)
+    """CTE raw: every find with its place; ord counts a pattern's finds in a chunk."""
+    parts = " union all ".join(f"select session_id, page_id, url, 0 as pass, chunk_no, {PATTERNS.index(p)} as pattern_no, unnest(l) as raw, unnest(range(len(l))) as ord from (select *, {finds(p)} as l from chunks)" for p in patterns)
     return f"raw as ({parts})"
 
 
@@ -116,7 +152,7 @@ def usable(s: str) -> str:
 def candidates(patterns: tuple[Pattern, ...], gate: str = "true") -> str:
     """CTEs up to `accepted`: session_id, page_id, url, pattern_no, candidate."""
     domain = PATTERNS.index(next(p for p in PATTERNS if p.name == DOMAIN))
-    keep = "session_id, page_id, url, pattern_no, chunk_no, pass"
+    keep = "session_id, page_id, url, pattern_no, chunk_no, pass, ord"
     return f"""{RESPONSES_SQL},
 gated as (select * from responses where {gate}),
 {DECODED.replace("from responses", "from gated")},
@@ -124,7 +160,7 @@ gated as (select * from responses where {gate}),
 {raw(patterns)},
 r2 as (select {keep}, case when pattern_no = {domain} then '//' || raw else raw end as raw from raw where pattern_no <> {domain} or {valid_domain("raw")}),
 {normal("r2", keep)},
-accepted as (select {keep.replace("pass", "pass")}, {trimmed("candidate")} as candidate from t4 where candidate is not null and {usable(trimmed("candidate"))})"""
+accepted as (select {keep}, {trimmed("candidate")} as candidate from t4 where candidate is not null and {usable(trimmed("candidate"))})"""
 
 
 GATE = "length(body) > 0 and url is not null and coalesce(regexp_matches(lower(content_type), 'html|javascript|json|xml|css'), false)"
@@ -185,5 +221,32 @@ targets as (select {keep}, host, host <> {base()["host"]} as is_new_subdomain,
 def all_candidates(javascript: bool = True, gate: str = "true") -> str:
     return f"""{candidates(active(javascript), gate)},
 {headers(gate)},
-candidates as (select distinct session_id, page_id, url, candidate from (
-  select session_id, page_id, url, candidate from accepted union all select session_id, page_id, url, candidate from h2 where {usable("candidate")}))"""
+placed as (select session_id, page_id, url, candidate, min(place) as place from (
+  select session_id, page_id, url, candidate, [pass, chunk_no, pattern_no, ord] as place from accepted
+  union all select session_id, page_id, url, candidate, [2, 0, 0, ord] from h2 where {usable("candidate")}) group by all),
+candidates as (select session_id, page_id, url, candidate from placed)"""
+
+
+def capped(most: int) -> str:
+    """CTEs p and f, and a query of them: page by page, the first `most` links that no earlier page of the session brought in."""
+    return f"""links as (select session_id, page_id, resolved, min(place) as place from targets join placed using (session_id, page_id, candidate) group by all),
+p as materialized (select session_id, page_id, row_number() over (partition by session_id order by page_id) as k, list(resolved order by place, resolved) as own from links group by session_id, page_id),
+f(session_id, k, seen, fresh) as (
+  select distinct session_id, 0::bigint, []::varchar[], []::varchar[] from p
+  union all
+  select session_id, k, list_concat(seen, fresh), fresh from (
+    select f.session_id, p.k, f.seen, list_filter(p.own, lambda x: not list_contains(f.seen, x))[1:{most}] as fresh from f join p on p.session_id = f.session_id and p.k = f.k + 1))
+select session_id, page_id, unnest(fresh) as resolved from f join p using (session_id, k)"""
+
+
+def encoded(s: str) -> str:
+    """All but the safe characters as percent signs and hex digits; `+` and `?` stay in queries only."""
+
+    def part(x: str, safe: str) -> str:
+        found = f"url_encode({x})"
+        for c in safe:
+            found = f"replace({found}, '%{ord(c):02X}', {q(c)})"
+        return found
+
+    head, more = f"split_part({s}, '?', 1)", f"substr({s}, position('?' in {s}) + 1)"
+    return f"""{part(head, "/:@&=$,;!*'()")} || case when position('?' in {s}) > 0 then '?' || {part(more, "/:@&=$,;!*'()+?#")} else '' end"""

@@ -15,6 +15,7 @@ from linkloom.options import Options
 from linkloom.plans.discover import discover, found_targets
 from linkloom.samples import RESPONSES_SQL, responses
 from linkloom.sources import pages
+from linkloom.storage import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -198,46 +199,36 @@ def global_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.first_pages(_targets(spark, sf_dir)).select("session_id", "resolved", "page_id")
 
 
-def _known(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Half of all targets' addresses."""
-    return _targets(spark, sf_dir).where(F.length("resolved") % 2 == 0).select("session_id", F.col("uri"))
-
-
 @query(f"{_TARGETS} select distinct session_id, resolved from targets where length(resolved) % 2 = 1")
 def anti_known(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = dedupe.unknown(_targets(spark, sf_dir), _known(spark, sf_dir))
-    return found.select("session_id", "resolved").distinct()
+    """Half of all targets' addresses are known."""
+    found = materialize(_targets(spark, sf_dir).select("session_id", "resolved", "uri"), "anti-known")  # searched for once
+    known = found.where(F.length("resolved") % 2 == 0).select("session_id", "uri")
+    return dedupe.unknown(found, known).select("session_id", "resolved").distinct()
 
 
-#: Three links of each page, the first two shared with others, so that a cap of two lets later pages have what is left.
-_CROWD = "c as (select page_id, unnest(['http://e.com/a' || (page_id % 4), 'http://e.com/b' || (page_id % 3), 'http://e.com/c' || page_id]) as resolved, unnest([0, 1, 2]) as ord from pages where page_id < 12)"
+#: A cap that bites in small tables too.
+FEW = 5
 
 
-@query(f"""with recursive {_CROWD},
-f(page, seen) as (
-  select -1::bigint, []::varchar[] union all
-  select page + 1, list_concat(seen, coalesce((select list(resolved order by ord) from (select resolved, ord from c where page_id = page + 1 and not list_contains(seen, resolved) order by ord limit 2)), [])) from f where page < 11)
-select page_id, resolved from (select page as page_id, unnest(seen[len(p) + 1:]) as resolved from (select page, seen, coalesce(lag(seen) over (order by page), []) as p from f))""")
+@query(f"with recursive {O.all_candidates()}, {O.targets()}, {O.capped(FEW)}")
 def insert_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = spark.read.parquet(f"{sf_dir}/pages.parquet").where("page_id < 12")
-    n = F.col("page_id")
-    address = lambda kind, key: F.concat(F.lit(f"http://e.com/{kind}"), key.cast("string"))
-    crowd = table.select(F.lit(0).cast("long").alias("session_id"), "page_id", F.posexplode(F.array(address("a", n % 4), address("b", n % 3), address("c", n))).alias("ord", "resolved"))
-    return dedupe.capped(crowd.withColumn("place", F.struct("ord")), 2).select("page_id", "resolved")
+    """Which page brings in which address: all links of all pages, with a cap that most pages reach."""
+    return dedupe.capped(_targets(spark, sf_dir), FEW).select("session_id", "page_id", "resolved")
 
 
-@query(None)
+@query(f"with recursive {O.all_candidates()}, {O.targets()}, {O.capped(Options().most_inserts)}")
 def insert_cap_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which page brings in which address: all links of all pages, with the design's cap. Tests hold it against a queue."""
+    """The same with the design's cap."""
     return dedupe.capped(_targets(spark, sf_dir), Options().most_inserts).select("session_id", "page_id", "resolved")
 
 
 @query(f"""with {O.all_candidates(gate=O.GATE)}, {O.targets()},
 first as (select session_id, resolved, min(page_id) as page_id from targets group by all)
-select session_id, page_id, 'GET' as method, resolved, host, is_new_subdomain, case when is_new_subdomain then '[NEW SUBDOMAIN] ' else '' end || 'Discovered via passive link extraction - NOT requested' as note, url as source_url
+select session_id, page_id, 'GET' as method, {O.encoded('resolved')} as uri, resolved, host, is_new_subdomain, case when is_new_subdomain then '[NEW SUBDOMAIN] ' else '' end || 'Discovered via passive link extraction - NOT requested' as note, 'USER' as entry_type, url as source_url
 from (select distinct session_id, page_id, url, resolved, host, is_new_subdomain from targets) join first using (session_id, page_id, resolved)""")
 def placeholder_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return discover(responses(spark, sf_dir)).select("session_id", "page_id", "method", "resolved", "host", "is_new_subdomain", "note", "source_url")
+    return discover(responses(spark, sf_dir)).select("session_id", "page_id", "method", "uri", "resolved", "host", "is_new_subdomain", "note", "entry_type", "source_url")
 
 
 @query(f"with {O.all_candidates()} select page_id, strlen(body) as n_bytes, coalesce(n, 0) as n_candidates from responses left join (select page_id, count(*) as n from candidates group by page_id) using (page_id)")
@@ -246,12 +237,19 @@ def page_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nodes.page_metrics(own, extract.extract_candidates(own)).select("page_id", "n_bytes", "n_candidates")
 
 
-@query(f"with {O.all_candidates()}, {O.targets()} select distinct resolved, regexp_replace(resolved, '[^\\x00-\\x7f]', '', 'g') as ascii from targets")
+@query(f"with {O.all_candidates()}, {O.targets()} select distinct resolved, {O.encoded('resolved')} as uri from targets")
 def encode_uri(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decoding an encoded address gives it again; `ascii` is what was left as it was."""
-    found = _targets(spark, sf_dir).select("resolved", "uri").distinct()
-    same = F.url_decode(F.replace("uri", F.lit("+"), F.lit("%2B")))
-    return found.where(~F.col("uri").rlike(r"[^\x00-\x7f]")).select(F.when(F.col("resolved").contains("%"), F.col("resolved")).otherwise(same).alias("resolved"), rules.replaced(F.col("resolved"), r"[^\x00-\x7f]").alias("ascii"))
+    return _targets(spark, sf_dir).select("resolved", "uri").distinct()
+
+
+@query(f"""with {RESPONSES_SQL}, m as (select page_id, case when page_id % 5 <> 1 then url end as url,
+  case page_id % 5 when 2 then null when 3 then '' else body end as body, case when page_id % 5 <> 4 then content_type end as content_type from responses)
+select page_id from m where {O.GATE}""")
+def gate_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses without an address, a body or a type are passed over."""
+    kind = F.col("page_id") % 5
+    partial = responses(spark, sf_dir).withColumns({"url": F.when(kind != 1, F.col("url")), "body": F.when(kind == 3, "").when(kind != 2, F.col("body")), "content_type": F.when(kind != 4, F.col("content_type"))})
+    return pages.gated(partial).select("page_id")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

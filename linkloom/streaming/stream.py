@@ -1,7 +1,8 @@
 """The same discovery over a stream: each micro-batch looks up what the sink has and appends what is new.
 
-The sink is what remembers, so nothing is kept in state. Addresses are forgotten for a session by reset(): a row in the
-sink's log of resets, after which what was written before no longer counts as seen.
+The sink is what remembers, so nothing is kept in state. Each batch has a folder of its own, which a batch that comes again after a
+failure writes anew, and looks at the batches before it alone; so what a batch brings in never depends on an attempt that was cut short.
+Addresses are forgotten for a session by on_event(): a row in the sink's log of resets, after which what was written before no longer counts as seen.
 """
 
 from __future__ import annotations
@@ -27,13 +28,15 @@ def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def written(spark: SparkSession, sink: str) -> DataFrame:
-    return _read(spark, f"{sink}/nodes", f"{NODES}, written_at timestamp")
+    return _read(spark, f"{sink}/nodes", f"{NODES}, written_at timestamp, batch long").drop("batch")
 
 
-def seen(spark: SparkSession, sink: str) -> DataFrame:
-    """session_id, uri of what counts as seen: written since its session's last reset."""
+def seen(spark: SparkSession, sink: str, before: int | None = None) -> DataFrame:
+    """session_id, uri of what counts as seen: written since its session's last reset, by batches before `before`."""
     last = _read(spark, f"{sink}/resets", "session_id long, at timestamp").groupBy("session_id").agg(F.max("at").alias("at"))
-    return written(spark, sink).join(last, "session_id", "left").where("at is null or written_at > at").select("session_id", "uri")
+    nodes = _read(spark, f"{sink}/nodes", f"{NODES}, written_at timestamp, batch long")
+    own = nodes if before is None else nodes.where(F.col("batch") < before)  # a folder a batch
+    return own.join(last, "session_id", "left").where("at is null or written_at > at").select("session_id", "uri")
 
 
 def on_event(spark: SparkSession, sink: str, session_id: int, event: str) -> bool:
@@ -44,13 +47,15 @@ def on_event(spark: SparkSession, sink: str, session_id: int, event: str) -> boo
     return True
 
 
-def append(batch: DataFrame, sink: str, options: Options, in_scope: Column | None = None) -> None:
+def append(batch: DataFrame, sink: str, options: Options, in_scope: Column | None = None, batch_id: int = 0) -> None:
+    """Writes what a batch brings in; the same rows if it comes again."""
     spark = batch.sparkSession
-    found = unknown(found_targets(batch, options, in_scope), seen(spark, sink))
-    placeholder_nodes(capped(found, options.most_inserts)).withColumn("written_at", F.current_timestamp()).write.mode("append").parquet(f"{sink}/nodes")
+    found = unknown(found_targets(batch, options, in_scope), seen(spark, sink, batch_id))
+    nodes = placeholder_nodes(capped(found, options.most_inserts)).withColumn("written_at", F.current_timestamp())
+    nodes.write.mode("overwrite").parquet(f"{sink}/nodes/batch={batch_id}")
 
 
 def start(responses: DataFrame, sink: str, options: Options | None = None, in_scope: Column | None = None) -> StreamingQuery:
     """Runs over all that is there, then ends; call it again for more."""
     own = options or Options()
-    return responses.writeStream.foreachBatch(lambda batch, _: append(batch, sink, own, in_scope)).option("checkpointLocation", f"{sink}/progress").trigger(availableNow=True).start()
+    return responses.writeStream.foreachBatch(lambda batch, number: append(batch, sink, own, in_scope, number)).option("checkpointLocation", f"{sink}/progress").trigger(availableNow=True).start()

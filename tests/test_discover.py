@@ -9,6 +9,7 @@ from linkloom.operators import dedupe
 from linkloom.options import Options
 from linkloom.plans.discover import discover
 from linkloom.sources.pages import RESPONSES, read_pages, stream_pages
+from linkloom.storage import materialize
 from linkloom.streaming import stream
 
 
@@ -48,7 +49,7 @@ def test_cap_is_a_queue(spark):
 
 def test_cap_of_all_pages(spark):
     sf_dir = "/root/testdata/sf0.001"
-    links = registry._targets(spark, sf_dir).select("session_id", "page_id", "resolved", "place").localCheckpoint()
+    links = materialize(registry._targets(spark, sf_dir).select("session_id", "page_id", "resolved", "place"), "links")
     sessions = {}
     for r in sorted(links.collect(), key=lambda r: (r["page_id"], r["place"], r["resolved"])):
         sessions.setdefault(r["session_id"], {}).setdefault(r["page_id"], []).append(r["resolved"])
@@ -80,3 +81,41 @@ def test_stream_as_batch(spark, tmp_path):
     assert stream.on_event(spark, sink, 0, "site removed") and stream.seen(spark, sink).isEmpty()
 
 
+def test_a_batch_that_comes_again(spark, tmp_path):
+    """A batch that was written and comes again brings in the same, with its cap counted once."""
+    sink, options = str(tmp_path / "out"), Options(most_inserts=3)
+    links = lambda i, a, b: page(i, "".join(f"<a href='/x{n}'>" for n in range(a, b)))
+    batches = [spark.createDataFrame([links(1, 0, 5)], RESPONSES), spark.createDataFrame([links(2, 0, 9), links(3, 4, 9)], RESPONSES)]
+    state = lambda: sorted((r["page_id"], r["uri"]) for r in stream.written(spark, sink).collect())
+    stream.append(batches[0], sink, options, batch_id=0)
+    first = state()
+    stream.append(batches[0], sink, options, batch_id=0)
+    assert state() == first == [(1, f"http://h.com/x{n}") for n in range(3)]
+    stream.append(batches[1], sink, options, batch_id=1)
+    both = state()
+    for _ in range(2):
+        stream.append(batches[1], sink, options, batch_id=1)
+        assert state() == both == first + [(2, f"http://h.com/x{n}") for n in (3, 4, 5)] + [(3, f"http://h.com/x{n}") for n in (6, 7, 8)]
+
+
+def test_forgotten_by_one_session_only(spark, tmp_path):
+    sink = str(tmp_path / "out")
+    rows = [page(1, "<a href='/a'>", 0), page(2, "<a href='/a'>", 1)]
+    df = spark.createDataFrame(rows, RESPONSES)
+    stream.append(df, sink, Options(), batch_id=0)
+    stream.append(df, sink, Options(), batch_id=1)
+    assert stream.written(spark, sink).count() == 2
+    assert stream.on_event(spark, sink, 1, "node removed")
+    stream.append(df, sink, Options(), batch_id=2)
+    assert sorted(r["page_id"] for r in stream.written(spark, sink).collect()) == [1, 2, 2]
+    assert not stream.on_event(spark, sink, 0, "node selected")
+
+
+def test_odd_rows_fail_alone(spark):
+    """Addresses and bodies of any kind: what is odd brings in nothing or little, and the page beside it is as it would be alone."""
+    odd = ["\x00\x01", "<a href=", "<a href='" + "(" * 5000, "%" * 3000, "\ud7ff\ue000 href='/\uffff'", "href='http://[::1]/x' href='http://[bad/' href='http://h:99999999999/'", "fetch('http://a b/')", "`${`" * 500]
+    urls = ["http://[", "ht!tp://%%%", "", "nothing", "http://h.com:x/", "http://h.com/%zz", "//h.com", "http://"]
+    rows = [(0, 1, "http://h.com/p", "text/html", None, None, "<a href='/good'>")] + [(0, 10 + 10 * i + j, u, "text/html", "\x00", ":", b) for i, u in enumerate(urls) for j, b in enumerate(odd)]
+    out = discover(spark.createDataFrame(rows, RESPONSES)).collect()
+    assert [r["resolved"] for r in out if r["page_id"] == 1] == ["http://h.com/good"]
+    assert all(r["host"] and r["uri"].isascii() for r in out)

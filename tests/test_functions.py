@@ -32,6 +32,12 @@ def test_decoding(spark):
     assert values(spark, asked, text.decode_entities) == ["a/b:c=d&e&f", '"', "&#x2f;", "&#47;&apos;&lt;", "///", "", " "]
 
 
+def test_many_brackets(spark):
+    deep = "(" * 1500 + "x" + ")" * 1500
+    asked = ["/a" + "(" * 20_000, "()" * 10_000 + "]", deep, deep + "(z", "a" * 5000 + "[b" + deep]
+    assert values(spark, asked, rules.bracket_cut) == ["/a", "()" * 10_000, deep, deep, "a" * 5000]
+
+
 def test_brackets(spark):
     asked = ["/x(a)b(c", "a(b]c", "/p{id}/q", "([)]", "]x", "a)b(c)", "plain", "((a)(b)", "{[()]}", ""]
     assert values(spark, asked, rules.bracket_cut) == ["/x(a)b", "a", "/p{id}/q", "", "", "a", "plain", "", "{[()]}", ""]
@@ -81,7 +87,8 @@ def test_addresses_as_the_jdk_has_them(spark):
 
 
 def test_encoding(spark):
-    assert values(spark, ["/é x", "/a%20b%zz", "/a?b=c+d&e#f"], urls.encoded) == ["/%C3%A9%20x", "/a%20b%25zz", "/a?b=c+d&e#f"]
+    asked = {"http://h.com:8/é x": "http://h.com:8/%C3%A9%20x", "/a%20b%zz": "/a%2520b%25zz", "/a+b?b=c+d&e?%1": "/a%2Bb?b=c+d&e?%251", "/{id}[0]|^": "/%7Bid%7D%5B0%5D%7C%5E", "/a*(b)!~'c;d,$": "/a*(b)!~'c;d,$", "": "", "/😀?": "/%F0%9F%98%80?"}
+    assert values(spark, list(asked), urls.encoded) == list(asked.values())
 
 
 def test_chunks(spark):
@@ -102,6 +109,13 @@ def test_charsets(spark):
     assert {r["i"]: r["body"] for r in pages.decode_bytes(df, "body", "charset").collect()} == {1: "é€", 2: "é", 3: "é", 4: None}
 
 
+def test_options_in_effect(spark):
+    """A scan of one split is spread over so many threads; stored options come back as they were."""
+    path = "/root/testdata/sf0.001/pages.parquet"
+    assert pages.read_pages(spark, path, Options().with_threads(5)).rdd.getNumPartitions() == 5
+    assert Options.load({**Options().store(), "threads": 1, "discover_subdomains": False}) == Options(discover_subdomains=False)
+
+
 def test_options():
     assert Options().with_threads(99).threads == 8 and Options().with_threads(1).threads == 2
     assert Options.load({"threads": 99, "other": 1}).threads == 99 and Options.load({"threads": 0}).threads == 2
