@@ -176,8 +176,9 @@ class Codec:
         pieces = (self.latin if LATIN_ONLY.match(text) else self.full).findall(text)
         return b"".join(map(self.known.__getitem__, pieces))
 
-    def encode(self, text: str) -> np.ndarray:
-        if self.special_pattern is None or not (hits := list(self.special_pattern.finditer(text))):
+    def encode(self, text: str, special: bool = True) -> np.ndarray:
+        """special: whether the names of special tokens stand for these, or are text like any other."""
+        if not special or self.special_pattern is None or not (hits := list(self.special_pattern.finditer(text))):
             return np.frombuffer(self._ordinary(text), np.int32)
         parts, at = [], 0
         for hit in hits:

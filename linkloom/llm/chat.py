@@ -4,15 +4,18 @@ A conversation becomes one segment for each turn: `<turn>### role:\ntext</turn>\
 backslash goes before each `\`, `<` and `#` (in roles also `:`), so no control string can occur in them, and
 dropping those backslashes gives the text again.
 
+A segment is encoded to tokens in three parts, its head, its text and its close, so that the text's tokens are its own. No text
+stands for a special token of the vocabulary.
+
 Conversations that share initial turns share those nodes of a tree. A node's key is a hash of its parent's key,
 role and text. Sorted by the keys on their paths, conversations come in depth-first order of the tree: each
 adds, as one branch, the turns that it doesn't share with the one before it. All branches make up one
-layout, in which each shared character stands once. A branch carries its start in the layout, the position id
-of its first character (which counts the characters before it in its own conversation), its loss spans, and
-the intervals of the layout that its ancestors take; a character attends to these and to its own branch up to
+layout, in which each shared token stands once. A branch carries its start in the layout, the position id
+of its first token (which counts the tokens before it in its own conversation), its loss spans, and
+the intervals of the layout that its ancestors take; a token attends to these and to its own branch up to
 itself. No branch, tree or hot first turn needs to fit a task: only one conversation does.
 
-Units are code points. Cases: null text or role counts as empty; turns come by (turn, role, text), nulls first;
+Units are tokens of the vocabulary. Cases: null text or role counts as empty; turns come by (turn, role, text), nulls first;
 repeated rows are turns of their own; rows with a null conv_id make up one conversation; an empty table gives
 no rows; further columns are ignored.
 """
@@ -23,20 +26,22 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import materialize, shared_dir
+from linkloom.llm.bpe import Codec, codec
+from linkloom.llm.common import materialize, shared_dir, split_join
 
 KEY = 16
 OPEN, BETWEEN, CLOSE = "<turn>### ", ":\n", "</turn>\n"
 _TEXT, _ROLE, _ESCAPED = re.compile(r"[\\<#]"), re.compile(r"[\\<#:]"), re.compile(r"\\(.)", re.S)
 _SEGMENT = re.compile(r"<turn>### ((?:[^\\:]+|\\.)*):\n((?:[^\\<]+|\\.)*)</turn>\n", re.S)
 
-PATHS = "conv_id long, leaf binary, path binary, segments array<string>, loss array<struct<start:int,end:int>>"
-BRANCHES = "leaf binary, start long, position long, first_turn int, text string, loss array<struct<start:int,end:int>>, ancestors array<struct<start:long,end:long>>"
+PATHS = "conv_id long, leaf binary, path binary, segments array<array<int>>, loss array<struct<start:int,end:int>>"
+BRANCHES = "leaf binary, start long, position long, first_turn int, tokens array<int>, loss array<struct<start:int,end:int>>, ancestors array<struct<start:long,end:long>>"
 
 
 def escape(text: str, pattern: re.Pattern = _TEXT) -> str:
@@ -47,10 +52,10 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(r"\1", text)
 
 
-def segment(role: str, text: str) -> tuple[str, tuple[int, int]]:
-    """A turn's segment, and where its text is in it if the model learns it (else an empty span)."""
-    head, body = OPEN + escape(role, _ROLE) + BETWEEN, escape(text)
-    return head + body + CLOSE, (len(head), len(head) + len(body)) if role == "assistant" else (-1, -1)
+def segment(role: str, text: str, own: Codec) -> tuple[list[int], tuple[int, int]]:
+    """A turn's tokens, and where its text is among them if the model learns it (else an empty span)."""
+    head, body, close = (own.encode(x, special=False).tolist() for x in (OPEN + escape(role, _ROLE) + BETWEEN, escape(text), CLOSE))
+    return head + body + close, (len(head), len(head) + len(body)) if role == "assistant" else (-1, -1)
 
 
 def parse(formatted: str) -> list[tuple[str, str]]:
@@ -77,16 +82,23 @@ def _batch(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
 
 
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-_PATHS = pa.schema([("conv_id", pa.int64()), ("leaf", pa.binary()), ("path", pa.binary()), ("segments", pa.list_(pa.string())), ("loss", _SPANS)])
-_BRANCHES = pa.schema([("leaf", pa.binary()), ("start", pa.int64()), ("position", pa.int64()), ("first_turn", pa.int32()), ("text", pa.string()), ("loss", _SPANS), ("ancestors", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
+_PATHS = pa.schema([("conv_id", pa.int64()), ("leaf", pa.binary()), ("path", pa.binary()), ("segments", pa.list_(pa.list_(pa.int32()))), ("loss", _SPANS)])
+_BRANCHES = pa.schema([("leaf", pa.binary()), ("start", pa.int64()), ("position", pa.int64()), ("first_turn", pa.int32()), ("tokens", pa.list_(pa.int32())), ("loss", _SPANS), ("ancestors", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
+
+
+def _spec(spark: SparkSession, vocabulary: str):
+    with open(vocabulary, encoding="utf-8") as file:
+        return spark.sparkContext.broadcast(file.read())  # a vocabulary: bounded
 
 
-def paths(conversations: DataFrame) -> DataFrame:
+def paths(conversations: DataFrame, vocabulary: str) -> DataFrame:
     """Each conversation's way down the tree (the keys of its nodes, one after the other) and its segments."""
+    spec = _spec(conversations.sparkSession, vocabulary)
     turns = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("t"))
     whole = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(spec.value)
         for rows in _rows(batches):
             out = []
             for row in rows:
@@ -95,7 +107,7 @@ def paths(conversations: DataFrame) -> DataFrame:
                     role, text = turn["role"].encode(), turn["text"].encode()
                     key = hashlib.blake2b(key + len(role).to_bytes(8) + role + text, digest_size=KEY).digest()
                     keys.append(key)
-                    made, (start, end) = segment(turn["role"], turn["text"])
+                    made, (start, end) = segment(turn["role"], turn["text"], own)
                     segments.append(made)
                     loss.append({"start": start, "end": end})
                 out.append({"conv_id": row["conv_id"], "leaf": key, "path": b"".join(keys), "segments": segments, "loss": loss})
@@ -189,42 +201,47 @@ def branches(leaves: DataFrame) -> DataFrame:
                     if span["start"] >= 0:
                         loss.append({"start": at + span["start"], "end": at + span["end"]})
                     at += n
-                out.append({"leaf": row["leaf"], "start": start, "position": sum(lengths[:shared]), "first_turn": shared, "text": "".join(row["segments"][shared:]), "loss": loss, "ancestors": ancestors})
+                out.append({"leaf": row["leaf"], "start": start, "position": sum(lengths[:shared]), "first_turn": shared, "tokens": [t for s in row["segments"][shared:] for t in s], "loss": loss, "ancestors": ancestors})
             yield _batch(out, _BRANCHES)
 
     return ordered.mapInArrow(run, BRANCHES)
 
 
-def format_conversations(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(branches of the layout, the leaf at which each conversation ends)"""
-    found = materialize(paths(conversations), "chat-paths")
+def format_conversations(conversations: DataFrame, vocabulary: str) -> tuple[DataFrame, DataFrame]:
+    """(branches of the layout, the leaf at which each conversation ends). vocabulary: path of a tokenizers file, read on the driver."""
+    found = materialize(paths(conversations, vocabulary), "chat-paths")
     leaves = found.groupBy("leaf").agg(*(F.first(c).alias(c) for c in ("path", "segments", "loss")))  # equal in a group
     return materialize(branches(leaves), "chat-branches"), found.select("conv_id", "leaf")
 
 
 def read_back(layout: DataFrame) -> DataFrame:
-    """leaf, formatted, loss: each distinct conversation, put together from the layout by its attention intervals."""
-    own = F.struct("start", (F.col("start") + F.length("text")).alias("end"))
+    """leaf, pieces: each distinct conversation, put together from the layout by its attention intervals."""
+    own = F.struct("start", (F.col("start") + F.size("tokens")).alias("end"))
     pieces = layout.select("leaf", F.posexplode(F.concat("ancestors", F.array(own))).alias("no", "piece")).select("leaf", "no", F.col("piece.start").alias("start"), (F.col("piece.end") - F.col("piece.start")).cast("int").alias("n"))
-    texts = layout.select("start", "text", F.col("loss").alias("spans"))
-    cut = pieces.join(texts, "start").select("leaf", F.struct("no", F.col("text").substr(F.lit(1), F.col("n")).alias("text"), F.filter("spans", lambda s: s["end"] <= F.col("n")).alias("spans")).alias("p"))
+    # a first turn may be that of a good part of all conversations
+    both = split_join(pieces, layout.select("start", "tokens", F.col("loss").alias("spans")), "start", "leaf")
+    cut = both.select("leaf", F.struct("no", F.slice("tokens", F.lit(1), F.col("n")).alias("tokens"), F.filter("spans", lambda s: s["end"] <= F.col("n")).alias("spans")).alias("p"))
     return cut.groupBy("leaf").agg(F.sort_array(F.collect_list("p")).alias("pieces"))
 
 
-def digests(conversations: DataFrame) -> DataFrame:
+def digests(conversations: DataFrame, vocabulary: str) -> DataFrame:
     """Per conversation: what is read back from the layout, as counts and hex digests."""
-    layout, members = format_conversations(conversations)
+    layout, members = format_conversations(conversations, vocabulary)
+    spec = _spec(conversations.sparkSession, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(spec.value)
+        text_of = lambda ids: own.decode(np.array(ids, np.int64))[0].tobytes().decode()
         for rows in _rows(batches):
             out = []
             for row in rows:
-                formatted = "".join(p["text"] for p in row["pieces"])
+                formatted = text_of([t for p in row["pieces"] for t in p["tokens"]])
                 turns = parse(formatted)
-                learned = "".join(unescape(p["text"][s["start"] : s["end"]]) for p in row["pieces"] for s in p["spans"])
+                learned = "".join(unescape(text_of(p["tokens"][s["start"] : s["end"]])) for p in row["pieces"] for s in p["spans"])
                 text = "".join(f"{role}\n{body}\n" for role, body in turns)
                 out.append({"leaf": row["leaf"], "n_turns": len(turns), "turns_sha256": hashlib.sha256(text.encode()).hexdigest(), "loss_chars": len(learned), "loss_sha256": hashlib.sha256(learned.encode()).hexdigest(), "formatted_chars": len(formatted)})
             yield pa.RecordBatch.from_pylist(out)
 
-    found = read_back(layout).mapInArrow(run, "leaf binary, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
-    return members.join(found, "leaf").select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+    found = materialize(read_back(layout).mapInArrow(run, "leaf binary, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"), "chat-digests")
+    # equal conversations have one leaf
+    return split_join(members, found, "leaf", "conv_id").select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")

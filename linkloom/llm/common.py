@@ -26,6 +26,22 @@ def n_words(column: Column) -> Column:
     return F.size(F.regexp_extract_all(F.coalesce(column, F.lit("")), F.lit(WORD), F.lit(0))).cast("long")
 
 
+def split_join(left: DataFrame, right: DataFrame, key: str, spread: str) -> DataFrame:
+    """left joined with right, which has one row a key. left is read twice.
+
+    A key that many of left's rows share is dealt over several tasks by a hash of `spread`, and right's row of it copied to
+    each. Such keys are few: each has more than a quarter of an even partition's rows.
+    """
+    partitions = 4 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    limit = max(1000, left.count() // partitions)
+    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
+    hot = F.broadcast(materialize(counts.select(key, F.ceil(F.col("_n") / limit).cast("int").alias("_copies")), "hot-keys"))  # as many rows as `partitions` at most
+    dealt = left.join(hot, key, "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64(spread), F.col("_copies")).cast("int"), F.lit(0))).drop("_copies")
+    parts = F.sequence(F.lit(0), F.coalesce(F.col("_copies") - 1, F.lit(0)))
+    copied = right.join(hot, key, "left").withColumn("_part", F.explode(parts)).drop("_copies")
+    return dealt.join(copied, [key, "_part"]).drop("_part")
+
+
 def shielded(df: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
     """df with all columns but `used` under names of our own, and what gives such rows their names back, in df's order."""
     names = {c: c if c in used else f"_column_{i}" for i, c in enumerate(df.columns)}
@@ -33,4 +49,4 @@ def shielded(df: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, Callable[
     return hidden, lambda out: out.select(*(F.col(n).alias(c) for c, n in names.items()))
 
 
-__all__ = ["WORD", "materialize", "n_words", "shared_dir", "shielded", "table", "text_or_empty"]
+__all__ = ["WORD", "materialize", "n_words", "shared_dir", "shielded", "split_join", "table", "text_or_empty"]

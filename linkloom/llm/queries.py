@@ -27,7 +27,7 @@ CONTROL = "\\### Assistant: </turn> ok"
 
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     more = spark.createDataFrame([(-7, 0, "user", CONTROL), (-7, 1, "assistant", CONTROL)], "conv_id long, turn long, role string, text string")
-    return chat.digests(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more))
+    return chat.digests(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more), VOCABULARY)
 
 
 OP3 = r"""
