@@ -6,8 +6,8 @@ the two tokens' merges decides; otherwise its next shorter prefix is tried, and
 token before it is given up. A place that was given up is never entered again, so the time is linear.
 
 Cases: a null text counts as empty; an empty text has no ids and decodes to an empty text; repeated
-rows are encoded each; further columns are kept as they are. If a column to add is there already,
-ValueError is raised rather than replacing it.
+rows are encoded each; further columns are kept as they are, but a column that is named like the one to add
+(in any case) gives way to it.
 """
 
 from __future__ import annotations
@@ -221,18 +221,19 @@ def _slices(batch: pa.RecordBatch, size: list[int]) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at)
 
 
-def _added(df: DataFrame, *fields: T.StructField) -> T.StructType:
-    if clash := {f.name.lower() for f in fields} & {c.lower() for c in df.columns}:
-        raise ValueError(f"columns are there already: {sorted(clash)}")
-    return T.StructType([*df.schema.fields, *fields])
+def _room(df: DataFrame, name: str, read: str) -> DataFrame:
+    """df without columns named like the one to add, but for the one that is read."""
+    return df.select(*(F.col(f"`{c}`") for c in df.columns if c.lower() != name.lower() or c == read))
 
 
 def encode(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids", keep_text: bool = True) -> DataFrame:
     """df with the token ids of a column of texts. vocabulary: path of a tokenizers file, read on the driver."""
     with open(vocabulary, encoding="utf-8") as file:
         spec = df.sparkSession.sparkContext.broadcast(file.read())  # a vocabulary: bounded
+    df = _room(df, ids, text)
     at = df.columns.index(text)
-    schema = _added(df if keep_text else df.drop(text), T.StructField(ids, T.ArrayType(T.IntegerType(), False)))
+    keep_text = keep_text and ids.lower() != text.lower()
+    schema = T.StructType([f for f in df.schema.fields if keep_text or f.name != text] + [T.StructField(ids, T.ArrayType(T.IntegerType(), False))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(spec.value)
@@ -252,8 +253,10 @@ def decode(df: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decode
     """df with the texts of a column of token ids; null ids count as none. Bytes that are no UTF-8 become U+FFFD."""
     with open(vocabulary, encoding="utf-8") as file:
         spec = df.sparkSession.sparkContext.broadcast(file.read())
+    df = _room(df, text, ids)
     at = df.columns.index(ids)
-    schema = _added(df, T.StructField(text, T.StringType()))
+    keep_ids = text.lower() != ids.lower()
+    schema = T.StructType([f for f in df.schema.fields if keep_ids or f.name != ids] + [T.StructField(text, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(spec.value)
@@ -266,7 +269,8 @@ def decode(df: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decode
                 cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(lengths)])]
                 raw = data.tobytes()
                 texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:], strict=False)]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=schema.names)
+                kept = [c for i, c in enumerate(batch.columns) if keep_ids or i != at]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string())], names=schema.names)
 
     return df.mapInArrow(run, schema)
 

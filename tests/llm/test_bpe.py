@@ -2,7 +2,6 @@ import hashlib
 
 import numpy as np
 import public_tokenizers
-import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -39,8 +38,10 @@ def test_rows(spark):
         assert found[i]["decoded_sha256"] == hashlib.sha256((t or "").encode()).hexdigest()
     assert bpe.digests(df, PATH).count() == 7 and bpe.digests(df.limit(0), PATH).count() == 0
     assert bpe.encode(df, PATH).columns == ["doc_id", "text", "n_tokens", "ids"]
-    with pytest.raises(ValueError):
-        bpe.encode(df, PATH, ids="N_tokens")
+    clash = bpe.encode(df, PATH, ids="N_tokens")
+    assert clash.columns == ["doc_id", "text", "N_tokens"] and clash.where("doc_id = 4").first()["N_tokens"] == PEER.encode(texts[4]).ids
+    same = bpe.decode(bpe.encode(df, PATH, ids="text"), PATH, ids="text", text="text")
+    assert same.columns == ["doc_id", "n_tokens", "text"] and {(r["doc_id"], r["text"]) for r in same.collect()} == {(i, t or "") for i, t in enumerate(texts)} | {(0, "one two")}
 
 
 def test_broken_bytes(spark):

@@ -1,7 +1,8 @@
 import re
 
 import corpus_pipeline
-from linkloom.llm import kneser, mixing, secrets
+from linkloom.llm import kneser, secrets
+from tests.llm.test_mixing import targets
 from tests.llm.test_neardup import shingle_set
 
 SF = "/root/testdata/sf0.001"
@@ -26,7 +27,7 @@ def test_stages(spark):
     assert all(any(x is not s and 100 * len(s & x) >= 80 * len(s | x) for x in whole) for s in (shingle_set(r["text"]) for r in lost))
     before = {r["doc_id"]: r["text"] for r in at["near_dups"]}
     for r in at["secrets"]:
-        assert not any(re.search(p.pattern, r["text"]) and any(len(m[p.group]) >= p.least for m in re.finditer(p.pattern, r["text"])) for p in secrets.RULES)
+        assert not any(re.search(p.pattern, r["text"]) and any(len(m[p.group] or "") >= p.least for m in re.finditer(p.pattern, r["text"])) for p in secrets.RULES)
         assert ("[SECRET]" in r["text"]) == (r["text"] != before[r["doc_id"]]) and r["n_chars"] == len(r["text"])
     assert len(at["secrets"]) == len(at["near_dups"])
     size, taken = {}, {}
@@ -34,7 +35,7 @@ def test_stages(spark):
         for r in rows:
             into[r["source"]] = into.get(r["source"], 0) + len(r["text"].split())
     longest = max(len(r["text"].split()) for r in at["secrets"])
-    assert all(abs(taken.get(s, 0) - t) <= longest for s, t in mixing.targets(size).items())
+    assert all(abs(taken.get(s, 0) - t) <= longest for s, t in targets(size).items())
     assert len(at["tokens"]) == len(at["mixing"]) and all(r["round_trip"] for r in at["tokens"])
 
 
