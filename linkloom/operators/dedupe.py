@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkloom.storage import materialize
+from linkloom.storage import discard, materialize
 
 
 def unknown(targets: DataFrame, site_nodes: DataFrame) -> DataFrame:
@@ -42,4 +42,6 @@ def capped(targets: DataFrame, most: int) -> DataFrame:
         if over.isEmpty():
             came = ranked.select("session_id", "page_id", "resolved", "place")
             return targets.join(came, ["session_id", "page_id", "resolved", "place"], "left_semi")
+        done = [ranked] if refused is None else [ranked, refused]
         refused = materialize(over if refused is None else refused.unionByName(over), "refused")
+        discard(*done)
