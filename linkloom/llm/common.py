@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.storage import materialize, shared_dir
+from linkloom.storage import discard, materialize, shared_dir
 
 #: What separates words: space and the control characters 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -49,4 +49,4 @@ def shielded(df: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, Callable[
     return hidden, lambda out: out.select(*(F.col(n).alias(c) for c, n in names.items()))
 
 
-__all__ = ["WORD", "materialize", "n_words", "shared_dir", "shielded", "split_join", "table", "text_or_empty"]
+__all__ = ["WORD", "discard", "materialize", "n_words", "shared_dir", "shielded", "split_join", "table", "text_or_empty"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import materialize
+from linkloom.llm.common import discard, materialize
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -28,12 +28,14 @@ def components(edges: DataFrame) -> DataFrame:
         moves = materialize(both.groupBy(F.col("a").alias("node")).agg(F.min(place("b")).alias("m")).select("node", F.least(place("node"), "m")["node"].alias("root")), "moves")
         to = lambda side: moves.select(F.col("node").alias(side), F.col("root").alias(f"to_{side}"))  # noqa: E731, B023
         moved = left.join(to("a"), "a").join(to("b"), "b").select(F.col("to_a").alias("a"), F.col("to_b").alias("b"))
-        left = materialize(tidy(moved), "edges")
+        before, left = left, materialize(tidy(moved), "edges")
+        discard(before)
         if labels is None:
             labels = moves
         else:
             further = moves.select(F.col("node").alias("root"), F.col("root").alias("next"))
-            labels = materialize(labels.join(further, "root", "left").select("node", F.coalesce("next", "root").alias("root")), "labels")
+            before, labels = labels, materialize(labels.join(further, "root", "left").select("node", F.coalesce("next", "root").alias("root")), "labels")
+            discard(before, moves)
     if labels is None:
         return left.select(F.col("a").alias("node"), F.col("b").alias("root"))
     least = materialize(labels.groupBy("root").agg(F.min("node").alias("least")), "least")  # written, so that a join with a large component can be split

@@ -234,7 +234,7 @@ def _border(docs: DataFrame, open_: DataFrame) -> DataFrame:
         found = materialize(first.select("pattern", F.lit(level).alias("_level"), F.col("next").alias("_at"), (F.col("_left") - F.col("upto") + F.col("n")).alias("_left"), "rows"), "border")
         few = (F.col("rows") <= FEW) | F.lit(level == levels)
         done = found.where(few).drop("rows") if done is None else done.unionByName(found.where(few).drop("rows"))
-        now = found.where(~few).select("pattern", "_at", "_left")
+        now = found.where(~few).select("pattern", "_at", "_left")  # these few rows are read again by what comes after
         if now.isEmpty():
             break
     return done

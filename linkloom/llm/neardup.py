@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import materialize, shielded
+from linkloom.llm.common import discard, materialize, shielded
 from linkloom.llm.graph import components
 
 DEPTH, SPARSE, DENSE = 8, 5, 6
@@ -329,7 +329,9 @@ def _between(sets: DataFrame, weights: DataFrame, clusters: DataFrame, percent:
     pairs = each.select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "key", "set")
     # a group of (i, j) with rows of one block only has nothing to compare unless i = j
     tagged = pairs.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "block", "key")
-    return materialize(tagged.mapInArrow(_compare(percent), PAIR), "links-between")
+    found = materialize(tagged.mapInArrow(_compare(percent), PAIR), "links-between")
+    discard(own, sums, left, places, asked)
+    return found
 
 
 def links(documents: DataFrame, classes: DataFrame, width: int, percent: int, trees: int) -> DataFrame:
@@ -345,6 +347,7 @@ def links(documents: DataFrame, classes: DataFrame, width: int, percent: int, tr
     small = sets.where("not large").select("family", F.lit(0).alias("block"), "key", "set").repartition("family").sortWithinPartitions("family", "key")
     found = materialize(small.mapInArrow(_compare(percent), PAIR), "links")
     if large.isEmpty():
+        discard(members, large, sets)
         return found
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     heavy = sets.where("large")
@@ -354,6 +357,7 @@ def links(documents: DataFrame, classes: DataFrame, width: int, percent: int, tr
     first = materialize(ordered.mapInArrow(_compare(percent, BLOCK), PAIR), "links-in-order")
     weights = members.join(large, "family").select("key", "family", "weight")
     rest = _between(heavy.select("key", "family", "set"), weights, components(first), percent)
+    discard(members, large, sets)
     return found.unionByName(first).unionByName(rest)
 
 
@@ -370,6 +374,7 @@ def resolve(documents: DataFrame, width: int, percent: int) -> tuple[DataFrame,
     firsts = materialize(full.groupBy("key").agg(F.min("doc_id").alias("first_id")).join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key")), "roots")
     ids = materialize(firsts.groupBy("root").agg(F.min("first_id").alias("component_id")), "component-ids")  # written, so that a join with a large component can be split
     by_key = materialize(firsts.join(ids, "root").select("key", "root", "component_id"), "components")
+    discard(firsts, ids)
     return full.join(by_key, "key").select("doc_id", "text_hash", "n_shingles", "root", "component_id"), signed.where("key is null").select("doc_id", "text_hash")
 
 
