@@ -11,7 +11,7 @@ Queries come in blocks too, and each block of queries meets each block of cells;
 Cases: vectors that are null, or hold null, NaN or infinite components, take no part, neither do null ids.
 Vectors of other lengths than the query's aren't compared with it. A query's own rows are those with its id.
 Repeated query rows with the same vector are answered once, with another vector each on its own; other repeated rows count
-each. An empty table gives no rows. Further columns are ignored.
+each. A score beyond the range of a long is null and comes last. An empty table gives no rows. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -78,8 +78,8 @@ def _flushed(held: dict[int, list], size: int) -> Iterator[tuple[int, list[np.nd
 def cells_of(block: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Each component's cell, the lowest value of its cell 0, and how many values a cell has, by component."""
     low, high = block.min(axis=0), block.max(axis=0)
-    width = np.maximum((high - low + CELLS) // CELLS, 1)
-    return ((block - low) // width).astype(np.uint8), low, width
+    width = (high.astype(np.uint64) - low.astype(np.uint64)) // np.uint64(CELLS) + np.uint64(1)  # unsigned: no span is too wide
+    return ((block.astype(np.uint64) - low.astype(np.uint64)) // width).astype(np.uint8), low, width.astype(np.int64)
 
 
 def _cell_file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,6 +200,6 @@ def top_k(df: DataFrame, k: int = 5, every: int = 50, id: str = "vec_id", vector
 def _scores(some: DataFrame, exact: DataFrame, queries: DataFrame) -> DataFrame:
     """query_id, query_no, vec_id, score of candidates (query_id, query_no, key), from their exact vectors."""
     both = some.select("query_id", "query_no", "key").join(exact, "key").join(queries, ["query_id", "query_no"]).where(F.size("v") == F.size("q"))
-    score = F.aggregate(F.zip_with("v", "q", lambda a, b: a * b), F.lit(0).cast("long"), lambda a, x: a + x)
+    score = F.aggregate(F.zip_with("v", "q", lambda a, b: F.try_multiply(a, b)), F.lit(0).cast("long"), lambda a, x: F.try_add(a, x))
     ids = F.filter("ids", lambda x: x != F.col("query_id"))
     return both.select("query_id", "query_no", score.alias("score"), F.explode(ids).alias("vec_id")).select("query_id", "query_no", "vec_id", "score")

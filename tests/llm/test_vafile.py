@@ -46,15 +46,21 @@ def test_many_equal_vectors(spark):
     assert sorted(tuple(r) for r in vafile.top_k(df).collect()) == want
 
 
+def test_scores_beyond_a_long(spark):
+    rows = [(0, [3e38, 3e38]), (50, [1.0, 2.0]), (1, [3.0, 4.0]), (2, [-3e38, 3e38])]
+    found = vafile.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    assert {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found} >= {(50, 1, 1, 11 * 65536), (50, 2, 0, None), (50, 3, 2, None)} and len(found) == 6
+
+
 def test_bounds_hold():
     random_ = np.random.default_rng(3)
-    for scale in (3, 200, 10**7):
+    for scale in (3, 200, 10**7, 2**62):
         block = random_.integers(-scale, scale, (1500, 16))
         cells, low, width = vafile.cells_of(block)
         assert cells.dtype == np.uint8
         middle, radius = vafile.bounds(block[:40], cells, low, width)
-        exact = block[:40] @ block.T
-        assert (np.abs(exact - middle) <= radius[:, None]).all()
+        exact = block[:40].astype(object) @ block.T.astype(object)
+        assert (np.abs(exact - middle.astype(object)) <= radius[:, None] * (1 + 1e-9)).all()
 
 
 def test_few_exact_vectors_are_read(spark):
