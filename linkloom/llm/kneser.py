@@ -7,8 +7,8 @@ how many n-grams have each count. Joins with the sums of each context and with t
 every n-gram its probability, and every context its weight for the order below.
 
 Texts are dealt to chunks of a bounded size by a hash of their rows. Each chunk asks for the n-grams that it holds, once each. What
-is asked for is joined with the tables of all orders, sharded by n-gram and by context as Spark's joins are, and what it costs
-goes back to the chunk, which sums it up text by text. So neither the model nor what is asked for is ever in one place, and
+is asked for is joined with the tables of all orders, sharded by n-gram and by context as Spark's joins are (a table of few rows is
+sent to all tasks instead), and what it costs goes back to the chunk, which sums it up text by text. So neither a large model nor what is asked for is ever in one place, and
 either may grow with the corpus without a worker growing with it.
 
 The second half gives thresholds: for each language, a quantile of what its documents cost, plus a margin. Cost is
@@ -39,6 +39,8 @@ ORDER = 5
 CHUNK = 32_000_000
 #: Bytes that are looked at together, and different n-grams that a counting task holds.
 PART, HELD = 4_000_000, 2_000_000
+#: Rows of a table of ids, languages or n-grams up to which it is broadcast in a join; with more, both sides are shuffled.
+BROADCAST_ROWS = 1_000_000
 PRIOR = 150
 QUANTILE, MARGIN = 0.99, 0.15
 
@@ -121,6 +123,11 @@ def probabilities(grams: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
     return seen, contexts
 
 
+def _side(df: DataFrame) -> DataFrame:
+    """A written table as a side of a join."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 class Model:
     """The tables of all orders, as DataFrames."""
 
@@ -131,15 +138,15 @@ class Model:
         self.base = rest["weight"] / 256 if rest else 1 / 256
 
     def costs(self, asked: DataFrame) -> DataFrame:
-        """asked (with gram) and nats: what the last byte of each n-gram costs after those before it. Small tables are broadcast by Spark, larger ones joined by a shuffle."""
+        """asked (with gram) and nats: what the last byte of each n-gram costs after those before it."""
         own = lambda k: F.col("gram").bitwiseAND(F.lit(256**k - 1))
         found, p = asked, F.lit(self.base)
         for k in range(1, ORDER + 1):
             seen = self.seen[k - 1].select(F.col("gram").alias(f"_gram{k}"), F.col("p").alias(f"_p{k}"))
-            found = found.join(seen, own(k) == F.col(f"_gram{k}"), "left")
+            found = found.join(_side(seen), own(k) == F.col(f"_gram{k}"), "left")
             if k > 1:
                 contexts = self.contexts[k - 1].select(F.col("context").alias(f"_context{k}"), F.col("weight").alias(f"_w{k}"))
-                found = found.join(contexts, F.shiftright(own(k), 8) == F.col(f"_context{k}"), "left")
+                found = found.join(_side(contexts), F.shiftright(own(k), 8) == F.col(f"_context{k}"), "left")
                 p = F.coalesce(F.col(f"_w{k}"), F.lit(1.0)) * p
             p = F.coalesce(F.col(f"_p{k}"), p)
         return found.select(*asked.columns, (-F.log(F.greatest(p, F.lit(1e-30)))).cast("float").alias("nats"))
@@ -191,9 +198,9 @@ def classify(documents: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("
     half = F.pmod(F.xxhash64(F.lit(3), F.col("text")), F.lit(2))
     name = lambda i, c: "text" if c == "text" else f"_own_{i}"
     own = documents.select(*(F.col(f"`{c}`").alias(f"_own_{i}") for i, c in enumerate(keep) if c != "text"), "text", F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), half.alias("_half"))
-    model = Model(materialize(counts(own.where("length(text) > 0 and _half = 0").select("text", "_id").join(ids, "_id", "left_semi").select("text")), "grams5"))
+    model = Model(materialize(counts(own.where("length(text) > 0 and _half = 0").select("text", "_id").join(_side(ids), "_id", "left_semi").select("text")), "grams5"))
     scored = materialize(score(own, model, keep=tuple(c for c in own.columns if c != "text" or "text" in keep)), "scored")
-    judged = materialize(scored.where("n_bytes > 0 and _half = 1").select("_id", "_lang", "nats", "n_bytes").join(ids, "_id", "left_semi").select("_lang", "nats", "n_bytes"), "judged")
+    judged = materialize(scored.where("n_bytes > 0 and _half = 1").select("_id", "_lang", "nats", "n_bytes").join(_side(ids), "_id", "left_semi").select("_lang", "nats", "n_bytes"), "judged")
     means = judged.groupBy("_lang").agg((F.sum("nats") / F.sum("n_bytes")).alias("_mean"))
     drawn = lambda: (F.col("nats") + PRIOR * F.col("_mean")) / (F.col("n_bytes") + PRIOR)
     cut = lambda x: F.percentile_approx(x, quantile, 100_000).alias("_least")
@@ -202,7 +209,7 @@ def classify(documents: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("
     everyone = judged.agg((F.sum("nats") / F.sum("n_bytes")).alias("m")).first()["m"]
     least = costs.agg(cut("cost")).first()["_least"]
     known = not model.empty and least is not None
-    both = scored.join(limits, F.col("_lang").eqNullSafe(F.col("_of")), "left")
+    both = scored.join(_side(limits), F.col("_lang").eqNullSafe(F.col("_of")), "left")
     mean, most = F.coalesce("_mean", F.lit(everyone if known else 0.0)), F.coalesce("_least", F.lit(least if known else 0.0)) + margin
     cost = (F.col("nats") + PRIOR * mean) / (F.col("n_bytes") + PRIOR)
     empty = F.col("n_bytes") == 0
