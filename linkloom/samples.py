@@ -15,9 +15,9 @@ SNIPPETS = (
     """<style>a{background:url(/bg/{n}.html)} b{background:url( "/bg/{n}.css" )} c{x:url('/font{n}.eot')}</style>""",
     """see https://docs{n}.example.com/guide/{n}?q=1 or HTTP://API.example.com:8080/v1/{n}. (https://en.example.org/wiki)""",
     """load "//cdn{n}.example.net/lib.js" or (//rel.example.com/api/{n}) or //a.b.c.example.com/x now""",
-    """//# sourceMappingURL=/static/js/main{n}.js.map\n/*# sourceMappingURL=app.{n}.js.map */""",
-    """reach support{n}.example.com or api-test.local, ignore bootstrap.com, a.b, x.co.uk, -api.example.com, shop.top, this.com, me@mail{n}.example.com""",
-    """fetch('/api/v{n}/session'); fetch( "/api/v1/users/{n}" ); FETCH('/upper/{n}')""",
+    """/*# sourceMappingURL = /maps/site{n}.css.map */\n//@ sourceMappingURL=lib.{n}.js.map""",
+    """ask mirror{n}.example.net, db-1.internal or x.bootstrap.com, a.b, z.co.uk, -m.example.net, sale.top, self.com, desk@post{n}.example.net""",
+    """fetch('/api/v{n}/orders'); fetch( "/api/v1/carts/{n}" ); FETCH('/upper/{n}')""",
     """x.open('GET', '/xhr/{n}'); r.open("post" , "/xhr/post/{n}")""",
     """import a from '/mod/{n}.js'; import "/mod/side{n}.js"; import('/lazy/{n}.js'); import ( "/lazy/b{n}.js" )""",
     """require('./lib/{n}'); require.resolve("../up/{n}"); var c = require('config.json')""",
@@ -28,9 +28,9 @@ SNIPPETS = (
     """const u = `/api/items/${id}/edit/{n}`; const v = `/plain/{n}`; const w = `/t/${a.b}/${c}`""",
     """const a = '/api/v2/items/{n}'; const b = 'api/v2/export{n}.json'; const c = 'config{n}.json'; d = 'x.tar.gz' e = "#/route/{n}" """,
     """p "./rel/{n}" q "../up/{n}" 'a/b/c{n}.php?x=1 2' "dir/file.js.map" 'one.js' 'two.php?id={n}' \t'/tab/{n}'\n'/line/{n}'""",
-    """fetch('/api%2fv1%2fsession{n}'); window.open('http&#x3a;&#x2f;&#x2f;enc{n}.example.com&#x2f;admin'); u = '/api\\u002fv1\\u002fusers{n}'""",
+    """axios('%2Fenc%2fone{n}'); location='https&#x3A;&#2f&#x2F;e{n}.example.net&#x2f;in'; k = '\\u002Forders\\u002f{n}'""",
     """href=&quot;/quoted/{n}&quot; href=%22/pct/{n}%22 a&amp;quot;b &#38;amp; x&equals;y &nbsp;&#061;&#2f;&#X2F; \\/esc\\/{n} &amp;#x2f;""",
-    """var u="/api/v1/x{n}`evil"; const a = '/api/v1/x{id'; const b = '/api/v1/{n}{id}'; url('/x{n}</div'); c = "/y(a)b(c" d = "/z[1]]{n}" """,
+    """let s="/tick/{n}`more"; p = '/open/{k'; r = '/pair/{n}{k}'; url('/tag{n}</i'); t = "/f(g)h(i" v = "/l[0]]{n}" """,
     """fetch('javascript:alert({n})'); fetch('data:text/html,x'); fetch('mailto:a@b.c'); fetch('tel:1{n}'); fetch('#frag'); fetch('#/app/{n}')""",
     """fetch('$x/{n}'); fetch('/=a'); fetch('-opt'); fetch('...'); fetch('text/html'); fetch('image/png'); fetch('a b'); fetch('/é'); fetch('.hid/{n}')""",
     """fetch('/go?u=https://www.facebook.com/{n}'); fetch('/login/google/{n}'); fetch('https://cdn.jsdelivr.net/x'); fetch('/wp-content/{n}'); fetch('/ok/{n}?google')""",
