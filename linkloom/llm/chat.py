@@ -40,7 +40,7 @@ OPEN, BETWEEN, CLOSE = "<turn>### ", ":\n", "</turn>\n"
 _TEXT, _ROLE, _ESCAPED = re.compile(r"[\\<#]"), re.compile(r"[\\<#:]"), re.compile(r"\\(.)", re.S)
 _SEGMENT = re.compile(r"<turn>### ((?:[^\\:]+|\\.)*):\n((?:[^\\<]+|\\.)*)</turn>\n", re.S)
 
-PATHS = "conv_id long, leaf binary, path binary, segments array<array<int>>, loss array<struct<start:int,end:int>>"
+PATHS = "conv_id long, leaf binary, path binary, lengths array<int>, tokens array<int>, loss array<struct<start:int,end:int>>"
 BRANCHES = "leaf binary, start long, position long, first_turn int, tokens array<int>, loss array<struct<start:int,end:int>>, ancestors array<struct<start:long,end:long>>"
 
 
@@ -52,10 +52,10 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(r"\1", text)
 
 
-def segment(role: str, text: str, own: Codec) -> tuple[list[int], tuple[int, int]]:
+def segment(role: str, text: str, own: Codec) -> tuple[np.ndarray, tuple[int, int]]:
     """A turn's tokens, and where its text is among them if the model learns it (else an empty span)."""
-    head, body, close = (own.encode(x, special=False).tolist() for x in (OPEN + escape(role, _ROLE) + BETWEEN, escape(text), CLOSE))
-    return head + body + close, (len(head), len(head) + len(body)) if role == "assistant" else (-1, -1)
+    head, body, close = (own.encode(x, special=False) for x in (OPEN + escape(role, _ROLE) + BETWEEN, escape(text), CLOSE))
+    return np.concatenate([head, body, close]), (len(head), len(head) + len(body)) if role == "assistant" else (-1, -1)
 
 
 def parse(formatted: str) -> list[tuple[str, str]]:
@@ -77,13 +77,13 @@ def _rows(batches: Iterator[pa.RecordBatch], size: int = 200) -> Iterator[list[d
             yield batch.slice(at, size).to_pylist()
 
 
-def _batch(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pylist(rows, schema=schema)
+def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *parts])))
 
 
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-_PATHS = pa.schema([("conv_id", pa.int64()), ("leaf", pa.binary()), ("path", pa.binary()), ("segments", pa.list_(pa.list_(pa.int32()))), ("loss", _SPANS)])
-_BRANCHES = pa.schema([("leaf", pa.binary()), ("start", pa.int64()), ("position", pa.int64()), ("first_turn", pa.int32()), ("tokens", pa.list_(pa.int32())), ("loss", _SPANS), ("ancestors", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
+_INTERVALS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
 def _spec(spark: SparkSession, vocabulary: str):
@@ -100,18 +100,22 @@ def paths(conversations: DataFrame, vocabulary: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(spec.value)
         for rows in _rows(batches):
-            out = []
+            out, tokens = [], []
             for row in rows:
-                key, keys, segments, loss = b"", [], [], []
+                key, keys, lengths, loss = b"", [], [], []
                 for turn in row["turns"]:
                     role, text = turn["role"].encode(), turn["text"].encode()
                     key = hashlib.blake2b(key + len(role).to_bytes(8) + role + text, digest_size=KEY).digest()
                     keys.append(key)
                     made, (start, end) = segment(turn["role"], turn["text"], own)
-                    segments.append(made)
+                    tokens.append(made)
+                    lengths.append(len(made))
                     loss.append({"start": start, "end": end})
-                out.append({"conv_id": row["conv_id"], "leaf": key, "path": b"".join(keys), "segments": segments, "loss": loss})
-            yield _batch(out, _PATHS)
+                out.append((row["conv_id"], key, b"".join(keys), lengths, loss))
+            ids, leaves, ways, lengths, loss = zip(*out, strict=True)
+            sizes = np.cumsum([0, *map(sum, lengths)]).astype(np.int32)
+            flat = pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.concatenate([np.zeros(0, np.int32), *tokens])))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(leaves, pa.binary()), pa.array(ways, pa.binary()), pa.array(lengths, pa.list_(pa.int32())), flat, pa.array(loss, _SPANS)], names=["conv_id", "leaf", "path", "lengths", "tokens", "loss"])
 
     return whole.mapInArrow(run, PATHS)
 
@@ -146,10 +150,11 @@ class Walk:
 
 
 def _summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Streams (path, lengths)."""
     walk, first, head = Walk(), None, []
     for rows in _rows(batches):
         for row in rows:
-            lengths = list(map(len, row["segments"]))
+            lengths = row["lengths"]
             if first is None:
                 first, head = row["path"], lengths
             walk.step(row["path"], lengths)
@@ -172,37 +177,41 @@ def _begins(summaries: list) -> dict[int, tuple[bytes, list[tuple[int, int]], in
 
 
 def branches(leaves: DataFrame) -> DataFrame:
-    """The depth-first layout of distinct paths (leaf, path, segments, loss): a row for each branch."""
+    """The depth-first layout of distinct paths (leaf, path, lengths, tokens, loss): a row for each branch."""
     spark = leaves.sparkSession
     shared_dir(spark)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = leaves.repartitionByRange(n, "path").sortWithinPartitions("path").checkpoint()  # the parts must not change
-    summaries = ordered.mapInArrow(_summary, "part long, first binary, head array<long>, last binary, total long, starts array<long>, ends array<long>").collect()  # a row a part
+    summaries = ordered.select("path", "lengths").mapInArrow(_summary, "part long, first binary, head array<long>, last binary, total long, starts array<long>, ends array<long>").collect()  # a row a part
     begins = spark.sparkContext.broadcast(_begins(summaries))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         walk = None
-        for rows in _rows(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
             walk = walk or Walk(*begins.value[TaskContext.get().partitionId()])
-            out = []
-            for row in rows:
-                lengths = list(map(len, row["segments"]))
-                shared, start = walk.step(row["path"], lengths)
+            flat, ends = batch.column(3).flatten().to_numpy(), np.cumsum(batch.column(3).value_lengths().to_numpy())
+            rows, tokens = [], []
+            for leaf, path, lengths, loss, end in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 4)), ends.tolist(), strict=True):
+                shared, start = walk.step(path, lengths)
                 ancestors: list[dict] = []
                 for a, b in walk.nodes[:shared]:
                     if ancestors and ancestors[-1]["start"] == a:
                         ancestors[-1]["end"] = b
                     else:
                         ancestors.append({"start": a, "end": b})
-                loss, at = [], 0
-                for n, span in zip(lengths[shared:], row["loss"][shared:], strict=True):
+                learned, at = [], 0
+                for n, span in zip(lengths[shared:], loss[shared:], strict=True):
                     if span["start"] >= 0:
-                        loss.append({"start": at + span["start"], "end": at + span["end"]})
+                        learned.append({"start": at + span["start"], "end": at + span["end"]})
                     at += n
-                out.append({"leaf": row["leaf"], "start": start, "position": sum(lengths[:shared]), "first_turn": shared, "tokens": [t for s in row["segments"][shared:] for t in s], "loss": loss, "ancestors": ancestors})
-            yield _batch(out, _BRANCHES)
+                tokens.append(flat[end - at : end])
+                rows.append((leaf, start, sum(lengths[:shared]), shared, learned, ancestors))
+            leaves, starts, positions, firsts, learned, ancestors = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(leaves, pa.binary()), pa.array(starts, pa.int64()), pa.array(positions, pa.int64()), pa.array(firsts, pa.int32()), _lists(tokens), pa.array(learned, _SPANS), pa.array(ancestors, _INTERVALS)], names=["leaf", "start", "position", "first_turn", "tokens", "loss", "ancestors"])
 
     return ordered.mapInArrow(run, BRANCHES)
 
@@ -210,7 +219,7 @@ def branches(leaves: DataFrame) -> DataFrame:
 def format_conversations(conversations: DataFrame, vocabulary: str) -> tuple[DataFrame, DataFrame]:
     """(branches of the layout, the leaf at which each conversation ends). vocabulary: path of a tokenizers file, read on the driver."""
     found = materialize(paths(conversations, vocabulary), "chat-paths")
-    leaves = found.groupBy("leaf").agg(*(F.first(c).alias(c) for c in ("path", "segments", "loss")))  # equal in a group
+    leaves = found.groupBy("leaf").agg(*(F.first(c).alias(c) for c in ("path", "lengths", "tokens", "loss")))  # equal in a group
     return materialize(branches(leaves), "chat-branches"), found.select("conv_id", "leaf")
 
 
@@ -231,15 +240,21 @@ def digests(conversations: DataFrame, vocabulary: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(spec.value)
-        text_of = lambda ids: own.decode(np.array(ids, np.int64))[0].tobytes().decode()
-        for rows in _rows(batches):
-            out = []
-            for row in rows:
-                formatted = text_of([t for p in row["pieces"] for t in p["tokens"]])
+        text_of = lambda ids: own.decode(ids.astype(np.int64))[0].tobytes().decode()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            pieces = batch.column(1).flatten()
+            tokens, spans = pieces.field("tokens"), pieces.field("spans").to_pylist()
+            flat, ends = tokens.flatten().to_numpy(), np.concatenate([[0], np.cumsum(tokens.value_lengths().to_numpy())])
+            out, first = [], 0
+            for leaf, n in zip(batch.column(0).to_pylist(), batch.column(1).value_lengths().to_pylist(), strict=True):
+                formatted = text_of(flat[ends[first] : ends[first + n]])
                 turns = parse(formatted)
-                learned = "".join(unescape(text_of(p["tokens"][s["start"] : s["end"]])) for p in row["pieces"] for s in p["spans"])
+                learned = "".join(unescape(text_of(flat[ends[i] + s["start"] : ends[i] + s["end"]])) for i in range(first, first + n) for s in spans[i])
                 text = "".join(f"{role}\n{body}\n" for role, body in turns)
-                out.append({"leaf": row["leaf"], "n_turns": len(turns), "turns_sha256": hashlib.sha256(text.encode()).hexdigest(), "loss_chars": len(learned), "loss_sha256": hashlib.sha256(learned.encode()).hexdigest(), "formatted_chars": len(formatted)})
+                out.append({"leaf": leaf, "n_turns": len(turns), "turns_sha256": hashlib.sha256(text.encode()).hexdigest(), "loss_chars": len(learned), "loss_sha256": hashlib.sha256(learned.encode()).hexdigest(), "formatted_chars": len(formatted)})
+                first += n
             yield pa.RecordBatch.from_pylist(out)
 
     found = materialize(read_back(layout).mapInArrow(run, "leaf binary, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"), "chat-digests")
