@@ -287,11 +287,17 @@ def classify(words: Column) -> Column:
         family = F.element_at(_literal(classes, "array<string>"), F.array_position(s, top).cast("int"))
         asked = lambda t: {"grams": sorted(set(n_grams(words_of(t)))), "least": needed(len(set(n_grams(words_of(t)))))}
         known = _literal({f: list(map(asked, texts)) for f, texts in templates().items()}, "map<string,array<struct<grams:array<string>,least:int>>>")
-        counts = lambda t: F.size(F.array_intersect(t["grams"], grams))
-        found = F.exists(F.element_at(known, family), lambda t: counts(t) >= t["least"])
-        share = F.array_max(F.transform(F.element_at(known, family), lambda t: counts(t) / F.size(t["grams"])))
-        sure = (p >= LEAST_P) & (family != UNKNOWN) & F.coalesce(found, F.lit(False))
-        return F.struct(F.when(sure, family).otherwise(F.lit(UNKNOWN)).alias("family"), F.round(p, 6).alias("p"), F.coalesce(share, F.lit(0.0)).alias("share"))
+        counted = lambda t: F.transform(F.array(F.size(F.array_intersect(t["grams"], grams))), lambda n: F.struct((n / F.size(t["grams"])).alias("share"), (n >= t["least"]).alias("found")))
+
+        def held(f: Column) -> Column:
+            return F.flatten(F.transform(F.element_at(known, f), counted))
+
+        def said(f: Column, of: Column) -> Column:
+            found = F.coalesce(F.exists(of, lambda x: x["found"]), F.lit(False))
+            share = F.array_max(F.transform(of, lambda x: x["share"]))
+            return F.struct(F.when((p >= LEAST_P) & found, f).otherwise(F.lit(UNKNOWN)).alias("family"), F.round(p, 6).alias("p"), F.coalesce(share, F.lit(0.0)).alias("share"))
+
+        return F.element_at(F.transform(F.array(family), lambda f: F.element_at(F.transform(F.array(held(f)), lambda of: said(f, of)), 1)), 1)
 
     return F.element_at(F.transform(F.array(scores), decided), 1)
 
