@@ -21,6 +21,7 @@ rows, and further columns are ignored.
 from __future__ import annotations
 
 import json
+from functools import reduce
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
@@ -46,6 +47,26 @@ ONES, FULL, MORE = _each(1, 32, 2), _each(FIELD - 1, 32, 2), _each(FIELD, 32, 2)
 RANGE, RANGES = 500, 4
 
 
+def _planes(hashes: Column) -> Column:
+    """array<struct<ones, twos, fours>>: seven hashes at a time, how often each bit is set in them, as three bits of a number."""
+    xor = lambda *xs: reduce(lambda a, b: a.bitwiseXOR(b), xs)
+    carry = lambda a, b, c: a.bitwiseAND(b).bitwiseOR(c.bitwiseAND(a.bitwiseXOR(b)))
+    at = lambda g, k: F.coalesce(F.get(hashes, 7 * g + k), F.lit(0).cast("long"))
+    seven = F.transform(F.sequence(F.lit(0), F.floor(F.size(hashes) / 7).cast("int")), lambda g: F.struct(*(at(g, k).alias(f"h{k}") for k in range(7))))
+
+    def first(x: Column) -> Column:
+        a, b = [x[f"h{k}"] for k in range(3)], [x[f"h{k}"] for k in range(3, 6)]
+        return F.struct(xor(*a).alias("s"), carry(*a).alias("c"), xor(*b).alias("t"), carry(*b).alias("d"), x["h6"].alias("h"))
+
+    def second(x: Column) -> Column:
+        return F.struct(xor(x["s"], x["t"], x["h"]).alias("ones"), x["c"].alias("c"), x["d"].alias("d"), carry(x["s"], x["t"], x["h"]).alias("e"))
+
+    def third(x: Column) -> Column:
+        return F.struct(x["ones"].alias("ones"), xor(x["c"], x["d"], x["e"]).alias("twos"), carry(x["c"], x["d"], x["e"]).alias("fours"))
+
+    return F.transform(F.transform(F.transform(seven, first), second), third)
+
+
 def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     """df with struct(wide array<long>, n long, lanes array<long>)."""
     digests = F.transform(F.split(F.col(text), "\n"), lambda p: F.sha2(p, 256))
@@ -61,11 +82,13 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
 
     def lanes(hashes: Column) -> Column:
         bit = lambda h, i: F.call_function("shiftright", h, i).bitwiseAND(F.lit(ONES))
-        return F.transform(F.sequence(F.lit(0), F.lit(WORDS - 1)), lambda i: F.aggregate(hashes, zero, lambda a, h: (a + bit(h, i)).bitwiseAND(F.lit(FULL))))
+        added = lambda a, x, i: a + bit(x["ones"], i) + 2 * bit(x["twos"], i) + 4 * bit(x["fours"], i)
+        own = lambda planes: F.transform(F.sequence(F.lit(0), F.lit(WORDS - 1)), lambda i: F.aggregate(planes, zero, lambda a, x: added(a, x, i), lambda a: a.bitwiseAND(F.lit(FULL))))
+        return F.element_at(F.transform(F.array(_planes(hashes)), own), 1)
 
     n = (F.size(F.col("_hashed.h")[0]) % FIELD).cast("long")
     made = F.struct(F.transform(F.sequence(F.lit(0), F.lit(WIDE - 1)), wide).alias("wide"), n.alias("n"), F.flatten(F.transform("_hashed.h", lanes)).alias("lanes"))
-    return parts.select(*df.columns, made.alias(name))
+    return parts.select(*df.columns, F.explode(F.array(made)).alias(name))
 
 
 def combine(a: Column, b: Column, sign: int = 1) -> Column:
@@ -114,19 +137,25 @@ def _search(place: Column, bounds: list[tuple[bool, int, int]]) -> tuple[Column,
     return F.when(coarse == 0, 0).otherwise((coarse - 1) * step + fine), F.when(coarse > 0, F.get(chunk, fine - 1))
 
 
-def with_next(df: DataFrame, id: str, order: str, columns: list[str]) -> DataFrame:
-    """df with next_<column>: the values of the row after it by id, then `order` (a hash); after the last row comes the first.
+def _place(id: str, order: str) -> Column:
+    return F.struct(F.col(id).isNull().alias("none"), F.coalesce(F.col(id), F.lit(0)).cast("long").alias("id"), F.col(order).alias("hash"))
 
-    Each range gets, besides its own rows, a copy of the first row of the range after it, so that no row needs another range.
-    """
-    spark = df.sparkSession
-    place = F.struct(F.col(id).isNull().alias("none"), F.coalesce(F.col(id), F.lit(0)).cast("long").alias("id"), F.col(order).alias("hash"))
-    keys = df.select(place.alias("p"))
-    rows = df.select(F.lit(1)).count()
-    n = max(1, min(RANGES * int(spark.conf.get("spark.sql.shuffle.partitions")), ceil(rows / RANGE)))
+
+def cuts(df: DataFrame, id: str, order: str) -> list[tuple[bool, int, int]]:
+    """Where the ranges of df begin."""
+    keys = df.select(_place(id, order).alias("p"))
+    n = max(1, min(RANGES * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), ceil(df.count() / RANGE)))
     # the least place of each part of the keys put in order: n rows
     found = keys.repartitionByRange(n, "p").groupBy(F.spark_partition_id()).agg(F.min("p").alias("p")).select("p.*").collect()
-    bounds = sorted(tuple(r) for r in found)
+    return sorted(tuple(r) for r in found)
+
+
+def with_next(df: DataFrame, id: str, order: str, columns: list[str], bounds: list[tuple[bool, int, int]]) -> DataFrame:
+    """df with next_<column>: the values of the row after it by id, then `order` (a hash); after the last row comes the first.
+
+    bounds: cuts() of df. Each range gets, besides its own rows, a copy of the first row of the range after it, so that no row needs another range.
+    """
+    place = _place(id, order)
     first, last = bounds[:1], max(0, len(bounds) - 1)
     own, reached = _search(place, bounds[1:])
     copies = F.when(place == reached, F.array(own - 1)).otherwise(F.array().cast("array<int>"))
@@ -146,9 +175,10 @@ def edits(documents: DataFrame) -> DataFrame:
     Edited: the last quarter of the code points gives way to as many from the start of the next document.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    docs = docs.withColumn("h", F.xxhash64("text"))
     # what goes through the shuffle is the sketch, not the wide part
-    marked = with_fingerprint(docs.withColumn("h", F.xxhash64("text")), "text", "f").select("doc_id", "text", "h", sketch(F.col("f")).alias("f"))
-    led = with_next(marked, "doc_id", "h", ["text", "f"])
+    marked = with_fingerprint(docs, "text", "f").select("doc_id", "text", "h", sketch(F.col("f")).alias("f"))
+    led = with_next(marked, "doc_id", "h", ["text", "f"], cuts(docs, "doc_id", "h"))
     n = F.length("text")
     quarter = F.floor(n / 4).cast("int")
     edited = F.concat(F.col("text").substr(F.lit(1), n - quarter), F.coalesce(F.col("next_text"), F.lit("")).substr(F.lit(1), quarter))

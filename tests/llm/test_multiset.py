@@ -100,7 +100,7 @@ def test_one_id_for_many_rows(spark):
         df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
         found = multiset.edits(df).collect()
         marked = df.select("doc_id", "text", F.xxhash64("text").alias("h"))
-        led = multiset.with_next(marked, "doc_id", "h", ["text", "doc_id"]).collect()
+        led = multiset.with_next(marked, "doc_id", "h", ["text", "doc_id"], multiset.cuts(marked, "doc_id", "h")).collect()
     finally:
         multiset.RANGE = before
     order = sorted(((r["doc_id"] is None, r["doc_id"] or 0, r["h"]), r["text"]) for r in led)
