@@ -36,11 +36,11 @@ from linkloom.llm.common import materialize
 
 ORDER = 5
 #: Bytes of a chunk of texts that asks for its n-grams together, about.
-CHUNK = 32_000_000
+CHUNK = 16_000_000
 #: Bytes that are looked at together, and different n-grams that a counting task holds.
-PART, HELD = 4_000_000, 2_000_000
-#: Rows of a table of ids, languages or n-grams up to which it is broadcast in a join; with more, both sides are shuffled.
-BROADCAST_ROWS = 1_000_000
+PART, HELD = 2_000_000, 2_000_000
+#: Rows of a table of ids or languages, and of one of n-grams, up to which it is broadcast in a join; with more, both sides are shuffled.
+BROADCAST_ROWS, BROADCAST_GRAMS = 1_000_000, 300_000
 PRIOR = 150
 QUANTILE, MARGIN = 0.99, 0.15
 
@@ -123,9 +123,9 @@ def probabilities(grams: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
     return seen, contexts
 
 
-def _side(df: DataFrame) -> DataFrame:
+def _side(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """A written table as a side of a join."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    return F.broadcast(df) if df.count() <= most else df
 
 
 class Model:
@@ -143,10 +143,10 @@ class Model:
         found, p = asked, F.lit(self.base)
         for k in range(1, ORDER + 1):
             seen = self.seen[k - 1].select(F.col("gram").alias(f"_gram{k}"), F.col("p").alias(f"_p{k}"))
-            found = found.join(_side(seen), own(k) == F.col(f"_gram{k}"), "left")
+            found = found.join(_side(seen, BROADCAST_GRAMS), own(k) == F.col(f"_gram{k}"), "left")
             if k > 1:
                 contexts = self.contexts[k - 1].select(F.col("context").alias(f"_context{k}"), F.col("weight").alias(f"_w{k}"))
-                found = found.join(_side(contexts), F.shiftright(own(k), 8) == F.col(f"_context{k}"), "left")
+                found = found.join(_side(contexts, BROADCAST_GRAMS), F.shiftright(own(k), 8) == F.col(f"_context{k}"), "left")
                 p = F.coalesce(F.col(f"_w{k}"), F.lit(1.0)) * p
             p = F.coalesce(F.col(f"_p{k}"), p)
         return found.select(*asked.columns, (-F.log(F.greatest(p, F.lit(1e-30)))).cast("float").alias("nats"))
