@@ -43,9 +43,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    coded = bpe.encode(docs.select("doc_id", "text", "lang", "source"), VOCABULARY)
+    coded = bpe.round_trip(docs.select("doc_id", "text", "lang", "source"), VOCABULARY)
     same = F.col("decoded") == F.coalesce("text", F.lit(""))
-    return bpe.decode(coded, VOCABULARY).select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
+    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
 
 
 STAGES = [("quality", quality), ("near_dups", near_dups), ("secrets", no_secrets), ("mixing", mixed), ("tokens", tokens)]

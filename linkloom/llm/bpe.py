@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from linkloom.llm.common import bound_batches
+
 #: The parts of the byte-level pattern, for whole Unicode and for texts below U+0250.
 CONTRACTIONS = r"'s|'t|'re|'ve|'m|'ll|'d"
 FULL = (r"\p{L}", r"\p{N}", r"\p{White_Space}")
@@ -226,6 +228,28 @@ def _room(df: DataFrame, name: str, read: str) -> DataFrame:
     return df.select(*(F.col(f"`{c}`") for c in df.columns if c.lower() != name.lower() or c == read))
 
 
+def _encoded(own: Codec, texts: pa.Array) -> pa.ListArray:
+    found = [own.encode(x or "") for x in texts.to_pylist()]
+    ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *found])))
+
+
+def _decoded(own: Codec, ids: pa.ListArray) -> pa.Array:
+    lengths = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+    data, ends = own.decode(ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64))
+    cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(lengths)])]
+    raw = data.tobytes()
+    return pa.array([raw[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:], strict=False)], pa.string())
+
+
+def _text_slices(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+    return _slices(batch, pc.fill_null(pc.utf8_length(batch.column(at)), 0).to_pylist())
+
+
+def _id_slices(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+    return _slices(batch, [5 * n for n in pc.fill_null(pc.list_value_length(batch.column(at)), 0).to_pylist()])
+
+
 def encode(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids", keep_text: bool = True) -> DataFrame:
     """df with the token ids of a column of texts. vocabulary: path of a tokenizers file, read on the driver."""
     with open(vocabulary, encoding="utf-8") as file:
@@ -238,13 +262,9 @@ def encode(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(spec.value)
         for whole in batches:
-            sizes = pc.fill_null(pc.utf8_length(whole.column(at)), 0).to_pylist()
-            for batch in _slices(whole, sizes):
-                found = [own.encode(x or "") for x in batch.column(at).to_pylist()]
-                ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-                column = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *found])))
+            for batch in _text_slices(whole, at):
                 kept = [c for i, c in enumerate(batch.columns) if keep_text or i != at]
-                yield pa.RecordBatch.from_arrays([*kept, column], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*kept, _encoded(own, batch.column(at))], names=schema.names)
 
     return df.mapInArrow(run, schema)
 
@@ -261,23 +281,37 @@ def decode(df: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decode
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(spec.value)
         for whole in batches:
-            sizes = [5 * n for n in pc.fill_null(pc.list_value_length(whole.column(at)), 0).to_pylist()]
-            for batch in _slices(whole, sizes):
-                column = batch.column(at)
-                lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
-                data, ends = own.decode(column.flatten().to_numpy(zero_copy_only=False).astype(np.int64))
-                cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(lengths)])]
-                raw = data.tobytes()
-                texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:], strict=False)]
+            for batch in _id_slices(whole, at):
                 kept = [c for i, c in enumerate(batch.columns) if keep_ids or i != at]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string())], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*kept, _decoded(own, batch.column(at))], names=schema.names)
+
+    return df.mapInArrow(run, schema)
+
+
+def round_trip(df: DataFrame, vocabulary: str, keep_text: bool = True) -> DataFrame:
+    """decode(encode(df)) of a column named text, with the columns ids and decoded: one worker a task has the tables and does both."""
+    bound_batches(df.sparkSession)
+    with open(vocabulary, encoding="utf-8") as file:
+        spec = df.sparkSession.sparkContext.broadcast(file.read())
+    df = _room(_room(df, "ids", "text"), "decoded", "text")
+    at = df.columns.index("text")
+    schema = T.StructType([f for f in df.schema.fields if keep_text or f.name != "text"] + [T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("decoded", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(spec.value)
+        for whole in batches:
+            for batch in _text_slices(whole, at):
+                kept = [c for i, c in enumerate(batch.columns) if keep_text or i != at]
+                coded = pa.RecordBatch.from_arrays([*kept, _encoded(own, batch.column(at))], names=schema.names[:-1])
+                for part in _id_slices(coded, len(kept)):
+                    yield pa.RecordBatch.from_arrays([*part.columns, _decoded(own, part.column(len(kept)))], names=schema.names)
 
     return df.mapInArrow(run, schema)
 
 
 def digests(df: DataFrame, vocabulary: str) -> DataFrame:
     """Per document: n_tokens, and hex digests of its ids and of the text that they decode to."""
-    coded = decode(encode(df.select("doc_id", "text"), vocabulary, keep_text=False), vocabulary)
+    coded = round_trip(df.select("doc_id", "text"), vocabulary, keep_text=False)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -286,4 +320,4 @@ def digests(df: DataFrame, vocabulary: str) -> DataFrame:
     )
 
 
-__all__ = ["Codec", "codec", "decode", "digests", "encode"]
+__all__ = ["Codec", "codec", "decode", "digests", "encode", "round_trip"]

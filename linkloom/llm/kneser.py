@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linkloom.llm.common import materialize
+from linkloom.llm.common import bound_batches, materialize
 
 ORDER = 5
 #: Bytes of a chunk of texts that asks for its n-grams together, about.
@@ -193,6 +193,7 @@ def classify(documents: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("
 
     Trusted: labels with quality 1 and toxic 0. The cost that is held against the threshold is the drawn one.
     """
+    bound_batches(documents.sparkSession)
     keep = tuple(c for c in keep if c not in ("perplexity", "threshold", "rejected"))
     ids = materialize(labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select(F.col("doc_id").alias("_id")).distinct(), "trusted")
     half = F.pmod(F.xxhash64(F.lit(3), F.col("text")), F.lit(2))

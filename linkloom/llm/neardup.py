@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import discard, materialize, shielded
+from linkloom.llm.common import bound_batches, discard, materialize, shielded
 from linkloom.llm.graph import components
 
 DEPTH, SPARSE, DENSE = 8, 5, 6
@@ -363,6 +363,7 @@ def links(documents: DataFrame, classes: DataFrame, width: int, percent: int, tr
 
 def resolve(documents: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Per document with words: doc_id, text_hash, n_shingles, root, component_id. And those without: doc_id, text_hash."""
+    bound_batches(documents.sparkSession)
     trees = trees_for(percent)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
     signed = materialize(signatures(docs, width, trees), "signatures")

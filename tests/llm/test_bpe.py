@@ -2,6 +2,7 @@ import hashlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -47,3 +48,16 @@ def test_rows(spark):
 def test_broken_bytes(spark):
     df = spark.createDataFrame([([255 - 68],), (None,)], "ids array<int>")
     assert [r["decoded"] for r in bpe.decode(df, PATH).collect()][1] == ""
+
+
+def test_round_trip_in_one_pass(spark):
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    rows = [(i, t, "x") for i, t in enumerate(["Hello  world", None, "", "<|endoftext|> é\n", "日本 " * 500] * 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, Decoded string")
+    once = bpe.round_trip(df, PATH)
+    assert once.columns == ["doc_id", "text", "ids", "decoded"]
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, bpe.decode(bpe.encode(df, PATH), PATH).collect()))
+    assert bpe.digests(df, PATH)._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    long = spark.range(0, 3000, 1, 1).selectExpr("repeat('x', 10000) as t")
+    sizes = long.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long")
+    assert max(r["n"] for r in sizes.collect()) < 5_000_000
