@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from linkloom.llm import bpe, chat, crf, kneser, licenses, mixing, multiset, neardup, secrets, vafile
+from linkloom.llm import bpe, chat, crf, hardneg, kneser, licenses, mixing, multiset, neardup, secrets, trie, vafile
 from linkloom.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -123,9 +124,51 @@ select query_id, rank::integer as rank, vec_id, score from ranked where rank <=
 """
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"))
+    return hardneg.hard_negatives(rows)
+
+
+OP11 = """
+with data as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+pairs as materialized (
+  select a.vec_id as anchor_id, d.vec_id, d.label = a.label as same, list_inner_product(a.v, d.v)::bigint as score
+  from (select * from data where vec_id % 100 = 0) a join data d on d.vec_id <> a.vec_id and len(d.v) = len(a.v)),
+positives as (select anchor_id, vec_id as positive_id, score as positive_score from pairs where same qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, positive_id, row_number() over (partition by anchor_id, positive_id order by score desc, vec_id)::integer as rank, vec_id as negative_id, positive_score, score as negative_score
+from positives join pairs using (anchor_id) where not same and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score
+qualify rank <= 5
+"""
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(table(spark, sf_dir, "conversations"))
+
+
+#: CRC-32 of a decimal number, bit by bit.
+_CRC = """xor(4294967295, list_reduce(list_transform(string_split({0}::varchar, ''), lambda c: ascii(c)::bigint),
+  lambda a, b: list_reduce(range(8), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(a, b)), 4294967295::bigint))"""
+
+OP12 = f"""
+with t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
+o as (select conv_id, list(struct_pack(role := role, text := text) order by turn nulls first, sha256(strlen(role) || ':' || role || text)) as w from t group by conv_id),
+h as (select conv_id, w, {_CRC.format("conv_id")} % 6 as h, conv_id - conv_id % 100 as base from o),
+r as (select h.conv_id, list_concat(case when b.w is null then [] else b.w[1:h.h] end, h.w[h.h + 1:]) as w from h left join o b on b.conv_id = h.base),
+p as (select conv_id, d, w[1:d] as p, d = len(w) as ended from (select *, unnest(range(0, len(w) + 1)) as d from r)),
+n as materialized (select p, d as depth, min(conv_id) as conv_id, count(*) as n_convs, coalesce(length(p[d].text), 0) as chars, sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ended), '')) as ends_sha256 from p group by p, d),
+c as (select p[1:depth - 1] as p, depth - 1 as depth, count(*) as n_children from n where depth > 0 group by all),
+k as materialized (select n.*, coalesce(n_children, 0) as n_children from n left join c using (p, depth)),
+u as (select p[1:d] as p, d as depth, sum((n_children = 0)::int)::bigint as n_leaves, sum((n_convs - 1) * chars)::bigint as saved_tokens from (select *, unnest(range(0, depth + 1)) as d from k) group by all)
+select k.conv_id, k.depth, a.conv_id as parent_conv_id, k.n_convs, k.n_children, u.n_leaves, u.saved_tokens, k.ends_sha256
+from k join u using (p, depth) left join n a on k.depth > 0 and a.depth = k.depth - 1 and a.p = k.p[1:k.depth - 1]
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_languages, op3_chat, op4_mixing, op5_licences, op6_secrets, op7_quality, op8_fingerprints, op9_near_duplicates, op10_top_k)}
+    return {f.__name__: f for f in (op1_bpe, op2_languages, op3_chat, op4_mixing, op5_licences, op6_secrets, op7_quality, op8_fingerprints, op9_near_duplicates, op10_top_k, op11_hard_negatives, op12_prefix_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat": OP3, "op6_secrets": op6_sql(), "op9_near_duplicates": OP9, "op10_top_k": OP10}
+    return {"op3_chat": OP3, "op6_secrets": op6_sql(), "op9_near_duplicates": OP9, "op10_top_k": OP10, "op11_hard_negatives": OP11, "op12_prefix_trie": OP12}
