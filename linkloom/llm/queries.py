@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import bpe, chat, crf, hardneg, kneser, licenses, mixing, multiset, neardup, secrets, trie, vafile
+from linkloom.llm import bpe, chat, crf, hardneg, kneser, licenses, mixing, multiset, neardup, secrets, trie, vafile, warc
 from linkloom.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -166,9 +166,28 @@ from k join u using (p, depth) left join n a on k.depth > 0 and a.depth = k.dept
 """
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digests(table(spark, sf_dir, "pages"))
+
+
+OP13 = r"""
+with p as (
+  select page_id, encode(coalesce(html, '')) as body, regexp_replace(lower(coalesce(url, '')), '#.*$', '', 's') as u,
+    strftime(make_timestamp((946684800 + ((coalesce(page_id, 0) % 1000000000) + 1000000000) % 1000000000) * 1000000), '%Y-%m-%dT%H:%M:%SZ') as captured_at from pages),
+k as (
+  select page_id, octet_length(body) as payload_bytes, sha1(body) as payload_digest, captured_at, max(page_id) over (partition by body) as last,
+    array_to_string(list_reverse(string_split(regexp_extract(u, '^[^:/?#]*://([^/?#]*)', 1), '.')), ',') || ')' || regexp_replace(u, '^[^:/?#]*://[^/?#]*', '') as url_key from p),
+r as (select *, payload_bytes >= 1000 and last is not null and page_id is distinct from last as again from k)
+select page_id, payload_bytes, payload_digest, case when again then 'revisit' else 'response' end as record_type, case when again then last end as refers_to,
+  row_number() over (order by url_key, captured_at, page_id nulls first, payload_digest) as position,
+  row_number() over (partition by url_key order by captured_at, page_id nulls first, payload_digest) as nth, url_key, captured_at
+from r
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_languages, op3_chat, op4_mixing, op5_licences, op6_secrets, op7_quality, op8_fingerprints, op9_near_duplicates, op10_top_k, op11_hard_negatives, op12_prefix_trie)}
+    return {f.__name__: f for f in (op1_bpe, op2_languages, op3_chat, op4_mixing, op5_licences, op6_secrets, op7_quality, op8_fingerprints, op9_near_duplicates, op10_top_k, op11_hard_negatives, op12_prefix_trie, op13_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat": OP3, "op6_secrets": op6_sql(), "op9_near_duplicates": OP9, "op10_top_k": OP10, "op11_hard_negatives": OP11, "op12_prefix_trie": OP12}
+    return {"op3_chat": OP3, "op6_secrets": op6_sql(), "op9_near_duplicates": OP9, "op10_top_k": OP10, "op11_hard_negatives": OP11, "op12_prefix_trie": OP12, "op13_warc": OP13}
