@@ -4,44 +4,108 @@ Pages come in order of page_id. A page brings in its addresses in the order in w
 session brought in and what is known already doesn't count, and after `most` new ones it stops. What it leaves
 over may come in by a later page.
 
-That order is a queue by nature; as joins, each address asks the earliest page that hasn't turned it down, and each page
-keeps the first `most` that ask. Turned down once, an address never comes back to that page, so rounds end; where no
-page has more than `most`, the first round is all.
+That order is a queue by nature, but only pages with more than `most` addresses (full ones) ever leave any over. Any other page
+brings in all that is left of its own; so an address is there from the first such page on, and full pages can only bring it
+in before. What full pages fight for is all that needs a queue. It's worked out within tasks: of a whole session where that is
+small enough, else of each connected component of full pages and their addresses. A component that is too large for a task is
+worked out by joins, in rounds: each address asks the earliest page that hasn't turned it down, and each
+page keeps the first `most` that ask; turned down once, an address never comes back to that page.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from linkloom.graph import components
 from linkloom.storage import discard, materialize
 
+#: Rows of a queue that a task holds at most.
+HELD = 500_000
+
 
 def unknown(targets: DataFrame, site_nodes: DataFrame) -> DataFrame:
     """Targets whose uri isn't known in their session. site_nodes: session_id, uri."""
     return targets.join(site_nodes.select("session_id", "uri").distinct(), ["session_id", "uri"], "left_anti")
 
 
-def first_pages(targets: DataFrame) -> DataFrame:
+def first_pages(targets: DataFrame, scope: tuple[str, ...] = ("session_id",)) -> DataFrame:
     """One row for each session and address: where it was found first."""
-    order = F.min_by(F.struct(*(c for c in targets.columns if c not in ("session_id", "resolved"))), F.struct("page_id", "place")).alias("first")
-    return targets.groupBy("session_id", "resolved").agg(order).select("session_id", "resolved", "first.*")
+    order = F.min_by(F.struct(*(c for c in targets.columns if c not in (*scope, "resolved"))), F.struct("page_id", "place")).alias("first")
+    return targets.groupBy(*scope, "resolved").agg(order).select(*scope, "resolved", "first.*")
 
 
-def capped(targets: DataFrame, most: int) -> DataFrame:
-    """The rows of targets that come in, each address once a session."""
+def capped(targets: DataFrame, most: int, scope: tuple[str, ...] = ("session_id",)) -> DataFrame:
+    """The rows of targets that come in, each address once a session (or whatever else `scope` says)."""
+    page = [*scope, "page_id"]
     targets = materialize(targets, "targets")  # the search behind it is dear, its links are few
-    asked = targets.groupBy("session_id", "page_id", "resolved").agg(F.min("place").alias("place"))
-    refused = None
+    asked = targets.groupBy(*page, "resolved").agg(F.min("place").alias("place"))
+    full = materialize(asked.groupBy(*page).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select(*page), "full-pages")
+    if full.isEmpty():
+        return targets.join(first_pages(asked, scope), [*page, "resolved", "place"], "left_semi")
+    sure = materialize(first_pages(asked.join(full, page, "left_anti"), scope), "sure")
+    by = sure.select(*scope, "resolved", F.col("page_id").alias("_sure"))
+    fought = asked.join(full, page, "left_semi").join(by, [*scope, "resolved"], "left").where("_sure is null or page_id < _sure").drop("_sure")
+    won = materialize(queued(fought, most, scope), "won")
+    came = won.unionByName(sure.join(won, [*scope, "resolved"], "left_anti"))
+    return targets.join(came, [*page, "resolved", "place"], "left_semi")
+
+
+def queued(asked: DataFrame, most: int, scope: tuple[str, ...] = ("session_id",)) -> DataFrame:
+    """The rows (scope, page_id, resolved, place) that come in by the queue alone. asked: each page and address once."""
+    page = [*scope, "page_id"]
+    no = F.row_number().over(Window.partitionBy(*page).orderBy("place", "resolved"))
+    ranked = materialize(asked.select(*page, "resolved", "place").withColumn("no", no), "queue")
+    large = ranked.groupBy(*scope).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HELD).select(*scope)
+    large = materialize(large, "large-queues")
+    if large.isEmpty():
+        return _within_tasks(ranked.withColumn("_group", F.xxhash64(*scope)), most, scope)
+    small = ranked.join(large, list(scope), "left_anti").withColumn("_group", F.xxhash64(*scope))
+    own = ranked.join(large, list(scope), "left_semi").withColumn("_page", F.xxhash64(F.lit("page"), *page))
+    # nodes that are one by chance make a component larger, and nothing else
+    parts = components(own.select(F.col("_page").alias("a"), F.xxhash64(F.lit("address"), *scope, "resolved").alias("b")))
+    placed = materialize(own.join(parts.select(F.col("node").alias("_page"), F.col("root").alias("_group")), "_page").drop("_page"), "queue-parts")
+    crowds = materialize(placed.groupBy("_group").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HELD).select("_group"), "large-parts")
+    solved = _within_tasks(small.unionByName(placed.join(crowds, "_group", "left_anti")), most, scope)
+    if crowds.isEmpty():
+        return solved
+    return solved.unionByName(_in_rounds(placed.join(crowds, "_group", "left_semi").drop("_group", "no"), most, scope))
+
+
+def _within_tasks(ranked: DataFrame, most: int, scope: tuple[str, ...]) -> DataFrame:
+    """The queue of each _group of ranked rows, in one task."""
+    kept = [*scope, "page_id", "resolved", "place"]
+    names = [*scope, "page_id", "no", "resolved"]
+
+    def queue(group: pa.Table) -> pa.Table:
+        rows = list(zip(*(group.column(c).to_pylist() for c in names), strict=True))
+        first = lambda i: tuple((x is not None, x if x is not None else 0) for x in rows[i][:-1])
+        came, taken, there, last = [], 0, set(), None
+        for i in sorted(range(len(rows)), key=first):
+            row = rows[i]
+            if row[:-2] != last:
+                last, taken = row[:-2], 0
+            address = (*row[: len(scope)], row[-1])
+            if taken < most and address not in there:
+                there.add(address)
+                taken += 1
+                came.append(i)
+        return group.take(pa.array(came, pa.int64())).select(kept)
+
+    return ranked.groupBy("_group").applyInArrow(queue, ranked.select(*kept).schema)
+
+
+def _in_rounds(asked: DataFrame, most: int, scope: tuple[str, ...]) -> DataFrame:
+    """The queue of rows that no task could hold."""
+    page, refused = [*scope, "page_id"], None
     while True:
-        left = asked if refused is None else asked.join(refused, ["session_id", "page_id", "resolved"], "left_anti")
-        now = first_pages(left)
-        rank = F.row_number().over(Window.partitionBy("session_id", "page_id").orderBy("place", "resolved"))
-        ranked = materialize(now.withColumn("rank", rank), "ranked")
-        over = ranked.where(F.col("rank") > most).select("session_id", "page_id", "resolved")
+        left = asked if refused is None else asked.join(refused, [*page, "resolved"], "left_anti")
+        rank = F.row_number().over(Window.partitionBy(*page).orderBy("place", "resolved"))
+        ranked = materialize(first_pages(left, scope).withColumn("rank", rank), "ranked")
+        over = ranked.where(F.col("rank") > most).select(*page, "resolved")
         if over.isEmpty():
-            came = ranked.select("session_id", "page_id", "resolved", "place")
-            return targets.join(came, ["session_id", "page_id", "resolved", "place"], "left_semi")
+            return ranked.select(*page, "resolved", "place")
         done = [ranked] if refused is None else [ranked, refused]
         refused = materialize(over if refused is None else refused.unionByName(over), "refused")
         discard(*done)

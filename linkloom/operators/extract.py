@@ -44,14 +44,19 @@ def accepted(raw: DataFrame, javascript: bool = True) -> DataFrame:
     return tidy.where(rules.usable(F.col("candidate")))
 
 
+def found_candidates(responses: DataFrame, javascript: bool = True, headers: bool = True) -> DataFrame:
+    """Every find that is a link, with its place."""
+    raw = raw_candidates(responses, javascript)
+    if headers:
+        raw = raw.unionByName(header_candidates(responses))
+    found = accepted(raw, javascript)
+    return found.select("session_id", "page_id", "url", "candidate", F.struct("pass", "chunk_no", "pattern_no", "ord").alias("place"))
+
+
 def distinct_candidates(found: DataFrame) -> DataFrame:
     """One row for each page and candidate: its first place."""
-    place = F.struct("pass", "chunk_no", "pattern_no", "ord")
-    return found.groupBy("session_id", "page_id", "url", "candidate").agg(F.min(place).alias("place"))
+    return found.groupBy("session_id", "page_id", "url", "candidate").agg(F.min("place").alias("place"))
 
 
 def extract_candidates(responses: DataFrame, javascript: bool = True, headers: bool = True) -> DataFrame:
-    raw = raw_candidates(responses, javascript)
-    if headers:
-        raw = raw.unionByName(header_candidates(responses))
-    return distinct_candidates(accepted(raw, javascript))
+    return distinct_candidates(found_candidates(responses, javascript, headers))
