@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,9 +14,10 @@ from linkloom.functions.patterns import DOMAIN, PATTERNS, Pattern
 from linkloom.operators import dedupe, extract, nodes, targets
 from linkloom.options import Options
 from linkloom.plans.discover import discover, found_targets
-from linkloom.samples import RESPONSES_SQL, responses
-from linkloom.sources import pages
-from linkloom.storage import materialize
+from linkloom.samples import ARCHIVED_SQL, RESPONSES_SQL, archived, responses
+from linkloom.sources import pages, warc
+from linkloom.storage import materialize, shared_dir
+from linkloom.streaming import stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -252,6 +254,50 @@ def gate_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.gated(partial).select("page_id")
 
 
+def _archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The responses, as they come back from archives."""
+    folder = f"{shared_dir(spark)}/linkloom/archived-{uuid.uuid4().hex}"
+    warc.write_archives(warc.as_archived(archived(spark, sf_dir)), folder)
+    return pages.decode_bytes(warc.archived_responses(warc.read_archives(spark, folder)), "body", "charset")
+
+
+@query(f"""with {RESPONSES_SQL} select session_id, page_id, url, 200 as status, case when content_type is not null then {ARCHIVED_SQL} end as charset,
+  split_part(content_type, ';', 1) || '; charset=' || {ARCHIVED_SQL} as content_type, {O.trimmed("source_map")} as source_map, {O.trimmed("x_source_map")} as x_source_map, length(body) as n_chars, sha256(body) as body_sha256 from responses""")
+def archived_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses in mixed charsets, written to archives and read back in byte ranges."""
+    found = _archive(spark, sf_dir).withColumns({"n_chars": F.length("body").cast("long"), "body_sha256": F.sha2("body", 256)})
+    return found.select("session_id", "page_id", "url", "status", "charset", "content_type", "source_map", "x_source_map", "n_chars", "body_sha256")
+
+
+@query(f"with {O.all_candidates(gate=O.GATE)}, {O.targets()} select session_id, page_id, candidate, resolved from targets")
+def archive_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What archived responses link to, from bytes to addresses."""
+    return found_targets(_archive(spark, sf_dir).select(*pages.RESPONSES.names), Options()).select("session_id", "page_id", "candidate", "resolved")
+
+
+#: The stream's pages come in so many batches; a session forgets each time that so many pages (and 10 more for each session's number) have come.
+STREAM_BATCHES, FORGETS_EACH = 3, 40
+_FORGOT = f"page_id // ({FORGETS_EACH} + 10 * (page_id % 3))"
+
+
+@query(f"with recursive {O.all_candidates(gate=O.GATE)}, {O.targets()}, {O.capped(FEW)}".replace("page_id % 3 as session_id", f"page_id % 3 + 3 * ({_FORGOT}) as session_id").replace("select session_id, page_id, unnest(fresh)", "select session_id % 3 as session_id, page_id, unnest(fresh)"))
+def stream_with_resets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as a stream of batches, with sessions that forget at fixed places: what each page brings in, five addresses at most."""
+    folder = f"{shared_dir(spark)}/linkloom/stream-{uuid.uuid4().hex}"
+    sink, most = f"{folder}/sink", spark.read.parquet(f"{sf_dir}/pages.parquet").agg(F.max("page_id")).first()[0]
+    length = F.lit(FORGETS_EACH) + 10 * F.col("session_id")
+    own = spark.range(3).select(F.col("id").alias("session_id"))
+    times = own.select("session_id", F.explode(F.sequence(F.lit(1).cast("long"), F.floor(F.lit(most) / length) + 1)).alias("k")).select("session_id", (F.col("k") * (F.lit(FORGETS_EACH) + 10 * F.col("session_id"))).alias("at"))
+    control = times.select("session_id", "at", F.lit(stream.FORGETTING[0]).alias("event"), F.lit(None).cast("string").alias("resolved"), F.current_timestamp().alias("written_at"))
+    step = most // STREAM_BATCHES + 1
+    for k in range(STREAM_BATCHES):
+        inside = lambda c, k=k: (F.col(c) >= k * step) & (F.col(c) < (k + 1) * step)
+        responses(spark, sf_dir).where(inside("page_id")).write.mode("append").parquet(f"{folder}/pages")
+        control.where(inside("at")).write.mode("append").parquet(f"{sink}/control")
+        stream.start(spark.readStream.schema(pages.RESPONSES).parquet(f"{folder}/pages"), sink, Options(most_inserts=FEW))
+    return stream.written(spark, sink).select("session_id", "page_id", "resolved")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_graph_flagship(spark, sf_dir)
 

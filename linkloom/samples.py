@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkloom.sources.pages import encode_bytes
+
 SNIPPETS = (
     """<a href="/profile/{n}">x</a><link data-href='/static/app{n}.css'><form action="/login?n={n}"></form>""",
     """<img src="/img/logo{n}.png"><a xlink:href="/x{n}"src="/y{n}"> x.href="/no" href="/with#frag" href="/font.woff2?v=1" """,
@@ -71,6 +73,25 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Charsets of archived responses, and what of a text they can't say; such a text is in UTF-8.
+ARCHIVE_CHARSETS = (("utf-8", None), ("iso-8859-1", r"[^\x{0}-\x{FF}]"), ("windows-1252", r"[^\x{0}-\x{7F}\x{A0}-\x{FF}]"), ("utf-16", None), ("gb18030", None), ("shift_jis", r"[^\x{20}-\x{5B}\x{5D}-\x{7D}\n]"))
+
+
+def archived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The responses with bodies as bytes, in a charset that their content type names; those without a type are in UTF-8."""
+    texts = responses(spark, sf_dir)
+    named = F.lit("utf-8")
+    for i, (name, lacks) in enumerate(ARCHIVE_CHARSETS):
+        own = (F.col("page_id") % len(ARCHIVE_CHARSETS) == i) & F.col("content_type").isNotNull()
+        named = F.when(own if lacks is None else own & ~F.col("body").rlike(lacks), name).otherwise(named)
+    kind = F.concat(F.substring_index("content_type", ";", 1), F.lit("; charset="), F.col("charset"))
+    return encode_bytes(texts.withColumn("charset", named).withColumn("content_type", kind), "body", "charset").drop("charset")
+
+
+ARCHIVED_SQL = "case page_id % " + str(len(ARCHIVE_CHARSETS)) + "".join(
+    f" when {i} then " + (f"'{name}'" if lacks is None else f"case when regexp_matches(body, '{lacks}') then 'utf-8' else '{name}' end") for i, (name, lacks) in enumerate(ARCHIVE_CHARSETS)
+) + " end"
+
 RESPONSES_SQL = f"""responses as (
   select page_id % 3 as session_id, page_id, url, {_chosen_sql(CONTENT_TYPES, "page_id")} as content_type,
     {_chosen_sql(SOURCE_MAPS, "page_id")} as source_map, {_chosen_sql(SOURCE_MAPS, "page_id // 8")} as x_source_map,

@@ -62,6 +62,28 @@ def decode_bytes(df: DataFrame, body: str, charset: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def encode_bytes(df: DataFrame, body: str, charset: str) -> DataFrame:
+    """The other way: df with a text as bytes in the charset of its row; UTF-8 for charsets that are null or unknown, `?` for what they lack."""
+    at, by = df.columns.index(body), df.columns.index(charset)
+    schema = T.StructType([T.StructField(f.name, T.BinaryType()) if f.name == body else f for f in df.schema.fields])
+
+    def raw(text: str | None, name: str | None) -> bytes | None:
+        if text is None:
+            return None
+        try:
+            return text.encode(name or "utf-8", "replace")
+        except LookupError:
+            return text.encode()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [raw(t, n) for t, n in zip(batch.column(at).to_pylist(), batch.column(by).to_pylist(), strict=True)]
+            columns = [pa.array(found, pa.binary()) if i == at else c for i, c in enumerate(batch.columns)]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return df.mapInArrow(run, schema)
+
+
 def searchable(content_type: Column) -> Column:
     """Content types whose name holds html, javascript, json, xml or css."""
     return F.coalesce(F.lower(content_type).rlike("|".join(C.CONTENT_TYPES)), F.lit(False))
@@ -73,4 +95,4 @@ def gated(responses: DataFrame, in_scope: Column | None = None) -> DataFrame:
     return responses.where(fine if in_scope is None else fine & F.coalesce(in_scope, F.lit(False)))
 
 
-__all__ = ["CHARSETS", "RESPONSES", "as_responses", "decode_bytes", "gated", "read_pages", "searchable", "stream_pages"]
+__all__ = ["CHARSETS", "RESPONSES", "as_responses", "decode_bytes", "encode_bytes", "gated", "read_pages", "searchable", "stream_pages"]

@@ -392,10 +392,10 @@ class Archives(DataSource):
         return SCHEMA
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        return _Reader(_Folder(dict(self.options)))
+        return _Reader(_Folder(self.options))
 
     def streamReader(self, schema: StructType) -> DataSourceStreamReader:
-        return _StreamReader(_Folder(dict(self.options)))
+        return _StreamReader(_Folder(self.options))
 
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceArrowWriter:
         return _Writer(self.options["path"].rstrip("/"), int(self.options.get("archiveBytes", ARCHIVE)), int(self.options.get("level", 6)), overwrite)

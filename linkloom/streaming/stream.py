@@ -196,19 +196,16 @@ def _followed(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(path)
 
 
-def start(responses: DataFrame, sink: str, options: Options | None = None, in_scope: Column | None = None, site_nodes: DataFrame | None = None, forget_after_ms: int | None = None, until_done: bool = True) -> StreamingQuery:
-    """Runs over all that is there, then ends; call it again for more. Or goes on until stop() is called."""
-    spark, own = responses.sparkSession, options or Options()
-    found = targets(found_candidates(gated(responses, in_scope), own.parse_javascript), own.discover_subdomains)
-    if site_nodes is not None:
-        found = found.join(site_nodes.select("session_id", "uri"), ["session_id", "uri"], "left_anti")
+def follow(found: DataFrame, sink: str, most: int, forget_after_ms: int | None = None, until_done: bool = True) -> StreamingQuery:
+    """A stream of targets into the sink, with its control events. Runs over all that is there, then ends; or goes on until stop() is called."""
+    spark = found.sparkSession
     refused = _followed(spark, f"{sink}/refused", "session_id long, resolved string")
     events = asks(found).unionByName(told(_followed(spark, f"{sink}/control", CONTROL))).unionByName(_events(refused, bucket=_bucket(), kind=F.lit(REFUSED), forgets=F.lit(False)))
     before = {k: spark.conf.get(k, None) for k in ROCKS}
     for k, v in ROCKS.items():
         spark.conf.set(k, v)
     try:  # a stream keeps the settings that it began with
-        query = remembering(events, forget_after_ms).writeStream.foreachBatch(_commit(sink, own.most_inserts)).option("checkpointLocation", f"{sink}/progress").start()
+        query = remembering(events, forget_after_ms).writeStream.foreachBatch(_commit(sink, most)).option("checkpointLocation", f"{sink}/progress").start()
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
@@ -218,3 +215,12 @@ def start(responses: DataFrame, sink: str, options: Options | None = None, in_sc
         finally:
             query.stop()
     return query
+
+
+def start(responses: DataFrame, sink: str, options: Options | None = None, in_scope: Column | None = None, site_nodes: DataFrame | None = None, forget_after_ms: int | None = None, until_done: bool = True) -> StreamingQuery:
+    """A stream of responses into the sink; call it again for more."""
+    own = options or Options()
+    found = targets(found_candidates(gated(responses, in_scope), own.parse_javascript), own.discover_subdomains)
+    if site_nodes is not None:
+        found = found.join(site_nodes.select("session_id", "uri"), ["session_id", "uri"], "left_anti")
+    return follow(found, sink, own.most_inserts, forget_after_ms, until_done)

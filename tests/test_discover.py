@@ -119,3 +119,32 @@ def test_odd_rows_fail_alone(spark):
     out = discover(spark.createDataFrame(rows, RESPONSES)).collect()
     assert [r["resolved"] for r in out if r["page_id"] == 1] == ["http://h.com/good"]
     assert all(r["host"] and r["uri"].isascii() for r in out)
+
+
+def _asks(spark, rows):
+    return spark.createDataFrame([(s, p, x, (i,)) for s, p, links in rows for i, x in enumerate(links)], "session_id long, page_id long, resolved string, place struct<ord:int>")
+
+
+def test_cap_by_parts(spark, monkeypatch):
+    """Queues too large for a task go by components, and too large components by rounds."""
+    dice = random.Random(11)
+    rows = [(s, p, list(dict.fromkeys(f"{p % 4}u{dice.randrange(14)}" for _ in range(dice.randrange(12))))) for s in range(2) for p in range(24)]
+    rows += [(5, p, [f"c{p}", f"c{p + 1}"]) for p in range(6)]
+    want = {(s, *row) for s in {r[0] for r in rows} for row in _queue({p: links for t, p, links in rows if t == s}, 3 if s < 5 else 3)}
+    for held in (500_000, 60, 20, 0):
+        monkeypatch.setattr(dedupe, "HELD", held)
+        assert {(r["session_id"], r["page_id"], r["resolved"]) for r in dedupe.capped(_asks(spark, rows), 3).collect()} == want
+
+
+def test_cap_of_a_chain(spark):
+    """Pages that each pass an address on take as many jobs, however many they are."""
+
+    def jobs(n):
+        spark.sparkContext.setJobGroup(f"chain-{n}", "")
+        rows = [(0, p, [f"a{p}", f"a{p + 1}"]) for p in range(n)]
+        found = {(r["page_id"], r["resolved"]) for r in dedupe.capped(_asks(spark, rows).coalesce(2), 1).collect()}
+        assert found == {(p, f"a{p}") for p in range(n)}
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"chain-{n}"))
+
+    assert jobs(10) == jobs(1000)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
