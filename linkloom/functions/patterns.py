@@ -30,10 +30,12 @@ class Pattern:
     regex: str
     group: int = 1
     javascript: bool = False
+    #: Where it matches, there is one of each of these groups of texts (in lower case).
+    needs: tuple[tuple[str, ...], ...] = ()
 
 
-def _call(name: str, before: str) -> Pattern:
-    return Pattern(name, f"(?i){before}{Q}{V}{Q}", 1, True)
+def _call(name: str, before: str, *needs: str) -> Pattern:
+    return Pattern(name, f"(?i){before}{Q}{V}{Q}", 1, True, (needs,))
 
 
 # a prefix may hold hyphens too, but what follows a hyphen begins a match as well, so long runs needn't be tried from each
@@ -41,7 +43,7 @@ _attribute = r"[\w:]*?(?:" + "|".join(ATTRIBUTES) + r")\s*=\s*"
 _value = r"""([^"'#\s>]+)"""
 _host = lambda label, tail: rf"(?:{label}\.){{0,{MOST_LABELS}}}{label}\.{tail}"
 _domain = lambda label: _host(label, rf"""[a-zA-Z]{{2,24}}(?:/[^\s"'<>()\[\]{{}}]{{0,500}})?""")
-_path = rf"""(?:(?:#?/|\./|\.\./){NO_PATH_START}[^"'><,;|()\s]{{1,255}})"""
+_path = rf"""(?:(?:#?/|\.\./|\./){NO_PATH_START}[^"'><,;|()\s]{{1,255}})"""
 _path_ext = rf"""([a-zA-Z0-9_\-/]{{1,}}/[a-zA-Z0-9_\-/\.]{{1,255}}\.(?:[a-zA-Z]{{1,4}}|{"|".join(ODD_EXTENSIONS)})(?:[?/][^"']{{0,1000}}|))"""
 _file_ext = rf"""([a-zA-Z0-9_\-\.]{{1,255}}\.(?:{"|".join(FILES)})(?:\?[^"']{{0,255}}|))"""
 
@@ -51,28 +53,28 @@ DOMAIN, TEMPLATE = "bare_domain", "template_literal"
 
 HTML = (
     Pattern("attr", rf"(?i)(?<![\w:.]){_attribute}{Q}{_value}{Q}"),
-    Pattern("meta_refresh", r"""(?is)<meta[^>]*?url\s*=\s*([^"'#\s>]+)"""),
-    Pattern("css_url", r"""(?i)url\(\s*["']?([^"')\s]+)["']?\s*\)"""),
-    Pattern("absolute", r"""(?i)\bhttps?://[^\s"'<>)]+""", 0),
-    Pattern("protocol_relative", _relative(QUICK_LABEL)),
-    Pattern("source_mapping", r"""(?i)sourceMappingURL\s*=\s*([^\s"'<>]+)"""),
+    Pattern("meta_refresh", r"""(?is)<meta[^>]*?url\s*=\s*([^"'#\s>]+)""", needs=(("<meta",), ("url",))),
+    Pattern("css_url", r"""(?i)url\(\s*["']?([^"')\s]+)["']?\s*\)""", needs=(("url(",),)),
+    Pattern("absolute", r"""(?i)\bhttps?://[^\s"'<>)]+""", 0, needs=(("http://", "https://"),)),
+    Pattern("protocol_relative", _relative(QUICK_LABEL), needs=(("//",),)),
+    Pattern("source_mapping", r"""(?i)sourceMappingURL\s*=\s*([^\s"'<>]+)""", needs=(("sourcemappingurl",),)),
     Pattern(DOMAIN, rf"(?<![\w.:/]){_domain(QUICK_LABEL)}", 0),
 )
 SCRIPT = (
-    _call("fetch", r"fetch\(\s*"),
-    _call("xhr_open", rf"\.open\(\s*{Q}[A-Za-z]+{Q}\s*,\s*"),
-    _call("import_from", r"(?:import|from)\s+"),
-    _call("dynamic_import", r"\bimport\s*\(\s*"),
-    _call("require", r"\brequire(?:\.resolve)?\(\s*"),
-    _call("location", r"(?:window\.)?location(?:\.href)?\s*=\s*"),
-    _call("window_open", r"window\.open\(\s*"),
-    _call("jquery_ajax", r"\$\.ajax\(\s*\{[^}]*?url\s*:\s*"),
-    _call("jquery_call", r"\$\.(?:get|post|getJSON)\(\s*"),
-    _call("axios", r"axios(?:\.(?:get|post|put|patch|delete|head|request))?\(\s*"),
-    _call("web_socket", r"new\s+WebSocket\(\s*"),
-    _call("event_source", r"new\s+EventSource\(\s*"),
-    _call("beacon", r"navigator\.sendBeacon\(\s*"),
-    Pattern(TEMPLATE, r"`([^`]*\$\{[^`]*\}[^`]*)`", 1, True),
+    _call("fetch", r"fetch\(\s*", "fetch("),
+    _call("xhr_open", rf"\.open\(\s*{Q}[A-Za-z]+{Q}\s*,\s*", ".open("),
+    _call("import_from", r"(?:import|from)\s+", "import", "from"),
+    _call("dynamic_import", r"\bimport\s*\(\s*", "import"),
+    _call("require", r"\brequire(?:\.resolve)?\(\s*", "require"),
+    _call("location", r"(?:window\.)?location(?:\.href)?\s*=\s*", "location"),
+    _call("window_open", r"window\.open\(\s*", "window.open("),
+    _call("jquery_ajax", r"\$\.ajax\(\s*\{[^}]*?url\s*:\s*", "$.ajax("),
+    _call("jquery_call", r"\$\.(?:get|post|getJSON)\(\s*", "$.get(", "$.post(", "$.getjson("),
+    _call("axios", r"axios(?:\.(?:get|post|put|patch|delete|head|request))?\(\s*", "axios"),
+    _call("web_socket", r"new\s+WebSocket\(\s*", "websocket("),
+    _call("event_source", r"new\s+EventSource\(\s*", "eventsource("),
+    _call("beacon", r"navigator\.sendBeacon\(\s*", "navigator.sendbeacon("),
+    Pattern(TEMPLATE, r"`([^`]*\$\{[^`]*\}[^`]*)`", 1, True, (("`",), ("${",))),
     Pattern("path_literal", START + _path + END, 0, True),
     Pattern("path_ext", START + _path_ext + END, 1, True),
     Pattern("file_ext", START + _file_ext + END, 1, True),

@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 from linkloom.functions import constants as C
 
 BRACKETS = r"[()\[\]{}]"
-_NONE = r"[^()\[\]{}]*"
-PAIRS = rf"\(({_NONE})\)|\[({_NONE})\]|\{{({_NONE})\}}"
 ENDS = r"""["'\n\r( ]"""
 
 
@@ -48,18 +46,25 @@ def trimmed(s: Column) -> Column:
 def bracket_cut(s: Column) -> Column:
     """Up to the first bracket without a partner.
 
-    The brackets alone are looked at: pairs are masked from the inside out, in as many rounds as there can be pairs within one another.
+    The brackets alone are gone through, once, with a stack of the closing ones that are due. Where one is closed that isn't due, or
+    at the end, the lowest bracket that is still open has no partner; if none is open, the closing one has none.
     """
+    start = F.struct(F.lit(b"").alias("due"), F.lit(0).alias("lowest"), F.lit(0).alias("at"), F.lit(False).alias("over"))
 
-    def cut(found: Column) -> Column:
-        count = lambda marks: F.size(F.filter(found, lambda b: F.lit(marks).contains(b)))
-        rounds = F.slice(found, 1, F.least(count("([{"), count(")]}")))
-        masked = F.aggregate(rounds, F.array_join(found, ""), lambda m, _: replaced(m, PAIRS, "<$1$2$3>"))
-        paired = F.length(F.regexp_extract(masked, f"^{_NONE}", 0))
+    def step(a: Column, b: Column) -> Column:
+        due, at = a["due"], a["at"]
+        state = lambda due, lowest, at, over: F.struct(due.alias("due"), lowest.alias("lowest"), at.alias("at"), F.lit(over).alias("over"))
+        opens = F.lit("([{").contains(b)
+        opened = state(F.concat(F.translate(b, "([{", ")]}").cast("binary"), due), F.when(F.octet_length(due) == 0, at).otherwise(a["lowest"]), at + 1, False)
+        closed = state(F.substring(due, F.lit(2), F.octet_length(due)), a["lowest"], at + 1, False)
+        return F.when(a["over"], a).when(opens, opened).when(F.substring(due, 1, 1) == b.cast("binary"), closed).otherwise(state(due, a["lowest"], at, True))
+
+    def cut(paired: Column) -> Column:
         gaps = F.slice(F.split(s, BRACKETS, -1), 1, paired + 1)
         return F.substring(s, F.lit(1), F.aggregate(gaps, paired, lambda n, g: n + F.length(g)))
 
-    return F.when(s.rlike(BRACKETS), F.element_at(F.transform(F.array(F.regexp_extract_all(s, F.lit(BRACKETS), F.lit(0))), cut), 1)).otherwise(s)
+    paired = F.aggregate(F.regexp_extract_all(s, F.lit(BRACKETS), F.lit(0)), start, step, lambda a: F.when(F.octet_length(a["due"]) > 0, a["lowest"]).otherwise(a["at"]))
+    return F.when(s.rlike(BRACKETS), F.element_at(F.transform(F.array(paired), cut), 1)).otherwise(s)
 
 
 def tidied(raw: Column) -> Column:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -37,17 +38,27 @@ def finds(chunk: Column, pattern: Pattern) -> Column:
     return raw
 
 
+def may_match(lowered: Column, pattern: Pattern) -> Column | None:
+    """Whether a chunk (in lower case) has what a pattern needs: a search for plain texts, which is much cheaper than the regex. None if it needs nothing."""
+    groups = [reduce(or_, (F.contains(lowered, F.lit(t)) for t in texts)) for texts in pattern.needs]
+    return reduce(and_, groups) if groups else None
+
+
 def candidates(parts: Column, patterns: tuple[Pattern, ...]) -> Column:
     """array<struct<chunk_no, pattern_no, ord, raw>> of all chunks: by chunk, pattern and place."""
 
-    def of(no: int, pattern: Pattern) -> Callable[[Column, Column], Column]:
-        def one(chunk: Column, k: Column) -> Column:
-            return F.transform(finds(chunk, pattern), lambda x, i: F.struct(k.alias("chunk_no"), F.lit(no).alias("pattern_no"), i.alias("ord"), x.alias("raw")))
+    none = F.array().cast("array<struct<chunk_no:int,pattern_no:int,ord:int,raw:string>>")
+
+    def of(no: int, pattern: Pattern, chunk: Column, k: Column, lowered: Column) -> Column:
+        found = F.transform(finds(chunk, pattern), lambda x, i: F.struct(k.alias("chunk_no"), F.lit(no).alias("pattern_no"), i.alias("ord"), x.alias("raw")))
+        may = may_match(lowered, pattern)
+        return found if may is None else F.when(may, found).otherwise(none)
 
-        return one
+    def all_of(chunk: Column, k: Column) -> Column:
+        bound = F.transform(F.array(F.lower(chunk)), lambda low: F.concat(*(of(no, p, chunk, k, low) for no, p in enumerate(patterns))))
+        return F.element_at(bound, 1)
 
-    makers = [of(no, p) for no, p in enumerate(patterns)]
-    return F.flatten(F.transform(parts, lambda c, k: F.concat(*(make(c, k) for make in makers))))
+    return F.flatten(F.transform(parts, all_of))
 
 
-__all__ = ["CHARSETS", "DOMAIN", "candidates", "chunks", "decode_entities", "finds"]
+__all__ = ["CHARSETS", "DOMAIN", "candidates", "chunks", "decode_entities", "finds", "may_match"]

@@ -32,6 +32,12 @@ def _without_dots(path: Column) -> Column:
     return replaced(replaced(p, r"(?s)^\./(?=.)"), r"/\.\z", "/")
 
 
+def is_address(url: Column) -> Column:
+    """Whether links can resolve against it: a known scheme, and after // a host and a port that can be one."""
+    authority = r"//(?:[^/?#]*@)?(?:\[[^\]/?#]*\]|[^/?#:\[]*)(?::\d{0,9})?(?:[/?#].*)?"
+    return F.coalesce(trimmed(url).rlike(rf"(?is)^(?:{'|'.join(C.SCHEMES)}):(?:{authority}|(?!//).*)\z"), F.lit(False))
+
+
 def resolve(df: DataFrame, base: str, spec: str) -> DataFrame:
     """df with scheme, authority, host, path, query, ref and resolved; all null where a link has no address."""
     b, s = F.col(base), "_spec"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from linkloom.functions import rules, text, urls
@@ -17,12 +17,12 @@ def once(df: DataFrame, **columns) -> DataFrame:
     return df.select("*", F.explode_outer(F.array(made)).alias("_once")).select(*df.columns, *(F.col(f"_once.{n}").alias(n) for n in columns))
 
 
-def raw_candidates(responses: DataFrame, javascript: bool = True) -> DataFrame:
-    """session_id, page_id, url, pass, chunk_no, pattern_no, ord, raw of all finds in bodies."""
-    kept = responses.select("session_id", "page_id", "url", "body")
-    parts = once(once(kept, decoded=text.decode_entities(F.col("body"))), chunks=text.chunks(F.col("decoded")))
-    found = parts.select("session_id", "page_id", "url", F.explode_outer(text.candidates(F.col("chunks"), active(javascript))).alias("c"))
-    return found.where("c is not null").select("session_id", "page_id", "url", F.lit(BODY).alias("pass"), "c.chunk_no", "c.pattern_no", "c.ord", "c.raw")
+def raw_candidates(responses: DataFrame, javascript: bool = True, kept: tuple[str, ...] = (), empty: bool = False) -> DataFrame:
+    """session_id, page_id, url, pass, chunk_no, pattern_no, ord, raw of all finds in bodies, and the columns `kept`. empty: a row without a find for pages that have none."""
+    own = ("session_id", "page_id", "url", *kept)
+    parts = once(once(responses.select(*own, "body"), decoded=text.decode_entities(F.col("body"))), chunks=text.chunks(F.col("decoded")))
+    found = parts.select(*own, F.explode_outer(text.candidates(F.col("chunks"), active(javascript))).alias("c"))
+    return (found if empty else found.where("c is not null")).select(*own, F.lit(BODY).alias("pass"), "c.chunk_no", "c.pattern_no", "c.ord", "c.raw")
 
 
 def header_candidates(responses: DataFrame) -> DataFrame:
@@ -33,20 +33,44 @@ def header_candidates(responses: DataFrame) -> DataFrame:
     return solved.select("session_id", "page_id", "url", F.lit(HEADER).alias("pass"), F.lit(0).alias("chunk_no"), F.lit(0).alias("pattern_no"), "ord", F.coalesce("resolved", "raw").alias("raw"))
 
 
-def accepted(raw: DataFrame, javascript: bool = True) -> DataFrame:
-    """Finds that are links: normalised (bodies), checked, with the `candidate` that they stand for."""
+def _is_domain(javascript: bool) -> Column:
     names = [p.name for p in active(javascript)]
-    domain = (F.col("pass") == BODY) & (F.col("pattern_no") == names.index(DOMAIN))
-    marked = raw.where(~domain | rules.valid_domain(F.col("raw"))).withColumn("raw", F.when(domain, F.concat(F.lit("//"), "raw")).otherwise(F.col("raw")))
+    return (F.col("pass") == BODY) & (F.col("pattern_no") == names.index(DOMAIN))
+
+
+def _tidy(marked: DataFrame) -> DataFrame:
+    """Finds with the `candidate` that they stand for, normalised (bodies) but not checked."""
     cut = once(once(marked, _tidy=F.when(F.col("pass") == BODY, rules.tidied(F.col("raw")))), _cut=rules.bracket_cut(F.col("_tidy")))
     link = F.when(F.col("pass") == BODY, rules.finished(F.col("_cut"))).otherwise(F.col("raw"))
-    tidy = once(cut, candidate=rules.trimmed(link)).drop("_tidy", "_cut")
-    return tidy.where(rules.usable(F.col("candidate")))
+    return once(cut, candidate=rules.trimmed(link)).drop("_tidy", "_cut")
+
+
+def accepted(raw: DataFrame, javascript: bool = True) -> DataFrame:
+    """Finds that are links."""
+    domain = _is_domain(javascript)
+    marked = raw.where(~domain | rules.valid_domain(F.col("raw"))).withColumn("raw", F.when(domain, F.concat(F.lit("//"), "raw")).otherwise(F.col("raw")))
+    return _tidy(marked).where(rules.usable(F.col("candidate")))
+
+
+def judged(raw: DataFrame, javascript: bool = True) -> DataFrame:
+    """All finds; their candidate is null if they are no link."""
+    domain = F.coalesce(_is_domain(javascript), F.lit(False))
+    marked = raw.withColumn("raw", F.when(~domain, F.col("raw")).when(rules.valid_domain(F.col("raw")), F.concat(F.lit("//"), "raw")))
+    return _tidy(marked).withColumn("candidate", F.when(rules.usable(F.col("candidate")), F.col("candidate")))
+
+
+def seen_pages(responses: DataFrame, counter: Observation | str | None) -> DataFrame:
+    """Counts pages and bytes on their way: in an Observation, or under a name that a stream's progress has."""
+    return responses if counter is None else responses.observe(counter, F.count(F.lit(1)).alias("n_pages"), F.coalesce(F.sum(F.octet_length("body")), F.lit(0)).cast("long").alias("n_bytes"))
+
+
+def seen_links(found: DataFrame, counter: Observation | str | None) -> DataFrame:
+    return found if counter is None else found.observe(counter, F.count(F.lit(1)).alias("n_candidates"))
 
 
-def found_candidates(responses: DataFrame, javascript: bool = True, headers: bool = True) -> DataFrame:
+def found_candidates(responses: DataFrame, javascript: bool = True, headers: bool = True, counter: Observation | str | None = None) -> DataFrame:
     """Every find that is a link, with its place."""
-    raw = raw_candidates(responses, javascript)
+    raw = raw_candidates(seen_pages(responses, counter), javascript)
     if headers:
         raw = raw.unionByName(header_candidates(responses))
     found = accepted(raw, javascript)
@@ -58,5 +82,5 @@ def distinct_candidates(found: DataFrame) -> DataFrame:
     return found.groupBy("session_id", "page_id", "url", "candidate").agg(F.min("place").alias("place"))
 
 
-def extract_candidates(responses: DataFrame, javascript: bool = True, headers: bool = True) -> DataFrame:
-    return distinct_candidates(found_candidates(responses, javascript, headers))
+def extract_candidates(responses: DataFrame, javascript: bool = True, headers: bool = True, counter: Observation | str | None = None) -> DataFrame:
+    return distinct_candidates(found_candidates(responses, javascript, headers, counter))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.functions import constants as C
+from linkloom.operators import extract
 
 
 def placeholder_nodes(targets: DataFrame) -> DataFrame:
@@ -13,8 +14,9 @@ def placeholder_nodes(targets: DataFrame) -> DataFrame:
     return targets.select("session_id", "page_id", F.lit("GET").alias("method"), "uri", "resolved", "host", "is_new_subdomain", note.alias("note"), F.lit(C.ENTRY_TYPE).alias("entry_type"), F.col("url").alias("source_url"))
 
 
-def page_metrics(responses: DataFrame, candidates: DataFrame) -> DataFrame:
-    """session_id, page_id, n_bytes looked through, n_candidates."""
-    counts = candidates.groupBy("session_id", "page_id").agg(F.count(F.lit(1)).alias("n"))
-    sizes = responses.select("session_id", "page_id", F.octet_length("body").cast("long").alias("n_bytes"))
-    return sizes.join(counts, ["session_id", "page_id"], "left").select("session_id", "page_id", "n_bytes", F.coalesce("n", F.lit(0)).alias("n_candidates"))
+def page_metrics(responses: DataFrame, javascript: bool = True) -> DataFrame:
+    """session_id, page_id, n_bytes looked through, n_candidates. Bodies are looked through once; pages without a candidate are there too."""
+    sized = responses.withColumn("n_bytes", F.octet_length("body").cast("long"))
+    none = F.lit(None).cast("long")
+    raw = extract.raw_candidates(sized, javascript, ("n_bytes",), empty=True).unionByName(extract.header_candidates(responses).withColumn("n_bytes", none))
+    return extract.judged(raw, javascript).groupBy("session_id", "page_id").agg(F.max("n_bytes").alias("n_bytes"), F.countDistinct("candidate").alias("n_candidates"))

@@ -12,6 +12,7 @@ from linkloom import oracle as O  # noqa: E741, N812
 from linkloom.functions import rules, text, urls
 from linkloom.functions.patterns import DOMAIN, PATTERNS, Pattern
 from linkloom.operators import dedupe, extract, nodes, targets
+from linkloom.operators.quarantine import held
 from linkloom.options import Options
 from linkloom.plans.discover import discover, found_targets
 from linkloom.samples import ARCHIVED_SQL, RESPONSES_SQL, archived, responses
@@ -94,7 +95,7 @@ for _no, _pattern in enumerate(PATTERNS):
 
 
 #: Host names to try, made of a page's own and its id.
-HOSTS = ("{h}", "-{h}", "api-.{h}", "a..{h}", "{h}.", "exa mple.com", "", "x_{n}.{h}", "_x.{h}", "1.2.3.{n}", "localhost", "{h}-")
+HOSTS = ("{h}", "s{n}-.{h}", "{h}.{n}.", ".{h}", "{h}..", "n{n}_m.{h}", "_{h}", "10.{n}.0.9", "intra{n}", "tab\t{h}", "{h}_", "ö.{h}")
 
 
 def _hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,8 +236,7 @@ def placeholder_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"with {O.all_candidates()} select page_id, strlen(body) as n_bytes, coalesce(n, 0) as n_candidates from responses left join (select page_id, count(*) as n from candidates group by page_id) using (page_id)")
 def page_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = responses(spark, sf_dir)
-    return nodes.page_metrics(own, extract.extract_candidates(own)).select("page_id", "n_bytes", "n_candidates")
+    return nodes.page_metrics(responses(spark, sf_dir)).select("page_id", "n_bytes", "n_candidates")
 
 
 @query(f"with {O.all_candidates()}, {O.targets()} select distinct resolved, {O.encoded('resolved')} as uri from targets")
@@ -298,6 +298,22 @@ def stream_with_resets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream.written(spark, sink).select("session_id", "page_id", "resolved")
 
 
+@query(f"""with {RESPONSES_SQL}, m as (select page_id, case page_id % 9 when 1 then null when 5 then 'nothing/' || page_id when 6 then 'http://h:9x/' || page_id when 8 then 'http://[::1/' else url end as url,
+  case page_id % 9 when 2 then null when 3 then '' else body end as body, case when page_id % 9 <> 4 then content_type end as content_type, page_id % 9 = 7 as odd from responses),
+j as (select page_id, case when coalesce(length(body), 0) = 0 then 'gate:no body' when content_type is null then 'gate:no content type' when not regexp_matches(lower(content_type), 'html|javascript|json|xml|css') then 'gate:content type not searched'
+  when url is null then 'gate:no address' when page_id % 9 in (5, 6, 8) then 'address:not an address' when odd then 'charset:unknown charset no-such-charset' end as held from m)
+select page_id, split_part(held, ':', 1) as stage, split_part(held, ':', 2) as reason from j where held is not null""")
+def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which responses can't be looked through, and why; of a table in which a good part of the rows are odd."""
+    kind = F.col("page_id") % 9
+    odd = responses(spark, sf_dir).withColumns({
+        "url": F.when(kind == 5, F.concat(F.lit("nothing/"), "page_id")).when(kind == 6, F.concat(F.lit("http://h:9x/"), "page_id")).when(kind == 8, "http://[::1/").when(kind != 1, F.col("url")),
+        "body": F.when(kind == 3, "").when(kind != 2, F.col("body")), "content_type": F.when(kind != 4, F.col("content_type")), "charset": F.when(kind == 7, "no-such-charset"),
+    })
+    read = pages.decode_bytes(odd.withColumn("body", F.col("body").cast("binary")), "body", "charset", "decode_error")
+    return held(read).select("page_id", "stage", "reason")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_graph_flagship(spark, sf_dir)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -37,26 +38,31 @@ def as_responses(pages: DataFrame) -> DataFrame:
     return pages.select(F.lit(0).cast("long").alias("session_id"), "page_id", "url", F.lit("text/html").alias("content_type"), none.alias("source_map"), none.alias("x_source_map"), F.col("html").alias("body"))
 
 
-def decode_bytes(df: DataFrame, body: str, charset: str) -> DataFrame:
+def decode_bytes(df: DataFrame, body: str, charset: str, failed: str | None = None) -> DataFrame:
     """df with a binary body decoded by the charset of its row, where F.decode doesn't know it.
 
-    Unknown charsets, and null, count as UTF-8; bad bytes become U+FFFD.
+    Unknown charsets, and null, count as UTF-8; bad bytes become U+FFFD. failed: a further column, which says where a charset is unknown.
     """
     at, by = df.columns.index(body), df.columns.index(charset)
-    schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name == body else f for f in df.schema.fields])
+    fields = [T.StructField(f.name, T.StringType()) if f.name == body else f for f in df.schema.fields]
+    schema = T.StructType(fields if failed is None else [*fields, T.StructField(failed, T.StringType())])
 
-    def text(raw: bytes | None, name: str | None) -> str | None:
-        if raw is None:
-            return None
+    def known(name: str | None) -> bool:
         try:
-            return raw.decode(name or "utf-8", "replace")
-        except LookupError:
-            return raw.decode("utf-8", "replace")
+            return codecs.lookup(name or "utf-8")._is_text_encoding
+        except (LookupError, ValueError):
+            return False
+
+    def text(raw: bytes | None, name: str | None) -> str | None:
+        return None if raw is None else raw.decode(name if name and known(name) else "utf-8", "replace")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [text(r, n) for r, n in zip(batch.column(at).to_pylist(), batch.column(by).to_pylist(), strict=True)]
+            names = batch.column(by).to_pylist()
+            texts = [text(r, n) for r, n in zip(batch.column(at).to_pylist(), names, strict=True)]
             columns = [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(batch.columns)]
+            if failed is not None:
+                columns.append(pa.array([None if known(n) else f"unknown charset {n}" for n in names], pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return df.mapInArrow(run, schema)

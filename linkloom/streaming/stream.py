@@ -21,16 +21,16 @@ from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from linkloom.operators.dedupe import capped, unknown
-from linkloom.operators.extract import found_candidates
+from linkloom.operators.extract import found_candidates, seen_links
 from linkloom.operators.nodes import placeholder_nodes
+from linkloom.operators.quarantine import fine
 from linkloom.operators.targets import targets
 from linkloom.options import Options
 from linkloom.plans.discover import found_targets
-from linkloom.sources.pages import gated
 from linkloom.storage import materialize
 
 NODES = "session_id long, page_id long, method string, uri string, resolved string, host string, is_new_subdomain boolean, note string, entry_type string, source_url string"
@@ -38,6 +38,8 @@ CONTROL = "session_id long, at long, event string, resolved string, written_at t
 #: Events of the address tree that make a session forget; others change nothing.
 FORGETTING = ("node removed", "site removed")
 MARKING = "seen"
+#: Names of what is counted on the way.
+PAGES, LINKS = "pages", "links"
 #: Parts of a session's addresses. A checkpoint holds for the number with which it began.
 BUCKETS = 64
 REFUSED, TOLD, ASKED = 0, 1, 2
@@ -105,6 +107,30 @@ def _write(came: DataFrame, sink: str, batch_id: int) -> None:
     placeholder_nodes(came).withColumn("written_at", F.current_timestamp()).write.mode("overwrite").parquet(f"{sink}/nodes/batch={batch_id}")
 
 
+class Counts(StreamingQueryListener):
+    """What the streams of a session look through and find, batch by batch: spark.streams.addListener(Counts()). A find that a page has twice counts twice."""
+
+    def __init__(self):
+        self.batches: dict[tuple[str, int], dict[str, int]] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        seen = {k: v for name in (PAGES, LINKS) for k, v in (event.progress.observedMetrics.get(name) or Row()).asDict().items()}
+        if seen.get("n_pages"):
+            self.batches[str(event.progress.runId), event.progress.batchId] = seen
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def total(self) -> dict[str, int]:
+        return {c: sum(b.get(c, 0) for b in self.batches.values()) for c in ("n_pages", "n_bytes", "n_candidates")}
+
+
 class Remember(StatefulProcessor):
     """Lets through what asks for an address that isn't remembered, with the number of times that its session forgot before in this batch."""
 
@@ -218,9 +244,10 @@ def follow(found: DataFrame, sink: str, most: int, forget_after_ms: int | None =
 
 
 def start(responses: DataFrame, sink: str, options: Options | None = None, in_scope: Column | None = None, site_nodes: DataFrame | None = None, forget_after_ms: int | None = None, until_done: bool = True) -> StreamingQuery:
-    """A stream of responses into the sink; call it again for more."""
+    """A stream of responses into the sink; call it again for more. Its progress has what was looked through and found (see Counts)."""
     own = options or Options()
-    found = targets(found_candidates(gated(responses, in_scope), own.parse_javascript), own.discover_subdomains)
+    found = seen_links(found_candidates(fine(responses, in_scope), own.parse_javascript, counter=PAGES), LINKS)
+    found = targets(found, own.discover_subdomains)
     if site_nodes is not None:
         found = found.join(site_nodes.select("session_id", "uri"), ["session_id", "uri"], "left_anti")
     return follow(found, sink, own.most_inserts, forget_after_ms, until_done)

@@ -1,14 +1,17 @@
 """The whole way, in one go and as a stream."""
 
 import random
+import time
 
 from pyspark.sql import functions as F
 
 from linkloom import registry
 from linkloom.operators import dedupe
+from linkloom.operators.nodes import page_metrics
+from linkloom.operators.quarantine import fine, held
 from linkloom.options import Options
-from linkloom.plans.discover import discover
-from linkloom.sources.pages import RESPONSES, read_pages, stream_pages
+from linkloom.plans.discover import Metrics, discover
+from linkloom.sources.pages import RESPONSES, decode_bytes, read_pages, stream_pages
 from linkloom.storage import materialize
 from linkloom.streaming import stream
 
@@ -119,6 +122,43 @@ def test_odd_rows_fail_alone(spark):
     out = discover(spark.createDataFrame(rows, RESPONSES)).collect()
     assert [r["resolved"] for r in out if r["page_id"] == 1] == ["http://h.com/good"]
     assert all(r["host"] and r["uri"].isascii() for r in out)
+    df = spark.createDataFrame(rows, RESPONSES)
+    bad, good = {r["page_id"]: (r["stage"], r["reason"]) for r in held(df).collect()}, {r["page_id"] for r in fine(df).collect()}
+    assert good | set(bad) == {r[1] for r in rows} and not good & set(bad)
+    assert {r[2] for r in rows if r[1] in bad} == {"http://[", "ht!tp://%%%", "", "nothing", "http://h.com:x/", "//h.com"} and set(bad.values()) == {("address", "not an address")}
+
+
+def test_what_is_held_back(spark):
+    rows = [(0, 1, "http://h/", "text/html", None, None, b"x", None), (0, 2, "http://h/", "text/html", None, None, b"x", "no-such"), (0, 3, "http://h/", "text/html", None, None, None, "no-such"), (0, 4, "http://o/", "text/html", None, None, b"x", "utf-16"), (0, 5, None, "text/html", None, None, b"x", ""), (0, 6, "http://h/", "text/plain", None, None, b"x", "rot13")]
+    df = decode_bytes(spark.createDataFrame(rows, RESPONSES.simpleString()[7:-1].replace("body:string", "body:binary") + ",charset:string"), "body", "charset", "decode_error")
+    scope = F.col("url") == "http://h/"
+    assert {r["page_id"]: (r["stage"], r["reason"]) for r in held(df, scope).collect()} == {2: ("charset", "unknown charset no-such"), 3: ("gate", "no body"), 4: ("gate", "out of scope"), 5: ("gate", "no address"), 6: ("gate", "content type not searched")}
+    assert [r["page_id"] for r in fine(df, scope).collect()] == [1] and fine(df).columns == df.columns
+    broken = spark.createDataFrame([(0, 9, "http://h/", "text/html", None, None, "x", "cut short")], RESPONSES.simpleString()[7:-1] + ",error:string")
+    assert [tuple(r)[3:] for r in held(broken).collect()] == [("archive", "cut short")]
+
+
+def test_counts_on_the_way(spark, tmp_path):
+    """What is counted on the way is what page_metrics counts, in a batch and over a stream."""
+    own = registry.responses(spark, "/root/testdata/sf0.001")
+    materialize(fine(own), "fine").createOrReplaceTempView("fine_pages")
+    want = page_metrics(spark.table("fine_pages")).agg(F.count("page_id").alias("n_pages"), F.sum("n_bytes").alias("n_bytes"), F.sum("n_candidates").alias("n_candidates")).first().asDict()
+    counts = Metrics()
+    discover(spark.table("fine_pages"), metrics=counts).write.format("noop").mode("overwrite").save()
+    assert counts.get == want
+    listener = stream.Counts()
+    spark.streams.addListener(listener)
+    src = str(tmp_path / "in")
+    for k in range(2):
+        own.where(F.col("page_id") % 2 == k).write.mode("append").parquet(src)
+        stream.start(spark.readStream.schema(RESPONSES).parquet(src), str(tmp_path / "out"))
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(20_000)
+    deadline = time.time() + 20
+    while listener.total()["n_pages"] < want["n_pages"] and time.time() < deadline:
+        time.sleep(0.2)
+    spark.streams.removeListener(listener)
+    total = listener.total()
+    assert (total["n_pages"], total["n_bytes"]) == (want["n_pages"], want["n_bytes"]) and total["n_candidates"] >= want["n_candidates"]
 
 
 def _asks(spark, rows):

@@ -1,10 +1,13 @@
 """Single expressions: host names, decoding, brackets, addresses."""
 
+import time
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from linkloom.functions import rules, text, urls
+from linkloom.functions.patterns import PATTERNS
 from linkloom.options import Options
 from linkloom.sources import pages
 
@@ -22,14 +25,15 @@ def values(spark, inputs, expression):
 
 
 def test_hostnames(spark):
-    bad = ["-api.example.com", "api-.example.com", "a..b.example.com", "-foo.bar.example.com", "foo-.bar.example.com", "", "exa mple.com", None, "a" * 64, "x\n"]
-    good = ["api.example.com", "api-test.example.com", "staging-2.api.example.com", "localhost", "1.2.3.4", "a.b.", "a_b.c", "a" * 63]
+    long = ".".join(["b" * 60] * 4)
+    bad = ["cdn-.site.org", "-.org", "_dmarc.site.org", "x_.y", ".org", "site..org", "two words", "site.org..", "ö.org", "\n", None, "", "c" * 64 + ".org", long + ".toolonghere", "a/b"]
+    good = ["site.org", "site.org.", "x", "9.9.9.9", "a-b_c.d-e.org", "b" * 63 + ".org", "UPPER.Org", long, "1"]
     assert values(spark, bad + good, rules.valid_hostname) == [False] * len(bad) + [True] * len(good)
 
 
 def test_decoding(spark):
-    asked = ["a%2fb&#x3a;c%3dd&amp;e%26f", "&amp;quot;", "&amp;#x2f;", "&#47;&apos;&lt;", "\\/\\u002F&#2F", None, "&nbsp;"]
-    assert values(spark, asked, text.decode_entities) == ["a/b:c=d&e&f", '"', "&#x2f;", "&#47;&apos;&lt;", "///", "", " "]
+    asked = {"q%3D1%26r&equals;2": "q=1&r=2", "https%3A\\/\\/h%2Fp": "https://h/p", "&amp;quot;x&#x22;": '"x"', "&amp;#x3a;": "&#x3a;", "&#47;&apos;&lt;": "&#47;&apos;&lt;", "\\u002F&#2F&#02f": "///", "a&nbsp;b": "a b", "%252f": "%252f"}
+    assert values(spark, [*asked, None], text.decode_entities) == [*asked.values(), ""]
 
 
 def test_many_brackets(spark):
@@ -38,6 +42,16 @@ def test_many_brackets(spark):
     assert values(spark, asked, rules.bracket_cut) == ["/a", "()" * 10_000, deep, deep, "a" * 5000]
 
 
+def test_brackets_take_one_pass(spark):
+    df = spark.createDataFrame([("(" * n + ")" * n,) for n in (2_500, 20_000)], "s string").cache()
+    seconds = []
+    for n in (2_500, 20_000, 2_500, 20_000):
+        began = time.perf_counter()
+        assert df.where(F.length("s") == 2 * n).select(F.length(rules.bracket_cut(F.col("s")))).first()[0] == 2 * n
+        seconds.append(time.perf_counter() - began)
+    assert seconds[3] < 3 and seconds[3] < 20 * seconds[2]
+
+
 def test_brackets(spark):
     asked = ["/x(a)b(c", "a(b]c", "/p{id}/q", "([)]", "]x", "a)b(c)", "plain", "((a)(b)", "{[()]}", ""]
     assert values(spark, asked, rules.bracket_cut) == ["/x(a)b", "a", "/p{id}/q", "", "", "a", "plain", "", "{[()]}", ""]
@@ -86,11 +100,36 @@ def test_addresses_as_the_jdk_has_them(spark):
         assert (r["resolved"], r["host"]) == jdk(r["b"], r["s"]), (r["b"], r["s"])
 
 
+def test_addresses_are_addresses_to_the_jdk(spark):
+    asked = [*BASES, *LINKS, "http://[::1]/x", "http://[::1]:80", "http://[::1", "http://h:1:2/", "http://u:p@h:8/", " http://h ", "HTTP:", "x y://h", "http://h/[x]:y", "http://h?a:b@c:d"]
+    url = spark._jvm.java.net.URL
+
+    def jdk(x):
+        try:
+            return url(x) is not None
+        except Exception:
+            return False
+
+    assert values(spark, asked, urls.is_address) == [jdk(x) for x in asked]
+
+
 def test_encoding(spark):
     asked = {"http://h.com:8/é x": "http://h.com:8/%C3%A9%20x", "/a%20b%zz": "/a%2520b%25zz", "/a+b?b=c+d&e?%1": "/a%2Bb?b=c+d&e?%251", "/{id}[0]|^": "/%7Bid%7D%5B0%5D%7C%5E", "/a*(b)!~'c;d,$": "/a*(b)!~'c;d,$", "": "", "/😀?": "/%F0%9F%98%80?"}
     assert values(spark, list(asked), urls.encoded) == list(asked.values())
 
 
+SCRAPS = [*(t for p in PATTERNS for texts in p.needs for t in texts), "IMPORT", "From", "New\tWebSocket(", "new  EventSource(", "<META x ", "URL", "URL=", " = ", "'", '"', "'/a/b'", '"c.js"', "`", "${x}", "(", ")", " ", "\n", "//h.example.com", "x", "{", "}", ":", ",", "post", ".get", "İ", "K"]
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(SCRAPS), max_size=12).map("".join), min_size=150, max_size=200))
+def test_no_find_is_lost(spark, asked):
+    """A pattern that finds something in a text has all that it needs there."""
+    df = spark.createDataFrame([(x,) for x in asked], "x string")
+    lost = [F.sum((F.size(text.finds(F.col("x"), p)) > 0).cast("int") * (~text.may_match(F.lower("x"), p)).cast("int")).alias(p.name) for p in PATTERNS if p.needs]
+    assert not any(df.select(*lost).first())
+
+
 def test_chunks(spark):
     short, long = values(spark, ["a" * 50_000, "b" * 75_001], text.chunks)
     assert [len(c) for c in short] == [50_000] and [len(c) for c in long] == [40_000, 40_000, 5_001]
