@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +53,17 @@ def split_join(left: DataFrame, right: DataFrame, key: str, spread: str) -> Data
     return dealt.join(copied, [key, "_part"]).drop("_part")
 
 
+def grid(left: DataFrame, right: DataFrame, row: Column, column: Column) -> DataFrame:
+    """Each row of left (counted) beside each row of right, both blocks of many: dealt to the places of a grid by numbers `row` and
+    `column`, and joined by equal places. There are about as many places as partitions, so a block is copied to a row or a column of these."""
+    n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = max(1, min(left.count(), isqrt(n)))
+    columns = -(-n // rows)
+    own = left.withColumns({"_i": F.pmod(row, F.lit(rows)).cast("int"), "_j": F.explode(F.sequence(F.lit(0), F.lit(columns - 1)))})
+    data = right.withColumns({"_j": F.pmod(column, F.lit(columns)).cast("int"), "_i": F.explode(F.sequence(F.lit(0), F.lit(rows - 1)))})
+    return own.join(data, ["_i", "_j"]).drop("_i", "_j")
+
+
 def shielded(df: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
     """df with all columns but `used` under names of our own, and what gives such rows their names back, in df's order."""
     names = {c: c if c in used else f"_column_{i}" for i, c in enumerate(df.columns)}
@@ -59,4 +71,4 @@ def shielded(df: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, Callable[
     return hidden, lambda out: out.select(*(F.col(n).alias(c) for c, n in names.items()))
 
 
-__all__ = ["BATCH_BYTES", "WORD", "bound_batches", "discard", "materialize", "n_words", "shared_dir", "shielded", "split_join", "table", "text_or_empty"]
+__all__ = ["BATCH_BYTES", "WORD", "bound_batches", "discard", "grid", "materialize", "n_words", "shared_dir", "shielded", "split_join", "table", "text_or_empty"]

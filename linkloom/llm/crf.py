@@ -5,9 +5,10 @@ whether it is in a language's lexicon, as learned from the sample; they are hash
 neighbouring words there are learned transitions. Forward-backward gives each word its distribution over languages,
 so code-switched texts are labelled by stretches; a document's language is the one with the most words expected.
 
-The model is fitted, by gradient steps on the exact likelihood, on all words of at most `max_docs` different labelled texts, drawn
-by a hash of the text from all of them, evenly from the `max_langs` languages with the most texts. Sequences for learning are
-pieces of these, half of them made of pieces of several, so that transitions between languages occur. What is predicted from is the text alone.
+The model is fitted, by gradient steps on the exact likelihood until that settles, on different labelled texts drawn by a hash of the text from
+all of them, evenly from all languages: `max_docs`, or LEAST a language if these are more. Of a text of over WORDS_EACH words, pieces from all of
+it make up so many; so the driver holds max(max_docs, LEAST languages) * WORDS_EACH words at most, and half a megabyte of weights a language. Sequences
+for learning are pieces of these, half of them made of pieces of several, so that transitions between languages occur. What is predicted from is the text alone.
 
 Cases: a text that is null or has no letter is `und` with score 0 (numerals such as ½ or Ⅷ are no letters); without any
 labelled document all texts are `und`; texts and words of any length are labelled whole; repeated rows stay; an empty table
@@ -28,12 +29,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from linkloom.llm.common import materialize
+
 WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 #: The same for texts below U+0250, where all from U+00F8 on are letters and none are marks.
 LATIN = re.compile(r"[\x00-\u024f]*\Z")
 LATIN_WORDS = re.compile(r"[A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f]+")
-#: Words of a sequence for learning.
-PIECE = 80
+#: Words of a sequence for learning; most words of a text, and fewest texts of a language, to learn from.
+PIECE, WORDS_EACH, LEAST = 80, 6000, 4
+#: Steps to take at least, times to go through all sequences at most, and what a time must gain of the cost (nats a word) to go on.
+STEPS, EPOCHS, GAIN = 60, 60, 0.05
 BUCKETS = 1 << 16
 #: Characters whose words are held at once, and words whose weights are remembered.
 BATCH_CHARS = 4_000_000
@@ -136,7 +141,7 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray,
     return post, pairs, log_z
 
 
-def fit(rows: list[tuple[str, str]], seed: int = 5, epochs: int = 5, rate: float = 0.4, decay: float = 1e-4) -> Model:
+def fit(rows: list[tuple[str, str]], seed: int = 5, rate: float = 0.4, decay: float = 1e-4) -> Model:
     """rows: (text, language)."""
     random = np.random.Generator(np.random.PCG64(seed))
     labels = sorted({lang for _, lang in rows})
@@ -161,8 +166,10 @@ def fit(rows: list[tuple[str, str]], seed: int = 5, epochs: int = 5, rate: float
     places = lambda w: known.setdefault(w, np.array(model.places(w)))
     squares = np.full((BUCKETS, len(labels)), 1e-6)
     move_squares = np.full(model.moves.shape, 1e-6)
-    for _ in range(epochs):
+    steps, last = 0, np.inf
+    for _ in range(EPOCHS):
         random.shuffle(sequences)
+        cost, n_words = 0.0, 0
         for at in range(0, len(sequences), 64):
             batch = [s for s in sequences[at : at + 64] if s]
             if not batch:
@@ -175,7 +182,13 @@ def fit(rows: list[tuple[str, str]], seed: int = 5, epochs: int = 5, rate: float
             norm = 1 / np.sqrt(sizes)
             begins = np.cumsum(sizes) - sizes
             scores = np.add.reduceat(model.weights[where], begins, axis=0) * norm[:, None]
-            post, pairs, _ = forward_backward(scores, lengths, model.moves, model.start)
+            post, pairs, log_z = forward_backward(scores, lengths, model.moves, model.start)
+            inner = np.ones(len(gold), bool)
+            inner[np.cumsum(lengths) - lengths] = False
+            was, now = gold[np.flatnonzero(inner) - 1], gold[inner]
+            cost += log_z - scores[np.arange(len(gold)), gold].sum() - model.moves[was, now].sum()
+            n_words += len(gold)
+            steps += 1
             error = post
             error[np.arange(len(gold)), gold] -= 1
             error *= norm[:, None]
@@ -183,13 +196,14 @@ def fit(rows: list[tuple[str, str]], seed: int = 5, epochs: int = 5, rate: float
             grad = np.stack([np.bincount(inverse, error[of, k], len(used)) for k in range(len(labels))], axis=1) / len(flat) + decay * model.weights[used]
             squares[used] += grad**2
             model.weights[used] -= rate * grad / np.sqrt(squares[used])
-            inner = np.ones(len(gold), bool)
-            inner[np.cumsum(lengths) - lengths] = False
             real = np.zeros_like(pairs)
-            np.add.at(real, (gold[np.flatnonzero(inner) - 1], gold[inner]), 1)
+            np.add.at(real, (was, now), 1)
             move = (pairs - real) / len(flat)
             move_squares += move**2
             model.moves -= rate * 0.2 * move / np.sqrt(move_squares)
+        if not n_words or (steps >= STEPS and cost / n_words > (1 - GAIN) * last - 0.002):
+            break
+        last = cost / n_words
     return model
 
 
@@ -228,18 +242,35 @@ def label_words(model: Model, texts: list[str | None], memory: Memory) -> tuple[
     return np.split(post, np.cumsum(lengths)[:-1]), words
 
 
-def sample(df: DataFrame, where: Column, max_docs: int, max_langs: int) -> list[tuple[str, str]]:
-    """(text, lang) of at most max_docs different texts with a language, evenly by language, the same at each run."""
+def drawn(text: str) -> str:
+    """A text as it is if it has WORDS_EACH words at most, else so many of its words, in pieces from all of it."""
+    words = words_of(text)
+    if len(words) <= WORDS_EACH:
+        return text
+    starts = np.linspace(0, len(words) - PIECE, WORDS_EACH // PIECE).astype(int).tolist()
+    return " ".join(w for i in starts for w in words[i : i + PIECE])
+
+
+def sample(df: DataFrame, where: Column, max_docs: int) -> list[tuple[str, str]]:
+    """(text, lang) of max_docs different texts with a language, or LEAST a language if these are more; evenly by language, the same at each run."""
     able = df.where(where & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text", F.xxhash64("text").alias("u"))
-    sizes = able.groupBy("lang").agg(F.approx_count_distinct("u").alias("n")).orderBy(F.desc("n"), "lang").limit(min(max_langs, max_docs)).collect()
-    if not sizes:
+    sizes = materialize(able.groupBy("lang").agg(F.approx_count_distinct("u").alias("n")), "languages")
+    n = sizes.count()
+    if not n:
         return []
-    each = max_docs // len(sizes)
+    each = max(max_docs // n, LEAST)
     # equal texts have equal hashes and count once, so that what passes is some 1.5 times the sample, however often a text or an id is repeated
-    most = F.element_at(F.create_map(*(x for r in sizes for x in (F.lit(r["lang"]), F.lit(int(min(1.0, (1.5 * each + 20) / max(1, r["n"])) * (1 << 30)))))), F.col("lang"))
-    some = able.where(F.pmod(F.xxhash64(F.lit(11), "u"), F.lit(1 << 30)) <= most).groupBy("lang", "u").agg(F.min("text").alias("text"))
+    share = F.least(F.lit(1.0), F.lit(1.5 * each + 20) / F.greatest("n", F.lit(1)))
+    limits = F.broadcast(sizes.select("lang", (share * (1 << 30)).cast("long").alias("most")))  # a row a language
+    some = able.join(limits, "lang").where(F.pmod(F.xxhash64(F.lit(11), "u"), F.lit(1 << 30)) <= F.col("most")).groupBy("lang", "u").agg(F.min("text").alias("text"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(11), "u"), "u"))
-    rows = some.withColumn("rank", rank).where(F.col("rank") <= each).collect()  # max_docs at most
+    few = some.withColumn("rank", rank).where(F.col("rank") <= each).select("lang", "rank", "text")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(map(drawn, batch.column(2).to_pylist()), pa.string())], names=["lang", "rank", "text"])
+
+    rows = few.mapInArrow(cut, few.schema).collect()
     return [(r["text"], r["lang"]) for r in sorted(rows, key=lambda r: (r["lang"], r["rank"]))]
 
 
@@ -288,9 +319,9 @@ def held_out(id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def languages(documents: DataFrame, max_docs: int = 400, max_langs: int = 100) -> DataFrame:
+def languages(documents: DataFrame, max_docs: int = 400) -> DataFrame:
     """Per document: doc_id, held_out, lang_pred, score and more; learned from documents that aren't held out."""
-    rows = sample(documents, ~held_out(), max_docs, max_langs)
+    rows = sample(documents, ~held_out(), max_docs)
     model = fit(rows) if rows else None
     found = identify(documents, model)
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "n_words", "n_switches")

@@ -21,7 +21,6 @@ count as out of all windows. A positive without negatives has no rows. An empty
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import materialize, split_join
+from linkloom.llm.common import grid, materialize, split_join
 from linkloom.llm.vafile import CELLS, _blocks, cells_of, quantised
 
 #: Anchors, and classes, of a block; anchors that are looked up at once.
@@ -172,13 +171,8 @@ def _search(k: int, same: bool):
 
 
 def _met(anchors: DataFrame, cells: DataFrame) -> DataFrame:
-    """Each block of anchors with each block of cells of its vectors' length, by a grid of about as many places as there are partitions."""
-    n = int(anchors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = max(1, min(anchors.count(), math.isqrt(n)))
-    columns = -(-n // rows)
-    own = anchors.withColumns({"i": F.pmod("block", F.lit(rows)).cast("int"), "j": F.explode(F.sequence(F.lit(0), F.lit(columns - 1)))})
-    data = cells.withColumns({"j": F.pmod("part", F.lit(columns)).cast("int"), "i": F.explode(F.sequence(F.lit(0), F.lit(rows - 1)))})
-    return own.join(data, ["i", "j"]).where("n = asked_n").drop("i", "j", "part", "asked_n")
+    """Each block of anchors with each block of cells of its vectors' length."""
+    return grid(anchors, cells, F.col("block"), F.col("part")).where("n = asked_n").drop("part", "asked_n")
 
 
 def _candidates(anchors: DataFrame, cells: DataFrame, k: int, same: bool) -> DataFrame:

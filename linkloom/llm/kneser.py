@@ -189,12 +189,13 @@ def score(df: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...]
 
 
 def classify(documents: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",), quantile: float = QUANTILE, margin: float = MARGIN) -> DataFrame:
-    """`keep` of documents, with perplexity, threshold (a perplexity too) and rejected.
+    """`keep` of documents, with perplexity, drawn_perplexity, threshold (a perplexity too) and rejected.
 
-    Trusted: labels with quality 1 and toxic 0. The cost that is held against the threshold is the drawn one.
+    Trusted: labels with quality 1 and toxic 0. A document is rejected if its drawn_perplexity, which is its own drawn to its language's
+    mean by PRIOR bytes, is above the threshold, or if it has no text.
     """
     bound_batches(documents.sparkSession)
-    keep = tuple(c for c in keep if c not in ("perplexity", "threshold", "rejected"))
+    keep = tuple(c for c in keep if c not in ("perplexity", "drawn_perplexity", "threshold", "rejected"))
     ids = materialize(labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select(F.col("doc_id").alias("_id")).distinct(), "trusted")
     half = F.pmod(F.xxhash64(F.lit(3), F.col("text")), F.lit(2))
     name = lambda i, c: "text" if c == "text" else f"_own_{i}"
@@ -214,9 +215,11 @@ def classify(documents: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("
     mean, most = F.coalesce("_mean", F.lit(everyone if known else 0.0)), F.coalesce("_least", F.lit(least if known else 0.0)) + margin
     cost = (F.col("nats") + PRIOR * mean) / (F.col("n_bytes") + PRIOR)
     empty = F.col("n_bytes") == 0
+    drawn_cost, limit = F.when(~empty & F.lit(known), F.exp(cost)), F.when(F.lit(known), F.exp(most))
     return both.select(
         *(F.col(name(i, c)).alias(c) for i, c in enumerate(keep)),
         F.when(~empty & F.lit(known), F.exp(F.col("nats") / F.col("n_bytes"))).alias("perplexity"),
-        F.when(F.lit(known), F.exp(most)).alias("threshold"),
-        (empty | (F.lit(known) & (cost > most))).alias("rejected"),
+        drawn_cost.alias("drawn_perplexity"),
+        limit.alias("threshold"),
+        F.coalesce(drawn_cost > limit, empty).alias("rejected"),
     )

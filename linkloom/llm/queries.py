@@ -58,6 +58,14 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(table(spark, sf_dir, "documents"))
 
 
+#: The base rules, said again.
+BASE_RULES = (
+    secrets.Rule("assign", r"""(?i:password|passwd|secret|token|api_key|apikey)["']?[ ]*[:=][ ]*["']?([A-Za-z0-9+/_.=-]+)""", 1, 6),
+    secrets.Rule("access", "AKIA[A-Z0-9]{16,}"),
+    secrets.Rule("hex", "[a-f0-9]{24,}"),
+)
+
+
 def _spans_sql(no: int, rule: secrets.Rule) -> str:
     p = rule.pattern.replace("'", "''")
     return f"""
@@ -68,13 +76,14 @@ def _spans_sql(no: int, rule: secrets.Rule) -> str:
 
 
 def op6_sql() -> str:
-    base = secrets.BASE
-    counts = ", ".join(f"count(*) filter (no = {k}) as n_{secrets.RULES[k].kind}" for k in range(base))
-    own = ", ".join(f"coalesce(n_{secrets.RULES[k].kind}, 0) as n_{secrets.RULES[k].kind}" for k in range(base))
+    base = len(BASE_RULES)
+    rules = BASE_RULES + secrets.RULES[base:]
+    counts = ", ".join(f"count(*) filter (no = {k}) as n_{r.kind}" for k, r in enumerate(BASE_RULES))
+    own = ", ".join(f"coalesce(n_{r.kind}, 0) as n_{r.kind}" for r in BASE_RULES)
     joined = lambda which: f"string_agg(kind || ':' || a::bigint || ':' || b::bigint, ',' order by a, no) {which}"
     return f"""
 with d as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
-s as ({" union all ".join(_spans_sql(k, r) for k, r in enumerate(secrets.RULES))}),
+s as ({" union all ".join(_spans_sql(k, r) for k, r in enumerate(rules))}),
 f as (select r, {counts}, {joined(f"filter (no < {base})")} as base, {joined("")} as spans from s group by r)
 select doc_id, {own}, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans from d left join f using (r)
 """

@@ -42,7 +42,8 @@ RULES = (
     Rule("assign", r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 6),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", r"[0-9a-f]+", 0, 24),
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[A-Za-z0-9+/=\\\r\n]*(?:-----END [A-Z ]{0,20}PRIVATE KEY-----)?"),
+    # lines of a header (of encrypted keys, and of PGP), the body, and the end if it is there
+    Rule("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY(?: BLOCK)?-----(?:[\\rn\r\n]{1,4}[A-Z][A-Za-z-]{1,30}: [^\\\r\n]*){0,8}[A-Za-z0-9+/=\\\r\n]*(?:-----END [A-Z ]{0,20}PRIVATE KEY(?: BLOCK)?-----)?"),
     Rule("code_host", r"(?:ghp|gho|ghu|ghs|ghr)_[A-Za-z0-9]{36,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("maps_key", r"AIza[A-Za-z0-9_-]{35}"),

@@ -6,7 +6,8 @@ vectors of a block share. A scan of the cells alone gives each query the vectors
 than the k-th best of the lowest possible ones. Of these, exact vectors are read in the order of their bounds: first the k
 best, then those that may still reach the k-th exact score. Ties go to the smaller id.
 
-Queries come in blocks too, and each block of queries meets each block of cells; a task holds a block of either and what it has found.
+Queries come in blocks too. Both are dealt to a grid, rows of query blocks and columns of cell blocks, and joined by equal places, so each
+block of queries meets each block of cells once; a task holds a block of either and what it has found. Exact vectors are read in two steps, not one by one.
 
 Cases: vectors that are null, or hold null, NaN or infinite components, take no part, neither do null ids.
 Vectors of other lengths than the query's aren't compared with it. A query's own rows are those with its id.
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import materialize
+from linkloom.llm.common import grid, materialize
 
 #: Queries, and vectors, of a block.
 QUERY_BLOCK, DATA_BLOCK = 2048, 4096
@@ -178,8 +179,7 @@ def top_k(df: DataFrame, k: int = 5, every: int = 50, id: str = "vec_id", vector
     cells = materialize(sole.mapInArrow(_cell_file, CELL_FILE), "cells")
     asked = materialize(data.where(F.col("id") % every == 0).distinct().select("id", F.xxhash64("v").alias("no"), "v"), "queries")  # an id may have several vectors
     blocks = materialize(asked.mapInArrow(_query_file, "asked_n long, block long, ids binary, nos binary, queries binary"), "query-blocks")
-    # blocks against blocks of one length; not an equality, as all may have the same
-    met = cells.join(blocks, (F.col("n") <= F.col("asked_n")) & (F.col("n") >= F.col("asked_n")))
+    met = grid(blocks, cells, F.col("block"), F.xxhash64("keys")).where("n = asked_n")
     seen = materialize(met.mapInArrow(_search(k), "query_id long, query_no long, key long, lowest double, highest double"), "candidates").dropDuplicates(["query_id", "query_no", "key"])
     own = Window.partitionBy("query_id", "query_no")
     # each task has sent a few rows a query; the k-th best lowest score of all tells which of them may still count

@@ -70,12 +70,33 @@ def test_letters_and_marks():
 
 
 def test_sample_is_bounded(spark):
-    """However many rows share an id or a text, or however many languages there are."""
+    """However many rows share an id or a text; each language has its texts, however many languages there are."""
     rows = [(None if i % 2 else 7, f"text {i % 900}", "en") for i in range(3000)] + [(i, "the same", "de") for i in range(2000)] + [(i, f"word {i}", f"l{i % 60}") for i in range(600)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    found = crf.sample(df, F.lit(True), 40, 10)
-    assert len(found) <= 40 and len(set(found)) == len(found) and len({lang for _, lang in found}) <= 10 and sum(lang == "en" for _, lang in found) == 4
-    assert found == crf.sample(df.repartition(3), F.lit(True), 40, 10)
+    found = crf.sample(df, F.lit(True), 40)
+    by = {k: sum(lang == k for _, lang in found) for _, k in found}
+    assert len(by) == 62 and len(set(found)) == len(found) and by.pop("de") == 1 and set(by.values()) == {crf.LEAST}
+    assert found == crf.sample(df.repartition(3), F.lit(True), 40)
+    assert len(crf.sample(df, F.lit(True), 620)) == 1 + 61 * 10
+
+
+def test_long_texts_are_drawn_from():
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}" for i in range(15_000)]
+    found = crf.words_of(crf.drawn(" ".join(words)))
+    assert len(found) == crf.WORDS_EACH // crf.PIECE * crf.PIECE and found[: crf.PIECE] == words[: crf.PIECE] and found[-crf.PIECE :] == words[-crf.PIECE :]
+    assert crf.drawn(" ".join(words[:6000])) == " ".join(words[:6000])
+
+
+def test_many_languages(spark):
+    """Languages with few and short texts are learned too, all of them."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda k, i: letters[k % 26] + letters[k // 26] + letters[(7 * k + i) % 26] + "aeiou"[i % 5] + letters[k // 26]
+    for n, texts, size in ((130, 16, 12), (150, 3, 4)):
+        rows = [(k * 100 + j, " ".join(word(k, i * j + i) for i in range(1, size + 1)), f"l{k:03}") for k in range(n) for j in range(texts)]
+        found = {r["doc_id"]: (r["lang_pred"], r["held_out"]) for r in crf.languages(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+        known = {lang for i, _, lang in rows if not found[i][1]}
+        right = [found[i][0] == lang for i, _, lang in rows if lang in known and found[i][1]]
+        assert {lang for i, (lang, _) in found.items()} >= known and sum(right) >= 0.9 * len(right)
 
 
 def test_languages_by_brute_force(spark):

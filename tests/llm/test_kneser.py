@@ -115,5 +115,6 @@ def test_thresholds_by_brute_force(spark):
         a, n = nats(t)
         most = least.get(lang, cut([c for _, c in costs])) + kneser.MARGIN
         assert found[i]["rejected"] == (drawn(a, n, means.get(lang, mean(judged))) > most)
+        assert found[i]["rejected"] == (found[i]["drawn_perplexity"] > found[i]["threshold"])
         assert np.isclose(found[i]["perplexity"], np.exp(a / n), rtol=1e-4) and np.isclose(found[i]["threshold"], np.exp(most), rtol=1e-4)
     assert {i for i, r in found.items() if r["rejected"]} >= {200, 201, 202, 203, 301, 302}

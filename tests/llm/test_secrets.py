@@ -88,3 +88,18 @@ def test_kept_columns_with_clashing_names(spark):
     df = spark.createDataFrame([(1, "token=abcdefgh", 5, "x", 6)], "doc_id long, text string, key int, rules string, spans int")
     row = secrets.scan(df, keep=("key", "rules", "spans")).first()
     assert (row["key"], row["rules"]) == (5, "x") and [tuple(s) for s in row["spans"]] == [(0, 0, 14)]
+
+
+def test_whole_keys(spark):
+    """Keys with headers, of PGP, and in escaped texts leave nothing of their bodies."""
+    body = "MIIEpAIBAAKCAQEA\nq83vEjRWeJCrze8=\n"
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123ABCD\n\n"
+    texts = [
+        f"a -----BEGIN RSA PRIVATE KEY-----\n{head}{body}-----END RSA PRIVATE KEY----- b",
+        f"a -----BEGIN PGP PRIVATE KEY BLOCK-----\r\nVersion: GnuPG v2.1 (x)\r\nComment: mine, all: mine\r\n\r\n{body}=ab1Z\n-----END PGP PRIVATE KEY BLOCK----- b",
+        "a " + f"-----BEGIN RSA PRIVATE KEY-----\n{head}{body}-----END RSA PRIVATE KEY-----".replace("\n", "\\n") + " b",
+        "-----BEGIN PGP PUBLIC KEY BLOCK-----\nVersion: x\n",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["clean"] for r in secrets.scan(df).select("doc_id", secrets.redacted(F.col("text"), F.col("spans")).alias("clean")).collect()}
+    assert found == {0: "a [SECRET] b", 1: "a [SECRET] b", 2: "a [SECRET] b", 3: texts[3]}
