@@ -26,8 +26,19 @@ HELD = 500_000
 
 
 def unknown(targets: DataFrame, site_nodes: DataFrame) -> DataFrame:
-    """Targets whose uri isn't known in their session. site_nodes: session_id, uri."""
-    return targets.join(site_nodes.select("session_id", "uri").distinct(), ["session_id", "uri"], "left_anti")
+    """Targets whose uri isn't known in their session. site_nodes: session_id, uri; if it is a table of save_tree(), only targets are shuffled."""
+    return targets.join(site_nodes.select("session_id", "uri"), ["session_id", "uri"], "left_anti")
+
+
+def save_tree(site_nodes: DataFrame, table: str, buckets: int, path: str | None = None) -> DataFrame:
+    """Writes what is known as a table in buckets of (session_id, uri), sorted, for a tree that is larger than what is looked up in it.
+
+    Each run then brings its targets to the buckets, rather than the tree to them; take about as many buckets as a run has partitions.
+    """
+    known = site_nodes.select("session_id", "uri").distinct().repartition(buckets, "session_id", "uri")
+    writer = known.write.bucketBy(buckets, "session_id", "uri").sortBy("session_id", "uri").format("parquet")
+    (writer if path is None else writer.option("path", path)).saveAsTable(table)
+    return site_nodes.sparkSession.table(table)
 
 
 def first_pages(targets: DataFrame, scope: tuple[str, ...] = ("session_id",)) -> DataFrame:

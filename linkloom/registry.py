@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from linkloom import oracle as O  # noqa: E741, N812
 from linkloom.functions import rules, text, urls
 from linkloom.functions.patterns import DOMAIN, PATTERNS, Pattern
-from linkloom.operators import dedupe, extract, nodes, targets
+from linkloom.operators import dedupe, extract, nodes, report, targets
 from linkloom.operators.quarantine import held
 from linkloom.options import Options
 from linkloom.plans.discover import discover, found_targets
@@ -104,10 +105,17 @@ def _hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.select("page_id", F.replace(F.replace(one, F.lit("{h}"), targets.base_host(F.col("url"))), F.lit("{n}"), F.col("page_id").cast("string")).alias("host"))
 
 
-@query(f"""with h as (select page_id, replace(replace([{", ".join(map(O.q, HOSTS))}][page_id % {len(HOSTS)} + 1], '{{h}}', {HOST}), '{{n}}', page_id::varchar) as host from pages)
+_DOMAINS = next(p for p in PATTERNS if p.name == DOMAIN)
+
+
+@query(f"""with {RESPONSES_SQL}, {O.DECODED}, {O.CHUNKS}, {O.raw((_DOMAINS,))},
+h as (select page_id, replace(replace([{", ".join(map(O.q, HOSTS))}][page_id % {len(HOSTS)} + 1], '{{h}}', {HOST}), '{{n}}', page_id::varchar) as host from pages union select page_id, split_part(raw, '/', 1) from raw)
 select page_id, host, {O.valid_hostname("host")} as valid from h""")
 def valid_hostname(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _hosts(spark, sf_dir).select("page_id", "host", rules.valid_hostname(F.col("host")).alias("valid"))
+    """Names made of each page's own, and all that looks like one in its body."""
+    found = extract.once(extract.once(responses(spark, sf_dir).select("page_id", "body"), d=text.decode_entities(F.col("body"))), c=text.chunks(F.col("d")))
+    names = found.select("page_id", F.explode("c").alias("chunk")).select("page_id", F.explode_outer(text.finds(F.col("chunk"), _DOMAINS)).alias("raw")).where("raw is not null").select("page_id", F.substring_index("raw", "/", 1).alias("host"))
+    return _hosts(spark, sf_dir).unionByName(names).distinct().select("page_id", "host", rules.valid_hostname(F.col("host")).alias("valid"))
 
 
 @query(f"with {RESPONSES_SQL}, {O.DECODED}, {O.CHUNKS}, {O.raw(PATTERNS)}, {O.normal('raw', 'page_id, pattern_no, raw')} select distinct page_id, raw, candidate from t4")
@@ -120,12 +128,15 @@ def normalize_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
 BRACKETED = ("/x(a)b(c{n}", "a(b]c{n}", "/p{id}/q{n}", "/q[{n}]{[()]}", "]{n}", "((({n})))", "({n}[)]", "plain{n}", "{a{b}{n}", "x)y(z{n})")
 
 
-@query(rf"""with b as (select page_id, replace([{", ".join(map(O.q, BRACKETED))}][page_id % {len(BRACKETED)} + 1], '{{n}}', page_id::varchar) as s from pages)
+@query(rf"""with {RESPONSES_SQL}, {O.DECODED}, {O.CHUNKS}, {O.raw(PATTERNS)},
+b as (select page_id, replace([{", ".join(map(O.q, BRACKETED))}][page_id % {len(BRACKETED)} + 1], '{{n}}', page_id::varchar) as s from pages union select page_id, {O.tidied("raw")} from raw)
 select page_id, s, substr(s, 1, length(regexp_extract({O.masked("s")}, '^[^()\[\]{{}}]*'))) as cut from b""")
 def bracket_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with brackets of all sorts, and all finds of all pages. (The SQL takes eight levels of brackets at most.)"""
     one = F.element_at(F.array(*map(F.lit, BRACKETED)), (F.col("page_id") % len(BRACKETED) + 1).cast("int"))
-    table = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", F.replace(one, F.lit("{n}"), F.col("page_id").cast("string")).alias("s"))
-    return table.withColumn("cut", rules.bracket_cut(F.col("s")))
+    made = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", F.replace(one, F.lit("{n}"), F.col("page_id").cast("string")).alias("s"))
+    finds = extract.once(extract.raw_candidates(responses(spark, sf_dir)).select("page_id", "raw"), s=rules.tidied(F.col("raw"))).select("page_id", "s")
+    return made.unionByName(finds).distinct().withColumn("cut", rules.bracket_cut(F.col("s")))
 
 
 def _filter(name: str, keep: Callable, sql: str) -> None:
@@ -157,20 +168,23 @@ def page_distinct_no_script(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Links of the sorts that pages hold.
 LINKS = ("d{n}.html", "/r/{n}", "//h{n}.example.com/p", "HTTPS://H{n}.com", "?x={n}", "./v/{n}", "a//b/../c{n}", "/m/../n{n}", "wss://ws.example.com/{n}", "x.js:{n}", "#/r{n}", "http://h:9x/", "http://h.example.com:8080/{n}?q=/a#b", "sub/dir/{n}?a=b/../c", "")
-_LINKED = f"l as (select 0 as session_id, page_id, url, replace([{', '.join(map(O.q, LINKS))}][page_id % {len(LINKS)} + 1], '{{n}}', page_id::varchar) as link from pages)"
+_MADE = f"select 0 as session_id, page_id, url, replace([{', '.join(map(O.q, LINKS))}][page_id % {len(LINKS)} + 1], '{{n}}', page_id::varchar) as link from pages"
+#: The links above and all that pages hold, resolved: v1 to v5. (Four pairs of dots at most.)
+_LINKED = f"{O.all_candidates()}, l as ({_MADE} union select 0, page_id, url, candidate from candidates), " + re.sub(r"\bu([1-5])\b", r"v\1", O.resolved("l", "page_id, url, link", "link"))
 
 
 def _links(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = F.element_at(F.array(*map(F.lit, LINKS)), (F.col("page_id") % len(LINKS) + 1).cast("int"))
-    return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", F.replace(one, F.lit("{n}"), F.col("page_id").cast("string")).alias("link"))
+    made = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", F.replace(one, F.lit("{n}"), F.col("page_id").cast("string")).alias("link"))
+    return made.unionByName(extract.extract_candidates(responses(spark, sf_dir)).select("page_id", "url", F.col("candidate").alias("link"))).distinct()
 
 
-@query(f"with {_LINKED}, {O.resolved('l', 'page_id, url, link', 'link')} select page_id, link, resolved, host from l left join (select page_id, resolved, host from u5) using (page_id)".replace("lower(regexp_extract(r, '^[^:]*://([^/?#:]*)', 1)) as host", "regexp_extract(r, '^[^:]*://([^/?#:]*)', 1) as host"))
+@query(f"with {_LINKED} select page_id, link, resolved, host from l left join (select page_id, link, resolved, host from v5) using (page_id, link)".replace("lower(regexp_extract(r, '^[^:]*://([^/?#:]*)', 1)) as host", "regexp_extract(r, '^[^:]*://([^/?#:]*)', 1) as host"))
 def resolve_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.resolve(_links(spark, sf_dir), "url", "link").select("page_id", "link", "resolved", "host")
 
 
-@query(f"with {_LINKED}, {O.resolved('l', 'page_id, url, link', 'link')} select page_id, resolved from u5 where coalesce(ref, '') = ''")
+@query(f"with {_LINKED} select page_id, resolved from v5 where coalesce(ref, '') = ''")
 def drop_fragment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.resolve(_links(spark, sf_dir), "url", "link").where("resolved is not null and coalesce(ref, '') = ''").select("page_id", "resolved")
 
@@ -210,6 +224,33 @@ def anti_known(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.unknown(found, known).select("session_id", "resolved").distinct()
 
 
+@query(f"{_TARGETS} select distinct session_id, resolved from targets where length(resolved) % 3 > 0")
+def anti_known_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of all targets' addresses are known, in a table of buckets."""
+    found = materialize(_targets(spark, sf_dir).select("session_id", "resolved", "uri"), "anti-known")
+    name = f"tree_{uuid.uuid4().hex}"
+    tree = dedupe.save_tree(found.where(F.length("resolved") % 3 == 0), name, int(spark.conf.get("spark.sql.shuffle.partitions")), f"{shared_dir(spark)}/linkloom/{name}")
+    return dedupe.unknown(found.distinct(), tree).select("session_id", "resolved")
+
+
+_FOLDER = "regexp_extract(resolved, '^[^:]*://[^/?#]*(/[^/?#]*/|/?)', 1)"
+
+
+@query(f"""{_TARGETS} select session_id, host, folder, case when grouping(session_id) = 1 then 3 when grouping(host) = 1 then 2 when grouping(folder) = 1 then 1 else 0 end as level,
+  count(*) as n_links, count(distinct page_id) as n_pages, true as sketch_fits from (select session_id, page_id, host, {_FOLDER} as folder from targets) group by rollup (session_id, host, folder)""")
+def link_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and linking pages by folder, host and session; the pages exactly, and whether those of the merged sketches are within 5 % of them."""
+    found = materialize(_targets(spark, sf_dir).select("session_id", "page_id", "host", "resolved"), "rollup")
+    rolled = report.rolled_up(report.sketched(found))
+    exact = found.withColumn("folder", report.folder(F.col("resolved"))).rollup(*report.LEVELS).agg(F.grouping_id(*report.LEVELS).alias("g"), F.countDistinct("page_id").alias("exact"))
+    exact = exact.select(*(F.col(c).alias(f"_{c}") for c in report.LEVELS), F.expr("case g when 7 then 3 when 3 then 2 when 1 then 1 else 0 end").alias("_level"), "exact")
+    same = F.col("level") == F.col("_level")
+    for c in report.LEVELS:
+        same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+    fits = F.abs(F.col("n_pages") - F.col("exact")) <= F.greatest(F.lit(1), F.col("exact") * 0.05)
+    return rolled.join(exact, same).select(*report.LEVELS, "level", "n_links", F.col("exact").alias("n_pages"), fits.alias("sketch_fits"))
+
+
 #: A cap that bites in small tables too.
 FEW = 5
 

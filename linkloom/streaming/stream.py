@@ -9,8 +9,8 @@ The state of a bucket is a map of addresses. The operator lets through what asks
 of what it let through then goes through the cap for each page (`dedupe.capped`) into the sink. What nobody could bring in goes
 to `refused`, which the same stream reads: the next batch takes it out of the map before anything else.
 
-The sink has a folder for each batch, which a batch that comes again after a failure writes anew; state and progress
-are in its checkpoint. Addresses are kept until their session forgets them, or for `forget_after_ms` of processing time.
+The sink's nodes are a table of batches (`sink`), which a batch that comes again after a failure writes anew, and of which readers see
+whole batches only; every COMPACT_EACH batches they become few files. State and progress are in its checkpoint. Addresses are kept until their session forgets them, or for `forget_after_ms` of processing time.
 
 `append` brings a batch into a sink without a stream and its state: it looks the sink up.
 """
@@ -32,6 +32,7 @@ from linkloom.operators.targets import targets
 from linkloom.options import Options
 from linkloom.plans.discover import found_targets
 from linkloom.storage import materialize
+from linkloom.streaming import sink as batches
 
 NODES = "session_id long, page_id long, method string, uri string, resolved string, host string, is_new_subdomain boolean, note string, entry_type string, source_url string"
 CONTROL = "session_id long, at long, event string, resolved string, written_at timestamp"
@@ -42,6 +43,8 @@ MARKING = "seen"
 PAGES, LINKS = "pages", "links"
 #: Parts of a session's addresses. A checkpoint holds for the number with which it began.
 BUCKETS = 64
+#: After so many batches the sink's files are written together.
+COMPACT_EACH = 100
 REFUSED, TOLD, ASKED = 0, 1, 2
 _PLACE = ("pass", "chunk_no", "pattern_no", "ord")
 _ASK = "label int, session_id long, page_id long, url string, resolved string, host string, is_new_subdomain boolean, uri string, pass int, chunk_no int, pattern_no int, ord int"
@@ -54,22 +57,24 @@ def _path(spark: SparkSession, path: str):
     return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def _nodes(spark: SparkSession, sink: str, before: int | None = None) -> DataFrame:
+    return batches.read(spark, f"{sink}/nodes", f"{NODES}, written_at timestamp", before)
+
+
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     hadoop, fs = _path(spark, path)
     return spark.read.schema(schema).parquet(path) if fs.exists(hadoop) else spark.createDataFrame([], schema)
 
 
 def written(spark: SparkSession, sink: str) -> DataFrame:
-    return _read(spark, f"{sink}/nodes", f"{NODES}, written_at timestamp, batch long").drop("batch")
+    return _nodes(spark, sink).drop("batch")
 
 
 def seen(spark: SparkSession, sink: str, before: int | None = None) -> DataFrame:
     """session_id, uri of what counts as seen by the sink alone: written since its session last forgot, by batches before `before`."""
     told = _read(spark, f"{sink}/control", CONTROL).where(F.col("event").isin(*FORGETTING))
     last = told.groupBy("session_id").agg(F.max("written_at").alias("at"))
-    nodes = _read(spark, f"{sink}/nodes", f"{NODES}, written_at timestamp, batch long")
-    own = nodes if before is None else nodes.where(F.col("batch") < before)  # a folder a batch
-    return own.join(last, "session_id", "left").where("at is null or written_at > at").select("session_id", "uri")
+    return _nodes(spark, sink, before).join(last, "session_id", "left").where("at is null or written_at > at").select("session_id", "uri")
 
 
 def remembered(spark: SparkSession, sink: str) -> DataFrame:
@@ -104,7 +109,7 @@ def append(batch: DataFrame, sink: str, options: Options, in_scope: Column | Non
 
 
 def _write(came: DataFrame, sink: str, batch_id: int) -> None:
-    placeholder_nodes(came).withColumn("written_at", F.current_timestamp()).write.mode("overwrite").parquet(f"{sink}/nodes/batch={batch_id}")
+    batches.write(placeholder_nodes(came).withColumn("written_at", F.current_timestamp()), f"{sink}/nodes", batch_id)
 
 
 class Counts(StreamingQueryListener):
@@ -211,6 +216,8 @@ def _commit(sink: str, most: int) -> Callable[[DataFrame, int], None]:
         left = last.join(came.select(*scope, "resolved"), [*scope, "resolved"], "left_anti").select("session_id", "resolved")
         if not left.isEmpty():
             left.write.mode("overwrite").parquet(f"{sink}/refused/batch={number}")
+        if number % COMPACT_EACH == COMPACT_EACH - 1:
+            batches.compact(batch.sparkSession, f"{sink}/nodes", f"{NODES}, written_at timestamp")
 
     return run
 
