@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.functions import rules, urls
+from linkloom.operators.extract import once
 
 
 def base_host(url):
@@ -16,7 +17,9 @@ def base_host(url):
 
 def targets(candidates: DataFrame, discover_subdomains: bool = True) -> DataFrame:
     """Candidates with resolved, host, is_new_subdomain and uri; those without a usable address go, and those with a fragment."""
-    solved = urls.resolve(candidates, "url", "candidate").where("resolved is not null and coalesce(ref, '') = ''")
+    parts = F.struct("resolved", "host", "path", "ref")  # worked out once: filters on them would be worked out before them otherwise
+    found = once(urls.resolve(candidates, "url", "candidate").select(*candidates.columns, parts.alias("_parts")), _found=F.col("_parts"))
+    solved = found.select(*candidates.columns, "_found.*").where("resolved is not null and coalesce(ref, '') = ''")
     hosted = solved.withColumn("host", F.lower("host")).where(rules.valid_hostname(F.col("host")) & ~rules.junk_token(F.concat("host", "path")))
     flagged = hosted.withColumn("is_new_subdomain", F.col("host") != base_host(F.col("url")))
     if not discover_subdomains:

@@ -13,6 +13,8 @@ attempt that was cut short has left behind is never read. A folder without manif
 An archive with an index is read in byte ranges, which begin and end with records; others whole, by one task each. A stream's offset is the
 name of the last manifest (or archive, in a folder without manifests): names must rise as they come, which those of manifests do.
 
+Folders are where pyarrow's file systems reach: local, HDFS, S3 (also as s3a), Google's and Azure's stores.
+
 Cases: a record that can't be parsed ends its archive with an error, which `mode` "DROPMALFORMED" turns into a row with only its
 place and `error`. Bodies of unknown coding stay as they are. Fields that hold line ends are written with spaces instead.
 """

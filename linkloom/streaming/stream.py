@@ -258,3 +258,39 @@ def start(responses: DataFrame, sink: str, options: Options | None = None, in_sc
     if site_nodes is not None:
         found = found.join(site_nodes.select("session_id", "uri"), ["session_id", "uri"], "left_anti")
     return follow(found, sink, own.most_inserts, forget_after_ms, until_done)
+
+
+class Discovery:
+    """A stream that runs until it is left, with its counts:
+
+        with Discovery(stream_pages(spark, "pages/"), "sink/") as running:
+            ...
+            running.forget(session_id)
+        running.counts.total()
+
+    Leaving it finishes what has come by then, stops the stream and takes its listener from the session, also after an error.
+    """
+
+    def __init__(self, responses: DataFrame, sink: str, options: Options | None = None, in_scope: Column | None = None, site_nodes: DataFrame | None = None, forget_after_ms: int | None = None):
+        self.spark, self.sink, self.counts, self.query = responses.sparkSession, sink, Counts(), None
+        self._begin = lambda: start(responses, sink, options, in_scope, site_nodes, forget_after_ms, until_done=False)
+
+    def __enter__(self) -> Discovery:
+        self.spark.streams.addListener(self.counts)
+        try:
+            self.query = self._begin()
+        except Exception:
+            self.spark.streams.removeListener(self.counts)
+            raise
+        return self
+
+    def forget(self, session_id: int, event: str = FORGETTING[0], at: int | None = None) -> bool:
+        return on_event(self.spark, self.sink, session_id, event, at)
+
+    def __exit__(self, failed, *_) -> None:
+        try:
+            if failed is None:
+                self.query.processAllAvailable()
+        finally:
+            self.query.stop()
+            self.spark.streams.removeListener(self.counts)

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from linkloom.sources.pages import stream_pages
 from linkloom.streaming import stream
 
 TARGETS = "session_id long, page_id long, url string, candidate string, place struct<pass:int,chunk_no:int,pattern_no:int,ord:int>, resolved string, host string, is_new_subdomain boolean, uri string"
@@ -126,3 +127,20 @@ def test_settings_stay(spark, tmp_path):
     run.go()
     assert spark.conf.get(name) == before
     assert spark.range(3).select(F.count("id")).first()[0] == 3
+
+
+def test_a_stream_that_is_left(spark, tmp_path):
+    """It ends with what has come by then, and so it does after an error; its listener goes too."""
+    src, sink = str(tmp_path / "in"), str(tmp_path / "out")
+    page = lambda i: spark.createDataFrame([(i, "http://h.com/", f"<a href='/a'><a href='/p{i}'>")], "page_id long, url string, html string").coalesce(1)
+    page(1).write.parquet(src)
+    with stream.Discovery(stream_pages(spark, src), sink) as running:
+        running.query.processAllAvailable()
+        assert running.forget(0) and not running.forget(0, "node added")
+        page(2).write.mode("append").parquet(src)
+        assert running.query.isActive
+    assert not running.query.isActive
+    assert sorted((r["page_id"], r["resolved"]) for r in stream.written(spark, sink).collect()) == [(1, "http://h.com/a"), (1, "http://h.com/p1"), (2, "http://h.com/a"), (2, "http://h.com/p2")]
+    with pytest.raises(KeyError), stream.Discovery(stream_pages(spark, src), sink) as running:
+        raise KeyError("x")
+    assert not running.query.isActive
