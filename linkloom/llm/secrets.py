@@ -122,6 +122,16 @@ def trigram_query(pattern: str) -> Query | None:
     return None if any(not s for s in query) else query
 
 
+#: Letters and marks that are the most common ones in texts of many languages, and how many trigrams of a set are asked for.
+COMMON, ASKED = set(" etaoinsrhldcu"), 3
+
+
+def rarest(query: Query) -> Query:
+    """The query with ASKED trigrams of each set only, those with the fewest common letters: it holds wherever the whole one does."""
+    order = lambda t: (sum(c in COMMON for c in t), t)
+    return _least(frozenset(frozenset(sorted(s, key=order)[:ASKED]) for s in query))
+
+
 def keyed(documents: DataFrame) -> DataFrame:
     docs = documents.select("doc_id", text_or_empty().alias("text"))
     return docs.withColumn("key", F.xxhash64("doc_id", "text"))
@@ -198,7 +208,7 @@ def spans_of(rule: Rule, no: int, text: Column) -> Column:
 
 def scan(documents: DataFrame, rules: tuple[Rule, ...] = RULES, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, text (and `keep`), spans: array<struct<start, no, end>> by start, then rule. A kept column of one of these names gives way."""
-    queries = {k: q for k, r in enumerate(rules) if (q := trigram_query(r.pattern))}
+    queries = {k: rarest(q) for k, r in enumerate(rules) if (q := trigram_query(r.pattern))}
     keep = tuple(c for c in keep if c not in ("doc_id", "text", "spans"))
     hidden, _ = shielded(documents.select("doc_id", "text", *(F.col(f"`{c}`") for c in keep)), ("doc_id", "text"))
     kept = hidden.columns[2:]
