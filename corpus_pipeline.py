@@ -5,6 +5,10 @@ near_dups  keeps one document of each group of near-duplicates (5-word shingles,
 secrets    replaces secrets in texts
 mixing     repeats or drops documents so that sources get their weights; a document at the border stays whole
 tokens     encodes texts and checks that they decode to themselves
+
+Cases: null and empty texts go with `quality`, texts without a word with `mixing` at the latest. Rows that agree in doc_id and text count once
+after `near_dups`; rows with a null doc_id go if their group has any other. Texts of any length go through whole. Columns that
+an operator doesn't know are kept, whatever their names; an empty table gives an empty one.
 """
 
 from __future__ import annotations
