@@ -317,7 +317,7 @@ def archive_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: The stream's pages come in so many batches; a session forgets each time that so many pages (and 10 more for each session's number) have come.
-STREAM_BATCHES, FORGETS_EACH = 3, 40
+STREAM_BATCHES, FORGETS_EACH = 2, 40
 _FORGOT = f"page_id // ({FORGETS_EACH} + 10 * (page_id % 3))"
 
 
