@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 from math import isqrt
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +31,30 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
+def give_back() -> None:
+    """Returns memory that a Python worker no longer uses to the system; else workers that wait for a next task, or are never used again, keep it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def sparing(run: Callable[[Iterator], Iterator], forget: Callable[[], None] | None = None) -> Callable[[Iterator], Iterator]:
+    """A function over batches that gives its memory back when its task ends. forget: empties what the worker remembers."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            if forget is not None:
+                forget()
+            give_back()
+
+    return wrapped
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
@@ -71,4 +98,4 @@ def shielded(df: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, Callable[
     return hidden, lambda out: out.select(*(F.col(n).alias(c) for c, n in names.items()))
 
 
-__all__ = ["BATCH_BYTES", "WORD", "bound_batches", "discard", "grid", "materialize", "n_words", "shared_dir", "shielded", "split_join", "table", "text_or_empty"]
+__all__ = ["BATCH_BYTES", "WORD", "bound_batches", "discard", "give_back", "grid", "materialize", "n_words", "shared_dir", "shielded", "sparing", "split_join", "table", "text_or_empty"]

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linkloom.llm.common import bound_batches, materialize
+from linkloom.llm.common import bound_batches, give_back, materialize, sparing
 
 ORDER = 5
 #: Bytes of a chunk of texts that asks for its n-grams together, about.
@@ -89,7 +89,7 @@ def counts(texts: DataFrame) -> DataFrame:
         if len(keys):
             yield made()
 
-    return texts.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(sparing(run), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def _discounts(table: DataFrame) -> tuple[float, float, float]:
@@ -164,6 +164,7 @@ def score(df: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...]
         found = np.zeros(0, np.int64)
         for _, texts in _parts(table.column("_text")):
             found = np.union1d(found, np.unique(grams_of(texts)[0]))
+        give_back()
         return pa.table({"_chunk": pa.array(np.full(len(found), table.column("_chunk")[0].as_py(), np.int32)), "gram": pa.array(found)})
 
     def add_up(table: pa.Table, answers: pa.Table) -> pa.Table:
@@ -177,6 +178,8 @@ def score(df: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...]
             cost = nats[np.searchsorted(grams, unique)][place]
             sums.append(np.diff(np.concatenate([[0.0], np.cumsum(cost)])[np.concatenate([[0], np.cumsum(n)])]))
             sizes.append(n)
+        del answers, grams, nats, order
+        give_back()
         kept = [c for name, c in zip(table.column_names, table.columns, strict=True) if name != "_chunk"]
         return pa.table([*kept, pa.array(np.concatenate(sums)), pa.array(np.concatenate(sizes))], names=[*table.column_names[1:], "nats", "n_bytes"])
 

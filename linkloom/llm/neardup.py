@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import bound_batches, discard, materialize, shielded
+from linkloom.llm.common import bound_batches, discard, materialize, shielded, sparing
 from linkloom.llm.graph import components
 
 DEPTH, SPARSE, DENSE = 8, 5, 6
@@ -69,6 +69,10 @@ class _Words(dict):
 _WORDS = _Words()
 
 
+def _forget_words() -> None:
+    _WORDS.clear()
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9FB21C651E98DF25)
     return x ^ (x >> np.uint64(28))
@@ -133,7 +137,7 @@ def signatures(docs: DataFrame, width: int, trees: int) -> DataFrame:
             signed = [signer.sign(s) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array(keys, pa.binary()), pa.array(signed, pa.binary())], names=["doc_id", "text_hash", "n_shingles", "key", "signature"])
 
-    return docs.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, key binary, signature binary")
+    return docs.mapInArrow(sparing(run, _forget_words), "doc_id long, text_hash long, n_shingles long, key binary, signature binary")
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -195,7 +199,7 @@ def candidate_edges(classes: DataFrame, trees: int) -> DataFrame:
     rows = classes.select("key", F.explode(each).alias("e")).select("e.tree", F.col("e.s").alias("signature"), "key")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(n, "tree", "signature", "key").sortWithinPartitions("tree", "signature", "key")
-    found = materialize(ordered.mapInArrow(_neighbours, "a binary, b binary, part int, tree int, signature binary"), "neighbours")
+    found = materialize(ordered.mapInArrow(sparing(_neighbours), "a binary, b binary, part int, tree int, signature binary"), "neighbours")
     ends = found.where("part is not null").select("part", "tree", "signature", "a").collect()  # two rows a part
     ends.sort(key=lambda r: (r["tree"], bytes(r["signature"]), bytes(r["a"])))
     across = [(bytes(x["a"]), bytes(y["a"])) for x, y in zip(ends, ends[1:], strict=False) if x["tree"] == y["tree"] and x["part"] != y["part"] and x["a"] != y["a"] and _common(bytes(x["signature"]), bytes(y["signature"])) >= SPARSE]
@@ -295,7 +299,7 @@ def _sets(texts: DataFrame, width: int) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.binary(), pa.binary(), pa.bool_(), pa.binary(), pa.binary()), strict=True)], names=["key", "family", "large", "signature", "set"])
 
-    return texts.select("text", "key", "family", "large", "signature").mapInArrow(run, "key binary, family binary, large boolean, signature binary, set binary")
+    return texts.select("text", "key", "family", "large", "signature").mapInArrow(sparing(run, _forget_words), "key binary, family binary, large boolean, signature binary, set binary")
 
 
 PAIR = "a binary, b binary"
@@ -329,7 +333,7 @@ def _between(sets: DataFrame, weights: DataFrame, clusters: DataFrame, percent:
     pairs = each.select("family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "key", "set")
     # a group of (i, j) with rows of one block only has nothing to compare unless i = j
     tagged = pairs.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "block", "key")
-    found = materialize(tagged.mapInArrow(_compare(percent), PAIR), "links-between")
+    found = materialize(tagged.mapInArrow(sparing(_compare(percent)), PAIR), "links-between")
     discard(own, sums, left, places, asked)
     return found
 
@@ -345,7 +349,7 @@ def links(documents: DataFrame, classes: DataFrame, width: int, percent: int, tr
     texts = documents.join(marked, ["no_id", "id", "text_hash"])
     sets = materialize(_sets(texts, width).dropDuplicates(["key"]), "sets")  # a row may be there several times
     small = sets.where("not large").select("family", F.lit(0).alias("block"), "key", "set").repartition("family").sortWithinPartitions("family", "key")
-    found = materialize(small.mapInArrow(_compare(percent), PAIR), "links")
+    found = materialize(small.mapInArrow(sparing(_compare(percent)), PAIR), "links")
     if large.isEmpty():
         discard(members, large, sets)
         return found
@@ -354,7 +358,7 @@ def links(documents: DataFrame, classes: DataFrame, width: int, percent: int, tr
     orders = F.array(*(F.struct(F.lit(t).alias("tree"), F.substring("signature", t * 2 * DEPTH + 1, 2 * DEPTH).alias("s")) for t in range(min(ORDERS, trees))))
     ordered = heavy.select("family", "key", "set", F.explode(orders).alias("o")).select("family", "o.tree", "o.s", F.lit(0).alias("block"), "key", "set")
     ordered = ordered.repartitionByRange(n, "family", "tree", "s", "key").sortWithinPartitions("family", "tree", "s", "key").drop("s")
-    first = materialize(ordered.mapInArrow(_compare(percent, BLOCK), PAIR), "links-in-order")
+    first = materialize(ordered.mapInArrow(sparing(_compare(percent, BLOCK)), PAIR), "links-in-order")
     weights = members.join(large, "family").select("key", "family", "weight")
     rest = _between(heavy.select("key", "family", "set"), weights, components(first), percent)
     discard(members, large, sets)
