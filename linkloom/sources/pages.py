@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from linkloom.functions import constants as C
 from linkloom.functions.text import CHARSETS
 from linkloom.options import Options
+from linkloom.workers import bound_batches, pieces, sparing
 
 RESPONSES = T.StructType([
     T.StructField("session_id", T.LongType()), T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()),
@@ -57,7 +58,7 @@ def decode_bytes(df: DataFrame, body: str, charset: str, failed: str | None = No
         return None if raw is None else raw.decode(name if name and known(name) else "utf-8", "replace")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (p for b in batches for p in pieces(b)):
             names = batch.column(by).to_pylist()
             texts = [text(r, n) for r, n in zip(batch.column(at).to_pylist(), names, strict=True)]
             columns = [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(batch.columns)]
@@ -65,7 +66,8 @@ def decode_bytes(df: DataFrame, body: str, charset: str, failed: str | None = No
                 columns.append(pa.array([None if known(n) else f"unknown charset {n}" for n in names], pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    bound_batches(df.sparkSession)
+    return df.mapInArrow(sparing(run), schema)
 
 
 def encode_bytes(df: DataFrame, body: str, charset: str) -> DataFrame:
@@ -82,12 +84,13 @@ def encode_bytes(df: DataFrame, body: str, charset: str) -> DataFrame:
             return text.encode()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (p for b in batches for p in pieces(b)):
             found = [raw(t, n) for t, n in zip(batch.column(at).to_pylist(), batch.column(by).to_pylist(), strict=True)]
             columns = [pa.array(found, pa.binary()) if i == at else c for i, c in enumerate(batch.columns)]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return df.mapInArrow(run, schema)
+    bound_batches(df.sparkSession)
+    return df.mapInArrow(sparing(run), schema)
 
 
 def searchable(content_type: Column) -> Column:

@@ -27,6 +27,7 @@ import re
 import time
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,6 +38,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamReader, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
+from linkloom.workers import bound_batches, give_back, pieces
+
 SCHEMA = (
     "archive string, offset long, length long, record_type string, record_id string, url string, date string, fields map<string,string>, "
     "status int, headers map<string,string>, charset string, body binary, error string"
@@ -220,6 +223,16 @@ class Range(InputPartition):
     indexed: bool
 
 
+def _offsets(file: pa.NativeFile) -> array:
+    """What an index holds, read piece by piece: 8 bytes for each record."""
+    found, rest = array("q"), b""
+    while piece := file.read(PIECE):
+        *whole, rest = (rest + piece).split(b" ")
+        found.extend(map(int, whole))
+    found.extend(map(int, rest.split()))
+    return found
+
+
 class _Folder:
     """What is in a folder, by the names of its manifests, or its archives if it has none."""
 
@@ -257,12 +270,18 @@ class _Folder:
     def batches(self, part: Range | None) -> Iterator[pa.RecordBatch]:
         if part is None:  # what Spark reads where there are no partitions
             return
+        try:
+            yield from self._batches(part)
+        finally:
+            give_back()
+
+    def _batches(self, part: Range) -> Iterator[pa.RecordBatch]:
         fs, root = located(self.path)
         path = f"{root}/{part.archive}" if part.archive else root
         start, end = part.start, part.end
         if part.indexed:
             with fs.open_input_stream(f"{path}.idx") as file:
-                offsets = [int(x) for x in file.read().split()]  # and the end of the last record
+                offsets = _offsets(file)  # and the end of the last record
             first = bisect.bisect_left(offsets, start)
             start, end = offsets[first] if first < len(offsets) else offsets[-1], offsets[min(bisect.bisect_left(offsets, end), len(offsets) - 1)]
         rows, size, at = [], 0, start
@@ -270,7 +289,7 @@ class _Folder:
             try:
                 for offset, length, fields, block in records(file, start, end):
                     rows.append(_row(part.archive, offset, length, fields, block))
-                    size, at = size + len(block), offset + length
+                    size, at = size + max(len(block), len(rows[-1]["body"])), offset + length
                     if size > BATCH or len(rows) >= 1000:
                         yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
                         rows, size = [], 0
@@ -325,10 +344,16 @@ class _Writer(DataSourceArrowWriter):
         self.path, self.most, self.level, self.overwrite = path, most, level, overwrite
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> _Written:
+        try:
+            return self._write(iterator)
+        finally:
+            give_back()
+
+    def _write(self, iterator: Iterator[pa.RecordBatch]) -> _Written:
         fs, root = located(self.path)
         fs.create_dir(root, recursive=True)
         done: list[dict] = []
-        file, name, offsets, at = None, "", [], 0
+        file, name, offsets, at = None, "", array("q"), 0
 
         def closed() -> None:
             file.close()
@@ -336,13 +361,13 @@ class _Writer(DataSourceArrowWriter):
                 index.write(" ".join(map(str, [*offsets, at])).encode())
             done.append({"archive": name, "bytes": at, "records": len(offsets)})
 
-        for batch in iterator:
+        for batch in (p for b in iterator for p in pieces(b)):
             for row in batch.to_pylist():
                 if file is not None and at >= self.most:
                     closed()
                     file = None
                 if file is None:
-                    name, offsets, at = f"{uuid.uuid4().hex}.warc.gz", [], 0
+                    name, offsets, at = f"{uuid.uuid4().hex}.warc.gz", array("q"), 0
                     file = fs.open_output_stream(f"{root}/{name}", compression=None)
                 z = zlib.compressobj(self.level, zlib.DEFLATED, 31)
                 member = z.compress(self.made(row)) + z.flush()
@@ -415,6 +440,7 @@ def stream_archives(spark: SparkSession, path: str, **options: str) -> DataFrame
 
 def write_archives(df: DataFrame, path: str, mode: str = "append", **options: str) -> None:
     df.sparkSession.dataSource.register(Archives)
+    bound_batches(df.sparkSession)
     df.write.format("warc").mode(mode).options(**options).save(path)
 
 
