@@ -14,15 +14,20 @@ page keeps the first `most` that ask; turned down once, an address never comes b
 
 from __future__ import annotations
 
+from array import array
+
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.graph import components
 from linkloom.storage import discard, materialize
+from linkloom.workers import give_back
 
-#: Rows of a queue that a task holds at most.
-HELD = 500_000
+#: Rows of a queue that a task holds at most, as numbers: some 100 bytes each.
+HELD = 4_000_000
 
 
 def unknown(targets: DataFrame, site_nodes: DataFrame) -> DataFrame:
@@ -67,7 +72,8 @@ def queued(asked: DataFrame, most: int, scope: tuple[str, ...] = ("session_id",)
     """The rows (scope, page_id, resolved, place) that come in by the queue alone. asked: each page and address once."""
     page = [*scope, "page_id"]
     no = F.row_number().over(Window.partitionBy(*page).orderBy("place", "resolved"))
-    ranked = materialize(asked.select(*page, "resolved", "place").withColumn("no", no), "queue")
+    numbers = materialize(asked.groupBy(*scope, "resolved").agg(F.count(F.lit(1)).alias("_n")).select(*scope, "resolved", F.monotonically_increasing_id().alias("_address")), "addresses")
+    ranked = materialize(asked.select(*page, "resolved", "place").withColumn("no", no).join(numbers, [*scope, "resolved"]), "queue")
     large = ranked.groupBy(*scope).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HELD).select(*scope)
     large = materialize(large, "large-queues")
     if large.isEmpty():
@@ -81,30 +87,32 @@ def queued(asked: DataFrame, most: int, scope: tuple[str, ...] = ("session_id",)
     solved = _within_tasks(small.unionByName(placed.join(crowds, "_group", "left_anti")), most, scope)
     if crowds.isEmpty():
         return solved
-    return solved.unionByName(_in_rounds(placed.join(crowds, "_group", "left_semi").drop("_group", "no"), most, scope))
+    return solved.unionByName(_in_rounds(placed.join(crowds, "_group", "left_semi").drop("_group", "no", "_address"), most, scope))
 
 
 def _within_tasks(ranked: DataFrame, most: int, scope: tuple[str, ...]) -> DataFrame:
-    """The queue of each _group of ranked rows, in one task."""
-    kept = [*scope, "page_id", "resolved", "place"]
-    names = [*scope, "page_id", "no", "resolved"]
+    """The queue of each _group of ranked rows, in one task, which gets no text: addresses are numbers there."""
+    row = [*scope, "page_id", "no"]
 
     def queue(group: pa.Table) -> pa.Table:
-        rows = list(zip(*(group.column(c).to_pylist() for c in names), strict=True))
-        first = lambda i: tuple((x is not None, x if x is not None else 0) for x in rows[i][:-1])
-        came, taken, there, last = [], 0, set(), None
-        for i in sorted(range(len(rows)), key=first):
-            row = rows[i]
-            if row[:-2] != last:
-                last, taken = row[:-2], 0
-            address = (*row[: len(scope)], row[-1])
-            if taken < most and address not in there:
-                there.add(address)
-                taken += 1
-                came.append(i)
-        return group.take(pa.array(came, pa.int64())).select(kept)
-
-    return ranked.groupBy("_group").applyInArrow(queue, ranked.select(*kept).schema)
+        group = group.take(pc.sort_indices(group, [(c, "ascending") for c in row], null_placement="at_start"))
+        address = np.unique(group["_address"].to_numpy(), return_inverse=True)[1]
+        no, there, came, taken = group["no"].to_numpy(), bytearray(group.num_rows), array("q"), 0
+        for at in range(0, group.num_rows, 100_000):
+            for i, (n, a) in enumerate(zip(no[at : at + 100_000].tolist(), address[at : at + 100_000].tolist(), strict=True), at):
+                if n == 1:  # a page begins
+                    taken = 0
+                if taken < most and not there[a]:
+                    there[a] = 1
+                    taken += 1
+                    came.append(i)
+        out = group.select(row).take(pa.array(np.frombuffer(came, np.int64)))
+        del group, address, no
+        give_back()
+        return out
+
+    came = ranked.select(*row, "_address", "_group").groupBy("_group").applyInArrow(queue, ranked.select(*row).schema)
+    return ranked.join(came, row, "left_semi").select(*scope, "page_id", "resolved", "place")
 
 
 def _in_rounds(asked: DataFrame, most: int, scope: tuple[str, ...]) -> DataFrame:
