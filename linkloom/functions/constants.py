@@ -10,6 +10,16 @@ ENCODED = (
     (r"&nbsp;", " "),
 )
 
+#: How such forms begin, for each of these characters: where a text has none of them, there is nothing to decode.
+ENCODED_STARTS = (
+    ("&#", "%2f", "%2F", "\\u", "\\U", "\\/"),
+    ("&#", "%3a", "%3A", "\\u", "\\U"),
+    ("&#", "%26", "&a", "&A", "\\u", "\\U"),
+    ("&#", "%3d", "%3D", "&e", "&E", "\\u", "\\U"),
+    ("&#", "%22", "&q", "&Q", "\\u", "\\U"),
+    ("&n", "&N"),
+)
+
 TLDS = (
     "com de net org uk cn ga nl cf ml tk ru br gq xyz fr eu info co au ca it in ch pl es online us top jp biz se at dk cz za me ir "
     "icu shop kr site mx hu io cc club no cyou store local internal lan corp home test localhost localdomain intranet"

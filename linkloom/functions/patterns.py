@@ -2,6 +2,9 @@ r"""The extraction patterns, in order, put together from a small grammar.
 
 Each pattern has a name, a regex of java.util.regex, and the group that is the find. Q is a quote, V a quoted value.
 START and END are where a bare literal may begin and end: at the text's ends, quotes and spaces (END: also line ends). What the patterns match is a fixed value, all of them.
+
+A look-ahead at a pattern's beginning says again, without going back, what must follow there in any case, so that most words of a
+text are passed over after one look. It changes no match (tested).
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ LETTER = r"a-zA-Z0-9\x{0080}-\x{FFFF}"
 #: A label of a host, without going back: a dot must follow, which no label holds, so only all of a run can match.
 QUICK_LABEL = f"[{LETTER}](?:[{LETTER}_-]*+(?<=[{LETTER}]))?+"
 MOST_LABELS = 24
-START, END = r"""(?:^|(?<=["' ]))""", r"""(?=$|["'\n\r ])"""
+START, END = r"""(?<![^"' ])""", r"""(?=$|["'\n\r ])"""
 #: Attributes, extensions, and characters that don't begin a path.
 ATTRIBUTES = "href src action poster cite formaction background longdesc usemap manifest codebase profile".split()
 ODD_EXTENSIONS = r"php3 php5 action xhtml config bzip2 tar\.gz js\.map".split()
@@ -44,21 +47,21 @@ _value = r"""([^"'#\s>]+)"""
 _host = lambda label, tail: rf"(?:{label}\.){{0,{MOST_LABELS}}}{label}\.{tail}"
 _domain = lambda label: _host(label, rf"""[a-zA-Z]{{2,24}}(?:/[^\s"'<>()\[\]{{}}]{{0,500}})?""")
 _path = rf"""(?:(?:#?/|\.\./|\./){NO_PATH_START}[^"'><,;|()\s]{{1,255}})"""
-_path_ext = rf"""([a-zA-Z0-9_\-/]{{1,}}/[a-zA-Z0-9_\-/\.]{{1,255}}\.(?:[a-zA-Z]{{1,4}}|{"|".join(ODD_EXTENSIONS)})(?:[?/][^"']{{0,1000}}|))"""
-_file_ext = rf"""([a-zA-Z0-9_\-\.]{{1,255}}\.(?:{"|".join(FILES)})(?:\?[^"']{{0,255}}|))"""
+_path_ext = rf"""(?=[a-zA-Z0-9_\-/][a-zA-Z0-9_\-]*+/)([a-zA-Z0-9_\-/]{{1,}}/[a-zA-Z0-9_\-/\.]{{1,255}}\.(?:[a-zA-Z]{{1,4}}|{"|".join(ODD_EXTENSIONS)})(?:[?/][^"']{{0,1000}}|))"""
+_file_ext = rf"""(?=[a-zA-Z0-9_\-\.][a-zA-Z0-9_\-]*+\.)([a-zA-Z0-9_\-\.]{{1,255}}\.(?:{"|".join(FILES)})(?:\?[^"']{{0,255}}|))"""
 
 _relative = lambda label: rf"""(?:["'(]|^|\s)(//{label}(?:\.{label}){{0,{MOST_LABELS}}}\.[a-zA-Z]{{2,}}[^\s"'<>)]*)"""
 
 DOMAIN, TEMPLATE = "bare_domain", "template_literal"
 
 HTML = (
-    Pattern("attr", rf"(?i)(?<![\w:.]){_attribute}{Q}{_value}{Q}"),
+    Pattern("attr", rf"(?i)(?<![\w:.])(?=[\w:]++\s*+=\s*+{Q}){_attribute}{Q}{_value}{Q}"),
     Pattern("meta_refresh", r"""(?is)<meta[^>]*?url\s*=\s*([^"'#\s>]+)""", needs=(("<meta",), ("url",))),
     Pattern("css_url", r"""(?i)url\(\s*["']?([^"')\s]+)["']?\s*\)""", needs=(("url(",),)),
     Pattern("absolute", r"""(?i)\bhttps?://[^\s"'<>)]+""", 0, needs=(("http://", "https://"),)),
     Pattern("protocol_relative", _relative(QUICK_LABEL), needs=(("//",),)),
     Pattern("source_mapping", r"""(?i)sourceMappingURL\s*=\s*([^\s"'<>]+)""", needs=(("sourcemappingurl",),)),
-    Pattern(DOMAIN, rf"(?<![\w.:/]){_domain(QUICK_LABEL)}", 0),
+    Pattern(DOMAIN, rf"(?<![\w.:/])(?=[{LETTER}][{LETTER}_-]*+\.[{LETTER}]){_domain(QUICK_LABEL)}", 0),
 )
 SCRIPT = (
     _call("fetch", r"fetch\(\s*", "fetch("),
@@ -75,7 +78,7 @@ SCRIPT = (
     _call("event_source", r"new\s+EventSource\(\s*", "eventsource("),
     _call("beacon", r"navigator\.sendBeacon\(\s*", "navigator.sendbeacon("),
     Pattern(TEMPLATE, r"`([^`]*\$\{[^`]*\}[^`]*)`", 1, True, (("`",), ("${",))),
-    Pattern("path_literal", START + _path + END, 0, True),
+    Pattern("path_literal", "(?=[#/.])" + START + _path + END, 0, True),
     Pattern("path_ext", START + _path_ext + END, 1, True),
     Pattern("file_ext", START + _file_ext + END, 1, True),
 )

@@ -18,11 +18,17 @@ CHARSETS = ("utf-8", "us-ascii", "iso-8859-1", "utf-16", "utf-16be", "utf-16le",
 def decode_entities(body: Column) -> Column:
     """Encoded / : & = " and hard spaces, in that order; null becomes an empty text."""
     found = F.coalesce(body, F.lit(""))
-    for regex, character in C.ENCODED:
-        found = F.regexp_replace(found, F.lit(f"(?i){regex}"), F.lit(character))
+    for (regex, character), starts in zip(C.ENCODED, C.ENCODED_STARTS, strict=True):
+        found = F.element_at(F.transform(F.array(found), lambda s: _decoded(s, regex, character, starts)), 1)  # noqa: B023
     return found
 
 
+def _decoded(s: Column, regex: str, character: str, starts: tuple[str, ...]) -> Column:
+    """s with one character decoded: gone through by the regex only where it holds the beginning of an encoded form."""
+    some = reduce(or_, (F.contains(s, F.lit(start)) for start in starts))
+    return F.when(some, F.regexp_replace(s, F.lit(rf"(?i)(?=[&%\\])(?:{regex})"), F.lit(character))).otherwise(s)
+
+
 def chunks(body: Column) -> Column:
     """The whole body as the only chunk, or overlapping windows of a long one."""
     n = F.length(body)
