@@ -15,16 +15,16 @@ page keeps the first `most` that ask; turned down once, an address never comes b
 from __future__ import annotations
 
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.graph import components
 from linkloom.storage import discard, materialize
-from linkloom.workers import give_back
+from linkloom.workers import sparing
 
 #: Rows of a queue that a task holds at most, as numbers: some 100 bytes each.
 HELD = 4_000_000
@@ -91,27 +91,28 @@ def queued(asked: DataFrame, most: int, scope: tuple[str, ...] = ("session_id",)
 
 
 def _within_tasks(ranked: DataFrame, most: int, scope: tuple[str, ...]) -> DataFrame:
-    """The queue of each _group of ranked rows, in one task, which gets no text: addresses are numbers there."""
+    """The queue of each _group of ranked rows, in one task, which gets no text: addresses are numbers there.
+
+    A task goes through its groups one after another, in batches; it holds the addresses that came in the group that it is in."""
     row = [*scope, "page_id", "no"]
 
-    def queue(group: pa.Table) -> pa.Table:
-        group = group.take(pc.sort_indices(group, [(c, "ascending") for c in row], null_placement="at_start"))
-        address = np.unique(group["_address"].to_numpy(), return_inverse=True)[1]
-        no, there, came, taken = group["no"].to_numpy(), bytearray(group.num_rows), array("q"), 0
-        for at in range(0, group.num_rows, 100_000):
-            for i, (n, a) in enumerate(zip(no[at : at + 100_000].tolist(), address[at : at + 100_000].tolist(), strict=True), at):
+    def queue(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, there, taken = None, set(), 0
+        for batch in batches:
+            came, columns = array("q"), (batch.column(c).to_pylist() for c in ("_group", "no", "_address"))
+            for i, (g, n, a) in enumerate(zip(*columns, strict=True)):
+                if g != group:
+                    group, there = g, set()
                 if n == 1:  # a page begins
                     taken = 0
-                if taken < most and not there[a]:
-                    there[a] = 1
+                if taken < most and a not in there:
+                    there.add(a)
                     taken += 1
                     came.append(i)
-        out = group.select(row).take(pa.array(np.frombuffer(came, np.int64)))
-        del group, address, no
-        give_back()
-        return out
+            yield batch.select(row).take(pa.array(np.frombuffer(came, np.int64)))
 
-    came = ranked.select(*row, "_address", "_group").groupBy("_group").applyInArrow(queue, ranked.select(*row).schema)
+    sorted_ = ranked.select(*row, "_address", "_group").repartition("_group").sortWithinPartitions("_group", *row)
+    came = sorted_.mapInArrow(sparing(queue), ranked.select(*row).schema)
     return ranked.join(came, row, "left_semi").select(*scope, "page_id", "resolved", "place")
 
 

@@ -19,3 +19,18 @@ def test_a_session_of_600_000_asks_is_one_task(spark, monkeypatch):
             want.add((page, f"http://h/{a}"))
             at = a + 1
     assert {(r["page_id"], r["resolved"]) for r in came.collect()} == want
+
+
+def test_many_small_sessions_share_a_task(spark):
+    """A group is no call of its own: its rows come in batches, which begin and end anywhere."""
+    asks = spark.range(400).select((F.col("id") % 100).alias("session_id"), F.col("id").alias("page_id"), F.posexplode(F.sequence("id", F.col("id") + 900, F.lit(100))).alias("place", "a"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        came = dedupe.queued(asks.withColumn("resolved", F.concat(F.lit("http://h/"), "a")), 3)
+        found = sorted((r["session_id"], r["page_id"], int(r["resolved"][9:])) for r in came.collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    # a session's first page takes its first three; each further one goes on where the one before stopped
+    assert found == sorted((s, s + 100 * k, s + 100 * (3 * k + i)) for s in range(100) for k in range(4) for i in range(3))
+    assert "FlatMapGroups" not in came._jdf.queryExecution().toString()

@@ -144,3 +144,37 @@ def test_a_stream_that_is_left(spark, tmp_path):
     with pytest.raises(KeyError), stream.Discovery(stream_pages(spark, src), sink) as running:
         raise KeyError("x")
     assert not running.query.isActive
+
+
+class Calls:
+    """A map state that counts what it is asked."""
+
+    def __init__(self, held=()):
+        self.held, self.n = dict(held), 0
+
+    def __getattr__(self, name):
+        self.n += 1
+        return {"containsKey": lambda k: k in self.held, "getValue": self.held.get, "removeKey": self.held.pop, "clear": self.held.clear, "updateValue": self.held.__setitem__}[name]
+
+
+def test_a_batch_asks_its_state_little_however_often_it_forgets():
+    event = lambda kind, at, address=None, forgets=False: dict.fromkeys(stream.Remember.KEPT) | {"kind": kind, "at": at, "page_id": at, "resolved": address, "forgets": forgets}
+    rows = [event(stream.ASKED, p, f"u{i}") for p in range(300) for i in range(3)] + [event(stream.TOLD, p, None, True) for p in range(10, 300, 10)] + [event(stream.TOLD, 295, "u1"), event(stream.REFUSED, None, "u2")]
+    own = stream.Remember()
+    own.seen = Calls({("u0",): (0, False), ("u1",): (0, True), ("u2",): (0, False), ("old",): (0, False)})
+    out = [(r["label"], r["page_id"], r["resolved"]) for r in own.handleInputRows((0, 0), iter(rows), None)]
+    want = [(0, p, "u2") for p in range(10)] + [(p // 10, p, f"u{i}") for p in range(10, 300) for i in range(3) if not (p >= 295 and i == 1)]
+    assert out == want
+    assert own.seen.held == {("u0",): (290, False), ("u1",): (295, True), ("u2",): (290, False)}
+    assert own.seen.n < 12
+
+
+def test_what_was_asked_for_before_a_session_forgot_is_not_refused(spark, tmp_path):
+    run, plain = Run(spark, tmp_path, 1), Replay(1)
+    pages = [(0, 1, ["a", "b"]), (0, 5, ["c", "d"])]
+    run.feed(pages)
+    stream.on_event(spark, run.sink, 0, stream.FORGETTING[0], 3)
+    run.go()
+    plain.batch(pages, [(0, stream.FORGETTING[0], 3, None)])
+    assert run.came() == sorted(plain.out) and run.state() == [(0, "c")]
+    assert [r["resolved"] for r in spark.read.parquet(f"{run.sink}/refused").collect()] == ["d"]
