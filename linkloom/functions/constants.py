@@ -19,6 +19,8 @@ ENCODED_STARTS = (
     ("&#", "%22", "&q", "&Q", "\\u", "\\U"),
     ("&n", "&N"),
 )
+#: One of these is in every such beginning: a text without any has nothing to decode at all.
+ENCODED_SIGNS = ("%", "\\", "&#", "&a", "&A", "&e", "&E", "&q", "&Q", "&n", "&N")
 
 TLDS = (
     "com de net org uk cn ga nl cf ml tk ru br gq xyz fr eu info co au ca it in ch pl es online us top jp biz se at dk cz za me ir "

@@ -67,6 +67,11 @@ def bracket_cut(s: Column) -> Column:
     return F.when(s.rlike(BRACKETS), F.element_at(F.transform(F.array(paired), cut), 1)).otherwise(s)
 
 
+def plain(raw: Column) -> Column:
+    """Whether nothing in raw is for tidied(), bracket_cut(), finished() or trimmed() to change: what most finds are."""
+    return raw.rlike(r"^[A-Za-z0-9/#?_][A-Za-z0-9/#?_.:=&%+~-]*\z")
+
+
 def tidied(raw: Column) -> Column:
     """The first half of normalising: ends, escapes, quotes on both ends, trailing marks, back-ticks."""
     s = replaced(trimmed(raw), rf"^{ENDS}+|{ENDS}+\z")

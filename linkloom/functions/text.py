@@ -17,16 +17,19 @@ CHARSETS = ("utf-8", "us-ascii", "iso-8859-1", "utf-16", "utf-16be", "utf-16le",
 
 def decode_entities(body: Column) -> Column:
     """Encoded / : & = " and hard spaces, in that order; null becomes an empty text."""
-    found = F.coalesce(body, F.lit(""))
+    found = whole = F.coalesce(body, F.lit(""))
     for (regex, character), starts in zip(C.ENCODED, C.ENCODED_STARTS, strict=True):
         found = F.element_at(F.transform(F.array(found), lambda s: _decoded(s, regex, character, starts)), 1)  # noqa: B023
-    return found
+    return F.when(_has(whole, C.ENCODED_SIGNS), found).otherwise(whole)
+
+
+def _has(s: Column, texts: tuple[str, ...]) -> Column:
+    return reduce(or_, (F.contains(s, F.lit(t)) for t in texts))
 
 
 def _decoded(s: Column, regex: str, character: str, starts: tuple[str, ...]) -> Column:
     """s with one character decoded: gone through by the regex only where it holds the beginning of an encoded form."""
-    some = reduce(or_, (F.contains(s, F.lit(start)) for start in starts))
-    return F.when(some, F.regexp_replace(s, F.lit(rf"(?i)(?=[&%\\])(?:{regex})"), F.lit(character))).otherwise(s)
+    return F.when(_has(s, starts), F.regexp_replace(s, F.lit(rf"(?i)(?=[&%\\])(?:{regex})"), F.lit(character))).otherwise(s)
 
 
 def chunks(body: Column) -> Column:
@@ -46,7 +49,7 @@ def finds(chunk: Column, pattern: Pattern) -> Column:
 
 def may_match(lowered: Column, pattern: Pattern) -> Column | None:
     """Whether a chunk (in lower case) has what a pattern needs: a search for plain texts, which is much cheaper than the regex. None if it needs nothing."""
-    groups = [reduce(or_, (F.contains(lowered, F.lit(t)) for t in texts)) for texts in pattern.needs]
+    groups = [_has(lowered, texts) for texts in pattern.needs]
     return reduce(and_, groups) if groups else None
 
 
@@ -67,4 +70,12 @@ def candidates(parts: Column, patterns: tuple[Pattern, ...]) -> Column:
     return F.flatten(F.transform(parts, all_of))
 
 
-__all__ = ["CHARSETS", "DOMAIN", "candidates", "chunks", "decode_entities", "finds", "may_match"]
+def first_finds(found: Column, patterns: tuple[Pattern, ...]) -> Column:
+    """Of candidates(), each text once, at its first place; bare domains for themselves, as they stand for other links."""
+    domain = [p.name for p in patterns].index(DOMAIN)
+    keyed = F.sort_array(F.transform(found, lambda c: F.struct(c["raw"], (c["pattern_no"] == domain).alias("domain"), c["chunk_no"], c["pattern_no"], c["ord"])))
+    again = lambda a, x, i: (i > 0) & F.get(a, i - 1)["raw"].eqNullSafe(x["raw"]) & (F.get(a, i - 1)["domain"] == x["domain"])
+    return F.element_at(F.transform(F.array(keyed), lambda a: F.filter(a, lambda x, i: ~again(a, x, i))), 1)
+
+
+__all__ = ["CHARSETS", "DOMAIN", "candidates", "chunks", "decode_entities", "finds", "first_finds", "may_match"]

@@ -17,11 +17,13 @@ def once(df: DataFrame, **columns) -> DataFrame:
     return df.select("*", F.explode_outer(F.array(made)).alias("_once")).select(*df.columns, *(F.col(f"_once.{n}").alias(n) for n in columns))
 
 
-def raw_candidates(responses: DataFrame, javascript: bool = True, kept: tuple[str, ...] = (), empty: bool = False) -> DataFrame:
-    """session_id, page_id, url, pass, chunk_no, pattern_no, ord, raw of all finds in bodies, and the columns `kept`. empty: a row without a find for pages that have none."""
+def raw_candidates(responses: DataFrame, javascript: bool = True, kept: tuple[str, ...] = (), empty: bool = False, repeats: bool = True) -> DataFrame:
+    """session_id, page_id, url, pass, chunk_no, pattern_no, ord, raw of all finds in bodies, and the columns `kept`. empty: a row without a find for pages that have none.
+    repeats=False: what a page has at several places comes with the first of them only."""
     own = ("session_id", "page_id", "url", *kept)
     parts = once(once(responses.select(*own, "body"), decoded=text.decode_entities(F.col("body"))), chunks=text.chunks(F.col("decoded")))
-    found = parts.select(*own, F.explode_outer(text.candidates(F.col("chunks"), active(javascript))).alias("c"))
+    finds = text.candidates(F.col("chunks"), active(javascript))
+    found = parts.select(*own, F.explode_outer(finds if repeats else text.first_finds(finds, active(javascript))).alias("c"))
     return (found if empty else found.where("c is not null")).select(*own, F.lit(BODY).alias("pass"), "c.chunk_no", "c.pattern_no", "c.ord", "c.raw")
 
 
@@ -40,9 +42,11 @@ def _is_domain(javascript: bool) -> Column:
 
 def _tidy(marked: DataFrame) -> DataFrame:
     """Finds with the `candidate` that they stand for, normalised (bodies) but not checked."""
-    cut = once(once(marked, _tidy=F.when(F.col("pass") == BODY, rules.tidied(F.col("raw")))), _cut=rules.bracket_cut(F.col("_tidy")))
-    link = F.when(F.col("pass") == BODY, rules.finished(F.col("_cut"))).otherwise(F.col("raw"))
-    return once(cut, candidate=rules.trimmed(link)).drop("_tidy", "_cut")
+    known = once(marked, _plain=rules.plain(F.col("raw")))
+    odd = (F.col("pass") == BODY) & ~F.col("_plain")
+    cut = once(once(known, _tidy=F.when(odd, rules.tidied(F.col("raw")))), _cut=rules.bracket_cut(F.col("_tidy")))
+    link = F.when(odd, rules.finished(F.col("_cut"))).otherwise(F.col("raw"))
+    return once(cut, candidate=F.when(F.col("_plain"), F.col("raw")).otherwise(rules.trimmed(link))).drop("_plain", "_tidy", "_cut")
 
 
 def accepted(raw: DataFrame, javascript: bool = True) -> DataFrame:
@@ -68,9 +72,9 @@ def seen_links(found: DataFrame, counter: Observation | str | None) -> DataFrame
     return found if counter is None else found.observe(counter, F.count(F.lit(1)).alias("n_candidates"))
 
 
-def found_candidates(responses: DataFrame, javascript: bool = True, headers: bool = True, counter: Observation | str | None = None) -> DataFrame:
+def found_candidates(responses: DataFrame, javascript: bool = True, headers: bool = True, counter: Observation | str | None = None, repeats: bool = True) -> DataFrame:
     """Every find that is a link, with its place."""
-    raw = raw_candidates(seen_pages(responses, counter), javascript)
+    raw = raw_candidates(seen_pages(responses, counter), javascript, repeats=repeats)
     if headers:
         raw = raw.unionByName(header_candidates(responses))
     found = accepted(raw, javascript)
@@ -83,4 +87,4 @@ def distinct_candidates(found: DataFrame) -> DataFrame:
 
 
 def extract_candidates(responses: DataFrame, javascript: bool = True, headers: bool = True, counter: Observation | str | None = None) -> DataFrame:
-    return distinct_candidates(found_candidates(responses, javascript, headers, counter))
+    return distinct_candidates(found_candidates(responses, javascript, headers, counter, repeats=False))

@@ -253,18 +253,20 @@ def link_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: A cap that bites in small tables too.
 FEW = 5
+#: All that decides who brings in what; the rest of a link isn't worked out for these queries.
+_ASKED = ("session_id", "page_id", "resolved", "place")
 
 
 @query(f"with recursive {O.all_candidates()}, {O.targets()}, {O.capped(FEW)}")
 def insert_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which page brings in which address: all links of all pages, with a cap that most pages reach."""
-    return dedupe.capped(_targets(spark, sf_dir), FEW).select("session_id", "page_id", "resolved")
+    return dedupe.capped(_targets(spark, sf_dir).select(*_ASKED), FEW).select("session_id", "page_id", "resolved")
 
 
 @query(f"with recursive {O.all_candidates()}, {O.targets()}, {O.capped(Options().most_inserts)}")
 def insert_cap_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with the design's cap."""
-    return dedupe.capped(_targets(spark, sf_dir), Options().most_inserts).select("session_id", "page_id", "resolved")
+    return dedupe.capped(_targets(spark, sf_dir).select(*_ASKED), Options().most_inserts).select("session_id", "page_id", "resolved")
 
 
 @query(f"""with {O.all_candidates(gate=O.GATE)}, {O.targets()},

@@ -5,8 +5,10 @@ import random
 from pyspark.sql import functions as F
 
 from linkloom.functions import constants as C
-from linkloom.functions import text
-from linkloom.functions.patterns import BY_NAME, LETTER
+from linkloom.functions import rules, text
+from linkloom.functions.patterns import BY_NAME, LETTER, PATTERNS
+from linkloom.operators import extract
+from linkloom.sources.pages import RESPONSES
 
 
 #: What begins with a look-ahead, without it.
@@ -40,3 +42,31 @@ def test_only_encoded_texts_are_decoded(spark):
         was = F.regexp_replace(was, F.lit(f"(?i){regex}"), F.lit(character))
     n = df.agg(F.sum((was != text.decode_entities(F.col("x"))).cast("int")), F.sum((was != F.col("x")).cast("int"))).first()
     assert n[0] == 0 and n[1] > 5000
+
+
+def test_signs_are_in_all_encoded_beginnings():
+    assert all(any(sign in start for sign in C.ENCODED_SIGNS) for starts in C.ENCODED_STARTS for start in starts)
+
+
+def test_plain_finds_stay_as_they_are(spark):
+    """What is taken for plain is what normalising wouldn't change; most finds of pages are."""
+    rng, parts = random.Random(7), ["a", "Z9", "/", "//", ".", "..", "-", "_", "?", "#", "x=1", "&", "%2f", "+", "~", ":", ",", ";", ">", "<", "</", "`", "\\", "\\n", "\n", "\r", " ", "\x00", "(", ")", "[", "]", "{", "}", "'", '"', "é", "$"]
+    texts = ["".join(rng.choices(parts[: rng.choice((16, 16, len(parts)))], k=rng.randint(0, 7))) for _ in range(40_000)]
+    df = spark.createDataFrame([(t,) for t in texts], "x string").where(rules.plain(F.col("x")))
+    n = df.agg(F.count(F.lit(1)), F.sum((~rules.trimmed(rules.normalised(F.col("x"))).eqNullSafe(F.col("x"))).cast("int"))).first()
+    assert n[0] > 10_000 and n[1] == 0
+
+
+def test_a_text_found_again_is_normalised_once(spark):
+    """Candidates and their first places are those of all finds; what a page has at several places, or for several patterns, is one row before it's normalised."""
+    links = "<a href='/a'> <a href='/a,'> <a href='/b'> '/a' \"/a\" fetch('/a') see www.example.com/x '//www.example.com/x' https://www.example.com/x '/c.js' 'c.js' "
+    bodies = {0: links, 1: links * 3, 2: links * 600, 3: "no link", 4: ""}  # the third is long enough for chunks
+    rows = [(0, p, "http://h.com/", "text/html", "/a", " /a ", b) for p, b in bodies.items()]
+    df = spark.createDataFrame(rows, RESPONSES)
+    every = extract.found_candidates(df)
+    was, now = (sorted(x.collect()) for x in (extract.distinct_candidates(every), extract.extract_candidates(df)))
+    assert was == now and {r["page_id"] for r in now} == set(bodies)
+    once = extract.raw_candidates(df, repeats=False)
+    domain = F.col("pattern_no") == [p.name for p in PATTERNS].index("bare_domain")
+    n = once.groupBy("page_id", "raw", domain.alias("d")).count().agg(F.sum("count"), F.count(F.lit(1))).first()
+    assert n[0] == n[1] == once.count() < 100 < extract.raw_candidates(df).count()
